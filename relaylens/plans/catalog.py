@@ -407,3 +407,170 @@ SELECT date_trunc('minute', timestamp) AS minute,
 FROM b WHERE epoch_us(dest_timestamp) - epoch_us(timestamp) > 0 GROUP BY 1""")
 def q_latency_minute(spark, sf):
     return bridge.latency_minute(B.bridge_pairs(spark, sf))
+
+
+# ====================================================== flows over landed files
+# Each flow lands its input files (derived by Spark from the driver tables)
+# in a fresh folder under spark.checkpoint.dir, runs, and returns its result.
+from ..session import scratch_path  # noqa: E402
+from . import flows  # noqa: E402
+
+FMT_SQL = "'%Y-%m-%d %H:%M:%S.%f'"
+LABEL_SRC = B._case_mod("o_custkey", 8, B.CHAIN_LABELS)
+LABEL_DEST = B._case_mod("l_suppkey", 8, B.CHAIN_LABELS)
+
+
+@register("event_log_build", f"""WITH
+s AS (SELECT CAST(o_orderkey AS VARCHAR) AS id, strftime(o_orderdate, {FMT_SQL}) AS t, {LABEL_SRC} AS c
+      FROM orders WHERE o_orderstatus <> 'P'),
+d AS (SELECT CAST(l_orderkey AS VARCHAR) AS id, strftime(l_shipdate, {FMT_SQL}) AS t, {LABEL_DEST} AS c FROM lineitem),
+s1 AS (SELECT id, t, c FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY t, c) AS rn FROM s) WHERE rn = 1),
+d1 AS (SELECT id, t, c FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY t, c) AS rn FROM d) WHERE rn = 1),
+a AS (SELECT coalesce(s1.id, d1.id) AS orderid, s1.t AS src_evt_time, s1.c AS src_chain,
+             d1.t AS dest_evt_time, d1.c AS dest_chain FROM s1 FULL OUTER JOIN d1 ON s1.id = d1.id)
+SELECT * FROM a WHERE NOT EXISTS (
+  SELECT 1 FROM orders WHERE o_orderstatus = 'F' AND CAST(o_orderkey AS VARCHAR) = a.orderid)""")
+def q_event_log_build(spark, sf):
+    root = scratch_path(spark, "event_log_build")
+    src = B.source_leg(spark, sf).select(F.col("orderId").alias("orderid"),
+                                         F.col("evt_time").alias("evt_block_time"), "chain")
+    dest = B.dest_leg(spark, sf).select(F.col("orderId").alias("orderid"),
+                                        F.col("evt_time").alias("evt_block_time"), "chain")
+    flows.write_packed_csv(src, f"{root}/src")
+    flows.write_packed_csv(dest, f"{root}/dest")
+    stored = (B.table(spark, sf, "orders").where(F.col("o_orderstatus") == "F")
+              .select(F.col("o_orderkey").cast("string").alias("orderid")))
+    flows.event_log_build(spark, f"{root}/src", f"{root}/dest", stored, target=f"{root}/event_log")
+    return spark.read.parquet(f"{root}/event_log")
+
+
+@register("order_detail_load", f"""WITH docs AS ({B.order_docs_sql()})
+SELECT * FROM docs WHERE NOT EXISTS (
+  SELECT 1 FROM orders WHERE o_orderstatus = 'O' AND CAST(o_orderkey AS VARCHAR) = docs.orderid)""")
+def q_order_detail_load(spark, sf):
+    root = scratch_path(spark, "order_detail_load")
+    flows.nest_order_docs(B.order_docs_view(spark, sf)).write.text(f"{root}/docs")
+    stored = (B.table(spark, sf, "orders").where(F.col("o_orderstatus") == "O")
+              .select(F.col("o_orderkey").cast("string").alias("orderid")))
+    flows.order_detail_load(spark, f"{root}/docs", stored, target=f"{root}/orders")
+    return spark.read.parquet(f"{root}/orders")
+
+
+@register("price_history", """WITH bars AS (
+  SELECT event_type AS instrument, date_trunc('hour', ts) AS ts, max(value) AS CLOSE FROM events GROUP BY 1, 2),
+bnd AS (SELECT instrument, min(ts) AS lo, max(ts) AS hi FROM bars GROUP BY 1),
+grid AS (SELECT instrument, unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS ts FROM bnd)
+SELECT g.instrument, g.ts,
+  last_value(b.CLOSE IGNORE NULLS) OVER (PARTITION BY g.instrument ORDER BY g.ts
+                                         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS CLOSE,
+  b.CLOSE IS NULL AS filled
+FROM grid g LEFT JOIN bars b ON b.instrument = g.instrument AND b.ts = g.ts""")
+def q_price_history(spark, sf):
+    root = scratch_path(spark, "price_history")
+    bars = (B.events(spark, sf)
+            .groupBy(F.col("event_type").alias("instrument"), X.floor_to("hour", "ts").alias("ts"))
+            .agg(F.max("value").alias("CLOSE")))
+    flows.write_price_pages(bars, f"{root}/pages")
+    return flows.price_history(spark, f"{root}/pages")
+
+
+DROP_SCHEMA = "event_id BIGINT, ts TIMESTAMP_NTZ, event_type STRING, value DOUBLE, user_id BIGINT"
+DROP_A = ("click", "view", "purchase")
+
+
+@register("file_drop_aggregate", f"""
+SELECT event_id, ts, event_type, value, CAST(NULL AS BIGINT) AS user_id FROM events
+WHERE event_type IN {DROP_A}
+UNION ALL
+SELECT event_id, ts, event_type, CAST(NULL AS DOUBLE) AS value, user_id FROM events
+WHERE event_type NOT IN {DROP_A}""")
+def q_file_drop_aggregate(spark, sf):
+    root = scratch_path(spark, "file_drop")
+    ev = B.events(spark, sf)
+    w = dict(header=True, timestampNTZFormat=flows.PACK_TIME)
+    a = ev.where(F.col("event_type").isin(*DROP_A))
+    b = ev.where(~F.col("event_type").isin(*DROP_A))
+    a.select("event_id", "ts", "event_type", "value").write.options(**w).csv(f"{root}/mevshare/2024-01/a")
+    b.select("event_id", "ts", "event_type", "user_id").write.options(**w).csv(f"{root}/mevshare/2024-01/b")
+    ev.drop("props").write.options(**w).csv(f"{root}/protect/2024-01")
+    return flows.file_drop_aggregate(spark, root, "MEVSHARE/2024-01", DROP_SCHEMA)
+
+
+@register("file_inventory")
+def q_file_inventory(spark, sf):
+    """Listing of the landed event CSV drop (rows-only check)."""
+    root = scratch_path(spark, "inventory")
+    B.events(spark, sf).drop("props").write.option("header", True).csv(f"{root}/drop")
+    return flows.files.file_inventory(spark, root).select("key", "size")
+
+
+BUNDLE_START = 1704844800  # 2024-01-10 00:00:00 UTC
+
+
+@register("bundle_history", f"""
+SELECT event_id, epoch_us(ts) // 1000000 AS timestamp, user_id, value,
+       make_timestamp((epoch_us(ts) // 1000000) * 1000000) AS DATETIME
+FROM events WHERE epoch_us(ts) // 1000000 > {BUNDLE_START}""")
+def q_bundle_history(spark, sf):
+    root = scratch_path(spark, "bundles")
+    rec = B.events(spark, sf).select(
+        X.ts_to_epoch("ts").alias("timestamp"), "event_id", "user_id", "value",
+        F.array("event_type").alias("tokens"),
+        F.struct(F.col("value").alias("delta")).alias("token_balance_delta"),
+        X.floor_to("hour", "ts").alias("page"))
+    flows.write_json_pages(rec, f"{root}/pages", "data", "page")
+    return flows.bundle_history(spark, f"{root}/pages", BUNDLE_START)
+
+
+@register("order_book_snapshot", """
+SELECT '0x' || CAST(o_orderkey AS VARCHAR) AS orderHash, 'm' || CAST(o_custkey AS VARCHAR) AS maker,
+       CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS VARCHAR) AS makerAmount,
+       CASE WHEN (o_orderkey // 500) % 2 = 0 THEN o_totalprice / 1000 END AS makerRate
+FROM orders""")
+def q_order_book_snapshot(spark, sf):
+    root = scratch_path(spark, "order_book")
+    o = B.table(spark, sf, "orders").select(
+        (F.col("o_orderkey") / 500).cast("long").alias("page"),
+        F.concat(F.lit("0x"), F.col("o_orderkey").cast("string")).alias("orderHash"),
+        F.concat(F.lit("m"), F.col("o_custkey").cast("string")).alias("maker"),
+        F.round(F.col("o_totalprice") * 100).cast("long").cast("string").alias("makerAmount"),
+        (F.col("o_totalprice") / 1000).alias("makerRate"))
+    even = F.to_json(F.struct("orderHash", "maker", "makerAmount", "makerRate"))
+    odd = F.to_json(F.struct("orderHash", "maker", "makerAmount"))
+    js = o.select("page", F.when(F.col("page") % 2 == 0, even).otherwise(odd).alias("value"))
+    flows.write_array_pages(js, f"{root}/pages")
+    return flows.order_book_snapshot(spark, f"{root}/pages")
+
+
+@register("bridge_latency_minute", ORACLES["latency_minute"])
+def q_bridge_latency_minute(spark, sf):
+    root = scratch_path(spark, "bridge")
+    p = B.bridge_pairs(spark, sf)
+    iso = flows.ISO_TIME
+    tx = p.select(
+        X.floor_to("hour", "timestamp").alias("page"),
+        F.concat(F.lit("id"), F.col("event_id").cast("string")).alias("id"),
+        F.concat(F.lit("0xt"), F.col("event_id").cast("string")).alias("txHash"),
+        (F.col("user_id") % 40).cast("int").alias("emitterChain"),
+        F.lit("0xemitter").alias("emitterAddress"),
+        F.col("value").cast("string").alias("tokenAmount"),
+        F.date_format("timestamp", iso).alias("timestamp"),
+        F.lit("00").alias("payload"),
+        F.struct(
+            F.struct(F.concat(F.lit("0xo"), F.col("event_id").cast("string")).alias("txHash"),
+                     F.lit("confirmed").alias("status"),
+                     F.struct(F.lit("wormchain-gateway").alias("type"),
+                              F.struct(F.lit(1).alias("originChainId"), F.lit("0xa").alias("originAddress"),
+                                       F.lit("0xb").alias("originTxHash")).alias("value")).alias("attribute"))
+             .alias("originTx"),
+            F.struct(F.date_format("dest_timestamp", iso).alias("timestamp"),
+                     ((F.col("user_id") + 7) % 40).cast("int").alias("chainId")).alias("destinationTx"))
+         .alias("globalTx"),
+        F.struct(((F.col("user_id") + 1) % 40).cast("int").alias("toChain"),
+                 ((F.col("user_id") + 2) % 40).cast("int").alias("tokenChain"),
+                 (F.col("user_id") % 40).cast("int").alias("fromChain"),
+                 F.lit("0xf").alias("fromAddress"), F.lit("0xfee").alias("feeAddress"),
+                 F.lit(2).alias("feeChain"), F.col("value").cast("string").alias("amount"),
+                 F.lit(8).alias("normalizedDecimals")).alias("standardizedProperties"))
+    flows.write_json_pages(tx, f"{root}/pages", "transactions", "page")
+    return flows.bridge_latency_minute(spark, f"{root}/pages")
