@@ -574,3 +574,73 @@ def q_bridge_latency_minute(spark, sf):
                  F.lit(8).alias("normalizedDecimals")).alias("standardizedProperties"))
     flows.write_json_pages(tx, f"{root}/pages", "transactions", "page")
     return flows.bridge_latency_minute(spark, f"{root}/pages")
+
+
+# ================================================================ streaming
+from ..streaming import ingest as S  # noqa: E402
+
+
+def _await(q, timeout_s: int = 600) -> None:
+    q.awaitTermination(timeout_s)
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+
+
+@register("stream_ingest", f"""
+SELECT CAST(event_id AS VARCHAR) AS id, status, value AS amount,
+       epoch_us(ts) // 1000000 AS timestamp, make_timestamp((epoch_us(ts) // 1000000) * 1000000) AS DATETIME
+FROM (SELECT *, {B.TRANSFER_STATUS} AS status FROM events) WHERE status = 'DONE'""")
+def q_stream_ingest(spark, sf):
+    """Transfer pages per day, each repeating the previous day's last hour
+    (re-delivery); streamed once with ``availableNow``."""
+    root = scratch_path(spark, "stream_ingest")
+    ev = B.events(spark, sf)
+    rec = ev.select(
+        F.col("event_id").cast("string").alias("id"), F.expr(B.TRANSFER_STATUS).alias("status"),
+        F.col("value").alias("amount"),
+        F.struct(X.ts_to_epoch("ts").alias("timestamp"), F.lit(1).cast("long").alias("chainId")).alias("sending"),
+        F.to_date("ts").alias("day"), F.hour("ts").alias("h"))
+    again = rec.where(F.col("h") == 23).withColumn("day", F.date_add("day", 1))
+    pages = (rec.unionByName(again).drop("h").groupBy("day")
+                .agg(F.to_json(F.struct(F.collect_list(F.struct("id", "status", "amount", "sending"))
+                                        .alias("transfers"))).alias("value")))
+    pages.write.partitionBy("day").text(f"{root}/in")
+    _await(S.ingest_transfers(spark, f"{root}/in", f"{root}/out", f"{root}/ckpt"))
+    return spark.read.parquet(f"{root}/out")
+
+
+@register("stream_latency_minute", f"""WITH b AS ({B.BRIDGE_PAIRS_SQL}),
+p AS (SELECT timestamp, epoch_us(dest_timestamp) - epoch_us(timestamp) AS lat FROM b),
+mx AS (SELECT max(timestamp) AS t FROM p WHERE lat > 0)
+SELECT date_trunc('minute', timestamp) AS minute, sum(CAST(lat AS DOUBLE)) / count(*) / 1e6 AS avg_latency_s,
+       count(*) AS transfers
+FROM p WHERE lat > 0 GROUP BY 1
+HAVING date_trunc('minute', timestamp) + INTERVAL 1 MINUTE <= (SELECT t FROM mx) - INTERVAL 10 MINUTE""")
+def q_stream_latency_minute(spark, sf):
+    """Bridge pairs landed as parquet, streamed; closed windows only."""
+    root = scratch_path(spark, "stream_latency")
+    pairs = B.bridge_pairs(spark, sf)
+    pairs.write.parquet(f"{root}/in")
+    src = spark.readStream.schema(pairs.schema).parquet(f"{root}/in")
+    q = (S.stream_latency_minute(src).writeStream.format("parquet").option("path", f"{root}/out")
+          .option("checkpointLocation", f"{root}/ckpt").outputMode("append").trigger(availableNow=True).start())
+    _await(q)
+    return spark.read.parquet(f"{root}/out")
+
+
+@register("stream_backlog", """
+SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS orderid FROM lineitem
+WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderstatus = 'F' AND o_orderkey = l_orderkey)""")
+def q_stream_backlog(spark, sf):
+    """Candidate ids (one per line item, so ids repeat across files) stream
+    in two files per batch against the stored ids, which start as the
+    fulfilled orders."""
+    root = scratch_path(spark, "stream_backlog")
+    cand = B.table(spark, sf, "lineitem").select(F.col("l_orderkey").cast("string").alias("orderid"))
+    cand.repartition(6).write.parquet(f"{root}/in")
+    stored0 = (B.table(spark, sf, "orders").where(F.col("o_orderstatus") == "F")
+               .select(F.col("o_orderkey").cast("string").alias("orderid")))
+    S.seed_stored(stored0, f"{root}/stored")
+    src = spark.readStream.schema(cand.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/in")
+    _await(S.stream_backlog(src, f"{root}/stored", f"{root}/ckpt"))
+    return spark.read.parquet(f"{root}/stored").where(F.col("batch_id") >= 0).select("orderid")
