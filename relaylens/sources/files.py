@@ -56,7 +56,8 @@ def file_inventory(spark: SparkSession, root: str, glob: str | None = None) -> D
     """Recursive listing ``key, size, last_modified`` (S3).
 
     Uses the ``binaryFile`` source with only metadata columns selected, so
-    file contents are never read.
+    file contents are never read. Zero-length files hold no rows and are
+    not listed.
     """
     r = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob:
