@@ -138,10 +138,12 @@ def ts_to_epoch(ts) -> Column:
 def parse_ts(text, formats=(K.FILL_TIME_FORMAT, K.FILL_TIME_FORMAT_MILLIS)) -> Column:
     """Parse zone-labelled timestamp text; unparsable -> NULL.
 
-    Several formats are tried in order; the result is a UTC wall-clock
-    ``timestamp_ntz`` (the session zone is pinned to UTC).
+    Spark's built-in string->timestamp cast already reads
+    ``yyyy-MM-dd HH:mm:ss[.fraction][ zone]`` and is the fast path; the
+    pattern formats are only evaluated for rows the cast rejects. The
+    result is a UTC wall-clock ``timestamp_ntz`` (session zone pinned to UTC).
     """
-    parsed = [F.try_to_timestamp(_c(text), F.lit(f)) for f in formats]
+    parsed = [_c(text).try_cast("timestamp")] + [F.try_to_timestamp(_c(text), F.lit(f)) for f in formats]
     return F.coalesce(*parsed).cast("timestamp_ntz")
 
 
