@@ -129,6 +129,24 @@ def expand_structs(df: DataFrame, cols, sep: str = ".", keep: bool = True) -> Da
 
 # ------------------------------------------------------------------ packing
 
+def spread_groups(df: DataFrame, keys, item, max_items: int, part: str = "part") -> DataFrame:
+    """Add ``part`` so that every ``keys + [part]`` group holds about
+    ``max_items`` rows at most: ``part = hash(item) mod ceil(n_key / max_items)``.
+
+    Used wherever a group is collected into one value (a packed cell, a JSON
+    page), so a key holding a large share of all rows is spread over many
+    tasks instead of one. The per-key sizes are one small aggregate, joined
+    back (broadcast by Spark when measured small, skew-split by AQE if not).
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    parts = F.greatest(F.lit(1), F.ceil(F.col("__n") / F.lit(max_items)))
+    item_col = F.col(item) if isinstance(item, str) else item
+    return (df.join(sizes, keys)
+              .withColumn(part, F.pmod(F.xxhash64(item_col), parts).cast("int"))
+              .drop("__n"))
+
+
 def pack_events(df: DataFrame, ts: str = "evt_block_time", id_col: str = "orderid",
                 cat: str = "chain", categories=K.PACK_CHAINS, start=None, end=None,
                 time_format: str = "yyyy-MM-dd HH:mm:ss.SSSSSS",
@@ -157,10 +175,7 @@ def pack_events(df: DataFrame, ts: str = "evt_block_time", id_col: str = "orderi
                     F.date_format(F.col(ts), time_format))
     ev = ev.select(X.floor_to("hour", ts).alias("event_hour"), item.alias("item"),
                    F.col(cat).alias("cat"))
-    sizes = ev.groupBy("event_hour").agg(F.count(F.lit(1)).alias("n_hour"))
-    parts = F.greatest(F.lit(1), F.ceil(F.col("n_hour") / F.lit(max_items)))
-    ev = (ev.join(sizes, "event_hour")
-            .withColumn("part", F.pmod(F.xxhash64("item"), parts).cast("int")))
+    ev = spread_groups(ev, ["event_hour"], "item", max_items)
     aggs = [F.array_join(F.sort_array(F.collect_list(F.when(F.col("cat") == v, F.col("item")))),
                          K.PACK_ITEM_SEP).alias(name)
             for v, name in categories]

@@ -601,10 +601,8 @@ def q_stream_ingest(spark, sf):
         F.struct(X.ts_to_epoch("ts").alias("timestamp"), F.lit(1).cast("long").alias("chainId")).alias("sending"),
         F.to_date("ts").alias("day"), F.hour("ts").alias("h"))
     again = rec.where(F.col("h") == 23).withColumn("day", F.date_add("day", 1))
-    pages = (rec.unionByName(again).drop("h").groupBy("day")
-                .agg(F.to_json(F.struct(F.collect_list(F.struct("id", "status", "amount", "sending"))
-                                        .alias("transfers"))).alias("value")))
-    pages.write.partitionBy("day").text(f"{root}/in")
+    flows.write_json_pages(rec.unionByName(again).drop("h").withColumn("page", F.col("day")),
+                           f"{root}/in", "transfers", "page", partition_by="day")
     _await(S.ingest_transfers(spark, f"{root}/in", f"{root}/out", f"{root}/ckpt"))
     return spark.read.parquet(f"{root}/out")
 

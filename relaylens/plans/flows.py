@@ -153,13 +153,18 @@ def file_drop_aggregate(spark: SparkSession, root: str, keyword: str, schema=Non
 
 
 # -------------------------------------------------------- L5 bundle history
-def write_json_pages(records: DataFrame, path: str, envelope: str, page_col: str) -> None:
-    """Group records into one JSON page per ``page_col`` value, one page
-    per line (``{"<envelope>": [...]}``)."""
-    cols = [c for c in records.columns if c != page_col]
-    (records.groupBy(page_col)
-            .agg(F.to_json(F.struct(F.collect_list(F.struct(*cols)).alias(envelope))).alias("value"))
-            .select("value").write.mode("overwrite").text(path))
+def write_json_pages(records: DataFrame, path: str, envelope: str, page_col: str,
+                     page_rows: int = 1000, partition_by: str | None = None) -> None:
+    """Group records into JSON pages of at most about ``page_rows`` records
+    per ``page_col`` value (``{"<envelope>": [...]}``), one page per line.
+    A page value holding many records is split over several pages."""
+    cols = [c for c in records.columns if c not in (page_col, partition_by)]
+    keys = [page_col] + ([partition_by] if partition_by else [])
+    rec = shape.spread_groups(records, keys, F.struct(*cols), page_rows, part="__part")
+    pages = (rec.groupBy(*keys, "__part")
+                .agg(F.to_json(F.struct(F.collect_list(F.struct(*cols)).alias(envelope))).alias("value")))
+    w = pages.select(*([partition_by] if partition_by else []), "value").write.mode("overwrite")
+    (w.partitionBy(partition_by) if partition_by else w).text(path)
 
 
 def bundle_history(spark: SparkSession, pages_path: str, start_epoch: int,
