@@ -642,3 +642,50 @@ def q_stream_backlog(spark, sf):
     src = spark.readStream.schema(cand.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/in")
     _await(S.stream_backlog(src, f"{root}/stored", f"{root}/ckpt"))
     return spark.read.parquet(f"{root}/stored").where(F.col("batch_id") >= 0).select("orderid")
+
+
+# ============================================ SQL text path and parity mode
+from ..sources.sql import sql_query  # noqa: E402
+
+ROUTE_SQL = """
+WITH j AS (
+  SELECT d.*, e.src_chain AS ev_src, e.dest_chain AS ev_dest
+  FROM {docs} d LEFT JOIN {events} e ON e.orderid = d.orderid
+  WHERE try_cast(nullif(nullif(nullif(d.giveOfferWithMetadata_finalAmount, 'nan'), 'None'), '') AS DOUBLE) > 0),
+m AS (
+  SELECT
+    CASE WHEN LEFT(makerSrc, 2) != '0x' THEN 'SOL' WHEN giveOfferWithMetadata_metadata_symbol = 'S' THEN 'SONIC'
+         WHEN LEFT(giveOfferWithMetadata_metadata_symbol, 2) = 'sc' THEN 'SONIC' ELSE ev_src END AS src,
+    CASE WHEN LEFT(receiverDst, 2) != '0x' THEN 'SOL' WHEN takeOfferWithMetadata_metadata_symbol = 'S' THEN 'SONIC'
+         WHEN LEFT(takeOfferWithMetadata_metadata_symbol, 2) = 'sc' THEN 'SONIC' ELSE ev_dest END AS dst,
+    try_cast(takeOfferWithMetadata_finalAmount AS DOUBLE)
+      / pow(10, try_cast(nullif(takeOfferWithMetadata_metadata_decimals, 'nan') AS DOUBLE)) AS amount_out
+  FROM j)
+SELECT concat(src, '-', dst) AS route, count(concat(src, '-', dst)) AS tx_count, sum(amount_out) AS amount_out
+FROM m GROUP BY concat(src, '-', dst)
+"""
+
+
+@register("route_volume_sql", ORDERS_BASE + """
+SELECT route, count(route) AS tx_count, sum(amount_out) AS amount_out FROM m GROUP BY route""")
+def q_route_volume_sql(spark, sf):
+    """Route count and output volume written as Spark SQL text (S8) over
+    the order documents and the event log passed as views."""
+    return sql_query(spark, ROUTE_SQL, {"docs": B.order_docs_view(spark, sf),
+                                        "events": B.event_log_view(spark, sf)})
+
+
+PARITY_BASE = ORDERS_BASE.replace(
+    f"coalesce({_clean('preswapData_tokenInMetadata_name')}, giveOfferWithMetadata_metadata_symbol) AS in_token",
+    "CASE WHEN preswapData_tokenInMetadata_name = 'nan' THEN giveOfferWithMetadata_metadata_symbol "
+    "ELSE preswapData_tokenInMetadata_name END AS in_token").replace(
+    f"CASE WHEN {_clean('preswapData_tokenInMetadata_name')} IS NOT NULL",
+    "CASE WHEN preswapData_tokenInMetadata_name != 'nan'")
+
+
+@register("pair_analysis_parity", PARITY_BASE + f"SELECT pair, {SUMMARY.format(k='pair')} FROM m GROUP BY pair")
+def q_pair_analysis_parity(spark, sf):
+    """Pair summary with the literal ``= 'nan'`` sentinel test (a 'None'
+    pre-swap name is kept as a token)."""
+    return _round(orders.pair_analysis(B.order_docs_view(spark, sf), B.event_log_view(spark, sf),
+                                       sentinel_mode=True), ["avg_price"], 6)
