@@ -412,7 +412,7 @@ def q_latency_minute(spark, sf):
 # ====================================================== flows over landed files
 # Each flow lands its input files (derived by Spark from the driver tables)
 # in a fresh folder under spark.checkpoint.dir, runs, and returns its result.
-from ..session import scratch_path  # noqa: E402
+from ..session import run_folder  # noqa: E402
 from . import flows  # noqa: E402
 
 FMT_SQL = "'%Y-%m-%d %H:%M:%S.%f'"
@@ -431,7 +431,7 @@ a AS (SELECT coalesce(s1.id, d1.id) AS orderid, s1.t AS src_evt_time, s1.c AS sr
 SELECT * FROM a WHERE NOT EXISTS (
   SELECT 1 FROM orders WHERE o_orderstatus = 'F' AND CAST(o_orderkey AS VARCHAR) = a.orderid)""")
 def q_event_log_build(spark, sf):
-    root = scratch_path(spark, "event_log_build")
+    root = run_folder(spark, "event_log_build", sf)
     src = B.source_leg(spark, sf).select(F.col("orderId").alias("orderid"),
                                          F.col("evt_time").alias("evt_block_time"), "chain")
     dest = B.dest_leg(spark, sf).select(F.col("orderId").alias("orderid"),
@@ -448,7 +448,7 @@ def q_event_log_build(spark, sf):
 SELECT * FROM docs WHERE NOT EXISTS (
   SELECT 1 FROM orders WHERE o_orderstatus = 'O' AND CAST(o_orderkey AS VARCHAR) = docs.orderid)""")
 def q_order_detail_load(spark, sf):
-    root = scratch_path(spark, "order_detail_load")
+    root = run_folder(spark, "order_detail_load", sf)
     flows.nest_order_docs(B.order_docs_view(spark, sf)).write.text(f"{root}/docs")
     stored = (B.table(spark, sf, "orders").where(F.col("o_orderstatus") == "O")
               .select(F.col("o_orderkey").cast("string").alias("orderid")))
@@ -466,7 +466,7 @@ SELECT g.instrument, g.ts,
   b.CLOSE IS NULL AS filled
 FROM grid g LEFT JOIN bars b ON b.instrument = g.instrument AND b.ts = g.ts""")
 def q_price_history(spark, sf):
-    root = scratch_path(spark, "price_history")
+    root = run_folder(spark, "price_history", sf)
     bars = (B.events(spark, sf)
             .groupBy(F.col("event_type").alias("instrument"), X.floor_to("hour", "ts").alias("ts"))
             .agg(F.max("value").alias("CLOSE")))
@@ -485,7 +485,7 @@ UNION ALL
 SELECT event_id, ts, event_type, CAST(NULL AS DOUBLE) AS value, user_id FROM events
 WHERE event_type NOT IN {DROP_A}""")
 def q_file_drop_aggregate(spark, sf):
-    root = scratch_path(spark, "file_drop")
+    root = run_folder(spark, "file_drop", sf)
     ev = B.events(spark, sf)
     w = dict(header=True, timestampNTZFormat=flows.PACK_TIME)
     a = ev.where(F.col("event_type").isin(*DROP_A))
@@ -499,7 +499,7 @@ def q_file_drop_aggregate(spark, sf):
 @register("file_inventory")
 def q_file_inventory(spark, sf):
     """Listing of the landed event CSV drop (rows-only check)."""
-    root = scratch_path(spark, "inventory")
+    root = run_folder(spark, "inventory", sf)
     B.events(spark, sf).drop("props").write.option("header", True).csv(f"{root}/drop")
     return flows.files.file_inventory(spark, root).select("key", "size")
 
@@ -512,7 +512,7 @@ SELECT event_id, epoch_us(ts) // 1000000 AS timestamp, user_id, value,
        make_timestamp((epoch_us(ts) // 1000000) * 1000000) AS DATETIME
 FROM events WHERE epoch_us(ts) // 1000000 > {BUNDLE_START}""")
 def q_bundle_history(spark, sf):
-    root = scratch_path(spark, "bundles")
+    root = run_folder(spark, "bundles", sf)
     rec = B.events(spark, sf).select(
         X.ts_to_epoch("ts").alias("timestamp"), "event_id", "user_id", "value",
         F.array("event_type").alias("tokens"),
@@ -528,7 +528,7 @@ SELECT '0x' || CAST(o_orderkey AS VARCHAR) AS orderHash, 'm' || CAST(o_custkey A
        CASE WHEN (o_orderkey // 500) % 2 = 0 THEN o_totalprice / 1000 END AS makerRate
 FROM orders""")
 def q_order_book_snapshot(spark, sf):
-    root = scratch_path(spark, "order_book")
+    root = run_folder(spark, "order_book", sf)
     o = B.table(spark, sf, "orders").select(
         (F.col("o_orderkey") / 500).cast("long").alias("page"),
         F.concat(F.lit("0x"), F.col("o_orderkey").cast("string")).alias("orderHash"),
@@ -544,7 +544,7 @@ def q_order_book_snapshot(spark, sf):
 
 @register("bridge_latency_minute", ORACLES["latency_minute"])
 def q_bridge_latency_minute(spark, sf):
-    root = scratch_path(spark, "bridge")
+    root = run_folder(spark, "bridge", sf)
     p = B.bridge_pairs(spark, sf)
     iso = flows.ISO_TIME
     tx = p.select(
@@ -593,7 +593,7 @@ FROM (SELECT *, {B.TRANSFER_STATUS} AS status FROM events) WHERE status = 'DONE'
 def q_stream_ingest(spark, sf):
     """Transfer pages per day, each repeating the previous day's last hour
     (re-delivery); streamed once with ``availableNow``."""
-    root = scratch_path(spark, "stream_ingest")
+    root = run_folder(spark, "stream_ingest", sf)
     ev = B.events(spark, sf)
     rec = ev.select(
         F.col("event_id").cast("string").alias("id"), F.expr(B.TRANSFER_STATUS).alias("status"),
@@ -616,7 +616,7 @@ FROM p WHERE lat > 0 GROUP BY 1
 HAVING date_trunc('minute', timestamp) + INTERVAL 1 MINUTE <= (SELECT t FROM mx) - INTERVAL 10 MINUTE""")
 def q_stream_latency_minute(spark, sf):
     """Bridge pairs landed as parquet, streamed; closed windows only."""
-    root = scratch_path(spark, "stream_latency")
+    root = run_folder(spark, "stream_latency", sf)
     pairs = B.bridge_pairs(spark, sf)
     pairs.write.parquet(f"{root}/in")
     src = spark.readStream.schema(pairs.schema).parquet(f"{root}/in")
@@ -633,7 +633,7 @@ def q_stream_backlog(spark, sf):
     """Candidate ids (one per line item, so ids repeat across files) stream
     in two files per batch against the stored ids, which start as the
     fulfilled orders."""
-    root = scratch_path(spark, "stream_backlog")
+    root = run_folder(spark, "stream_backlog", sf)
     cand = B.table(spark, sf, "lineitem").select(F.col("l_orderkey").cast("string").alias("orderid"))
     cand.repartition(6).write.parquet(f"{root}/in")
     stored0 = (B.table(spark, sf, "orders").where(F.col("o_orderstatus") == "F")

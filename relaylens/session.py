@@ -11,6 +11,7 @@ Settings the operators rely on:
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 import uuid
@@ -77,3 +78,27 @@ def local_dir(path: str) -> str:
         path = path[len("file:"):]
     os.makedirs(path, exist_ok=True)
     return path
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Recursively delete ``path`` on whatever filesystem it lives on
+    (local, HDFS, object store) through the Hadoop FileSystem API."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
+def run_folder(spark: SparkSession, name: str, key: str = "") -> str:
+    """Folder for one run of a file-landing flow, under the checkpoint root.
+
+    There is one slot per (``name``, ``key``): starting a run removes the
+    previous run's files of the same slot, so repeated runs do not grow the
+    shared folder. Runs of the same slot must not overlap.
+    """
+    root = checkpoint_root(spark).rstrip("/")
+    slot = name + (("-" + hashlib.sha1(key.encode()).hexdigest()[:10]) if key else "")
+    base = f"{root}/relaylens/{slot}"
+    delete_path(spark, base)
+    return f"{base}/run-{uuid.uuid4().hex[:12]}"
