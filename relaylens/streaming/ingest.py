@@ -124,11 +124,14 @@ def stream_backlog(candidates: DataFrame, stored_path: str, checkpoint: str, key
     spark = candidates.sparkSession
 
     def process(batch: DataFrame, batch_id: int) -> None:
+        ids = batch.select(key).where(F.col(key).isNotNull()).dropDuplicates([key])
         stored = (spark.read.parquet(stored_path)
                        .where(F.col("batch_id") != F.lit(batch_id)).select(key))
-        new = batch.select(key).where(F.col(key).isNotNull()).dropDuplicates([key]) \
-                   .join(stored, key, "left_anti")
-        write_batch(new, stored_path, batch_id)
+        # Semi-join reduction: the stored table only has to be scanned and
+        # probed against this batch's ids (a broadcast when Spark measures
+        # them small), instead of being shuffled whole for every batch.
+        hits = stored.join(ids, key, "left_semi")
+        write_batch(ids.join(hits, key, "left_anti"), stored_path, batch_id)
 
     w = candidates.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
