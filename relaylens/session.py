@@ -90,15 +90,26 @@ def delete_path(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
-def run_folder(spark: SparkSession, name: str, key: str = "") -> str:
-    """Folder for one run of a file-landing flow, under the checkpoint root.
-
-    There is one slot per (``name``, ``key``): starting a run removes the
-    previous run's files of the same slot, so repeated runs do not grow the
-    shared folder. Runs of the same slot must not overlap.
+def run_folder(spark: SparkSession, name: str, key: str = "", keep_seconds: int = 3600) -> str:
+    """Fresh folder for one run of a file-landing flow, under the checkpoint
+    root, in a slot per (``name``, ``key``).
+
+    Runs of the same slot older than ``keep_seconds`` are removed first, so
+    repeated runs do not grow the shared folder without bound, while a
+    DataFrame returned by a recent run (still to be consumed) keeps its
+    files.
     """
+    import time
+
     root = checkpoint_root(spark).rstrip("/")
     slot = name + (("-" + hashlib.sha1(key.encode()).hexdigest()[:10]) if key else "")
     base = f"{root}/relaylens/{slot}"
-    delete_path(spark, base)
-    return f"{base}/run-{uuid.uuid4().hex[:12]}"
+    jvm = spark.sparkContext._jvm
+    bp = jvm.org.apache.hadoop.fs.Path(base)
+    fs = bp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(bp):
+        cutoff_ms = (time.time() - keep_seconds) * 1000
+        for st in fs.listStatus(bp):
+            if st.getModificationTime() < cutoff_ms:
+                fs.delete(st.getPath(), True)
+    return f"{base}/run-{int(time.time())}-{uuid.uuid4().hex[:8]}"
