@@ -16,7 +16,12 @@ from pyspark.sql import functions as F
 from ..functions import constants as K
 from ..functions import expr as X
 from ..operators import bridge, fills, marks, orders, shape, timeseries
+from ..session import run_folder
+from ..sources.coverage import slice_coverage
+from ..sources.sql import sql_query
+from ..streaming import ingest as S
 from . import bindings as B
+from . import flows
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -364,7 +369,6 @@ SELECT make_timestamp(p.end_us - k.k * p.step_us) AS slice_start,
        coalesce(c.n, 0) AS rows, c.n IS NULL AS is_empty
 FROM k CROSS JOIN p LEFT JOIN c ON c.k = k.k""")
 def q_slice_coverage(spark, sf):
-    from ..sources.coverage import slice_coverage
     return slice_coverage(B.events(spark, sf), "ts", SLICE_START, SLICE_END, f"{SLICE_STEP_S} seconds")
 
 
@@ -412,8 +416,6 @@ def q_latency_minute(spark, sf):
 # ====================================================== flows over landed files
 # Each flow lands its input files (derived by Spark from the driver tables)
 # in a fresh folder under spark.checkpoint.dir, runs, and returns its result.
-from ..session import run_folder  # noqa: E402
-from . import flows  # noqa: E402
 
 FMT_SQL = "'%Y-%m-%d %H:%M:%S.%f'"
 LABEL_SRC = B._case_mod("o_custkey", 8, B.CHAIN_LABELS)
@@ -577,7 +579,6 @@ def q_bridge_latency_minute(spark, sf):
 
 
 # ================================================================ streaming
-from ..streaming import ingest as S  # noqa: E402
 
 
 def _await(q, timeout_s: int = 600) -> None:
@@ -645,7 +646,6 @@ def q_stream_backlog(spark, sf):
 
 
 # ============================================ SQL text path and parity mode
-from ..sources.sql import sql_query  # noqa: E402
 
 ROUTE_SQL = """
 WITH j AS (

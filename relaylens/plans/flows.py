@@ -14,10 +14,20 @@ from pyspark.sql import types as T
 
 from ..functions import constants as K
 from ..functions import expr as X
-from ..operators import bridge, orders, shape, timeseries
+from ..operators import bridge, marks, orders, shape, timeseries
 from ..sources import files, sinks
 
 PACK_TIME = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+
+
+def _observe(df: DataFrame, metrics: dict | None, name: str) -> DataFrame:
+    """Attach a row count (A15) that is filled by the first action on the
+    result, without an extra job; read ``metrics[name].get`` afterwards."""
+    if metrics is None:
+        return df
+    df, obs = marks.with_row_count(df, name)
+    metrics[name] = obs
+    return df
 ISO_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 
@@ -37,14 +47,20 @@ def write_packed_csv(events: DataFrame, path: str, categories=K.PACK_CHAINS) ->
 
 
 def event_log_build(spark: SparkSession, src_csv: str, dest_csv: str, processed: DataFrame | None = None,
-                    target: str | None = None, categories=K.PACK_CHAINS) -> DataFrame:
+                    target: str | None = None, categories=K.PACK_CHAINS,
+                    metrics: dict | None = None) -> DataFrame:
     """Packed source/destination exports -> aligned event log of orders not
-    stored yet (L1: S1×2 → U1×2 → J2 → P3 → J3 → S7)."""
+    stored yet (L1: S1×2 → U1×2 → J2 → P3 → J3 → S7).
+
+    With a ``metrics`` dict, ``aligned_rows`` and ``new_rows`` observations
+    are registered in it (A15)."""
     schema = _packed_schema(categories)
     src = shape.unpack_events(files.read_csv(spark, src_csv, schema, timestamp_format=PACK_TIME))
     dest = shape.unpack_events(files.read_csv(spark, dest_csv, schema, timestamp_format=PACK_TIME))
     aligned = shape.rename_positional(orders.align_legs(src, dest), list(orders.EVENT_COLUMNS))
+    aligned = _observe(aligned, metrics, "aligned_rows")
     new = orders.backlog(aligned, processed, "orderid") if processed is not None else aligned
+    new = _observe(new, metrics, "new_rows")
     if target:
         sinks.append_table(new, target)
     return new
@@ -92,7 +108,7 @@ def nest_order_docs(flat: DataFrame) -> DataFrame:
 
 def order_detail_load(spark: SparkSession, docs_path: str, processed: DataFrame | None = None,
                       target: str | None = None, schema=None,
-                      batch_rows: int = K.ORDER_BATCH_ROWS) -> DataFrame:
+                      batch_rows: int = K.ORDER_BATCH_ROWS, metrics: dict | None = None) -> DataFrame:
     """Landed order documents -> flat text rows of orders not stored yet
     (L2: J3 → S5 → P7 → P3 → P4 → P2 → S9).
 
@@ -103,8 +119,9 @@ def order_detail_load(spark: SparkSession, docs_path: str, processed: DataFrame
     flat = shape.flatten_struct(raw, sep="_", prefer=K.STRING_VALUE_KEY)
     flat = shape.to_strings(flat)
     flat = shape.drop_cols(flat, [K.RAW_METADATA_COLUMN], strict=False)
-    flat = flat.withColumnRenamed("orderId", "orderid")
+    flat = _observe(flat.withColumnRenamed("orderId", "orderid"), metrics, "documents")
     new = orders.backlog(flat, processed, "orderid") if processed is not None else flat
+    new = _observe(new, metrics, "new_rows")
     if target:
         sinks.append_batched(new, target, batch_rows)
     return new
@@ -142,11 +159,12 @@ def price_history(spark: SparkSession, pages_path: str, step: str = "1 hour",
 # ---------------------------------------------------------- L4 file drop
 def file_drop_aggregate(spark: SparkSession, root: str, keyword: str, schema=None,
                         suffix: str = ".csv", target: str | None = None,
-                        timestamp_format: str | None = PACK_TIME) -> DataFrame:
+                        timestamp_format: str | None = PACK_TIME, metrics: dict | None = None) -> DataFrame:
     """Listing -> keyword/suffix selection -> header-drift-tolerant CSV
     union (L4: S3 → S4 → S2 → S7)."""
     chosen = files.select_files(files.file_inventory(spark, root), keyword, suffix)
-    df = files.read_csv_union(spark, chosen, schema, timestamp_format=timestamp_format)
+    df = _observe(files.read_csv_union(spark, chosen, schema, timestamp_format=timestamp_format),
+                  metrics, "rows")
     if target:
         sinks.append_table(df, target)
     return df

@@ -14,7 +14,6 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import expr as X
 
 
 def _micros(t) -> int:
@@ -56,5 +55,3 @@ def slice_coverage(df: DataFrame, ts: str, start, end, step: str = "5 minutes")
                 .select(at(F.col("k")).alias("slice_start"), at(F.col("k") - 1).alias("slice_end"),
                         F.coalesce("rows", F.lit(0)).alias("rows"), F.col("rows").isNull().alias("is_empty")))
 
-
-__all__ = ["slice_coverage", "X"]

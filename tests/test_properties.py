@@ -44,12 +44,16 @@ def test_rerunning_event_log_build_appends_nothing(spark, tmp_dir):
     target = f"{tmp_dir}/log"
     spark.createDataFrame([], "orderid string, src_evt_time string, src_chain string, dest_evt_time string, "
                               "dest_chain string").write.parquet(target)
+    m1, m2 = {}, {}
     first = flows.event_log_build(spark, f"{tmp_dir}/src", f"{tmp_dir}/dest",
-                                  spark.read.parquet(target), target=target)
+                                  spark.read.parquet(target), target=target, metrics=m1)
     n1 = spark.read.parquet(target).count()
     assert n1 > 0 and first is not None
-    flows.event_log_build(spark, f"{tmp_dir}/src", f"{tmp_dir}/dest", spark.read.parquet(target), target=target)
+    assert m1["new_rows"].get["new_rows"] == n1 == m1["aligned_rows"].get["aligned_rows"]
+    flows.event_log_build(spark, f"{tmp_dir}/src", f"{tmp_dir}/dest", spark.read.parquet(target),
+                          target=target, metrics=m2)
     assert spark.read.parquet(target).count() == n1
+    assert m2["new_rows"].get["new_rows"] == 0 and m2["aligned_rows"].get["aligned_rows"] == n1
     assert spark.read.parquet(target).select("orderid").distinct().count() == n1
 
 
