@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..functions import constants as K
 from ..functions import expr as X
 from ..operators import bridge, fills, marks, orders, shape, timeseries
@@ -364,7 +365,7 @@ SLICE_START, SLICE_END, SLICE_STEP_S = "2024-01-01 00:00:00", "2024-01-31 00:00:
 k AS (SELECT range AS k FROM range(1, (SELECT total FROM p) + 1)),
 c AS (SELECT (p.end_us - epoch_us(ts) + p.step_us - 1) // p.step_us AS k, count(*) AS n
       FROM events, p WHERE epoch_us(ts) < p.end_us AND epoch_us(ts) >= p.end_us - p.total * p.step_us GROUP BY 1)
-SELECT make_timestamp(p.end_us - k.k * p.step_us) AS slice_start,
+SELECT k.k AS slice_no, make_timestamp(p.end_us - k.k * p.step_us) AS slice_start,
        make_timestamp(p.end_us - (k.k - 1) * p.step_us) AS slice_end,
        coalesce(c.n, 0) AS rows, c.n IS NULL AS is_empty
 FROM k CROSS JOIN p LEFT JOIN c ON c.k = k.k""")
@@ -473,7 +474,7 @@ def q_price_history(spark, sf):
             .groupBy(F.col("event_type").alias("instrument"), X.floor_to("hour", "ts").alias("ts"))
             .agg(F.max("value").alias("CLOSE")))
     flows.write_price_pages(bars, f"{root}/pages")
-    return flows.price_history(spark, f"{root}/pages")
+    return flows.price_history(spark, f"{root}/pages", schema=schemas.PRICE_PAGE)
 
 
 DROP_SCHEMA = "event_id BIGINT, ts TIMESTAMP_NTZ, event_type STRING, value DOUBLE, user_id BIGINT"
@@ -575,7 +576,7 @@ def q_bridge_latency_minute(spark, sf):
                  F.lit(2).alias("feeChain"), F.col("value").cast("string").alias("amount"),
                  F.lit(8).alias("normalizedDecimals")).alias("standardizedProperties"))
     flows.write_json_pages(tx, f"{root}/pages", "transactions", "page")
-    return flows.bridge_latency_minute(spark, f"{root}/pages")
+    return flows.bridge_latency_minute(spark, f"{root}/pages", schema=schemas.BRIDGE_PAGE)
 
 
 # ================================================================ streaming

@@ -144,10 +144,12 @@ def write_price_pages(bars: DataFrame, path: str) -> None:
 
 
 def price_history(spark: SparkSession, pages_path: str, step: str = "1 hour",
-                  target: str | None = None) -> DataFrame:
+                  target: str | None = None, schema=None) -> DataFrame:
     """Price pages -> de-duplicated, gap-filled series per instrument
-    (L3: S5 → U2 → U3 → P23 → U4 → S7)."""
-    bars = files.read_json_pages(spark, pages_path, envelope="Data", multi_line=False)
+    (L3: S5 → U2 → U3 → P23 → U4 → S7). ``schema`` (e.g.
+    ``schemas.PRICE_PAGE``) skips inference; the ``instrument`` partition
+    column comes from the folder names either way."""
+    bars = files.read_json_pages(spark, pages_path, envelope="Data", multi_line=False, schema=schema)
     bars = shape.dedupe_rows(bars)
     bars = bars.select("instrument", X.epoch_to_ts("TIMESTAMP").alias("ts"), "CLOSE")
     out = timeseries.gap_fill(bars, "ts", "instrument", carry="CLOSE", step=step)
@@ -186,10 +188,10 @@ def write_json_pages(records: DataFrame, path: str, envelope: str, page_col: str
 
 
 def bundle_history(spark: SparkSession, pages_path: str, start_epoch: int,
-                   drop=("tokens", "token_balance_delta")) -> DataFrame:
+                   drop=("tokens", "token_balance_delta"), schema=None) -> DataFrame:
     """Bundle pages -> bundles strictly after ``start_epoch`` with a
     ``DATETIME`` column (L5: S5 → U2 → F5 → P23 → P2)."""
-    b = files.read_json_pages(spark, pages_path, envelope="data", multi_line=False)
+    b = files.read_json_pages(spark, pages_path, envelope="data", multi_line=False, schema=schema)
     b = b.where(X.newer_than("timestamp", F.lit(start_epoch)))
     b = b.withColumn("DATETIME", X.epoch_to_ts("timestamp"))
     return shape.drop_cols(b, list(drop))
@@ -203,10 +205,11 @@ def write_array_pages(records_json: DataFrame, path: str, page_col: str = "page"
                  .write.mode("overwrite").partitionBy(page_col).text(path))
 
 
-def order_book_snapshot(spark: SparkSession, pages_path: str, order_hash: str | None = None) -> DataFrame:
+def order_book_snapshot(spark: SparkSession, pages_path: str, order_hash: str | None = None,
+                        schema=None) -> DataFrame:
     """Order-book pages (bare arrays, drifting columns) stacked by name,
     optionally looked up by hash (L7: S5 → U2 → F1)."""
-    df = files.read_json_pages(spark, pages_path, envelope=None, multi_line=True)
+    df = files.read_json_pages(spark, pages_path, envelope=None, multi_line=True, schema=schema)
     df = df.drop("page")
     if order_hash is not None:
         df = df.where(X.id_equals("orderHash", order_hash))
@@ -223,10 +226,12 @@ BRIDGE_DROP = [
 ]
 
 
-def bridge_transfers(spark: SparkSession, pages_path: str, positive_amount_only: bool = False) -> DataFrame:
+def bridge_transfers(spark: SparkSession, pages_path: str, positive_amount_only: bool = False,
+                     schema=None) -> DataFrame:
     """Transaction pages -> flat, chain-named transfers with parsed times
-    (L8 first part: S5 → P8 → P18×3 → P2)."""
-    tx = files.read_json_pages(spark, pages_path, envelope="transactions", multi_line=False)
+    (L8 first part: S5 → P8 → P18×3 → P2). ``schema`` (e.g.
+    ``schemas.BRIDGE_PAGE``) skips inference."""
+    tx = files.read_json_pages(spark, pages_path, envelope="transactions", multi_line=False, schema=schema)
     tx = shape.expand_structs(tx, ["globalTx", "standardizedProperties"], sep=".")
     tx = bridge.map_codes(tx, ["emitterChain", "toChain", "tokenChain"])
     tx = shape.drop_cols(tx, BRIDGE_DROP, strict=False)
@@ -236,6 +241,6 @@ def bridge_transfers(spark: SparkSession, pages_path: str, positive_amount_only:
               .withColumn("dest_timestamp", X.parse_iso(F.col("`destinationTx.timestamp`"))))
 
 
-def bridge_latency_minute(spark: SparkSession, pages_path: str) -> DataFrame:
+def bridge_latency_minute(spark: SparkSession, pages_path: str, schema=None) -> DataFrame:
     """Transfers -> mean positive latency per source minute (P22 → F4 → A6)."""
-    return bridge.latency_minute(bridge_transfers(spark, pages_path), "timestamp", "dest_timestamp")
+    return bridge.latency_minute(bridge_transfers(spark, pages_path, schema=schema), "timestamp", "dest_timestamp")

@@ -34,8 +34,8 @@ def _step_micros(step: str) -> int:
 def slice_coverage(df: DataFrame, ts: str, start, end, step: str = "5 minutes") -> DataFrame:
     """Rows per slice and whether the slice is empty.
 
-    Columns: ``slice_start``, ``slice_end`` (half-open), ``rows``,
-    ``is_empty``.
+    Columns: ``slice_no`` (1 = newest, the walk order), ``slice_start``,
+    ``slice_end`` (half-open), ``rows``, ``is_empty``.
     """
     end_us, step_us = _micros(end), _step_micros(step)
     total = (end_us - _micros(start)) // step_us
@@ -52,6 +52,7 @@ def slice_coverage(df: DataFrame, ts: str, start, end, step: str = "5 minutes")
         return F.timestamp_micros(F.lit(end_us) - k_expr * F.lit(step_us)).cast("timestamp_ntz")
 
     return (grid.join(counts, "k", "left")
-                .select(at(F.col("k")).alias("slice_start"), at(F.col("k") - 1).alias("slice_end"),
+                .select(F.col("k").alias("slice_no"),
+                        at(F.col("k")).alias("slice_start"), at(F.col("k") - 1).alias("slice_end"),
                         F.coalesce("rows", F.lit(0)).alias("rows"), F.col("rows").isNull().alias("is_empty")))
 

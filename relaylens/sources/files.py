@@ -24,7 +24,7 @@ log = logging.getLogger(__name__)
 def _schema(schema):
     if schema is None or isinstance(schema, T.StructType):
         return schema
-    return T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
 
 def read_csv(spark: SparkSession, path, schema=None, provenance: bool = False,

@@ -16,18 +16,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import schemas
 from ..functions import constants as K
 from ..functions import expr as X
 from ..sources.sinks import write_batch
 
-TRANSFER_RECORD = T.StructType([
-    T.StructField("id", T.StringType()),
-    T.StructField("status", T.StringType()),
-    T.StructField("amount", T.DoubleType()),
-    T.StructField("sending", T.StructType([T.StructField("timestamp", T.LongType()),
-                                           T.StructField("chainId", T.LongType())])),
-])
-TRANSFER_PAGE = T.StructType([T.StructField("transfers", T.ArrayType(TRANSFER_RECORD))])
+TRANSFER_PAGE = T.StructType.fromDDL(schemas.TRANSFER_PAGE)
 
 
 def transfers_stream(spark: SparkSession, in_dir: str, page_schema: T.StructType = TRANSFER_PAGE,

@@ -98,3 +98,10 @@ def test_matches_and_ranges(spark):
     assert got == [False, False, False]
     got = [r[0] for r in df.select(F.lower("k").contains("mevshare") & F.col("k").endswith(".csv")).collect()]
     assert got == [True, False, False]
+
+
+def test_declared_schemas_parse(spark):
+    from relaylens import schemas
+    for name, ddl in schemas.ALL.items():
+        st = schemas.parse(ddl)
+        assert len(st.fields) > 0, name
