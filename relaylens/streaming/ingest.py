@@ -21,10 +21,10 @@ from ..functions import constants as K
 from ..functions import expr as X
 from ..sources.sinks import write_batch
 
-TRANSFER_PAGE = T.StructType.fromDDL(schemas.TRANSFER_PAGE)
+TRANSFER_PAGE = schemas.TRANSFER_PAGE   # DDL text; parsed by the reader
 
 
-def transfers_stream(spark: SparkSession, in_dir: str, page_schema: T.StructType = TRANSFER_PAGE,
+def transfers_stream(spark: SparkSession, in_dir: str, page_schema: T.StructType | str = TRANSFER_PAGE,
                      envelope: str = "transfers", max_files_per_trigger: int | None = None,
                      clean_source: str | None = None, archive_dir: str | None = None) -> DataFrame:
     """Streaming read of landed transfer pages (one page per line).
