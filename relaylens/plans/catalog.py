@@ -542,7 +542,7 @@ def q_order_book_snapshot(spark, sf):
     odd = F.to_json(F.struct("orderHash", "maker", "makerAmount"))
     js = o.select("page", F.when(F.col("page") % 2 == 0, even).otherwise(odd).alias("value"))
     flows.write_array_pages(js, f"{root}/pages")
-    return flows.order_book_snapshot(spark, f"{root}/pages")
+    return flows.order_book_snapshot(spark, f"{root}/pages", schema=schemas.ORDER_BOOK)
 
 
 @register("bridge_latency_minute", ORACLES["latency_minute"])

@@ -199,10 +199,13 @@ def bundle_history(spark: SparkSession, pages_path: str, start_epoch: int,
 
 # ---------------------------------------------------- L7 order-book snapshot
 def write_array_pages(records_json: DataFrame, path: str, page_col: str = "page") -> None:
-    """One bare JSON array per page and per file (``page=<n>/``)."""
+    """One bare JSON array per page, each page in its own file
+    (``maxRecordsPerFile=1`` with one page per record). ``page_col`` values
+    must already bound the page size (e.g. ``id div 500``)."""
     (records_json.groupBy(page_col)
                  .agg(F.concat(F.lit("["), F.array_join(F.collect_list("value"), ","), F.lit("]")).alias("value"))
-                 .write.mode("overwrite").partitionBy(page_col).text(path))
+                 .select("value")
+                 .write.mode("overwrite").option("maxRecordsPerFile", 1).text(path))
 
 
 def order_book_snapshot(spark: SparkSession, pages_path: str, order_hash: str | None = None,
@@ -210,7 +213,6 @@ def order_book_snapshot(spark: SparkSession, pages_path: str, order_hash: str |
     """Order-book pages (bare arrays, drifting columns) stacked by name,
     optionally looked up by hash (L7: S5 → U2 → F1)."""
     df = files.read_json_pages(spark, pages_path, envelope=None, multi_line=True, schema=schema)
-    df = df.drop("page")
     if order_hash is not None:
         df = df.where(X.id_equals("orderHash", order_hash))
     return df
