@@ -36,3 +36,18 @@ def write_batch(df: DataFrame, target: str, batch_id: int, fmt: str = "parquet")
     ``batch_id=<n>`` and a replay overwrites it instead of appending twice."""
     (df.write.mode("overwrite").format(fmt)
        .save(f"{target.rstrip('/')}/batch_id={int(batch_id)}"))
+
+
+def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int,
+                   mode: str = "overwrite") -> DataFrame:
+    """Store ``df`` as a parquet table bucketed and sorted by ``key`` at
+    ``path`` and return it read back.
+
+    Two tables bucketed the same way on the join key (same ``buckets``)
+    join without a shuffle of either side: use it for tables that are
+    joined repeatedly on the order id (event log, order documents,
+    stored-id tables).
+    """
+    (df.write.mode(mode).format("parquet").bucketBy(buckets, key).sortBy(key)
+       .option("path", path).saveAsTable(table))
+    return df.sparkSession.table(table)

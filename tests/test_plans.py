@@ -59,3 +59,19 @@ def test_fused_daily_aggregate_single_shuffle_on_key(plans):
 def test_backlog_dedupes_before_anti_join(plans):
     p = plans["backlog"]
     assert "LeftAnti" in p and "HashAggregate(keys=[__done" in p
+
+
+def test_bucketed_tables_join_without_shuffle(spark, tmp_dir):
+    from relaylens.operators import orders
+    from relaylens.plans import bindings as B
+    from relaylens.sources.sinks import write_bucketed
+    docs = write_bucketed(B.order_docs_view(spark, SF001), "t_docs_b", f"{tmp_dir}/docs", "orderid", 8)
+    log = write_bucketed(B.event_log_view(spark, SF001), "t_log_b", f"{tmp_dir}/log", "orderid", 8)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # force the sort-merge join
+    try:
+        df = orders.enrich_orders(docs, log)
+        p = _plan(df)
+        assert "SortMergeJoin" in p and "Exchange" not in p
+        assert df.count() == docs.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
