@@ -61,7 +61,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = tempfile.mkdtemp(prefix="relaylens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    spark.sparkContext.setCheckpointDir(root)
+    try:
+        spark.sparkContext.setCheckpointDir(root)
+    except Exception:  # noqa: BLE001 - no SparkContext (e.g. Spark Connect): the conf suffices
+        pass
     return root
 
 
@@ -104,12 +107,15 @@ def run_folder(spark: SparkSession, name: str, key: str = "", keep_seconds: int
     root = checkpoint_root(spark).rstrip("/")
     slot = name + (("-" + hashlib.sha1(key.encode()).hexdigest()[:10]) if key else "")
     base = f"{root}/relaylens/{slot}"
-    jvm = spark.sparkContext._jvm
-    bp = jvm.org.apache.hadoop.fs.Path(base)
-    fs = bp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(bp):
-        cutoff_ms = (time.time() - keep_seconds) * 1000
-        for st in fs.listStatus(bp):
-            if st.getModificationTime() < cutoff_ms:
-                fs.delete(st.getPath(), True)
+    try:
+        jvm = spark.sparkContext._jvm
+        bp = jvm.org.apache.hadoop.fs.Path(base)
+        fs = bp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if fs.exists(bp):
+            cutoff_ms = (time.time() - keep_seconds) * 1000
+            for st in fs.listStatus(bp):
+                if st.getModificationTime() < cutoff_ms:
+                    fs.delete(st.getPath(), True)
+    except Exception:  # noqa: BLE001 - clean-up is best effort, never fails a run
+        pass
     return f"{base}/run-{int(time.time())}-{uuid.uuid4().hex[:8]}"
