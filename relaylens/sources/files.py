@@ -81,7 +81,11 @@ def _first_lines(batches):
         headers, errors = [], []
         for p in pdf["path"]:
             try:
-                filesystem, rel = pafs.FileSystem.from_uri(p)
+                uri = p
+                for hadoop_scheme in ("s3a://", "s3n://"):
+                    if uri.startswith(hadoop_scheme):
+                        uri = "s3://" + uri[len(hadoop_scheme):]
+                filesystem, rel = pafs.FileSystem.from_uri(uri)
                 with filesystem.open_input_stream(rel) as f:
                     buf = b""
                     while b"\n" not in buf:
@@ -123,6 +127,10 @@ def read_csv_union(spark: SparkSession, files: DataFrame, schema=None, path_col:
             groups[r["header"]].append(r["path"])
         else:
             log.warning("skipping unreadable CSV %s (%s)", r["path"], r["error"] or "empty")
+    if heads and not groups:
+        # Not one header could be read: a storage/configuration problem, not
+        # a bad file; failing beats returning an empty result.
+        raise RuntimeError(f"no CSV header readable among {len(heads)} files; first error: {heads[0]['error']}")
     declared = {f.name: f for f in (_schema(schema).fields if schema is not None else [])}
     frames = []
     for header, paths in sorted(groups.items()):
