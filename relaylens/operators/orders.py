@@ -23,7 +23,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import expr as X
-from ..functions.nulls import to_double
 
 # Flattened order-document columns used below.
 GIVE_AMOUNT = "giveOfferWithMetadata_finalAmount"

@@ -5,7 +5,6 @@ import json
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from relaylens.sources import files, sinks
 from relaylens.streaming import ingest as S
