@@ -7,6 +7,7 @@ Flattening walks the *schema* on the driver (metadata only) and emits one
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -106,6 +107,34 @@ def flatten_struct(df: DataFrame, sep: str = "_", prefer: str | None = K.STRING_
     return df.select(*[c.alias(n) for n, c in pairs])
 
 
+def infer_json_schema(df: DataFrame, col: str) -> str:
+    """Merged schema of a JSON text column over *all* rows, as a
+    ``from_json`` DDL string (drift mode for documents kept in a column).
+
+    One distributed aggregate (``schema_of_variant_agg``) merges the keys of
+    every document; only the schema string reaches the driver. Keys that are
+    always null become STRING, fractional numbers DOUBLE, objects STRUCT;
+    text that is not JSON is ignored.
+    """
+    ddl = df.select(F.schema_of_variant_agg(F.try_parse_json(F.col(col)))).first()[0]
+    if ddl is None:
+        return "STRUCT<>"
+    ddl = re.sub(r"\bOBJECT<", "STRUCT<", ddl)
+    ddl = re.sub(r"\bVOID\b", "STRING", ddl)
+    ddl = re.sub(r"\bDECIMAL\(\d+,\s*\d+\)", "DOUBLE", ddl)
+    return ddl
+
+
+def flatten_json_column(df: DataFrame, col: str, schema: str | None = None, sep: str = "_",
+                        prefer: str | None = K.STRING_VALUE_KEY) -> DataFrame:
+    """Parse a JSON text column (declared ``schema``, or inferred over all
+    rows when ``None``) and flatten it into ``<col><sep><path>`` columns
+    beside the other columns (P7/P9 for documents stored as text).
+    Unparsable text gives NULL fields."""
+    schema = schema or infer_json_schema(df, col)
+    return flatten_struct(df.withColumn(col, F.from_json(F.col(col), schema)), sep=sep, prefer=prefer)
+
+
 def expand_structs(df: DataFrame, cols, sep: str = ".", keep: bool = True) -> DataFrame:
     """Normalise the given struct columns and paste their leaves beside the
     original columns (P8); the struct's own name is not part of the leaf

@@ -311,6 +311,13 @@ def q_json_field(spark, sf):
     return ev.select("event_id", F.from_json("props", "k BIGINT").getField("k").alias("k"))
 
 
+@register("json_props_flatten", "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS props_k FROM events")
+def q_json_props_flatten(spark, sf):
+    """Event properties kept as JSON text, schema inferred over all rows and
+    flattened (drift mode)."""
+    return shape.flatten_json_column(B.events(spark, sf).select("event_id", "props"), "props")
+
+
 PAGE_A_END, PAGE_B_START = "2024-01-16 00:00:00", "2024-01-14 00:00:00"
 
 

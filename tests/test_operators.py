@@ -281,3 +281,14 @@ def test_slice_coverage(spark):
            slice_coverage(df, "ts", "2024-01-01 00:00:00", "2024-01-01 00:15:00", "5 minutes")
            .orderBy("slice_start").collect()]
     assert got == [(0, 2, False), (5, 0, True), (10, 1, False)]
+
+
+def test_flatten_json_column_drift(spark):
+    df = spark.createDataFrame([(1, '{"k": 1, "a": {"b": "x", "c": null}}'), (2, '{"k": 2, "d": [1,2], "a": {"e": 1.5}}'),
+                                (3, '{"z": null}'), (4, None), (5, "not json")], "id long, j string")
+    out = shape.flatten_json_column(df, "j")
+    assert set(out.columns) == {"id", "j_a_b", "j_a_c", "j_a_e", "j_d", "j_k", "j_z"}
+    rows = {r.id: r for r in out.collect()}
+    assert rows[1].j_k == 1 and rows[1].j_a_b == "x" and rows[2].j_a_e == 1.5 and rows[2].j_d == "[1,2]"
+    assert rows[5].j_k is None and rows[4].j_k is None
+    assert dict(out.dtypes)["j_k"] == "bigint"
