@@ -36,6 +36,17 @@ def classify_chain(address, symbol, chain) -> Column:
             .otherwise(_c(chain)))
 
 
+def chain_override(address, symbol) -> Column:
+    """The order-side part of :func:`classify_chain`: SOL / SONIC when the
+    address or symbol decides the chain, else NULL. Then
+    ``classify_chain(a, s, c) == coalesce(chain_override(a, s), c)``, which
+    lets the override be computed before a join that brings ``c``."""
+    a, s = _c(address), _c(symbol)
+    return (F.when(~a.startswith(K.EVM_ADDRESS_PREFIX), F.lit(K.NON_EVM_CHAIN))
+            .when(s == K.SONIC_SYMBOL, F.lit(K.SONIC_CHAIN))
+            .when(s.startswith(K.SONIC_SYMBOL_PREFIX), F.lit(K.SONIC_CHAIN)))
+
+
 def effective_token(pre_name, give_symbol, sentinel_mode: bool = False) -> Column:
     """Input token of an order (P11): the pre-swap token when present,
     else the offered symbol.

@@ -55,30 +55,38 @@ def order_measures(orders: DataFrame, events: DataFrame, sentinel_mode: bool = F
     """Per-order measures shared by the pair and route summaries.
 
     Columns: ``orderid``, ``src_evt_time``, ``src_chain``, ``dest_chain``,
-    ``in_token``, ``amount_in``, ``amount_out``, ``final_price``, ``pair``,
-    ``route``, ``usd_price``. Only orders with a positive offered amount are
-    kept (F2) unless ``positive_only=False``.
+    ``in_token``, ``out_symbol``, ``amount_in``, ``amount_out``,
+    ``final_price``, ``pair``, ``route``, ``usd_price``. Only orders with a
+    positive offered amount are kept (F2) unless ``positive_only=False``.
+
+    Everything that depends on the order document alone (amounts, price,
+    pair, USD price, the address/symbol chain override) is computed *before*
+    the join with the event log, so a shuffled join moves a few narrow
+    columns per order instead of the raw document text.
     """
-    j = enrich_orders(orders, events)
-    if positive_only:
-        j = j.where(X.is_positive(GIVE_AMOUNT))
-    in_token = X.effective_token(PRE_NAME, GIVE_SYMBOL, sentinel_mode)
-    amount_in = X.effective_amount(PRE_NAME, PRE_AMOUNT, PRE_DECIMALS,
-                                   GIVE_AMOUNT, GIVE_DECIMALS, sentinel_mode)
+    d = orders.where(X.is_positive(GIVE_AMOUNT)) if positive_only else orders
+    d = d.select(
+        F.col("orderid").alias("__doc_id"),
+        X.chain_override(MAKER, GIVE_SYMBOL).alias("__src_ovr"),
+        X.chain_override(RECEIVER, TAKE_SYMBOL).alias("__dest_ovr"),
+        X.effective_token(PRE_NAME, GIVE_SYMBOL, sentinel_mode).alias("in_token"),
+        F.col(TAKE_SYMBOL).alias("out_symbol"),
+        X.effective_amount(PRE_NAME, PRE_AMOUNT, PRE_DECIMALS, GIVE_AMOUNT, GIVE_DECIMALS,
+                           sentinel_mode).alias("amount_in"),
+        X.scale_amount(TAKE_AMOUNT, TAKE_DECIMALS).alias("amount_out"))
+    d = (d.withColumn("final_price", X.safe_divide("amount_out", "amount_in"))
+          .withColumn("pair", X.pair_label("in_token", "out_symbol")))
+    d = d.withColumn("usd_price", X.usd_price("pair"))
+    ev = events.select(F.col("orderid").alias("ev_orderid"), F.col("src_evt_time").alias("ev_src_evt_time"),
+                       F.col("src_chain").alias("ev_src_chain"), F.col("dest_chain").alias("ev_dest_chain"))
+    j = d.join(ev, d["__doc_id"] == ev["ev_orderid"], "left")
     m = j.select(
         F.col("ev_orderid").alias("orderid"),
         F.col("ev_src_evt_time").alias("src_evt_time"),
-        X.classify_chain(MAKER, GIVE_SYMBOL, "ev_src_chain").alias("src_chain"),
-        X.classify_chain(RECEIVER, TAKE_SYMBOL, "ev_dest_chain").alias("dest_chain"),
-        in_token.alias("in_token"),
-        F.col(TAKE_SYMBOL).alias("out_symbol"),
-        amount_in.alias("amount_in"),
-        X.scale_amount(TAKE_AMOUNT, TAKE_DECIMALS).alias("amount_out"),
-    )
-    m = (m.withColumn("final_price", X.safe_divide("amount_out", "amount_in"))
-          .withColumn("pair", X.pair_label("in_token", "out_symbol"))
-          .withColumn("route", X.route_label("src_chain", "dest_chain")))
-    return m.withColumn("usd_price", X.usd_price("pair"))
+        F.coalesce("__src_ovr", "ev_src_chain").alias("src_chain"),
+        F.coalesce("__dest_ovr", "ev_dest_chain").alias("dest_chain"),
+        "in_token", "out_symbol", "amount_in", "amount_out", "final_price", "pair", "usd_price")
+    return m.withColumn("route", X.route_label("src_chain", "dest_chain"))
 
 
 def _summary(measures: DataFrame, label: str) -> DataFrame:
