@@ -73,3 +73,62 @@ def test_token_volumes_add_up_to_total(spark):
     per_token = fills.volume_by(f, "token_symbol").agg(F.sum("volume_usd")).first()[0]
     total = f.where(F.col("token_symbol").isNotNull()).agg(F.sum("input_amount_usd")).first()[0]
     assert per_token == total
+
+
+# ----------------------------------------------- column builders vs a Python model
+from relaylens.functions import expr as X  # noqa: E402
+
+SYMS = ["S", "sc", "scUSD", "USDC", "WETH", "wstEth", "SOL", "BNB", "WBNB", "ETH-X", None, ""]
+TEXT_NUM = st.one_of(st.integers(-10**6, 10**9).map(str), st.sampled_from(["nan", "None", "", "x1", None]))
+
+
+def _py_num(t):
+    if t is None or t in ("nan", "None", ""):
+        return None
+    try:
+        return float(t)
+    except ValueError:
+        return None
+
+
+def _py_price(pair):
+    import fnmatch
+    if pair is None:
+        return 0.0
+    parts = pair.split("-")
+    leg = parts[1] if len(parts) > 1 else None
+    if leg is None:
+        return 0.0
+    for pat, v in K.USD_PRICE_LADDER:
+        if fnmatch.fnmatchcase(leg, pat.replace("%", "*")):
+            return v
+    return 0.0
+
+
+def _py_chain(addr, sym, chain):
+    if addr is not None and not addr.startswith("0x"):
+        return "SOL"
+    if sym == "S" or (sym is not None and sym.startswith("sc")):
+        return "SONIC"
+    return chain
+
+
+rows_st = st.lists(st.tuples(TEXT_NUM, st.sampled_from(["0", "2", "6", "nan", None]),
+                             st.sampled_from(["0xab", "So1", None, ""]), st.sampled_from(SYMS),
+                             st.sampled_from(SYMS)), min_size=1, max_size=40)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows_st)
+def test_builders_match_python_model(spark, rows):
+    df = spark.createDataFrame(rows, "raw string, dec string, addr string, a string, b string")
+    out = df.select(X.scale_amount("raw", "dec").alias("amt"),
+                    X.usd_price(X.pair_label("a", "b")).alias("usd"),
+                    X.classify_chain("addr", "a", F.lit("EVT")).alias("chain")).collect()
+    for (raw, dec, addr, a, b), r in zip(rows, out):
+        n, d = _py_num(raw), _py_num(dec)
+        want = None if n is None or d is None else n / 10.0 ** d
+        assert r.amt == want
+        pair = None if a is None or b is None else f"{a}-{b}"
+        assert r.usd == _py_price(pair)
+        assert r.chain == _py_chain(addr, a, "EVT")
