@@ -75,3 +75,5 @@ def test_bucketed_tables_join_without_shuffle(spark, tmp_dir):
         assert df.count() == docs.count()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE IF EXISTS t_docs_b")
+        spark.sql("DROP TABLE IF EXISTS t_log_b")

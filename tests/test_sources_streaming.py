@@ -145,4 +145,4 @@ def test_sql_query_views_are_private(spark):
     a = spark.createDataFrame([(1,), (2,)], "x long")
     df = sql_query(spark, "SELECT sum(x) AS s FROM {t}", {"t": a})
     assert df.collect()[0].s == 3
-    assert not [t for t in spark.catalog.listTables() if t.name.startswith("t_")]
+    assert not [t for t in spark.catalog.listTables() if t.isTemporary and t.name.startswith("t_")]
