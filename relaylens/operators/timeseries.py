@@ -5,29 +5,62 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+_UNIT_US = {"microsecond": 1, "microseconds": 1, "second": 1_000_000, "seconds": 1_000_000,
+            "minute": 60_000_000, "minutes": 60_000_000, "hour": 3_600_000_000, "hours": 3_600_000_000,
+            "day": 86_400_000_000, "days": 86_400_000_000}
 
-def gap_fill(df: DataFrame, ts: str, keys, carry, zero=(), step: str = "1 hour") -> DataFrame:
+
+def _micros(span: str) -> int:
+    n, unit = span.split()
+    return int(n) * _UNIT_US[unit.lower()]
+
+
+def gap_fill(df: DataFrame, ts: str, keys, carry, zero=(), step: str = "1 hour",
+             block: str = "1 day") -> DataFrame:
     """Complete a per-key series at a fixed ``step`` (U4).
 
-    For each key a grid from its first to its last bucket is generated with
-    ``sequence``; ``carry`` columns take the last known value (forward fill),
-    ``zero`` columns become 0 and ``filled`` marks generated buckets.
-    ``df`` must already hold one row per (key, bucket).
+    For each key the grid runs from its first to its last bucket; ``carry``
+    columns take the last known value (forward fill), ``zero`` columns
+    become 0 and ``filled`` marks generated buckets. ``df`` must hold one
+    row per (key, bucket), with buckets on the ``step`` grid of each key.
 
-    The window is partitioned by key and ordered by time over the *grid*,
-    whose length is bounded by time range / step (not by data volume): the
-    input is pre-aggregated per bucket before this point.
+    The fill is two-level so no task handles a whole key's history: the grid
+    is generated and forward-filled per (key, ``block``) partition; the last
+    value of every block is then carried across blocks by a window over the
+    small per-key block table (time range / ``block`` rows) and joined back.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     carry = [carry] if isinstance(carry, str) else list(carry)
     zero = [zero] if isinstance(zero, str) else list(zero)
-    bounds = df.groupBy(*keys).agg(F.min(ts).alias("__lo"), F.max(ts).alias("__hi"))
-    grid = bounds.select(*keys, F.explode(F.sequence("__lo", "__hi", F.expr(f"INTERVAL {step}"))).alias(ts))
+    step_us = _micros(step)
+    per_block = max(1, _micros(block) // step_us)
+
+    us = F.unix_micros(F.col(ts).cast("timestamp"))
+    bounds = df.groupBy(*keys).agg(F.min(us).alias("__lo"), F.max(us).alias("__hi"))
+    n_steps = (F.col("__hi") - F.col("__lo")) / F.lit(step_us)            # exact: buckets are on the grid
+    blocks = (bounds.select(*keys, "__lo", n_steps.cast("long").alias("__n"))
+                    .select(*keys, "__lo", "__n",
+                            F.explode(F.sequence(F.lit(0).cast("long"),
+                                                 F.expr(f"__n div {per_block}"))).alias("__b"))
+                    .repartition(*keys, "__b"))
+    first_i = F.col("__b") * per_block
+    last_i = F.least(first_i + per_block - 1, F.col("__n"))
+    grid = blocks.select(*keys, "__b", "__lo", F.explode(F.sequence(first_i, last_i)).alias("__i"))
+    grid = grid.select(*keys, "__b", F.timestamp_micros(F.col("__lo") + F.col("__i") * step_us)
+                       .cast(df.schema[ts].dataType).alias(ts))
+
     j = grid.join(df.withColumn("__seen", F.lit(True)), keys + [ts], "left")
-    w = Window.partitionBy(*keys).orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)
-    out = j.select(
-        *keys, ts,
-        *[F.last(c, ignorenulls=True).over(w).alias(c) for c in carry],
-        *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in zero],
-        F.col("__seen").isNull().alias("filled"))
-    return out
+    w_in = Window.partitionBy(*keys, "__b").orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)
+    level1 = j.select(*keys, "__b", ts,
+                      *[F.last(c, ignorenulls=True).over(w_in).alias(c) for c in carry],
+                      *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in zero],
+                      F.col("__seen").isNull().alias("filled"))
+
+    ends = j.groupBy(*keys, "__b").agg(
+        *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(ts))).alias(c) for c in carry])
+    w_across = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select(*keys, "__b",
+                          *[F.last(c, ignorenulls=True).over(w_across).alias(f"__in_{c}") for c in carry])
+    out = level1.join(carried, keys + ["__b"], "left")
+    return out.select(*keys, ts, *[F.coalesce(F.col(c), F.col(f"__in_{c}")).alias(c) for c in carry],
+                      *zero, "filled")

@@ -292,3 +292,13 @@ def test_flatten_json_column_drift(spark):
     assert rows[1].j_k == 1 and rows[1].j_a_b == "x" and rows[2].j_a_e == 1.5 and rows[2].j_d == "[1,2]"
     assert rows[5].j_k is None and rows[4].j_k is None
     assert dict(out.dtypes)["j_k"] == "bigint"
+
+
+def test_gap_fill_carries_across_blocks(spark):
+    rows = [("a", dt.datetime(2024, 1, 1, 0), 1.0, 1), ("a", dt.datetime(2024, 1, 1, 7), 7.0, 1),
+            ("a", dt.datetime(2024, 1, 1, 8), None, 1), ("b", dt.datetime(2024, 1, 1, 2), 5.0, 3)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, v double, n long")
+    got = [(r.k, r.ts.hour, r.v, r.n, r.filled) for r in
+           timeseries.gap_fill(df, "ts", "k", carry="v", zero="n", block="2 hours").orderBy("k", "ts").collect()]
+    want_a = [("a", h, 1.0 if h < 7 else 7.0, 1 if h in (0, 7, 8) else 0, h not in (0, 7, 8)) for h in range(9)]
+    assert got == want_a + [("b", 2, 5.0, 3, False)]
