@@ -101,7 +101,7 @@ def nest_order_docs(flat: DataFrame) -> DataFrame:
         *[F.col(c) for c in ("taker", "percentFee", "finalPercentFee", "fixFee", "state")],
         F.struct(F.col("orderMetadata_origin").alias("origin"),
                  F.col("orderMetadata_orderTradeType").alias("orderTradeType"),
-                 F.sha2(F.col("orderid"), 256).alias("rawMetadataHex")).alias("orderMetadata"),
+                 F.hex(F.col("orderid")).alias("rawMetadataHex")).alias("orderMetadata"),
     )
     return flat.select(F.to_json(doc).alias("value"))
 
