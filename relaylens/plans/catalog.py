@@ -590,9 +590,13 @@ def q_bridge_latency_minute(spark, sf):
 
 
 def _await(q, timeout_s: int = 600) -> None:
-    q.awaitTermination(timeout_s)
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    finished = q.awaitTermination(timeout_s)
+    error = q.exception()
+    q.stop()
+    if error is not None:
+        raise RuntimeError(str(error))
+    if not finished:
+        raise TimeoutError(f"streaming query did not finish within {timeout_s} s")
 
 
 @register("stream_ingest", f"""
