@@ -725,3 +725,15 @@ def q_stream_resume(spark, sf):
     _await(S.resume_history(spark, f"{root}/in", f"{root}/out", f"{root}/ckpt", RESUME_MARK,
                             files_per_batch=8, horizon="31 days"))
     return spark.read.parquet(f"{root}/out")
+
+
+@register("fill_exports_latency", ORACLES["latency_daily"])
+def q_fill_exports_latency(spark, sf):
+    """Daily fill latency from two landed CSV exports (split by input
+    symbol), read back with the declared fills schema."""
+    root = run_folder(spark, "fill_exports", sf)
+    f = B.fills_view(spark, sf)
+    first = F.coalesce(F.col("token_symbol"), F.lit("")).isin("F", "O")
+    f.where(first).write.option("header", True).csv(f"{root}/p1")
+    f.where(~first).write.option("header", True).csv(f"{root}/p2")
+    return fills.latency_daily(flows.read_fill_exports(spark, [f"{root}/p1", f"{root}/p2"]))

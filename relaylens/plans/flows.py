@@ -66,6 +66,14 @@ def event_log_build(spark: SparkSession, src_csv: str, dest_csv: str, processed:
     return new
 
 
+# ------------------------------------------------------ fill exports (CSV)
+def read_fill_exports(spark: SparkSession, paths, schema=None) -> DataFrame:
+    """Several fill exports (header CSV) as one DataFrame: one scan over
+    all files is the union (S1 + U2). Default schema: ``schemas.FILLS``."""
+    from .. import schemas
+    return files.read_csv(spark, list(paths), schema or schemas.FILLS)
+
+
 # --------------------------------------------------------- L2 order documents
 def _sv(c: str) -> F.Column:
     return F.struct(F.col(c).alias("stringValue"))

@@ -21,8 +21,8 @@ EVENT_SOURCE = "orderid STRING, evt_block_time TIMESTAMP_NTZ, chain STRING"
 EVENT_LOG = "orderid STRING, src_evt_time STRING, src_chain STRING, dest_evt_time STRING, dest_chain STRING"
 # F6 relayed transfers (CSV)
 FILLS = ("input_time STRING, output_time STRING, token_symbol STRING, output_symbol STRING, "
-         "output_token STRING, input_amount_usd DOUBLE, output_amount_usd DOUBLE, src_chain STRING, "
-         "relayer STRING")
+         "output_token STRING, input_amount_usd DOUBLE, output_amount_usd DOUBLE, relayer STRING, "
+         "src_chain STRING")
 # F7 bridge transactions page (JSON, envelope `transactions`)
 BRIDGE_TX_FIELDS = (
     ("id", "STRING"), ("txHash", "STRING"), ("emitterChain", "INT"), ("emitterAddress", "STRING"),

@@ -190,3 +190,14 @@ def test_stream_ingest_replay_is_exactly_once(spark, tmp_dir):
     first = run()
     _uncommit_last_batch(f"{tmp_dir}/ck")
     assert run() == first == ["a", "b"]
+
+
+def test_fill_exports_full_read_matches_binding(spark, tmp_dir):
+    from relaylens.plans import bindings as B
+    from relaylens.plans import flows
+    from tests.conftest import SF001
+    f = B.fills_view(spark, SF001)
+    f.write.option("header", True).csv(f"{tmp_dir}/p1")
+    back = flows.read_fill_exports(spark, [f"{tmp_dir}/p1"])
+    assert back.columns == f.columns
+    assert back.exceptAll(f).count() == 0 and f.exceptAll(back).count() == 0
