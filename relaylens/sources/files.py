@@ -29,24 +29,41 @@ def _schema(schema):
 
 def read_csv(spark: SparkSession, path, schema=None, provenance: bool = False,
              timestamp_format: str | None = None, **options) -> DataFrame:
-    """Header CSV into a declared schema.
-
-    ``enforceSchema=false`` makes Spark check the header against the
-    declared names instead of silently assigning columns by position.
-    Empty fields are NULL. With ``provenance`` the source file path is
-    added as ``_source_file``.
+    """Header CSV into a declared schema (S1), columns matched **by name**.
+
+    CSV columns are positional. Reading with a declared schema would assign
+    columns by position, so a file whose columns come in another order
+    would be mis-read, even by a pruned query that never triggers Spark's
+    header check. Instead the header names are read first, the declared
+    types are laid out in the file's column order, the data is parsed with
+    them (``enforceSchema=false`` still validates every file's header), and
+    the result is returned in declared order. File columns that are not
+    declared stay text; a declared column missing from the file raises.
+    Empty fields are NULL. With ``provenance`` the source file path is added
+    as ``_source_file``.
     """
-    r = spark.read.option("header", True).option("enforceSchema", False).option("mode", "FAILFAST")
-    if timestamp_format:
-        r = r.option("timestampNTZFormat", timestamp_format).option("timestampFormat", timestamp_format)
-    for k, v in options.items():
-        r = r.option(k, v)
+    def reader():
+        r = spark.read.option("header", True)
+        if timestamp_format:
+            r = r.option("timestampNTZFormat", timestamp_format).option("timestampFormat", timestamp_format)
+        for k, v in options.items():
+            r = r.option(k, v)
+        return r
+
     s = _schema(schema)
-    if s is not None:
-        r = r.schema(s)
+    if s is None:
+        df = reader().option("inferSchema", True).csv(path)
     else:
-        r = r.option("inferSchema", True)
-    df = r.csv(path)
+        header = reader().csv(path).columns                     # names of the first file's header
+        declared = {f.name: f for f in s.fields}
+        missing = [n for n in declared if n not in header]
+        if missing:
+            raise KeyError(f"declared columns not in the CSV header: {missing}")
+        file_schema = T.StructType([declared.get(n, T.StructField(n, T.StringType(), True)) for n in header])
+        df = (reader().option("enforceSchema", False).option("mode", "FAILFAST")
+                      .schema(file_schema).csv(path))
+        df = df.select(*[F.col(f"`{n}`") for n in declared], *[F.col(f"`{n}`") for n in header
+                                                              if n not in declared])
     if provenance:
         df = df.withColumn("_source_file", F.col("_metadata.file_path"))
     return df

@@ -22,8 +22,10 @@ def test_read_csv_declared_schema_and_header_check(spark, tmp_dir):
     rows = sorted(df.collect())
     assert [(r.id, r.amount) for r in rows] == [(1, 2.5), (2, None)]
     assert rows[0]._source_file.endswith("a.csv")
-    with pytest.raises(Exception):
-        files.read_csv(spark, f"{tmp_dir}/a.csv", "amount DOUBLE, id LONG").collect()
+    swapped = files.read_csv(spark, f"{tmp_dir}/a.csv", "amount DOUBLE, id LONG")
+    assert sorted((r.id, r.amount) for r in swapped.collect()) == [(1, 2.5), (2, None)]
+    with pytest.raises(KeyError):
+        files.read_csv(spark, f"{tmp_dir}/a.csv", "id LONG, price DOUBLE")
 
 
 def test_csv_union_with_drift_selection_and_bad_files(spark, tmp_dir):
@@ -201,3 +203,12 @@ def test_fill_exports_full_read_matches_binding(spark, tmp_dir):
     back = flows.read_fill_exports(spark, [f"{tmp_dir}/p1"])
     assert back.columns == f.columns
     assert back.exceptAll(f).count() == 0 and f.exceptAll(back).count() == 0
+
+
+def test_read_csv_maps_columns_by_name(spark, tmp_dir):
+    _write(f"{tmp_dir}/x.csv", "b,a,extra\n2,1,z\n")
+    df = files.read_csv(spark, f"{tmp_dir}/x.csv", "a LONG, b LONG")
+    assert df.columns == ["a", "b", "extra"]
+    assert df.select("b").first().b == 2 and df.select("a").first().a == 1     # pruned reads too
+    with pytest.raises(KeyError):
+        files.read_csv(spark, f"{tmp_dir}/x.csv", "a LONG, c LONG")
