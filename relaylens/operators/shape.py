@@ -169,11 +169,14 @@ def spread_groups(df: DataFrame, keys, item, max_items: int, part: str = "part")
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    sizes = sizes.select(*[F.col(k).alias(f"__key{i}") for i, k in enumerate(keys)], "__n")
+    # NULL keys form a group of their own (as in GROUP BY): join null-safely.
+    cond = reduce(lambda a, b: a & b, [df[k].eqNullSafe(sizes[f"__key{i}"]) for i, k in enumerate(keys)])
     parts = F.greatest(F.lit(1), F.ceil(F.col("__n") / F.lit(max_items)))
     item_col = F.col(item) if isinstance(item, str) else item
-    return (df.join(sizes, keys)
+    return (df.join(sizes, cond)
               .withColumn(part, F.pmod(F.xxhash64(item_col), parts).cast("int"))
-              .drop("__n"))
+              .drop("__n", *[f"__key{i}" for i in range(len(keys))]))
 
 
 def pack_events(df: DataFrame, ts: str = "evt_block_time", id_col: str = "orderid",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,7 +24,8 @@ def gap_fill(df: DataFrame, ts: str, keys, carry, zero=(), step: str = "1 hour",
     For each key the grid runs from its first to its last bucket; ``carry``
     columns take the last known value (forward fill), ``zero`` columns
     become 0 and ``filled`` marks generated buckets. ``df`` must hold one
-    row per (key, bucket), with buckets on the ``step`` grid of each key.
+    row per (key, bucket), with buckets on the ``step`` grid of each key;
+    rows with a NULL key or time are dropped.
 
     The fill is two-level so no task handles a whole key's history: the grid
     is generated and forward-filled per (key, ``block``) partition; the last
@@ -34,6 +37,9 @@ def gap_fill(df: DataFrame, ts: str, keys, carry, zero=(), step: str = "1 hour",
     zero = [zero] if isinstance(zero, str) else list(zero)
     step_us = _micros(step)
     per_block = max(1, _micros(block) // step_us)
+    # A series needs a key and a time: NULL keys/times are dropped, as a
+    # pandas groupby drops them.
+    df = df.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys + [ts]]))
 
     us = F.unix_micros(F.col(ts).cast("timestamp"))
     bounds = df.groupBy(*keys).agg(F.min(us).alias("__lo"), F.max(us).alias("__hi"))

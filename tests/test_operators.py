@@ -302,3 +302,15 @@ def test_gap_fill_carries_across_blocks(spark):
            timeseries.gap_fill(df, "ts", "k", carry="v", zero="n", block="2 hours").orderBy("k", "ts").collect()]
     want_a = [("a", h, 1.0 if h < 7 else 7.0, 1 if h in (0, 7, 8) else 0, h not in (0, 7, 8)) for h in range(9)]
     assert got == want_a + [("b", 2, 5.0, 3, False)]
+
+
+def test_pack_keeps_null_hour_group_and_gap_fill_drops_null_keys(spark):
+    ev = spark.createDataFrame([("1", dt.datetime(2025, 2, 1, 0, 5), "ethereum"), ("2", None, "ethereum")],
+                               "orderid string, evt_block_time timestamp_ntz, chain string")
+    packed = {r.event_hour: r.ETH for r in shape.pack_events(ev).collect()}
+    assert set(packed) == {None, dt.datetime(2025, 2, 1, 0)}
+    assert packed[None] == ""            # the item text itself is NULL (no time), as in SQL concat
+    df = spark.createDataFrame([(None, dt.datetime(2024, 1, 1, 0), 1.0), ("a", dt.datetime(2024, 1, 1, 1), 2.0)],
+                               "k string, ts timestamp_ntz, v double")
+    got = [(r.k, r.v) for r in timeseries.gap_fill(df, "ts", "k", carry="v").collect()]
+    assert got == [("a", 2.0)]
