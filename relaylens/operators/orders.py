@@ -183,17 +183,30 @@ def earliest_per_id(leg: DataFrame, key: str, ts: str, chain: str) -> DataFrame:
 
 
 def align_legs(src: DataFrame, dest: DataFrame, key: str = "orderId", ts: str = "evt_time",
-               chain: str = "chain", with_counts: bool = False) -> DataFrame:
+               chain: str = "chain", with_counts: bool = False, metrics: dict | None = None) -> DataFrame:
     """One row per order id with its source and destination leg.
 
     Each leg is first reduced to its earliest event per id, so duplicate ids
     cannot multiply rows; the full outer join then always shuffles both
     sides on the id (use pre-partitioned or bucketed inputs when repeated).
+    With a ``metrics`` dict, Observations ``src_duplicate_ids`` and
+    ``dest_duplicate_ids`` (ids seen more than once in a leg) are registered
+    in it; they are filled by the first action, without an extra job.
     """
-    s = earliest_per_id(src.select(key, ts, chain), key, ts, chain).select(
+    from pyspark.sql import Observation
+
+    def leg(df, prefix):
+        out = earliest_per_id(df.select(key, ts, chain), key, ts, chain)
+        if metrics is not None:
+            obs = Observation(f"{prefix}_duplicate_ids")
+            out = out.observe(obs, F.count_if(F.col("n") > 1).alias(f"{prefix}_duplicate_ids"))
+            metrics[f"{prefix}_duplicate_ids"] = obs
+        return out
+
+    s = leg(src, "src").select(
         F.col(key).alias("s_id"), F.col(ts).alias("src_evt_time"),
         F.col(chain).alias("src_chain"), F.col("n").alias("src_events"))
-    d = earliest_per_id(dest.select(key, ts, chain), key, ts, chain).select(
+    d = leg(dest, "dest").select(
         F.col(key).alias("d_id"), F.col(ts).alias("dest_evt_time"),
         F.col(chain).alias("dest_chain"), F.col("n").alias("dest_events"))
     j = s.join(d, s["s_id"] == d["d_id"], "full_outer")

@@ -52,12 +52,12 @@ def event_log_build(spark: SparkSession, src_csv: str, dest_csv: str, processed:
     """Packed source/destination exports -> aligned event log of orders not
     stored yet (L1: S1×2 → U1×2 → J2 → P3 → J3 → S7).
 
-    With a ``metrics`` dict, ``aligned_rows`` and ``new_rows`` observations
-    are registered in it (A15)."""
+    With a ``metrics`` dict, ``aligned_rows``, ``new_rows`` and the legs'
+    duplicate-id counts are registered in it as observations (A15)."""
     schema = _packed_schema(categories)
     src = shape.unpack_events(files.read_csv(spark, src_csv, schema, timestamp_format=PACK_TIME))
     dest = shape.unpack_events(files.read_csv(spark, dest_csv, schema, timestamp_format=PACK_TIME))
-    aligned = shape.rename_positional(orders.align_legs(src, dest), list(orders.EVENT_COLUMNS))
+    aligned = shape.rename_positional(orders.align_legs(src, dest, metrics=metrics), list(orders.EVENT_COLUMNS))
     aligned = _observe(aligned, metrics, "aligned_rows")
     new = orders.backlog(aligned, processed, "orderid") if processed is not None else aligned
     new = _observe(new, metrics, "new_rows")

@@ -137,7 +137,10 @@ def test_align_legs_dedupes_each_leg(spark):
                                  ("b", "2024-01-01 00:00:02", "ETH")], "orderId string, evt_time string, chain string")
     dest = spark.createDataFrame([("a", "2024-01-01 00:01:00", "OP"), ("c", "2024-01-01 00:02:00", "ARB")],
                                  "orderId string, evt_time string, chain string")
-    got = {r.orderid: tuple(r)[1:] for r in orders.align_legs(src, dest, with_counts=True).collect()}
+    m = {}
+    got = {r.orderid: tuple(r)[1:] for r in orders.align_legs(src, dest, with_counts=True, metrics=m).collect()}
+    assert m["src_duplicate_ids"].get["src_duplicate_ids"] == 1
+    assert m["dest_duplicate_ids"].get["dest_duplicate_ids"] == 0
     assert got == {"a": ("2024-01-01 00:00:00", "BSC", "2024-01-01 00:01:00", "OP", 2, 1),
                    "b": ("2024-01-01 00:00:02", "ETH", None, None, 1, 0),
                    "c": (None, None, "2024-01-01 00:02:00", "ARB", 0, 1)}
