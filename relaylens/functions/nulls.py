@@ -1,7 +1,7 @@
 """Null normalisation: one entry point for text sentinels and NaN.
 
 Spark (and DuckDB) treat ``NaN > 0`` and ``NaN = NaN`` as true and let NaN
-poison sums; the workflows being reproduced (pandas, BigQuery) do not. We
+poison sums; the workflows being reproduced (pandas, warehouse SQL) do not. We
 therefore turn NaN and the text sentinels of stringified documents into SQL
 NULL at the edge, after which ordinary three-valued logic gives the intended
 answers.

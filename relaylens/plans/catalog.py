@@ -500,10 +500,10 @@ def q_file_drop_aggregate(spark, sf):
     w = dict(header=True, timestampNTZFormat=flows.PACK_TIME)
     a = ev.where(F.col("event_type").isin(*DROP_A))
     b = ev.where(~F.col("event_type").isin(*DROP_A))
-    a.select("event_id", "ts", "event_type", "value").write.options(**w).csv(f"{root}/mevshare/2024-01/a")
-    b.select("event_id", "ts", "event_type", "user_id").write.options(**w).csv(f"{root}/mevshare/2024-01/b")
-    ev.drop("props").write.options(**w).csv(f"{root}/protect/2024-01")
-    return flows.file_drop_aggregate(spark, root, "MEVSHARE/2024-01", DROP_SCHEMA)
+    a.select("event_id", "ts", "event_type", "value").write.options(**w).csv(f"{root}/bundles/2024-01/a")
+    b.select("event_id", "ts", "event_type", "user_id").write.options(**w).csv(f"{root}/bundles/2024-01/b")
+    ev.drop("props").write.options(**w).csv(f"{root}/private/2024-01")
+    return flows.file_drop_aggregate(spark, root, "BUNDLES/2024-01", DROP_SCHEMA)
 
 
 @register("file_inventory")

@@ -29,17 +29,17 @@ def test_read_csv_declared_schema_and_header_check(spark, tmp_dir):
 
 
 def test_csv_union_with_drift_selection_and_bad_files(spark, tmp_dir):
-    _write(f"{tmp_dir}/mevshare/2024-11/x.csv", "id,ts,value\n1,2024-11-01 00:00:00,1.5\n")
-    _write(f"{tmp_dir}/mevshare/2024-11/sub/y.csv", "id,ts,user\n2,2024-11-02 00:00:00,7\n")
-    _write(f"{tmp_dir}/MEVShare/2024-11/z.csv", "id,value\n3,9.0\n")          # keyword case-insensitive
-    _write(f"{tmp_dir}/mevshare/2024-11/upper.CSV", "id\n4\n")                # suffix case-sensitive
-    _write(f"{tmp_dir}/protect/2024-11/p.csv", "id\n5\n")                     # other dataset
-    _write(f"{tmp_dir}/mevshare/2024-11/empty.csv", "")                       # zero bytes: not listed
-    with open(f"{tmp_dir}/mevshare/2024-11/bad.csv", "wb") as f:                # undecodable: skipped
+    _write(f"{tmp_dir}/bundles/2024-11/x.csv", "id,ts,value\n1,2024-11-01 00:00:00,1.5\n")
+    _write(f"{tmp_dir}/bundles/2024-11/sub/y.csv", "id,ts,user\n2,2024-11-02 00:00:00,7\n")
+    _write(f"{tmp_dir}/BUNDLEs/2024-11/z.csv", "id,value\n3,9.0\n")          # keyword case-insensitive
+    _write(f"{tmp_dir}/bundles/2024-11/upper.CSV", "id\n4\n")                # suffix case-sensitive
+    _write(f"{tmp_dir}/private/2024-11/p.csv", "id\n5\n")                     # other dataset
+    _write(f"{tmp_dir}/bundles/2024-11/empty.csv", "")                       # zero bytes: not listed
+    with open(f"{tmp_dir}/bundles/2024-11/bad.csv", "wb") as f:                # undecodable: skipped
         f.write(b"\xff\xfe\x00\x81,\n1\n")
     inv = files.file_inventory(spark, tmp_dir)
     assert inv.count() == 6 and set(inv.columns) == {"key", "size", "last_modified"}
-    chosen = files.select_files(inv, "mevshare/2024-11")
+    chosen = files.select_files(inv, "bundles/2024-11")
     assert chosen.count() == 4
     df = files.read_csv_union(spark, chosen, "id LONG, ts TIMESTAMP_NTZ, value DOUBLE, user LONG",
                               timestamp_format="yyyy-MM-dd HH:mm:ss")
