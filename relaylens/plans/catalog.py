@@ -734,6 +734,6 @@ def q_fill_exports_latency(spark, sf):
     root = run_folder(spark, "fill_exports", sf)
     f = B.fills_view(spark, sf)
     first = F.coalesce(F.col("token_symbol"), F.lit("")).isin("F", "O")
-    f.where(first).write.option("header", True).csv(f"{root}/p1")
-    f.where(~first).write.option("header", True).csv(f"{root}/p2")
-    return fills.latency_daily(flows.read_fill_exports(spark, [f"{root}/p1", f"{root}/p2"]))
+    (f.withColumn("export", F.when(first, "p1").otherwise("p2"))
+      .write.partitionBy("export").option("header", True).csv(root))      # both exports in one job
+    return fills.latency_daily(flows.read_fill_exports(spark, [f"{root}/export=p1", f"{root}/export=p2"]))

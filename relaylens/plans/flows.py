@@ -41,7 +41,7 @@ def _packed_schema(categories) -> T.StructType:
 def write_packed_csv(events: DataFrame, path: str, categories=K.PACK_CHAINS) -> None:
     """Land an hourly packed event export (``orderid, evt_block_time, chain``
     rows in) as header CSV."""
-    packed = shape.pack_events(events, categories=categories)
+    packed = shape.pack_events(events, categories=categories, ordered=False)
     (packed.write.option("header", True).option("timestampNTZFormat", PACK_TIME)
            .mode("overwrite").csv(path))
 
