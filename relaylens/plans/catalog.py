@@ -636,7 +636,7 @@ SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS orderid FROM lineitem
 WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderstatus = 'F' AND o_orderkey = l_orderkey)""")
 def q_stream_backlog(spark, sf):
     """Candidate ids (one per line item, so ids repeat across files) stream
-    in two files per batch against the stored ids, which start as the
+    in three files per batch (two batches) against the stored ids, which start as the
     fulfilled orders."""
     root = run_folder(spark, "stream_backlog", sf)
     cand = B.table(spark, sf, "lineitem").select(F.col("l_orderkey").cast("string").alias("orderid"))
@@ -644,7 +644,7 @@ def q_stream_backlog(spark, sf):
     stored0 = (B.table(spark, sf, "orders").where(F.col("o_orderstatus") == "F")
                .select(F.col("o_orderkey").cast("string").alias("orderid")))
     S.seed_stored(stored0, f"{root}/stored")
-    src = spark.readStream.schema(cand.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/in")
+    src = spark.readStream.schema(cand.schema).option("maxFilesPerTrigger", 3).parquet(f"{root}/in")
     _await(S.stream_backlog(src, f"{root}/stored", f"{root}/ckpt"))
     return spark.read.parquet(f"{root}/stored").where(F.col("batch_id") >= 0).select("orderid")
 
@@ -717,13 +717,13 @@ SELECT CAST(event_id AS VARCHAR) AS id, status, value AS amount,
 FROM (SELECT *, {B.TRANSFER_STATUS} AS status FROM events)
 WHERE status = 'DONE' AND epoch_us(ts) // 1000000 > {RESUME_MARK}""")
 def q_stream_resume(spark, sf):
-    """T4: backfill of landed day files strictly after a stored mark, eight
-    files per micro-batch; the de-duplication horizon spans the backfill
+    """T4: backfill of landed day files strictly after a stored mark,
+    sixteen files per micro-batch; the de-duplication horizon spans the backfill
     so files processed out of day order lose nothing."""
     root = run_folder(spark, "stream_resume", sf)
     _land_transfer_pages(spark, sf, f"{root}/in")
     _await(S.resume_history(spark, f"{root}/in", f"{root}/out", f"{root}/ckpt", RESUME_MARK,
-                            files_per_batch=8, horizon="31 days"))
+                            files_per_batch=16, horizon="31 days"))
     return spark.read.parquet(f"{root}/out")
 
 
