@@ -444,7 +444,7 @@ def q_event_log_build(spark, sf):
     root = run_folder(spark, "event_log_build", sf)
     src = B.source_leg(spark, sf).select(F.col("orderId").alias("orderid"),
                                          F.col("evt_time").alias("evt_block_time"), "chain")
-    dest = B.dest_leg(spark, sf).select(F.col("orderId").alias("orderid"),
+    dest = B.dest_leg(spark, sf, spread=True).select(F.col("orderId").alias("orderid"),
                                         F.col("evt_time").alias("evt_block_time"), "chain")
     flows.write_packed_csv(src, f"{root}/src")
     flows.write_packed_csv(dest, f"{root}/dest")
@@ -459,7 +459,7 @@ SELECT * FROM docs WHERE NOT EXISTS (
   SELECT 1 FROM orders WHERE o_orderstatus = 'O' AND CAST(o_orderkey AS VARCHAR) = docs.orderid)""")
 def q_order_detail_load(spark, sf):
     root = run_folder(spark, "order_detail_load", sf)
-    flows.nest_order_docs(B.order_docs_view(spark, sf)).write.text(f"{root}/docs")
+    flows.nest_order_docs(B.order_docs_view(spark, sf, spread=True)).write.text(f"{root}/docs")
     stored = (B.table(spark, sf, "orders").where(F.col("o_orderstatus") == "O")
               .select(F.col("o_orderkey").cast("string").alias("orderid")))
     flows.order_detail_load(spark, f"{root}/docs", stored, target=f"{root}/orders")
@@ -732,7 +732,7 @@ def q_fill_exports_latency(spark, sf):
     """Daily fill latency from two landed CSV exports (split by input
     symbol), read back with the declared fills schema."""
     root = run_folder(spark, "fill_exports", sf)
-    f = B.fills_view(spark, sf)
+    f = B.fills_view(spark, sf, spread=True)
     first = F.coalesce(F.col("token_symbol"), F.lit("")).isin("F", "O")
     (f.withColumn("export", F.when(first, "p1").otherwise("p2"))
       .write.partitionBy("export").option("header", True).csv(root))      # both exports in one job
