@@ -454,7 +454,22 @@ def q_event_log_build(spark, sf):
     return spark.read.parquet(f"{root}/event_log")
 
 
-@register("order_detail_load", f"""WITH docs AS ({B.order_docs_sql()})
+def _stored_docs_sql() -> str:
+    """The order documents as the loader stores them: text, the pre-swap
+    fields 'nan' where the document has no pre-swap object, missing
+    values 'nan'."""
+    cols = dict(B.ORDER_DOC_COLUMNS)
+    name = cols["preswapData_tokenInMetadata_name"]
+    out = []
+    for alias, e in B.ORDER_DOC_COLUMNS:
+        if alias.startswith("preswapData_"):
+            e = f"CASE WHEN ({name}) IN ('nan', 'None', '') THEN 'nan' ELSE ({e}) END"
+        out.append(f"coalesce({e}, 'nan') AS {alias}")
+    return ("SELECT\n    " + ",\n    ".join(out) +
+            "\n  FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey")
+
+
+@register("order_detail_load", f"""WITH docs AS ({_stored_docs_sql()})
 SELECT * FROM docs WHERE NOT EXISTS (
   SELECT 1 FROM orders WHERE o_orderstatus = 'O' AND CAST(o_orderkey AS VARCHAR) = docs.orderid)""")
 def q_order_detail_load(spark, sf):
@@ -462,7 +477,7 @@ def q_order_detail_load(spark, sf):
     flows.nest_order_docs(B.order_docs_view(spark, sf, spread=True)).write.text(f"{root}/docs")
     stored = (B.table(spark, sf, "orders").where(F.col("o_orderstatus") == "O")
               .select(F.col("o_orderkey").cast("string").alias("orderid")))
-    flows.order_detail_load(spark, f"{root}/docs", stored, target=f"{root}/orders")
+    flows.order_detail_load(spark, f"{root}/docs", stored, target=f"{root}/orders", null_text="nan")
     return spark.read.parquet(f"{root}/orders")
 
 

@@ -89,8 +89,14 @@ def _meta(prefix: str) -> F.Column:
 
 
 def nest_order_docs(flat: DataFrame) -> DataFrame:
-    """Flat order columns -> one nested JSON document per row (text)."""
+    """Flat order columns -> one nested JSON document per row (text).
+
+    Documents drift as in the source feed: the ``preswapData`` object exists
+    only when the order has a pre-swap token name, and NULL fields (e.g. a
+    missing maker) are left out of the document."""
+    from ..functions.nulls import clean_text
     p = "preswapData"
+    has_preswap = clean_text(f"{p}_tokenInMetadata_name").isNotNull()
     doc = F.struct(
         F.struct(F.col("orderid").alias("stringValue"),
                  F.concat(F.lit("0x"), F.col("orderid")).alias("bytesArrayValue")).alias("orderId"),
@@ -101,11 +107,12 @@ def nest_order_docs(flat: DataFrame) -> DataFrame:
          .alias("createdSrcEventMetadata"),
         F.struct(_sv("fulfilledDstEventMetadata_transactionHash").alias("transactionHash"))
          .alias("fulfilledDstEventMetadata"),
-        F.struct(F.col(f"{p}_inAmount").alias("inAmount"), F.col(f"{p}_outAmount").alias("outAmount"),
-                 F.struct(*[F.col(f"{p}_tokenInMetadata_{k}").alias(k) for k in ("name", "symbol", "decimals")])
-                  .alias("tokenInMetadata"),
-                 F.struct(*[F.col(f"{p}_tokenOutMetadata_{k}").alias(k) for k in ("name", "symbol", "decimals")])
-                  .alias("tokenOutMetadata")).alias(p),
+        F.when(has_preswap, F.struct(
+            F.col(f"{p}_inAmount").alias("inAmount"), F.col(f"{p}_outAmount").alias("outAmount"),
+            F.struct(*[F.col(f"{p}_tokenInMetadata_{k}").alias(k) for k in ("name", "symbol", "decimals")])
+             .alias("tokenInMetadata"),
+            F.struct(*[F.col(f"{p}_tokenOutMetadata_{k}").alias(k) for k in ("name", "symbol", "decimals")])
+             .alias("tokenOutMetadata"))).alias(p),
         *[F.col(c) for c in ("taker", "percentFee", "finalPercentFee", "fixFee", "state")],
         F.struct(F.col("orderMetadata_origin").alias("origin"),
                  F.col("orderMetadata_orderTradeType").alias("orderTradeType"),
@@ -116,16 +123,19 @@ def nest_order_docs(flat: DataFrame) -> DataFrame:
 
 def order_detail_load(spark: SparkSession, docs_path: str, processed: DataFrame | None = None,
                       target: str | None = None, schema=None,
-                      batch_rows: int = K.ORDER_BATCH_ROWS, metrics: dict | None = None) -> DataFrame:
+                      batch_rows: int = K.ORDER_BATCH_ROWS, metrics: dict | None = None,
+                      null_text: str | None = None) -> DataFrame:
     """Landed order documents -> flat text rows of orders not stored yet
     (L2: J3 → S5 → P7 → P3 → P4 → P2 → S9).
 
     Without ``schema`` the document schema is inferred over all files, so
     documents whose keys drift merge into one schema (missing keys NULL).
+    ``null_text='nan'`` stores missing values as that text, as the original
+    all-text order table does.
     """
     raw = files.read_json_pages(spark, docs_path, envelope=None, schema=schema, multi_line=False)
     flat = shape.flatten_struct(raw, sep="_", prefer=K.STRING_VALUE_KEY)
-    flat = shape.to_strings(flat)
+    flat = shape.to_strings(flat, null_text=null_text)
     flat = shape.drop_cols(flat, [K.RAW_METADATA_COLUMN], strict=False)
     flat = _observe(flat.withColumnRenamed("orderId", "orderid"), metrics, "documents")
     new = orders.backlog(flat, processed, "orderid") if processed is not None else flat
