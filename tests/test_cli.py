@@ -35,3 +35,19 @@ def test_cli_pairs_and_fills(spark, tmp_dir):
     fees = spark.read.parquet(f"{tmp_dir}/fees")
     assert fees.exceptAll(fills.relayer_fees(B.fills_view(spark, SF001))).count() == 0
     assert fees.count() > 0
+
+
+def test_cli_event_log_rerun_appends_nothing(spark, tmp_dir):
+    from relaylens.plans import flows
+    src = B.source_leg(spark, SF001).select(F.col("orderId").alias("orderid"),
+                                            F.col("evt_time").alias("evt_block_time"), "chain")
+    dest = B.dest_leg(spark, SF001).select(F.col("orderId").alias("orderid"),
+                                           F.col("evt_time").alias("evt_block_time"), "chain")
+    flows.write_packed_csv(src, f"{tmp_dir}/src")
+    flows.write_packed_csv(dest, f"{tmp_dir}/dest")
+    args = ("event-log", "--src", f"{tmp_dir}/src", "--dest", f"{tmp_dir}/dest", "--out", f"{tmp_dir}/log")
+    _cli(*args)
+    n = spark.read.parquet(f"{tmp_dir}/log").count()
+    _cli(*args)
+    again = spark.read.parquet(f"{tmp_dir}/log")
+    assert n > 0 and again.count() == n and again.select("orderid").distinct().count() == n
