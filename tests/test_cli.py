@@ -51,3 +51,51 @@ def test_cli_event_log_rerun_appends_nothing(spark, tmp_dir):
     _cli(*args)
     again = spark.read.parquet(f"{tmp_dir}/log")
     assert n > 0 and again.count() == n and again.select("orderid").distinct().count() == n
+
+
+def test_cli_other_commands_in_process(spark, tmp_dir):
+    """Every remaining subcommand on small landed inputs (same session)."""
+    from relaylens.__main__ import parser, run
+    from relaylens.plans import flows
+    from relaylens.plans import catalog as C
+    from relaylens.functions import expr as X
+
+    ev = B.events(spark, SF001)
+    docs, events = B.order_docs_view(spark, SF001), B.event_log_view(spark, SF001)
+    docs.write.parquet(f"{tmp_dir}/docs")
+    events.write.parquet(f"{tmp_dir}/events")
+    flows.nest_order_docs(docs).write.text(f"{tmp_dir}/landed_docs")
+    bars = ev.groupBy(F.col("event_type").alias("instrument"), X.floor_to("hour", "ts").alias("ts")) \
+             .agg(F.max("value").alias("CLOSE"))
+    flows.write_price_pages(bars, f"{tmp_dir}/prices")
+    rec = ev.select(X.ts_to_epoch("ts").alias("timestamp"), "event_id", "user_id", "value",
+                    F.array("event_type").alias("tokens"),
+                    F.struct(F.col("value").alias("delta")).alias("token_balance_delta"),
+                    X.floor_to("hour", "ts").alias("page"))
+    flows.write_json_pages(rec, f"{tmp_dir}/bundles", "data", "page")
+    ev.select("event_id", "ts", "event_type", "value").write.option("header", True) \
+      .option("timestampNTZFormat", flows.PACK_TIME).csv(f"{tmp_dir}/drop/bundles/2024-01")
+    C._land_transfer_pages(spark, SF001, f"{tmp_dir}/transfers")
+    B.table(spark, SF001, "customer").select("c_custkey", F.col("c_nationkey").alias("code")) \
+     .write.parquet(f"{tmp_dir}/customer")
+
+    commands = [
+        ["details", "--orders", f"{tmp_dir}/docs", "--events", f"{tmp_dir}/events", "--order-id", "1",
+         "--out", f"{tmp_dir}/o_details"],
+        ["routes", "--orders", f"{tmp_dir}/docs", "--events", f"{tmp_dir}/events", "--out", f"{tmp_dir}/o_routes"],
+        ["order-docs", "--docs", f"{tmp_dir}/landed_docs", "--out", f"{tmp_dir}/o_docs", "--nan-text"],
+        ["prices", "--pages", f"{tmp_dir}/prices", "--out", f"{tmp_dir}/o_prices"],
+        ["bundles", "--pages", f"{tmp_dir}/bundles", "--since", "1704844800", "--out", f"{tmp_dir}/o_bundles"],
+        ["file-drop", "--root", f"{tmp_dir}/drop", "--keyword", "bundles/2024-01",
+         "--schema", "event_id BIGINT, ts TIMESTAMP_NTZ, event_type STRING, value DOUBLE",
+         "--out", f"{tmp_dir}/o_drop"],
+        ["transfers", f"{tmp_dir}/transfers", "--out", f"{tmp_dir}/o_transfers",
+         "--checkpoint", f"{tmp_dir}/ck_transfers"],
+        ["codes", "--table", f"{tmp_dir}/customer", "--columns", "code", "--out", f"{tmp_dir}/o_codes"],
+    ]
+    for argv in commands:
+        run(parser().parse_args(argv), spark)
+        out = argv[argv.index("--out") + 1]
+        assert spark.read.parquet(out).count() > 0, argv[0]
+    assert spark.read.parquet(f"{tmp_dir}/o_docs").count() == docs.count()
+    assert spark.read.parquet(f"{tmp_dir}/o_drop").count() == ev.count()
