@@ -167,3 +167,15 @@ def test_stream_equals_batch_on_closed_windows(spark, tmp_dir):
     assert streamed.count() == closed.count() > 0
     assert streamed.exceptAll(closed).count() == 0
     assert batch.count() - closed.count() <= 11        # only windows younger than the 10-minute watermark wait
+
+
+def test_rerunning_order_detail_load_appends_nothing(spark, tmp_dir):
+    flows.nest_order_docs(B.order_docs_view(spark, SF001)).write.text(f"{tmp_dir}/docs")
+    target = f"{tmp_dir}/orders"
+    flows.order_detail_load(spark, f"{tmp_dir}/docs", None, target=target, null_text="nan")
+    n = spark.read.parquet(target).count()
+    m = {}
+    flows.order_detail_load(spark, f"{tmp_dir}/docs", spark.read.parquet(target).select("orderid"),
+                            target=target, null_text="nan", metrics=m)
+    assert n > 0 and spark.read.parquet(target).count() == n
+    assert m["new_rows"].get["new_rows"] == 0 and m["documents"].get["documents"] == n
