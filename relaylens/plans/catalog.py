@@ -130,8 +130,11 @@ def _ladder(pair: str) -> str:
 
 
 def _chain_case(addr: str, sym: str, chain: str) -> str:
-    return (f"CASE WHEN LEFT({addr}, 2) != '0x' THEN 'SOL' WHEN {sym} = 'S' THEN 'SONIC' "
-            f"WHEN LEFT({sym}, 2) = 'sc' THEN 'SONIC' ELSE {chain} END")
+    """Chain label: the address/symbol override if one applies, else the
+    event's chain (an unknown test falls through, as in SQL)."""
+    non_evm = f"if(NOT starts_with({addr}, '0x'), 'SOL', NULL)"
+    sonic = f"if({sym} = 'S' OR starts_with({sym}, 'sc'), 'SONIC', NULL)"
+    return f"coalesce({non_evm}, {sonic}, {chain})"
 
 
 ORDERS_BASE = f"""WITH docs AS ({B.order_docs_sql()}),
@@ -673,10 +676,12 @@ WITH j AS (
   WHERE try_cast(nullif(nullif(nullif(d.giveOfferWithMetadata_finalAmount, 'nan'), 'None'), '') AS DOUBLE) > 0),
 m AS (
   SELECT
-    CASE WHEN LEFT(makerSrc, 2) != '0x' THEN 'SOL' WHEN giveOfferWithMetadata_metadata_symbol = 'S' THEN 'SONIC'
-         WHEN LEFT(giveOfferWithMetadata_metadata_symbol, 2) = 'sc' THEN 'SONIC' ELSE ev_src END AS src,
-    CASE WHEN LEFT(receiverDst, 2) != '0x' THEN 'SOL' WHEN takeOfferWithMetadata_metadata_symbol = 'S' THEN 'SONIC'
-         WHEN LEFT(takeOfferWithMetadata_metadata_symbol, 2) = 'sc' THEN 'SONIC' ELSE ev_dest END AS dst,
+    coalesce(if(NOT startswith(makerSrc, '0x'), 'SOL', NULL),
+             if(giveOfferWithMetadata_metadata_symbol = 'S'
+                OR startswith(giveOfferWithMetadata_metadata_symbol, 'sc'), 'SONIC', NULL), ev_src) AS src,
+    coalesce(if(NOT startswith(receiverDst, '0x'), 'SOL', NULL),
+             if(takeOfferWithMetadata_metadata_symbol = 'S'
+                OR startswith(takeOfferWithMetadata_metadata_symbol, 'sc'), 'SONIC', NULL), ev_dest) AS dst,
     try_cast(takeOfferWithMetadata_finalAmount AS DOUBLE)
       / pow(10, try_cast(nullif(takeOfferWithMetadata_metadata_decimals, 'nan') AS DOUBLE)) AS amount_out
   FROM j)
@@ -694,12 +699,13 @@ def q_route_volume_sql(spark, sf):
                                         "events": B.event_log_view(spark, sf)})
 
 
+# Parity mode: only the literal text 'nan' marks a missing pre-swap token.
 PARITY_BASE = ORDERS_BASE.replace(
     f"coalesce({_clean('preswapData_tokenInMetadata_name')}, giveOfferWithMetadata_metadata_symbol) AS in_token",
-    "CASE WHEN preswapData_tokenInMetadata_name = 'nan' THEN giveOfferWithMetadata_metadata_symbol "
-    "ELSE preswapData_tokenInMetadata_name END AS in_token").replace(
+    "if(preswapData_tokenInMetadata_name IS NOT DISTINCT FROM 'nan', giveOfferWithMetadata_metadata_symbol, "
+    "preswapData_tokenInMetadata_name) AS in_token").replace(
     f"CASE WHEN {_clean('preswapData_tokenInMetadata_name')} IS NOT NULL",
-    "CASE WHEN preswapData_tokenInMetadata_name != 'nan'")
+    "CASE WHEN coalesce(preswapData_tokenInMetadata_name <> 'nan', false)")
 
 
 @register("pair_analysis_parity", PARITY_BASE + f"SELECT pair, {SUMMARY.format(k='pair')} FROM m GROUP BY pair")
