@@ -21,6 +21,17 @@ def _c(c) -> Column:
 
 # ---------------------------------------------------------------- labels
 
+def chain_override(address, symbol) -> Column:
+    """The order-side part of :func:`classify_chain`: SOL when the address
+    is not an EVM address, SONIC when the symbol is ``S`` or starts with
+    ``sc``, else NULL. Computable before the join that brings the event's
+    chain."""
+    a, s = _c(address), _c(symbol)
+    non_evm = F.when(~a.startswith(K.EVM_ADDRESS_PREFIX), F.lit(K.NON_EVM_CHAIN))
+    sonic = F.when((s == K.SONIC_SYMBOL) | s.startswith(K.SONIC_SYMBOL_PREFIX), F.lit(K.SONIC_CHAIN))
+    return F.coalesce(non_evm, sonic)
+
+
 def classify_chain(address, symbol, chain) -> Column:
     """Chain of an order leg (P10).
 
@@ -29,22 +40,7 @@ def classify_chain(address, symbol, chain) -> Column:
     address or symbol makes its test unknown, so the row falls through, as
     a SQL CASE does.
     """
-    a, s = _c(address), _c(symbol)
-    return (F.when(~a.startswith(K.EVM_ADDRESS_PREFIX), F.lit(K.NON_EVM_CHAIN))
-            .when(s == K.SONIC_SYMBOL, F.lit(K.SONIC_CHAIN))
-            .when(s.startswith(K.SONIC_SYMBOL_PREFIX), F.lit(K.SONIC_CHAIN))
-            .otherwise(_c(chain)))
-
-
-def chain_override(address, symbol) -> Column:
-    """The order-side part of :func:`classify_chain`: SOL / SONIC when the
-    address or symbol decides the chain, else NULL. Then
-    ``classify_chain(a, s, c) == coalesce(chain_override(a, s), c)``, which
-    lets the override be computed before a join that brings ``c``."""
-    a, s = _c(address), _c(symbol)
-    return (F.when(~a.startswith(K.EVM_ADDRESS_PREFIX), F.lit(K.NON_EVM_CHAIN))
-            .when(s == K.SONIC_SYMBOL, F.lit(K.SONIC_CHAIN))
-            .when(s.startswith(K.SONIC_SYMBOL_PREFIX), F.lit(K.SONIC_CHAIN)))
+    return F.coalesce(chain_override(address, symbol), _c(chain))
 
 
 def effective_token(pre_name, give_symbol, sentinel_mode: bool = False) -> Column:
