@@ -179,3 +179,61 @@ def test_rerunning_order_detail_load_appends_nothing(spark, tmp_dir):
                             target=target, null_text="nan", metrics=m)
     assert n > 0 and spark.read.parquet(target).count() == n
     assert m["new_rows"].get["new_rows"] == 0 and m["documents"].get["documents"] == n
+
+
+# ------------------------------------------- flattening drifting documents
+import json  # noqa: E402
+
+KEYS = ["a", "b", "c", "d"]
+
+
+def _template(draw_depth, rnd):
+    """Random nested template: dict of key -> 'text' | 'sv' (stringValue
+    wrapper) | nested template."""
+    out = {}
+    for k in rnd.sample(KEYS, rnd.randint(1, 3)):
+        kind = rnd.choice(["text", "sv", "obj"] if draw_depth < 2 else ["text", "sv"])
+        out[k] = _template(draw_depth + 1, rnd) if kind == "obj" else kind
+    return out
+
+
+def _instance(tpl, rnd, i):
+    doc = {}
+    for k, kind in tpl.items():
+        if rnd.random() < 0.3:          # drift: key missing in this document
+            continue
+        if kind == "text":
+            doc[k] = f"v{i}{k}"
+        elif kind == "sv":
+            doc[k] = {"stringValue": f"s{i}{k}", "other": "x"}
+        else:
+            doc[k] = _instance(kind, rnd, i)
+    return doc
+
+
+def _py_flatten(d, parent=""):
+    items = {}
+    for k, v in d.items():
+        key = f"{parent}_{k}" if parent else k
+        if isinstance(v, dict):
+            if "stringValue" in v:
+                items[key] = v["stringValue"]
+            else:
+                items.update(_py_flatten(v, key))
+        else:
+            items[key] = v
+    return items
+
+
+@settings(max_examples=8, deadline=None, derandomize=True, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.integers(0, 10_000))
+def test_flatten_matches_python_model_under_drift(spark, seed):
+    import random
+    rnd = random.Random(seed)
+    tpl = _template(0, rnd)
+    docs = [dict(_instance(tpl, rnd, i), id=f"id{i}") for i in range(12)]
+    df = spark.read.json(spark.sparkContext.parallelize([json.dumps(d) for d in docs]))
+    flat = shape.flatten_struct(df)
+    got = {r["id"]: {k: v for k, v in r.asDict().items() if v is not None} for r in flat.collect()}
+    want = {d["id"]: _py_flatten(d) for d in docs}
+    assert got == want
