@@ -237,3 +237,29 @@ def test_flatten_matches_python_model_under_drift(spark, seed):
     got = {r["id"]: {k: v for k, v in r.asDict().items() if v is not None} for r in flat.collect()}
     want = {d["id"]: _py_flatten(d) for d in docs}
     assert got == want
+
+
+ITEM = st.one_of(
+    st.builds(lambda i, t: f"{i}-{t}", st.integers(0, 999), st.sampled_from(["2025-02-01 00:00:00", "t", "x-y-z", ""])),
+    st.sampled_from(["nodash", "-lead", ""]))
+CELL = st.one_of(st.none(), st.lists(ITEM, max_size=4).map(", ".join))
+
+
+def _py_unpack(rows, cols):
+    out = []
+    for r in rows:
+        for c, cell in zip(cols, r[1:]):
+            for item in (cell.split(", ") if cell is not None else []):
+                parts = item.split("-", 1)
+                if len(parts) == 2:          # no '-' -> time missing -> dropped
+                    out.append((parts[0], parts[1], c))
+    return sorted(out)
+
+
+@settings(max_examples=8, deadline=None, derandomize=True, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(CELL, CELL), min_size=1, max_size=6))
+def test_unpack_matches_python_model(spark, cells):
+    rows = [(f"h{i}", a, b) for i, (a, b) in enumerate(cells)]
+    df = spark.createDataFrame(rows, "event_hour string, ETH string, BSC string")
+    got = sorted(tuple(r) for r in shape.unpack_events(df).collect())
+    assert got == _py_unpack(rows, ["ETH", "BSC"])
