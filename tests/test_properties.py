@@ -263,3 +263,62 @@ def test_unpack_matches_python_model(spark, cells):
     df = spark.createDataFrame(rows, "event_hour string, ETH string, BSC string")
     got = sorted(tuple(r) for r in shape.unpack_events(df).collect())
     assert got == _py_unpack(rows, ["ETH", "BSC"])
+
+
+# ------------------------------------------------ fills against a pandas model
+import math  # noqa: E402
+
+import pandas as pd  # noqa: E402
+
+FILL_SYMS = st.sampled_from(["USDC", "WETH", None])
+FILL_ROW = st.tuples(
+    st.one_of(st.integers(0, 72).map(lambda h: f"2024-01-0{1 + h // 24} {h % 24:02d}:00:00.000000 UTC"),
+              st.just("garbage")),
+    st.one_of(st.none(), st.integers(0, 10_000).map(lambda s: f"2024-01-05 00:00:{s % 60:02d}.{s:06d} UTC")),
+    FILL_SYMS, FILL_SYMS, st.sampled_from(["t", None]),
+    st.one_of(st.integers(0, 500).map(float), st.just(float("nan"))),
+    st.one_of(st.integers(0, 500).map(float), st.just(float("nan"))),
+    st.sampled_from(["r1", "r2", None]))
+
+
+def _pd_expected(rows):
+    df = pd.DataFrame(rows, columns=["input_time", "output_time", "token_symbol", "output_symbol",
+                                     "output_token", "input_amount_usd", "output_amount_usd", "relayer"])
+    fmt = "%Y-%m-%d %H:%M:%S.%f %Z"
+    t_in = pd.to_datetime(df["input_time"], format=fmt, errors="coerce", utc=True)
+    t_out = pd.to_datetime(df["output_time"], format=fmt, errors="coerce", utc=True)
+    date = t_in.dt.date
+    filled = df["output_time"].notnull()
+    lat = ((t_out - t_in).dt.total_seconds())[filled]
+    lat_g = lat.groupby(date[filled]).agg(["mean", "max", "min"])
+    same = df["output_symbol"] == df["token_symbol"]          # None == None is False in pandas
+    fee = (df["input_amount_usd"] - df["output_amount_usd"])[same]
+    fee_g = fee.groupby(date[same]).agg(["mean", "max", "min"])
+    rel = (df["input_amount_usd"] - df["output_amount_usd"]).groupby(df["relayer"]).sum()
+    return lat_g, fee_g, rel
+
+
+def _close(a, b):
+    if a is None or (isinstance(a, float) and math.isnan(a)):
+        return b is None or (isinstance(b, float) and math.isnan(b))
+    return b is not None and math.isclose(a, b, rel_tol=1e-9, abs_tol=1e-9)
+
+
+@settings(max_examples=8, deadline=None, derandomize=True, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(FILL_ROW, min_size=1, max_size=30))
+def test_fill_statistics_match_pandas(spark, rows):
+    from tests.test_operators import FILL_SCHEMA
+    df = spark.createDataFrame([r + (None,) for r in rows], FILL_SCHEMA)
+    lat_g, fee_g, rel = _pd_expected(rows)
+    got_lat = {r.day: (r.avg_latency_s, r.max_latency_s, r.min_latency_s) for r in fills.latency_daily(df).collect()}
+    lat_g = lat_g.dropna(how="all")
+    assert set(got_lat) == set(lat_g.index)
+    for d, (mean, mx, mn) in lat_g.iterrows():
+        assert all(_close(x, y) for x, y in zip(got_lat[d], (mean, mx, mn)))
+    got_fee = {r.day: (r.avg_fee, r.max_fee, r.min_fee) for r in fills.fee_daily(df).collect()}
+    assert set(got_fee) == set(fee_g.index)
+    for d, (mean, mx, mn) in fee_g.iterrows():
+        assert all(_close(x, y) for x, y in zip(got_fee[d], (mean, mx, mn)))
+    got_rel = {r.relayer: r.total_fees for r in fills.relayer_fees(df).collect()}
+    assert got_rel.keys() == rel.to_dict().keys()
+    assert all(_close(got_rel[k], v) for k, v in rel.items())
