@@ -322,3 +322,20 @@ def test_fill_statistics_match_pandas(spark, rows):
     got_rel = {r.relayer: r.total_fees for r in fills.relayer_fees(df).collect()}
     assert got_rel.keys() == rel.to_dict().keys()
     assert all(_close(got_rel[k], v) for k, v in rel.items())
+
+
+@settings(max_examples=8, deadline=None, derandomize=True, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(FILL_ROW, min_size=1, max_size=30))
+def test_token_share_and_volume_match_pandas(spark, rows):
+    from tests.test_operators import FILL_SCHEMA
+    df = spark.createDataFrame([r + (None,) for r in rows], FILL_SCHEMA)
+    p = pd.DataFrame(rows, columns=["input_time", "output_time", "token_symbol", "output_symbol",
+                                    "output_token", "input_amount_usd", "output_amount_usd", "relayer"])
+    same = len(p.loc[p["output_symbol"] == p["token_symbol"]]) * 100 / len(p)
+    diff = len(p.loc[(p["output_symbol"] != p["token_symbol"]) & p["token_symbol"].notnull()
+                     & p["output_token"].notnull()]) * 100 / len(p)
+    r = fills.token_share(df).collect()[0]
+    assert _close(r.same_token_pct, same) and _close(r.diff_token_pct, diff)
+    vol = p.groupby("token_symbol")["input_amount_usd"].sum()
+    got = {x.token_symbol: x.volume_usd for x in fills.volume_by(df, "token_symbol").collect()}
+    assert got.keys() == vol.to_dict().keys() and all(_close(got[k], v) for k, v in vol.items())
