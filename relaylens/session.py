@@ -14,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import os
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import SparkSession
@@ -93,17 +94,16 @@ def delete_path(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
-def run_folder(spark: SparkSession, name: str, key: str = "", keep_seconds: int = 3600) -> str:
+def run_folder(spark: SparkSession, name: str, key: str = "", keep_runs: int = 2) -> str:
     """Fresh folder for one run of a file-landing flow, under the checkpoint
     root, in a slot per (``name``, ``key``).
 
-    Runs of the same slot older than ``keep_seconds`` are removed first, so
-    repeated runs do not grow the shared folder without bound, while a
-    DataFrame returned by a recent run (still to be consumed) keeps its
-    files.
+    Only the newest ``keep_runs`` earlier runs of the slot are kept; older
+    ones are removed when a new run starts. Space per slot is therefore
+    bounded by ``keep_runs + 1`` runs however often the flow runs, while the
+    DataFrames returned by the last few runs (possibly not consumed yet)
+    keep their files.
     """
-    import time
-
     root = checkpoint_root(spark).rstrip("/")
     slot = name + (("-" + hashlib.sha1(key.encode()).hexdigest()[:10]) if key else "")
     base = f"{root}/relaylens/{slot}"
@@ -112,10 +112,9 @@ def run_folder(spark: SparkSession, name: str, key: str = "", keep_seconds: int
         bp = jvm.org.apache.hadoop.fs.Path(base)
         fs = bp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
         if fs.exists(bp):
-            cutoff_ms = (time.time() - keep_seconds) * 1000
-            for st in fs.listStatus(bp):
-                if st.getModificationTime() < cutoff_ms:
-                    fs.delete(st.getPath(), True)
+            runs = sorted(fs.listStatus(bp), key=lambda st: st.getModificationTime(), reverse=True)
+            for st in runs[keep_runs:]:
+                fs.delete(st.getPath(), True)
     except Exception:  # noqa: BLE001 - clean-up is best effort, never fails a run
         pass
-    return f"{base}/run-{int(time.time())}-{uuid.uuid4().hex[:8]}"
+    return f"{base}/run-{int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}"
