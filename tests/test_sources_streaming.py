@@ -212,3 +212,19 @@ def test_read_csv_maps_columns_by_name(spark, tmp_dir):
     assert df.select("b").first().b == 2 and df.select("a").first().a == 1     # pruned reads too
     with pytest.raises(KeyError):
         files.read_csv(spark, f"{tmp_dir}/x.csv", "a LONG, c LONG")
+
+
+def test_run_folder_keeps_only_the_newest_runs(spark):
+    import time as _t
+
+    from relaylens.session import local_dir, run_folder
+    made = []
+    for _ in range(4):
+        p = run_folder(spark, "keep-test", "k")
+        local_dir(p)
+        made.append(p.replace("file:", ""))
+        _t.sleep(0.05)
+    base = os.path.dirname(made[0])
+    left = sorted(os.path.join(base, d) for d in os.listdir(base))
+    # each call kept the two newest earlier runs: after the 4th call, runs 2 and 3 remain (+ the 4th)
+    assert left == sorted(made[1:])
