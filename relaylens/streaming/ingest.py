@@ -135,3 +135,26 @@ def stream_backlog(candidates: DataFrame, stored_path: str, checkpoint: str, key
 def seed_stored(df: DataFrame, stored_path: str, key: str = "orderid") -> None:
     """Initial content of a stored-id table (``batch_id=-1``)."""
     write_batch(df.select(key), stored_path, -1)
+
+
+def compact_stored(spark: SparkSession, stored_path: str, key: str = "orderid") -> int:
+    """Compact a stored-id table written by :func:`stream_backlog` into one
+    folder; run it while the stream is stopped.
+
+    Crash-safe at every step: the distinct ids are first written to a new
+    folder ``batch_id=<lowest - 1>`` (the table is then complete, with
+    duplicates), and only afterwards are the older folders deleted. A crash
+    at any point leaves a table that still holds every stored id. Returns
+    the new folder's batch id.
+    """
+    stored = spark.read.parquet(stored_path)
+    lowest = stored.agg(F.min("batch_id")).first()[0]
+    new_id = (lowest if lowest is not None else 0) - 1
+    old = [r["batch_id"] for r in stored.select("batch_id").distinct().collect()]   # folder ids only
+    write_batch(stored.select(key).where(F.col(key).isNotNull()).dropDuplicates([key]), stored_path, new_id)
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for b in old:
+        p = jvm.org.apache.hadoop.fs.Path(f"{stored_path.rstrip('/')}/batch_id={int(b)}")
+        p.getFileSystem(conf).delete(p, True)
+    return new_id

@@ -228,3 +228,28 @@ def test_run_folder_keeps_only_the_newest_runs(spark):
     left = sorted(os.path.join(base, d) for d in os.listdir(base))
     # each call kept the two newest earlier runs: after the 4th call, runs 2 and 3 remain (+ the 4th)
     assert left == sorted(made[1:])
+
+
+def test_compact_stored_keeps_every_id_in_one_folder(spark, tmp_dir):
+    for i, ids in enumerate([["a", "b"], ["b", "c"], ["d"]]):
+        spark.createDataFrame([(x,) for x in ids], "orderid string").coalesce(1) \
+             .write.mode("overwrite").parquet(f"{tmp_dir}/in/{i}")
+    S.seed_stored(spark.createDataFrame([("a",), ("z",)], "orderid string"), f"{tmp_dir}/stored")
+    src = spark.readStream.schema("orderid string").option("maxFilesPerTrigger", 1) \
+               .option("recursiveFileLookup", True).parquet(f"{tmp_dir}/in")
+    q = S.stream_backlog(src, f"{tmp_dir}/stored", f"{tmp_dir}/ck")
+    q.awaitTermination(120)
+    q.stop()
+    before = sorted(r.orderid for r in spark.read.parquet(f"{tmp_dir}/stored").collect())
+    new_id = S.compact_stored(spark, f"{tmp_dir}/stored")
+    folders = sorted(d for d in os.listdir(f"{tmp_dir}/stored") if d.startswith("batch_id="))
+    assert folders == [f"batch_id={new_id}"]
+    after = sorted(r.orderid for r in spark.read.parquet(f"{tmp_dir}/stored").collect())
+    assert after == sorted(set(before)) == ["a", "b", "c", "d", "z"]
+    # the stream resumes from its checkpoint on the compacted table
+    spark.createDataFrame([("d",), ("e",)], "orderid string").coalesce(1).write.parquet(f"{tmp_dir}/in/3")
+    q = S.stream_backlog(src, f"{tmp_dir}/stored", f"{tmp_dir}/ck")
+    q.awaitTermination(120)
+    q.stop()
+    final = sorted(r.orderid for r in spark.read.parquet(f"{tmp_dir}/stored").collect())
+    assert final == ["a", "b", "c", "d", "e", "z"]
