@@ -15,6 +15,7 @@ from .operators.orders import (align_legs, backlog, chain_analysis, distinct_ids
 from .operators.shape import (dedupe_rows, expand_structs, flatten_json_column, flatten_struct,
                               pack_events, union_by_name, unpack_events)
 from .operators.timeseries import gap_fill
+from . import schemas
 from .session import build_session, ensure_settings
 from .sources.coverage import slice_coverage
 from .sources.files import file_inventory, read_csv, read_csv_union, read_json_pages, select_files
@@ -30,5 +31,5 @@ __all__ = [
     "high_water_mark", "latency_daily", "latency_minute", "map_codes", "order_details", "order_lookup",
     "pack_events", "pair_analysis", "read_csv", "read_csv_union", "read_json_pages", "relayer_fees",
     "relayer_yield", "select_files", "since", "slice_coverage", "sql_query", "token_share",
-    "union_by_name", "unpack_events", "volume_by", "write_batch", "write_bucketed",
+    "schemas", "union_by_name", "unpack_events", "volume_by", "write_batch", "write_bucketed",
 ]
