@@ -550,13 +550,9 @@ def q_bundle_history(spark, sf):
     return flows.bundle_history(spark, f"{root}/pages", BUNDLE_START)
 
 
-@register("order_book_snapshot", """
-SELECT '0x' || CAST(o_orderkey AS VARCHAR) AS orderHash, 'm' || CAST(o_custkey AS VARCHAR) AS maker,
-       CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS VARCHAR) AS makerAmount,
-       CASE WHEN (o_orderkey // 500) % 2 = 0 THEN o_totalprice / 1000 END AS makerRate
-FROM orders""")
-def q_order_book_snapshot(spark, sf):
-    root = run_folder(spark, "order_book", sf)
+def _land_order_book(spark, sf, path):
+    """Orders as 500-row order-book pages (bare JSON arrays, one per file);
+    every other page lacks ``makerRate`` (drift)."""
     o = B.table(spark, sf, "orders").select(
         (F.col("o_orderkey") / 500).cast("long").alias("page"),
         F.concat(F.lit("0x"), F.col("o_orderkey").cast("string")).alias("orderHash"),
@@ -566,13 +562,23 @@ def q_order_book_snapshot(spark, sf):
     even = F.to_json(F.struct("orderHash", "maker", "makerAmount", "makerRate"))
     odd = F.to_json(F.struct("orderHash", "maker", "makerAmount"))
     js = o.select("page", F.when(F.col("page") % 2 == 0, even).otherwise(odd).alias("value"))
-    flows.write_array_pages(js, f"{root}/pages")
+    flows.write_array_pages(js, path)
+
+
+@register("order_book_snapshot", """
+SELECT '0x' || CAST(o_orderkey AS VARCHAR) AS orderHash, 'm' || CAST(o_custkey AS VARCHAR) AS maker,
+       CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS VARCHAR) AS makerAmount,
+       CASE WHEN (o_orderkey // 500) % 2 = 0 THEN o_totalprice / 1000 END AS makerRate
+FROM orders""")
+def q_order_book_snapshot(spark, sf):
+    root = run_folder(spark, "order_book", sf)
+    _land_order_book(spark, sf, f"{root}/pages")
     return flows.order_book_snapshot(spark, f"{root}/pages", schema=schemas.ORDER_BOOK)
 
 
-@register("bridge_latency_minute", ORACLES["latency_minute"])
-def q_bridge_latency_minute(spark, sf):
-    root = run_folder(spark, "bridge", sf)
+def _land_bridge_pages(spark, sf, path):
+    """Bridge transfers as nested transaction documents, one JSON page per
+    hour (envelope ``transactions``)."""
     p = B.bridge_pairs(spark, sf)
     iso = flows.ISO_TIME
     tx = p.select(
@@ -600,7 +606,13 @@ def q_bridge_latency_minute(spark, sf):
                  F.lit("0xf").alias("fromAddress"), F.lit("0xfee").alias("feeAddress"),
                  F.lit(2).alias("feeChain"), F.col("value").cast("string").alias("amount"),
                  F.lit(8).alias("normalizedDecimals")).alias("standardizedProperties"))
-    flows.write_json_pages(tx, f"{root}/pages", "transactions", "page")
+    flows.write_json_pages(tx, path, "transactions", "page")
+
+
+@register("bridge_latency_minute", ORACLES["latency_minute"])
+def q_bridge_latency_minute(spark, sf):
+    root = run_folder(spark, "bridge", sf)
+    _land_bridge_pages(spark, sf, f"{root}/pages")
     return flows.bridge_latency_minute(spark, f"{root}/pages", schema=schemas.BRIDGE_PAGE)
 
 

@@ -76,6 +76,8 @@ def test_cli_other_commands_in_process(spark, tmp_dir):
     ev.select("event_id", "ts", "event_type", "value").write.option("header", True) \
       .option("timestampNTZFormat", flows.PACK_TIME).csv(f"{tmp_dir}/drop/bundles/2024-01")
     C._land_transfer_pages(spark, SF001, f"{tmp_dir}/transfers")
+    C._land_order_book(spark, SF001, f"{tmp_dir}/book")
+    C._land_bridge_pages(spark, SF001, f"{tmp_dir}/bridge")
     B.table(spark, SF001, "customer").select("c_custkey", F.col("c_nationkey").alias("code")) \
      .write.parquet(f"{tmp_dir}/customer")
 
@@ -92,6 +94,8 @@ def test_cli_other_commands_in_process(spark, tmp_dir):
         ["transfers", f"{tmp_dir}/transfers", "--out", f"{tmp_dir}/o_transfers",
          "--checkpoint", f"{tmp_dir}/ck_transfers"],
         ["codes", "--table", f"{tmp_dir}/customer", "--columns", "code", "--out", f"{tmp_dir}/o_codes"],
+        ["order-book", "--pages", f"{tmp_dir}/book", "--hash", "0x1", "--out", f"{tmp_dir}/o_book"],
+        ["bridge", "--pages", f"{tmp_dir}/bridge", "--out", f"{tmp_dir}/o_bridge"],
     ]
     for argv in commands:
         run(parser().parse_args(argv), spark)
@@ -99,3 +103,4 @@ def test_cli_other_commands_in_process(spark, tmp_dir):
         assert spark.read.parquet(out).count() > 0, argv[0]
     assert spark.read.parquet(f"{tmp_dir}/o_docs").count() == docs.count()
     assert spark.read.parquet(f"{tmp_dir}/o_drop").count() == ev.count()
+    assert spark.read.parquet(f"{tmp_dir}/o_book").count() == 1
