@@ -2,771 +2,14 @@
 
 ``QUERIES[name](spark, sf_dir) -> DataFrame`` and ``ORACLES[name]`` (SQL over
 the views region, nation, customer, supplier, part, orders, lineitem,
-events, ...). Every query reads whole tables. Means of non-integral values
-depend on summation order in both engines, so those columns are rounded
-(same digits on both sides); sums of whole numbers and extremes are exact
-and left alone.
+events, ...). Every query reads whole tables, or files that Spark derives
+from them. The queries live in ``plans/queries/`` by domain. Means of
+non-integral values depend on summation order in both engines, so those
+columns are rounded (same digits on both sides); sums of whole numbers and
+extremes are exact and left alone.
 """
 
-from __future__ import annotations
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from .. import schemas
-from ..functions import constants as K
-from ..functions import expr as X
-from ..operators import bridge, fills, marks, orders, shape, timeseries
-from ..session import run_folder
-from ..sources.coverage import slice_coverage
-from ..sources.sql import sql_query
-from ..streaming import ingest as S
-from . import bindings as B
-from . import flows
-
-QUERIES: dict = {}
-ORACLES: dict = {}
-
-
-def register(name: str, sql: str | None = None):
-    def deco(fn):
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLES[name] = sql
-        return fn
-    return deco
-
-
-def _round(df: DataFrame, cols, digits: int) -> DataFrame:
-    return df.withColumns({c: F.round(c, digits) for c in cols})
-
-
-# ====================================================================== fills
-FILLS = f"WITH fills AS ({B.fills_sql()})\n"
-FILLS_CHAIN = f"WITH fills AS ({B.fills_sql(with_chain=True)})\n"
-LAT_US = "(epoch_us(out_ts) - epoch_us(in_ts))"
-
-
-@register("latency_daily", FILLS + f"""
-SELECT CAST(in_ts AS DATE) AS day,
-       sum(CAST({LAT_US} AS DOUBLE)) / count(*) / 1e6 AS avg_latency_s,
-       max({LAT_US}) / 1e6 AS max_latency_s,
-       min({LAT_US}) / 1e6 AS min_latency_s
-FROM fills WHERE out_ts IS NOT NULL AND in_ts IS NOT NULL GROUP BY 1""")
-def q_latency_daily(spark: SparkSession, sf: str) -> DataFrame:
-    return fills.latency_daily(B.fills_view(spark, sf))
-
-
-@register("fee_daily", FILLS + """
-SELECT CAST(in_ts AS DATE) AS day, sum(fee) / count(fee) AS avg_fee, max(fee) AS max_fee, min(fee) AS min_fee
-FROM (SELECT in_ts, input_amount_usd - output_amount_usd AS fee FROM fills
-      WHERE output_symbol = token_symbol AND in_ts IS NOT NULL) GROUP BY 1""")
-def q_fee_daily(spark, sf):
-    return fills.fee_daily(B.fills_view(spark, sf))
-
-
-@register("fee_pct_daily", FILLS + """
-SELECT CAST(in_ts AS DATE) AS day, round(avg(p), 10) AS avg_fee_pct, round(max(p), 10) AS max_fee_pct,
-       round(min(p), 10) AS min_fee_pct
-FROM (SELECT in_ts, (input_amount_usd - output_amount_usd) / nullif(input_amount_usd, 0) AS p FROM fills
-      WHERE output_symbol = token_symbol AND in_ts IS NOT NULL) GROUP BY 1""")
-def q_fee_pct_daily(spark, sf):
-    return _round(fills.fee_pct_daily(B.fills_view(spark, sf)),
-                  ["avg_fee_pct", "max_fee_pct", "min_fee_pct"], 10)
-
-
-@register("volume_by_token", FILLS + """
-SELECT token_symbol, coalesce(sum(input_amount_usd), 0.0) AS volume_usd
-FROM fills WHERE token_symbol IS NOT NULL GROUP BY 1""")
-def q_volume_by_token(spark, sf):
-    return fills.volume_by(B.fills_view(spark, sf), "token_symbol")
-
-
-@register("volume_by_chain", FILLS_CHAIN + """
-SELECT src_chain, coalesce(sum(input_amount_usd), 0.0) AS volume_usd
-FROM fills WHERE src_chain IS NOT NULL GROUP BY 1""")
-def q_volume_by_chain(spark, sf):
-    return fills.volume_by(B.fills_view(spark, sf, with_chain=True), "src_chain")
-
-
-@register("relayer_fees", FILLS + """
-SELECT relayer, coalesce(sum(input_amount_usd - output_amount_usd), 0.0) AS total_fees
-FROM fills WHERE relayer IS NOT NULL GROUP BY 1""")
-def q_relayer_fees(spark, sf):
-    return fills.relayer_fees(B.fills_view(spark, sf))
-
-
-@register("relayer_yield", FILLS + """
-SELECT relayer, round(avg((input_amount_usd - output_amount_usd) * 100 / nullif(input_amount_usd, 0)), 8)
-       AS avg_yield_pct
-FROM fills WHERE relayer IS NOT NULL GROUP BY 1""")
-def q_relayer_yield(spark, sf):
-    return _round(fills.relayer_yield(B.fills_view(spark, sf)), ["avg_yield_pct"], 8)
-
-
-@register("token_share", FILLS + """
-SELECT 100 * count(*) FILTER (WHERE output_symbol = token_symbol) / count(*) AS same_token_pct,
-       100 * count(*) FILTER (WHERE output_symbol IS DISTINCT FROM token_symbol
-                                AND token_symbol IS NOT NULL AND output_token IS NOT NULL) / count(*)
-         AS diff_token_pct
-FROM fills""")
-def q_token_share(spark, sf):
-    return fills.token_share(B.fills_view(spark, sf))
-
-
-# ===================================================================== orders
-def _clean(x: str) -> str:
-    return f"(CASE WHEN {x} IN ('nan', 'None', '') THEN NULL ELSE {x} END)"
-
-
-def _num(x: str) -> str:
-    return f"TRY_CAST({_clean(x)} AS DOUBLE)"
-
-
-def _ladder(pair: str) -> str:
-    leg = f"split({pair}, '-')[2]"
-    whens = " ".join(f"WHEN {leg} LIKE '{p}' THEN CAST({v!r} AS DOUBLE)" for p, v in K.USD_PRICE_LADDER)
-    return f"CASE {whens} ELSE CAST({K.USD_PRICE_DEFAULT!r} AS DOUBLE) END"
-
-
-def _chain_case(addr: str, sym: str, chain: str) -> str:
-    """Chain label: the address/symbol override if one applies, else the
-    event's chain (an unknown test falls through, as in SQL)."""
-    non_evm = f"if(NOT starts_with({addr}, '0x'), 'SOL', NULL)"
-    sonic = f"if({sym} = 'S' OR starts_with({sym}, 'sc'), 'SONIC', NULL)"
-    return f"coalesce({non_evm}, {sonic}, {chain})"
-
-
-ORDERS_BASE = f"""WITH docs AS ({B.order_docs_sql()}),
-ev AS ({B.event_log_sql()}),
-j AS (SELECT d.*, e.orderid AS ev_orderid, e.src_evt_time AS ev_src_evt_time, e.src_chain AS ev_src_chain,
-             e.dest_evt_time AS ev_dest_evt_time, e.dest_chain AS ev_dest_chain
-      FROM docs d LEFT JOIN ev e ON e.orderid = d.orderid),
-m0 AS (
-  SELECT ev_orderid AS orderid,
-    {_chain_case('makerSrc', 'giveOfferWithMetadata_metadata_symbol', 'ev_src_chain')} AS src_chain,
-    {_chain_case('receiverDst', 'takeOfferWithMetadata_metadata_symbol', 'ev_dest_chain')} AS dest_chain,
-    coalesce({_clean('preswapData_tokenInMetadata_name')}, giveOfferWithMetadata_metadata_symbol) AS in_token,
-    takeOfferWithMetadata_metadata_symbol AS out_symbol,
-    CASE WHEN {_clean('preswapData_tokenInMetadata_name')} IS NOT NULL
-         THEN {_num('preswapData_inAmount')} / pow(10, {_num('preswapData_tokenInMetadata_decimals')})
-         ELSE {_num('giveOfferWithMetadata_finalAmount')} / pow(10, {_num('giveOfferWithMetadata_metadata_decimals')})
-    END AS amount_in,
-    {_num('takeOfferWithMetadata_finalAmount')} / pow(10, {_num('takeOfferWithMetadata_metadata_decimals')})
-      AS amount_out
-  FROM j WHERE {_num('giveOfferWithMetadata_finalAmount')} > 0),
-m1 AS (SELECT *, amount_out / nullif(amount_in, 0) AS final_price, in_token || '-' || out_symbol AS pair,
-              src_chain || '-' || dest_chain AS route FROM m0),
-m AS (SELECT *, {_ladder('pair')} AS usd_price FROM m1)
-"""
-
-SUMMARY = """count({k}) AS tx_count, round(avg(final_price), 6) AS avg_price, sum(amount_in) AS amount_in,
-       sum(amount_out) AS amount_out, sum(usd_price * amount_out) AS volume_usd"""
-
-
-@register("pair_analysis", ORDERS_BASE + f"SELECT pair, {SUMMARY.format(k='pair')} FROM m GROUP BY pair")
-def q_pair_analysis(spark, sf):
-    return _round(orders.pair_analysis(B.order_docs_view(spark, sf), B.event_log_view(spark, sf)),
-                  ["avg_price"], 6)
-
-
-@register("chain_analysis", ORDERS_BASE + f"SELECT route AS chain, {SUMMARY.format(k='route')} FROM m GROUP BY route")
-def q_chain_analysis(spark, sf):
-    return _round(orders.chain_analysis(B.order_docs_view(spark, sf), B.event_log_view(spark, sf)),
-                  ["avg_price"], 6)
-
-
-@register("usd_volume", ORDERS_BASE + """
-SELECT split(pair, '-')[2] AS out_leg, usd_price, count(*) AS orders, sum(amount_out) AS amount_out,
-       sum(usd_price * amount_out) AS volume_usd FROM m GROUP BY 1, 2""")
-def q_usd_volume(spark, sf):
-    return orders.usd_volume(B.order_docs_view(spark, sf), B.event_log_view(spark, sf))
-
-
-@register("scale_amount", f"""WITH docs AS ({B.order_docs_sql()})
-SELECT orderid,
-  {_num('giveOfferWithMetadata_finalAmount')} / pow(10, {_num('giveOfferWithMetadata_metadata_decimals')}) AS give_amount,
-  {_num('takeOfferWithMetadata_finalAmount')} / pow(10, {_num('takeOfferWithMetadata_metadata_decimals')}) AS take_amount
-FROM docs""")
-def q_scale_amount(spark, sf):
-    d = B.order_docs_view(spark, sf)
-    return d.select("orderid",
-                    X.scale_amount(orders.GIVE_AMOUNT, orders.GIVE_DECIMALS).alias("give_amount"),
-                    X.scale_amount(orders.TAKE_AMOUNT, orders.TAKE_DECIMALS).alias("take_amount"))
-
-
-@register("classify_chain", f"""WITH docs AS ({B.order_docs_sql()}), ev AS ({B.event_log_sql()})
-SELECT d.orderid,
-  {_chain_case('makerSrc', 'giveOfferWithMetadata_metadata_symbol', 'e.src_chain')} AS src_chain,
-  {_chain_case('receiverDst', 'takeOfferWithMetadata_metadata_symbol', 'e.dest_chain')} AS dest_chain
-FROM docs d LEFT JOIN ev e ON e.orderid = d.orderid""")
-def q_classify_chain(spark, sf):
-    j = orders.enrich_orders(B.order_docs_view(spark, sf), B.event_log_view(spark, sf))
-    return j.select("orderid",
-                    X.classify_chain(orders.MAKER, orders.GIVE_SYMBOL, "ev_src_chain").alias("src_chain"),
-                    X.classify_chain(orders.RECEIVER, orders.TAKE_SYMBOL, "ev_dest_chain").alias("dest_chain"))
-
-
-def _detail_sql(where: str = "") -> str:
-    cols = ",\n  ".join(f"{src} AS {dst}" for dst, src in orders.ORDER_DETAIL_COLUMNS)
-    return f"""WITH docs AS ({B.order_docs_sql()}), ev AS ({B.event_log_sql()})
-SELECT e.orderid AS ORDERID,
-  {cols},
-  e.src_evt_time AS SRC_EVT_TIME,
-  {_chain_case('makerSrc', 'giveOfferWithMetadata_metadata_symbol', 'e.src_chain')} AS SRC_CHAIN,
-  e.dest_evt_time AS DEST_EVT_TIME,
-  {_chain_case('receiverDst', 'takeOfferWithMetadata_metadata_symbol', 'e.dest_chain')} AS DEST_CHAIN
-FROM docs d LEFT JOIN ev e ON e.orderid = d.orderid {where}"""
-
-
-@register("order_details", _detail_sql())
-def q_order_details(spark, sf):
-    return orders.order_details(B.order_docs_view(spark, sf), B.event_log_view(spark, sf))
-
-
-LOOKUP_ID = "1"
-
-
-@register("order_lookup", _detail_sql(f"WHERE e.orderid = '{LOOKUP_ID}'"))
-def q_order_lookup(spark, sf):
-    return orders.order_lookup(q_order_details(spark, sf), LOOKUP_ID)
-
-
-@register("align_legs", f"""WITH s AS ({B.SOURCE_LEG_SQL}), d AS ({B.DEST_LEG_SQL}),
-s1 AS (SELECT id, t, c FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY t, c) AS rn FROM s) WHERE rn = 1),
-d1 AS (SELECT id, t, c FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY t, c) AS rn FROM d) WHERE rn = 1)
-SELECT coalesce(s1.id, d1.id) AS orderid, s1.t AS src_evt_time, s1.c AS src_chain,
-       d1.t AS dest_evt_time, d1.c AS dest_chain
-FROM s1 FULL OUTER JOIN d1 ON s1.id = d1.id""")
-def q_align_legs(spark, sf):
-    return orders.align_legs(B.source_leg(spark, sf), B.dest_leg(spark, sf))
-
-
-@register("backlog", """
-SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate FROM orders
-WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)""")
-def q_backlog(spark, sf):
-    cand = B.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
-    return orders.backlog(cand, B.table(spark, sf, "lineitem"), "o_orderkey", "l_orderkey")
-
-
-@register("distinct_ids", "SELECT DISTINCT l_orderkey FROM lineitem")
-def q_distinct_ids(spark, sf):
-    return orders.distinct_ids(B.table(spark, sf, "lineitem"), "l_orderkey")
-
-
-# ===================================================================== events
-PACK_START, PACK_END = "2024-01-01 00:00:00", "2024-02-01 00:00:00"
-ITEM_SQL = "CAST(event_id AS VARCHAR) || '-' || strftime(ts, '%Y-%m-%d %H:%M:%S.%f')"
-IN_PACK_RANGE = f"ts >= TIMESTAMP '{PACK_START}' AND ts < TIMESTAMP '{PACK_END}'"
-
-
-def _packed(spark, sf):
-    ev = B.events(spark, sf).select(F.col("event_id").alias("orderid"), F.col("ts").alias("evt_block_time"),
-                                    F.col("event_type").alias("chain"))
-    return shape.pack_events(ev, categories=B.EVENT_CATEGORIES, start=PACK_START, end=PACK_END)
-
-
-_PACK_COLS = ",\n  ".join(
-    f"coalesce(string_agg(CASE WHEN event_type = '{v}' THEN item END, ', ' ORDER BY item), '') AS {n}"
-    for v, n in B.EVENT_CATEGORIES)
-
-
-@register("events_packed", f"""
-SELECT date_trunc('hour', ts) AS event_hour, 0 AS part,
-  {_PACK_COLS}
-FROM (SELECT ts, event_type, {ITEM_SQL} AS item FROM events WHERE {IN_PACK_RANGE})
-GROUP BY 1""")
-def q_events_packed(spark, sf):
-    return _packed(spark, sf)
-
-
-@register("events_unpacked", f"""
-SELECT CAST(event_id AS VARCHAR) AS orderId, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS evt_time,
-       upper(event_type) AS chain
-FROM events WHERE {IN_PACK_RANGE}""")
-def q_events_unpacked(spark, sf):
-    return shape.unpack_events(_packed(spark, sf))
-
-
-CODES_SQL = "codes(code, name) AS (VALUES " + ", ".join(
-    f"({k}, '{v}')" for k, v in sorted(K.CHAIN_CODES.items())) + ")"
-
-
-@register("map_codes", f"""WITH {CODES_SQL},
-c AS (SELECT c_custkey, c_nationkey AS emitterChain, CAST(c_custkey % 40 AS INTEGER) AS toChain,
-             c_nationkey + 10 AS tokenChain FROM customer)
-SELECT c.c_custkey, coalesce(a.name, 'Unknown') AS emitterChain, coalesce(b.name, 'Unknown') AS toChain,
-       coalesce(t.name, 'Unknown') AS tokenChain
-FROM c LEFT JOIN codes a ON a.code = c.emitterChain LEFT JOIN codes b ON b.code = c.toChain
-       LEFT JOIN codes t ON t.code = c.tokenChain""")
-def q_map_codes(spark, sf):
-    c = B.table(spark, sf, "customer").select(
-        "c_custkey", F.col("c_nationkey").alias("emitterChain"),
-        (F.col("c_custkey") % 40).cast("int").alias("toChain"),
-        (F.col("c_nationkey") + 10).alias("tokenChain"))
-    return bridge.map_codes(c, ["emitterChain", "toChain", "tokenChain"])
-
-
-@register("json_field", "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
-def q_json_field(spark, sf):
-    ev = B.events(spark, sf)
-    return ev.select("event_id", F.from_json("props", "k BIGINT").getField("k").alias("k"))
-
-
-@register("json_props_flatten", "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS props_k FROM events")
-def q_json_props_flatten(spark, sf):
-    """Event properties kept as JSON text, schema inferred over all rows and
-    flattened (drift mode)."""
-    return shape.flatten_json_column(B.events(spark, sf).select("event_id", "props"), "props")
-
-
-PAGE_A_END, PAGE_B_START = "2024-01-16 00:00:00", "2024-01-14 00:00:00"
-
-
-def _pages(spark, sf):
-    ev = B.events(spark, sf)
-    a = ev.where(F.col("ts") < F.lit(PAGE_A_END).cast("timestamp_ntz"))
-    b = ev.where(F.col("ts") >= F.lit(PAGE_B_START).cast("timestamp_ntz"))
-    return a, b
-
-
-@register("union_pages", f"""
-SELECT event_id, ts, user_id, event_type, value, props FROM events WHERE ts < TIMESTAMP '{PAGE_A_END}'
-UNION ALL
-SELECT event_id, ts, user_id, event_type, value, NULL AS props FROM events WHERE ts >= TIMESTAMP '{PAGE_B_START}'""")
-def q_union_pages(spark, sf):
-    a, b = _pages(spark, sf)
-    return shape.union_by_name([a, b.drop("props")])
-
-
-@register("dedupe_rows", f"""
-SELECT DISTINCT * FROM (
-  SELECT * FROM events WHERE ts < TIMESTAMP '{PAGE_A_END}'
-  UNION ALL SELECT * FROM events WHERE ts >= TIMESTAMP '{PAGE_B_START}')""")
-def q_dedupe_rows(spark, sf):
-    a, b = _pages(spark, sf)
-    return shape.dedupe_rows(shape.union_by_name([a, b]))
-
-
-@register("gap_fill", """WITH bars AS (
-  SELECT event_type, date_trunc('hour', ts) AS event_hour, max(value) AS high, count(*) AS n
-  FROM events GROUP BY 1, 2),
-bnd AS (SELECT event_type, min(event_hour) AS lo, max(event_hour) AS hi FROM bars GROUP BY 1),
-grid AS (SELECT event_type, unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS event_hour FROM bnd)
-SELECT g.event_type, g.event_hour,
-  last_value(b.high IGNORE NULLS) OVER (PARTITION BY g.event_type ORDER BY g.event_hour
-                                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS high,
-  coalesce(b.n, 0) AS n, b.n IS NULL AS filled
-FROM grid g LEFT JOIN bars b ON b.event_type = g.event_type AND b.event_hour = g.event_hour""")
-def q_gap_fill(spark, sf):
-    bars = (B.events(spark, sf)
-            .groupBy("event_type", X.floor_to("hour", "ts").alias("event_hour"))
-            .agg(F.max("value").alias("high"), F.count(F.lit(1)).alias("n")))
-    return timeseries.gap_fill(bars, "event_hour", "event_type", carry="high", zero="n")
-
-
-SLICE_START, SLICE_END, SLICE_STEP_S = "2024-01-01 00:00:00", "2024-01-31 00:00:00", 300
-
-
-@register("slice_coverage", f"""WITH p AS (
-  SELECT epoch_us(TIMESTAMP '{SLICE_END}') AS end_us, {SLICE_STEP_S} * 1000000 AS step_us,
-         (epoch_us(TIMESTAMP '{SLICE_END}') - epoch_us(TIMESTAMP '{SLICE_START}')) // ({SLICE_STEP_S} * 1000000) AS total),
-k AS (SELECT range AS k FROM range(1, (SELECT total FROM p) + 1)),
-c AS (SELECT (p.end_us - epoch_us(ts) + p.step_us - 1) // p.step_us AS k, count(*) AS n
-      FROM events, p WHERE epoch_us(ts) < p.end_us AND epoch_us(ts) >= p.end_us - p.total * p.step_us GROUP BY 1)
-SELECT k.k AS slice_no, make_timestamp(p.end_us - k.k * p.step_us) AS slice_start,
-       make_timestamp(p.end_us - (k.k - 1) * p.step_us) AS slice_end,
-       coalesce(c.n, 0) AS rows, c.n IS NULL AS is_empty
-FROM k CROSS JOIN p LEFT JOIN c ON c.k = k.k""")
-def q_slice_coverage(spark, sf):
-    return slice_coverage(B.events(spark, sf), "ts", SLICE_START, SLICE_END, f"{SLICE_STEP_S} seconds")
-
-
-MARK = "2024-01-15 12:00:00"
-
-
-@register("since_watermark", f"SELECT * FROM events WHERE ts > TIMESTAMP '{MARK}'")
-def q_since_watermark(spark, sf):
-    return marks.since(B.events(spark, sf), "ts", MARK)
-
-
-@register("high_water_mark", """
-SELECT event_type, max(ts) AS high_water_mark, min(ts) AS low_water_mark, count(*) AS rows
-FROM events GROUP BY 1""")
-def q_high_water_mark(spark, sf):
-    return marks.high_water_mark(B.events(spark, sf), "ts", by=["event_type"])
-
-
-@register("epoch_roundtrip", """
-SELECT event_id, epoch_us(ts) // 1000000 AS epoch_s, make_timestamp((epoch_us(ts) // 1000000) * 1000000) AS ts_second
-FROM events""")
-def q_epoch_roundtrip(spark, sf):
-    ev = B.events(spark, sf).select("event_id", X.ts_to_epoch("ts").alias("epoch_s"))
-    return ev.withColumn("ts_second", X.epoch_to_ts("epoch_s"))
-
-
-@register("status_filter", f"""
-SELECT event_id, ts, user_id, value, status FROM (
-  SELECT *, {B.TRANSFER_STATUS} AS status FROM events) WHERE status = 'DONE'""")
-def q_status_filter(spark, sf):
-    t = B.events(spark, sf).select("event_id", "ts", "user_id", "value",
-                                   F.expr(B.TRANSFER_STATUS).alias("status"))
-    return t.where(X.status_is("status"))
-
-
-@register("latency_minute", f"""WITH b AS ({B.BRIDGE_PAIRS_SQL})
-SELECT date_trunc('minute', timestamp) AS minute,
-       sum(CAST(epoch_us(dest_timestamp) - epoch_us(timestamp) AS DOUBLE)) / count(*) / 1e6 AS avg_latency_s,
-       count(*) AS transfers
-FROM b WHERE epoch_us(dest_timestamp) - epoch_us(timestamp) > 0 GROUP BY 1""")
-def q_latency_minute(spark, sf):
-    return bridge.latency_minute(B.bridge_pairs(spark, sf))
-
-
-# ====================================================== flows over landed files
-# Each flow lands its input files (derived by Spark from the driver tables)
-# in a fresh folder under spark.checkpoint.dir, runs, and returns its result.
-
-FMT_SQL = "'%Y-%m-%d %H:%M:%S.%f'"
-LABEL_SRC = B._case_mod("o_custkey", 8, B.CHAIN_LABELS)
-LABEL_DEST = B._case_mod("l_suppkey", 8, B.CHAIN_LABELS)
-
-
-@register("event_log_build", f"""WITH
-s AS (SELECT CAST(o_orderkey AS VARCHAR) AS id, strftime(o_orderdate, {FMT_SQL}) AS t, {LABEL_SRC} AS c
-      FROM orders WHERE o_orderstatus <> 'P'),
-d AS (SELECT CAST(l_orderkey AS VARCHAR) AS id, strftime(l_shipdate, {FMT_SQL}) AS t, {LABEL_DEST} AS c FROM lineitem),
-s1 AS (SELECT id, t, c FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY t, c) AS rn FROM s) WHERE rn = 1),
-d1 AS (SELECT id, t, c FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY t, c) AS rn FROM d) WHERE rn = 1),
-a AS (SELECT coalesce(s1.id, d1.id) AS orderid, s1.t AS src_evt_time, s1.c AS src_chain,
-             d1.t AS dest_evt_time, d1.c AS dest_chain FROM s1 FULL OUTER JOIN d1 ON s1.id = d1.id)
-SELECT * FROM a WHERE NOT EXISTS (
-  SELECT 1 FROM orders WHERE o_orderstatus = 'F' AND CAST(o_orderkey AS VARCHAR) = a.orderid)""")
-def q_event_log_build(spark, sf):
-    root = run_folder(spark, "event_log_build", sf)
-    src = B.source_leg(spark, sf).select(F.col("orderId").alias("orderid"),
-                                         F.col("evt_time").alias("evt_block_time"), "chain")
-    dest = B.dest_leg(spark, sf, spread=True).select(F.col("orderId").alias("orderid"),
-                                        F.col("evt_time").alias("evt_block_time"), "chain")
-    flows.write_packed_csv(src, f"{root}/src")
-    flows.write_packed_csv(dest, f"{root}/dest")
-    stored = (B.table(spark, sf, "orders").where(F.col("o_orderstatus") == "F")
-              .select(F.col("o_orderkey").cast("string").alias("orderid")))
-    flows.event_log_build(spark, f"{root}/src", f"{root}/dest", stored, target=f"{root}/event_log")
-    return spark.read.parquet(f"{root}/event_log")
-
-
-def _stored_docs_sql() -> str:
-    """The order documents as the loader stores them: text, the pre-swap
-    fields 'nan' where the document has no pre-swap object, missing
-    values 'nan'."""
-    cols = dict(B.ORDER_DOC_COLUMNS)
-    name = cols["preswapData_tokenInMetadata_name"]
-    out = []
-    for alias, e in B.ORDER_DOC_COLUMNS:
-        if alias.startswith("preswapData_"):
-            e = f"CASE WHEN ({name}) IN ('nan', 'None', '') THEN 'nan' ELSE ({e}) END"
-        out.append(f"coalesce({e}, 'nan') AS {alias}")
-    return ("SELECT\n    " + ",\n    ".join(out) +
-            "\n  FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey")
-
-
-@register("order_detail_load", f"""WITH docs AS ({_stored_docs_sql()})
-SELECT * FROM docs WHERE NOT EXISTS (
-  SELECT 1 FROM orders WHERE o_orderstatus = 'O' AND CAST(o_orderkey AS VARCHAR) = docs.orderid)""")
-def q_order_detail_load(spark, sf):
-    root = run_folder(spark, "order_detail_load", sf)
-    flows.nest_order_docs(B.order_docs_view(spark, sf, spread=True)).write.text(f"{root}/docs")
-    stored = (B.table(spark, sf, "orders").where(F.col("o_orderstatus") == "O")
-              .select(F.col("o_orderkey").cast("string").alias("orderid")))
-    flows.order_detail_load(spark, f"{root}/docs", stored, target=f"{root}/orders", null_text="nan")
-    return spark.read.parquet(f"{root}/orders")
-
-
-@register("price_history", """WITH bars AS (
-  SELECT event_type AS instrument, date_trunc('hour', ts) AS ts, max(value) AS CLOSE FROM events GROUP BY 1, 2),
-bnd AS (SELECT instrument, min(ts) AS lo, max(ts) AS hi FROM bars GROUP BY 1),
-grid AS (SELECT instrument, unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS ts FROM bnd)
-SELECT g.instrument, g.ts,
-  last_value(b.CLOSE IGNORE NULLS) OVER (PARTITION BY g.instrument ORDER BY g.ts
-                                         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS CLOSE,
-  b.CLOSE IS NULL AS filled
-FROM grid g LEFT JOIN bars b ON b.instrument = g.instrument AND b.ts = g.ts""")
-def q_price_history(spark, sf):
-    root = run_folder(spark, "price_history", sf)
-    bars = (B.events(spark, sf)
-            .groupBy(F.col("event_type").alias("instrument"), X.floor_to("hour", "ts").alias("ts"))
-            .agg(F.max("value").alias("CLOSE")))
-    flows.write_price_pages(bars, f"{root}/pages")
-    return flows.price_history(spark, f"{root}/pages", schema=schemas.PRICE_PAGE)
-
-
-DROP_SCHEMA = "event_id BIGINT, ts TIMESTAMP_NTZ, event_type STRING, value DOUBLE, user_id BIGINT"
-DROP_A = ("click", "view", "purchase")
-
-
-@register("file_drop_aggregate", f"""
-SELECT event_id, ts, event_type, value, CAST(NULL AS BIGINT) AS user_id FROM events
-WHERE event_type IN {DROP_A}
-UNION ALL
-SELECT event_id, ts, event_type, CAST(NULL AS DOUBLE) AS value, user_id FROM events
-WHERE event_type NOT IN {DROP_A}""")
-def q_file_drop_aggregate(spark, sf):
-    root = run_folder(spark, "file_drop", sf)
-    ev = B.events(spark, sf)
-    w = dict(header=True, timestampNTZFormat=flows.PACK_TIME)
-    a = ev.where(F.col("event_type").isin(*DROP_A))
-    b = ev.where(~F.col("event_type").isin(*DROP_A))
-    a.select("event_id", "ts", "event_type", "value").write.options(**w).csv(f"{root}/bundles/2024-01/a")
-    b.select("event_id", "ts", "event_type", "user_id").write.options(**w).csv(f"{root}/bundles/2024-01/b")
-    ev.drop("props").write.options(**w).csv(f"{root}/private/2024-01")
-    return flows.file_drop_aggregate(spark, root, "BUNDLES/2024-01", DROP_SCHEMA)
-
-
-@register("file_inventory")
-def q_file_inventory(spark, sf):
-    """Listing of the landed event CSV drop (rows-only check)."""
-    root = run_folder(spark, "inventory", sf)
-    B.events(spark, sf).drop("props").write.option("header", True).csv(f"{root}/drop")
-    return flows.files.file_inventory(spark, root).select("key", "size")
-
-
-BUNDLE_START = 1704844800  # 2024-01-10 00:00:00 UTC
-
-
-@register("bundle_history", f"""
-SELECT event_id, epoch_us(ts) // 1000000 AS timestamp, user_id, value,
-       make_timestamp((epoch_us(ts) // 1000000) * 1000000) AS DATETIME
-FROM events WHERE epoch_us(ts) // 1000000 > {BUNDLE_START}""")
-def q_bundle_history(spark, sf):
-    root = run_folder(spark, "bundles", sf)
-    rec = B.events(spark, sf).select(
-        X.ts_to_epoch("ts").alias("timestamp"), "event_id", "user_id", "value",
-        F.array("event_type").alias("tokens"),
-        F.struct(F.col("value").alias("delta")).alias("token_balance_delta"),
-        X.floor_to("hour", "ts").alias("page"))
-    flows.write_json_pages(rec, f"{root}/pages", "data", "page")
-    return flows.bundle_history(spark, f"{root}/pages", BUNDLE_START)
-
-
-def _land_order_book(spark, sf, path):
-    """Orders as 500-row order-book pages (bare JSON arrays, one per file);
-    every other page lacks ``makerRate`` (drift)."""
-    o = B.table(spark, sf, "orders").select(
-        (F.col("o_orderkey") / 500).cast("long").alias("page"),
-        F.concat(F.lit("0x"), F.col("o_orderkey").cast("string")).alias("orderHash"),
-        F.concat(F.lit("m"), F.col("o_custkey").cast("string")).alias("maker"),
-        F.round(F.col("o_totalprice") * 100).cast("long").cast("string").alias("makerAmount"),
-        (F.col("o_totalprice") / 1000).alias("makerRate"))
-    even = F.to_json(F.struct("orderHash", "maker", "makerAmount", "makerRate"))
-    odd = F.to_json(F.struct("orderHash", "maker", "makerAmount"))
-    js = o.select("page", F.when(F.col("page") % 2 == 0, even).otherwise(odd).alias("value"))
-    flows.write_array_pages(js, path)
-
-
-@register("order_book_snapshot", """
-SELECT '0x' || CAST(o_orderkey AS VARCHAR) AS orderHash, 'm' || CAST(o_custkey AS VARCHAR) AS maker,
-       CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS VARCHAR) AS makerAmount,
-       CASE WHEN (o_orderkey // 500) % 2 = 0 THEN o_totalprice / 1000 END AS makerRate
-FROM orders""")
-def q_order_book_snapshot(spark, sf):
-    root = run_folder(spark, "order_book", sf)
-    _land_order_book(spark, sf, f"{root}/pages")
-    return flows.order_book_snapshot(spark, f"{root}/pages", schema=schemas.ORDER_BOOK)
-
-
-def _land_bridge_pages(spark, sf, path):
-    """Bridge transfers as nested transaction documents, one JSON page per
-    hour (envelope ``transactions``)."""
-    p = B.bridge_pairs(spark, sf)
-    iso = flows.ISO_TIME
-    tx = p.select(
-        X.floor_to("hour", "timestamp").alias("page"),
-        F.concat(F.lit("id"), F.col("event_id").cast("string")).alias("id"),
-        F.concat(F.lit("0xt"), F.col("event_id").cast("string")).alias("txHash"),
-        (F.col("user_id") % 40).cast("int").alias("emitterChain"),
-        F.lit("0xemitter").alias("emitterAddress"),
-        F.col("value").cast("string").alias("tokenAmount"),
-        F.date_format("timestamp", iso).alias("timestamp"),
-        F.lit("00").alias("payload"),
-        F.struct(
-            F.struct(F.concat(F.lit("0xo"), F.col("event_id").cast("string")).alias("txHash"),
-                     F.lit("confirmed").alias("status"),
-                     F.struct(F.lit("wormchain-gateway").alias("type"),
-                              F.struct(F.lit(1).alias("originChainId"), F.lit("0xa").alias("originAddress"),
-                                       F.lit("0xb").alias("originTxHash")).alias("value")).alias("attribute"))
-             .alias("originTx"),
-            F.struct(F.date_format("dest_timestamp", iso).alias("timestamp"),
-                     ((F.col("user_id") + 7) % 40).cast("int").alias("chainId")).alias("destinationTx"))
-         .alias("globalTx"),
-        F.struct(((F.col("user_id") + 1) % 40).cast("int").alias("toChain"),
-                 ((F.col("user_id") + 2) % 40).cast("int").alias("tokenChain"),
-                 (F.col("user_id") % 40).cast("int").alias("fromChain"),
-                 F.lit("0xf").alias("fromAddress"), F.lit("0xfee").alias("feeAddress"),
-                 F.lit(2).alias("feeChain"), F.col("value").cast("string").alias("amount"),
-                 F.lit(8).alias("normalizedDecimals")).alias("standardizedProperties"))
-    flows.write_json_pages(tx, path, "transactions", "page")
-
-
-@register("bridge_latency_minute", ORACLES["latency_minute"])
-def q_bridge_latency_minute(spark, sf):
-    root = run_folder(spark, "bridge", sf)
-    _land_bridge_pages(spark, sf, f"{root}/pages")
-    return flows.bridge_latency_minute(spark, f"{root}/pages", schema=schemas.BRIDGE_PAGE)
-
-
-# ================================================================ streaming
-
-
-def _await(q, timeout_s: int = 600) -> None:
-    finished = q.awaitTermination(timeout_s)
-    error = q.exception()
-    q.stop()
-    if error is not None:
-        raise RuntimeError(str(error))
-    if not finished:
-        raise TimeoutError(f"streaming query did not finish within {timeout_s} s")
-
-
-@register("stream_ingest", f"""
-SELECT CAST(event_id AS VARCHAR) AS id, status, value AS amount,
-       epoch_us(ts) // 1000000 AS timestamp, make_timestamp((epoch_us(ts) // 1000000) * 1000000) AS DATETIME
-FROM (SELECT *, {B.TRANSFER_STATUS} AS status FROM events) WHERE status = 'DONE'""")
-def q_stream_ingest(spark, sf):
-    """Transfer pages per day, each repeating the previous day's last hour
-    (re-delivery); streamed once with ``availableNow``."""
-    root = run_folder(spark, "stream_ingest", sf)
-    _land_transfer_pages(spark, sf, f"{root}/in")
-    _await(S.ingest_transfers(spark, f"{root}/in", f"{root}/out", f"{root}/ckpt"))
-    return spark.read.parquet(f"{root}/out")
-
-
-@register("stream_latency_minute", f"""WITH b AS ({B.BRIDGE_PAIRS_SQL}),
-p AS (SELECT timestamp, epoch_us(dest_timestamp) - epoch_us(timestamp) AS lat FROM b),
-mx AS (SELECT max(timestamp) AS t FROM p WHERE lat > 0)
-SELECT date_trunc('minute', timestamp) AS minute, sum(CAST(lat AS DOUBLE)) / count(*) / 1e6 AS avg_latency_s,
-       count(*) AS transfers
-FROM p WHERE lat > 0 GROUP BY 1
-HAVING date_trunc('minute', timestamp) + INTERVAL 1 MINUTE <= (SELECT t FROM mx) - INTERVAL 10 MINUTE""")
-def q_stream_latency_minute(spark, sf):
-    """Bridge pairs landed as parquet, streamed; closed windows only."""
-    root = run_folder(spark, "stream_latency", sf)
-    pairs = B.bridge_pairs(spark, sf)
-    pairs.write.parquet(f"{root}/in")
-    src = spark.readStream.schema(pairs.schema).parquet(f"{root}/in")
-    q = (S.stream_latency_minute(src).writeStream.format("parquet").option("path", f"{root}/out")
-          .option("checkpointLocation", f"{root}/ckpt").outputMode("append").trigger(availableNow=True).start())
-    _await(q)
-    return spark.read.parquet(f"{root}/out")
-
-
-@register("stream_backlog", """
-SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS orderid FROM lineitem
-WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderstatus = 'F' AND o_orderkey = l_orderkey)""")
-def q_stream_backlog(spark, sf):
-    """Candidate ids (one per line item, so ids repeat across files) stream
-    in three files per batch (two batches) against the stored ids, which start as the
-    fulfilled orders."""
-    root = run_folder(spark, "stream_backlog", sf)
-    cand = B.table(spark, sf, "lineitem").select(F.col("l_orderkey").cast("string").alias("orderid"))
-    cand.repartition(6).write.parquet(f"{root}/in")
-    stored0 = (B.table(spark, sf, "orders").where(F.col("o_orderstatus") == "F")
-               .select(F.col("o_orderkey").cast("string").alias("orderid")))
-    S.seed_stored(stored0, f"{root}/stored")
-    src = spark.readStream.schema(cand.schema).option("maxFilesPerTrigger", 3).parquet(f"{root}/in")
-    _await(S.stream_backlog(src, f"{root}/stored", f"{root}/ckpt"))
-    return spark.read.parquet(f"{root}/stored").where(F.col("batch_id") >= 0).select("orderid")
-
-
-# ============================================ SQL text path and parity mode
-
-ROUTE_SQL = """
-WITH j AS (
-  SELECT d.*, e.src_chain AS ev_src, e.dest_chain AS ev_dest
-  FROM {docs} d LEFT JOIN {events} e ON e.orderid = d.orderid
-  WHERE try_cast(nullif(nullif(nullif(d.giveOfferWithMetadata_finalAmount, 'nan'), 'None'), '') AS DOUBLE) > 0),
-m AS (
-  SELECT
-    coalesce(if(NOT startswith(makerSrc, '0x'), 'SOL', NULL),
-             if(giveOfferWithMetadata_metadata_symbol = 'S'
-                OR startswith(giveOfferWithMetadata_metadata_symbol, 'sc'), 'SONIC', NULL), ev_src) AS src,
-    coalesce(if(NOT startswith(receiverDst, '0x'), 'SOL', NULL),
-             if(takeOfferWithMetadata_metadata_symbol = 'S'
-                OR startswith(takeOfferWithMetadata_metadata_symbol, 'sc'), 'SONIC', NULL), ev_dest) AS dst,
-    try_cast(takeOfferWithMetadata_finalAmount AS DOUBLE)
-      / pow(10, try_cast(nullif(takeOfferWithMetadata_metadata_decimals, 'nan') AS DOUBLE)) AS amount_out
-  FROM j)
-SELECT concat(src, '-', dst) AS route, count(concat(src, '-', dst)) AS tx_count, sum(amount_out) AS amount_out
-FROM m GROUP BY concat(src, '-', dst)
-"""
-
-
-@register("route_volume_sql", ORDERS_BASE + """
-SELECT route, count(route) AS tx_count, sum(amount_out) AS amount_out FROM m GROUP BY route""")
-def q_route_volume_sql(spark, sf):
-    """Route count and output volume written as Spark SQL text (S8) over
-    the order documents and the event log passed as views."""
-    return sql_query(spark, ROUTE_SQL, {"docs": B.order_docs_view(spark, sf),
-                                        "events": B.event_log_view(spark, sf)})
-
-
-# Parity mode: only the literal text 'nan' marks a missing pre-swap token.
-PARITY_BASE = ORDERS_BASE.replace(
-    f"coalesce({_clean('preswapData_tokenInMetadata_name')}, giveOfferWithMetadata_metadata_symbol) AS in_token",
-    "if(preswapData_tokenInMetadata_name IS NOT DISTINCT FROM 'nan', giveOfferWithMetadata_metadata_symbol, "
-    "preswapData_tokenInMetadata_name) AS in_token").replace(
-    f"CASE WHEN {_clean('preswapData_tokenInMetadata_name')} IS NOT NULL",
-    "CASE WHEN coalesce(preswapData_tokenInMetadata_name <> 'nan', false)")
-
-
-@register("pair_analysis_parity", PARITY_BASE + f"SELECT pair, {SUMMARY.format(k='pair')} FROM m GROUP BY pair")
-def q_pair_analysis_parity(spark, sf):
-    """Pair summary with the literal ``= 'nan'`` sentinel test (a 'None'
-    pre-swap name is kept as a token)."""
-    return _round(orders.pair_analysis(B.order_docs_view(spark, sf), B.event_log_view(spark, sf),
-                                       sentinel_mode=True), ["avg_price"], 6)
-
-
-RESUME_MARK = 1705276800  # 2024-01-15 00:00:00 UTC
-
-
-def _land_transfer_pages(spark, sf, path):
-    """Transfer pages per day, each repeating the previous day's last hour
-    (re-delivery across files)."""
-    rec = B.events(spark, sf).select(
-        F.col("event_id").cast("string").alias("id"), F.expr(B.TRANSFER_STATUS).alias("status"),
-        F.col("value").alias("amount"),
-        F.struct(X.ts_to_epoch("ts").alias("timestamp"), F.lit(1).cast("long").alias("chainId")).alias("sending"),
-        F.to_date("ts").alias("day"), F.hour("ts").alias("h"))
-    again = rec.where(F.col("h") == 23).withColumn("day", F.date_add("day", 1))
-    flows.write_json_pages(rec.unionByName(again).drop("h").withColumn("page", F.col("day")),
-                           path, "transfers", "page", partition_by="day")
-
-
-@register("stream_resume", f"""
-SELECT CAST(event_id AS VARCHAR) AS id, status, value AS amount,
-       epoch_us(ts) // 1000000 AS timestamp, make_timestamp((epoch_us(ts) // 1000000) * 1000000) AS DATETIME
-FROM (SELECT *, {B.TRANSFER_STATUS} AS status FROM events)
-WHERE status = 'DONE' AND epoch_us(ts) // 1000000 > {RESUME_MARK}""")
-def q_stream_resume(spark, sf):
-    """T4: backfill of landed day files strictly after a stored mark,
-    sixteen files per micro-batch; the de-duplication horizon spans the backfill
-    so files processed out of day order lose nothing."""
-    root = run_folder(spark, "stream_resume", sf)
-    _land_transfer_pages(spark, sf, f"{root}/in")
-    _await(S.resume_history(spark, f"{root}/in", f"{root}/out", f"{root}/ckpt", RESUME_MARK,
-                            files_per_batch=16, horizon="31 days"))
-    return spark.read.parquet(f"{root}/out")
-
-
-@register("fill_exports_latency", ORACLES["latency_daily"])
-def q_fill_exports_latency(spark, sf):
-    """Daily fill latency from two landed CSV exports (split by input
-    symbol), read back with the declared fills schema."""
-    root = run_folder(spark, "fill_exports", sf)
-    f = B.fills_view(spark, sf, spread=True)
-    first = F.coalesce(F.col("token_symbol"), F.lit("")).isin("F", "O")
-    (f.withColumn("export", F.when(first, "p1").otherwise("p2"))
-      .write.partitionBy("export").option("header", True).csv(root))      # both exports in one job
-    return fills.latency_daily(flows.read_fill_exports(spark, [f"{root}/export=p1", f"{root}/export=p2"]))
+from . import queries  # noqa: F401  (registers every query)
+from .queries.files import _land_bridge_pages, _land_order_book  # noqa: F401
+from .queries.streams import _land_transfer_pages  # noqa: F401
+from .registry import ORACLES, QUERIES, register  # noqa: F401
