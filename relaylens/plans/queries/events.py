@@ -13,7 +13,6 @@ from .. import bindings as B
 from ..registry import register
 
 
-# ===================================================================== events
 PACK_START, PACK_END = "2024-01-01 00:00:00", "2024-02-01 00:00:00"
 ITEM_SQL = "CAST(event_id AS VARCHAR) || '-' || strftime(ts, '%Y-%m-%d %H:%M:%S.%f')"
 IN_PACK_RANGE = f"ts >= TIMESTAMP '{PACK_START}' AND ts < TIMESTAMP '{PACK_END}'"

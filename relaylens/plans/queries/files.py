@@ -12,7 +12,6 @@ from .. import flows
 from ..registry import ORACLES, register
 
 
-# ====================================================== flows over landed files
 # Each flow lands its input files (derived by Spark from the driver tables)
 # in a fresh folder under spark.checkpoint.dir, runs, and returns its result.
 

@@ -13,7 +13,6 @@ from ..registry import ORACLES, register
 from ..registry import round_cols as _round
 
 
-# ====================================================================== fills
 FILLS = f"WITH fills AS ({B.fills_sql()})\n"
 FILLS_CHAIN = f"WITH fills AS ({B.fills_sql(with_chain=True)})\n"
 LAT_US = "(epoch_us(out_ts) - epoch_us(in_ts))"

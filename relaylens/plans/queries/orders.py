@@ -13,7 +13,6 @@ from ..registry import register
 from ..registry import round_cols as _round
 
 
-# ===================================================================== orders
 def _clean(x: str) -> str:
     return f"(CASE WHEN {x} IN ('nan', 'None', '') THEN NULL ELSE {x} END)"
 
@@ -154,7 +153,6 @@ def q_distinct_ids(spark, sf):
     return orders.distinct_ids(B.table(spark, sf, "lineitem"), "l_orderkey")
 
 
-# ============================================ SQL text path and parity mode
 
 ROUTE_SQL = """
 WITH j AS (

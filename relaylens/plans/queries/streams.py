@@ -12,7 +12,6 @@ from .. import flows
 from ..registry import register
 
 
-# ================================================================ streaming
 
 
 def _await(q, timeout_s: int = 600) -> None:
