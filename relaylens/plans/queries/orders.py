@@ -153,7 +153,6 @@ def q_distinct_ids(spark, sf):
     return orders.distinct_ids(B.table(spark, sf, "lineitem"), "l_orderkey")
 
 
-
 ROUTE_SQL = """
 WITH j AS (
   SELECT d.*, e.src_chain AS ev_src, e.dest_chain AS ev_dest

@@ -12,8 +12,6 @@ from .. import flows
 from ..registry import register
 
 
-
-
 def _await(q, timeout_s: int = 600) -> None:
     finished = q.awaitTermination(timeout_s)
     error = q.exception()
