@@ -35,6 +35,7 @@ SELECT date_trunc('hour', ts) AS event_hour, 0 AS part,
 FROM (SELECT ts, event_type, {ITEM_SQL} AS item FROM events WHERE {IN_PACK_RANGE})
 GROUP BY 1""")
 def q_events_packed(spark, sf):
+    """Hourly packed event log by event type."""
     return _packed(spark, sf)
 
 
@@ -43,6 +44,7 @@ SELECT CAST(event_id AS VARCHAR) AS orderId, strftime(ts, '%Y-%m-%d %H:%M:%S.%f'
        upper(event_type) AS chain
 FROM events WHERE {IN_PACK_RANGE}""")
 def q_events_unpacked(spark, sf):
+    """Round trip: packed cells back to one row per event."""
     return shape.unpack_events(_packed(spark, sf))
 
 
@@ -58,6 +60,7 @@ SELECT c.c_custkey, coalesce(a.name, 'Unknown') AS emitterChain, coalesce(b.name
 FROM c LEFT JOIN codes a ON a.code = c.emitterChain LEFT JOIN codes b ON b.code = c.toChain
        LEFT JOIN codes t ON t.code = c.tokenChain""")
 def q_map_codes(spark, sf):
+    """Customer chain ids mapped to names, unknown ids 'Unknown' (P18)."""
     c = B.table(spark, sf, "customer").select(
         "c_custkey", F.col("c_nationkey").alias("emitterChain"),
         (F.col("c_custkey") % 40).cast("int").alias("toChain"),
@@ -67,6 +70,7 @@ def q_map_codes(spark, sf):
 
 @register("json_field", "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
 def q_json_field(spark, sf):
+    """Nested field of a JSON text column, declared schema."""
     ev = B.events(spark, sf)
     return ev.select("event_id", F.from_json("props", "k BIGINT").getField("k").alias("k"))
 
@@ -93,6 +97,7 @@ SELECT event_id, ts, user_id, event_type, value, props FROM events WHERE ts < TI
 UNION ALL
 SELECT event_id, ts, user_id, event_type, value, NULL AS props FROM events WHERE ts >= TIMESTAMP '{PAGE_B_START}'""")
 def q_union_pages(spark, sf):
+    """Two overlapping pages stacked by name, one lacking a column."""
     a, b = _pages(spark, sf)
     return shape.union_by_name([a, b.drop("props")])
 
@@ -102,6 +107,7 @@ SELECT DISTINCT * FROM (
   SELECT * FROM events WHERE ts < TIMESTAMP '{PAGE_A_END}'
   UNION ALL SELECT * FROM events WHERE ts >= TIMESTAMP '{PAGE_B_START}')""")
 def q_dedupe_rows(spark, sf):
+    """Overlapping pages stacked and de-duplicated."""
     a, b = _pages(spark, sf)
     return shape.dedupe_rows(shape.union_by_name([a, b]))
 
@@ -117,6 +123,7 @@ SELECT g.event_type, g.event_hour,
   coalesce(b.n, 0) AS n, b.n IS NULL AS filled
 FROM grid g LEFT JOIN bars b ON b.event_type = g.event_type AND b.event_hour = g.event_hour""")
 def q_gap_fill(spark, sf):
+    """Hourly bars per event type with gaps forward-filled (U4)."""
     bars = (B.events(spark, sf)
             .groupBy("event_type", X.floor_to("hour", "ts").alias("event_hour"))
             .agg(F.max("value").alias("high"), F.count(F.lit(1)).alias("n")))
@@ -137,6 +144,7 @@ SELECT k.k AS slice_no, make_timestamp(p.end_us - k.k * p.step_us) AS slice_star
        coalesce(c.n, 0) AS rows, c.n IS NULL AS is_empty
 FROM k CROSS JOIN p LEFT JOIN c ON c.k = k.k""")
 def q_slice_coverage(spark, sf):
+    """Rows and empty flag per 5-minute slice of the month."""
     return slice_coverage(B.events(spark, sf), "ts", SLICE_START, SLICE_END, f"{SLICE_STEP_S} seconds")
 
 
@@ -145,6 +153,7 @@ MARK = "2024-01-15 12:00:00"
 
 @register("since_watermark", f"SELECT * FROM events WHERE ts > TIMESTAMP '{MARK}'")
 def q_since_watermark(spark, sf):
+    """Rows strictly newer than a mark."""
     return marks.since(B.events(spark, sf), "ts", MARK)
 
 
@@ -152,6 +161,7 @@ def q_since_watermark(spark, sf):
 SELECT event_type, max(ts) AS high_water_mark, min(ts) AS low_water_mark, count(*) AS rows
 FROM events GROUP BY 1""")
 def q_high_water_mark(spark, sf):
+    """Newest and oldest time and row count per event type."""
     return marks.high_water_mark(B.events(spark, sf), "ts", by=["event_type"])
 
 
@@ -159,6 +169,7 @@ def q_high_water_mark(spark, sf):
 SELECT event_id, epoch_us(ts) // 1000000 AS epoch_s, make_timestamp((epoch_us(ts) // 1000000) * 1000000) AS ts_second
 FROM events""")
 def q_epoch_roundtrip(spark, sf):
+    """Timestamp -> epoch seconds -> timestamp."""
     ev = B.events(spark, sf).select("event_id", X.ts_to_epoch("ts").alias("epoch_s"))
     return ev.withColumn("ts_second", X.epoch_to_ts("epoch_s"))
 
@@ -167,6 +178,7 @@ def q_epoch_roundtrip(spark, sf):
 SELECT event_id, ts, user_id, value, status FROM (
   SELECT *, {B.TRANSFER_STATUS} AS status FROM events) WHERE status = 'DONE'""")
 def q_status_filter(spark, sf):
+    """Transfers with status DONE."""
     t = B.events(spark, sf).select("event_id", "ts", "user_id", "value",
                                    F.expr(B.TRANSFER_STATUS).alias("status"))
     return t.where(X.status_is("status"))
@@ -178,4 +190,5 @@ SELECT date_trunc('minute', timestamp) AS minute,
        count(*) AS transfers
 FROM b WHERE epoch_us(dest_timestamp) - epoch_us(timestamp) > 0 GROUP BY 1""")
 def q_latency_minute(spark, sf):
+    """Mean positive bridge latency per source minute."""
     return bridge.latency_minute(B.bridge_pairs(spark, sf))

@@ -31,6 +31,7 @@ a AS (SELECT coalesce(s1.id, d1.id) AS orderid, s1.t AS src_evt_time, s1.c AS sr
 SELECT * FROM a WHERE NOT EXISTS (
   SELECT 1 FROM orders WHERE o_orderstatus = 'F' AND CAST(o_orderkey AS VARCHAR) = a.orderid)""")
 def q_event_log_build(spark, sf):
+    """L1: packed CSV exports of both legs -> aligned event log of orders not stored yet."""
     root = run_folder(spark, "event_log_build", sf)
     src = B.source_leg(spark, sf).select(F.col("orderId").alias("orderid"),
                                          F.col("evt_time").alias("evt_block_time"), "chain")
@@ -63,6 +64,7 @@ def _stored_docs_sql() -> str:
 SELECT * FROM docs WHERE NOT EXISTS (
   SELECT 1 FROM orders WHERE o_orderstatus = 'O' AND CAST(o_orderkey AS VARCHAR) = docs.orderid)""")
 def q_order_detail_load(spark, sf):
+    """L2: landed nested order documents (drifting keys) -> text rows of new orders."""
     root = run_folder(spark, "order_detail_load", sf)
     flows.nest_order_docs(B.order_docs_view(spark, sf, spread=True)).write.text(f"{root}/docs")
     stored = (B.table(spark, sf, "orders").where(F.col("o_orderstatus") == "O")
@@ -81,6 +83,7 @@ SELECT g.instrument, g.ts,
   b.CLOSE IS NULL AS filled
 FROM grid g LEFT JOIN bars b ON b.instrument = g.instrument AND b.ts = g.ts""")
 def q_price_history(spark, sf):
+    """L3: price pages with overlapping edges -> de-duplicated, gap-filled series."""
     root = run_folder(spark, "price_history", sf)
     bars = (B.events(spark, sf)
             .groupBy(F.col("event_type").alias("instrument"), X.floor_to("hour", "ts").alias("ts"))
@@ -100,6 +103,7 @@ UNION ALL
 SELECT event_id, ts, event_type, CAST(NULL AS DOUBLE) AS value, user_id FROM events
 WHERE event_type NOT IN {DROP_A}""")
 def q_file_drop_aggregate(spark, sf):
+    """L4: listing -> keyword/suffix selection -> header-drift CSV union."""
     root = run_folder(spark, "file_drop", sf)
     ev = B.events(spark, sf)
     w = dict(header=True, timestampNTZFormat=flows.PACK_TIME)
@@ -127,6 +131,7 @@ SELECT event_id, epoch_us(ts) // 1000000 AS timestamp, user_id, value,
        make_timestamp((epoch_us(ts) // 1000000) * 1000000) AS DATETIME
 FROM events WHERE epoch_us(ts) // 1000000 > {BUNDLE_START}""")
 def q_bundle_history(spark, sf):
+    """Bundle pages -> bundles after a mark, with DATETIME."""
     root = run_folder(spark, "bundles", sf)
     rec = B.events(spark, sf).select(
         X.ts_to_epoch("ts").alias("timestamp"), "event_id", "user_id", "value",
@@ -158,6 +163,7 @@ SELECT '0x' || CAST(o_orderkey AS VARCHAR) AS orderHash, 'm' || CAST(o_custkey A
        CASE WHEN (o_orderkey // 500) % 2 = 0 THEN o_totalprice / 1000 END AS makerRate
 FROM orders""")
 def q_order_book_snapshot(spark, sf):
+    """Order-book pages (bare arrays, drifting columns) stacked by name."""
     root = run_folder(spark, "order_book", sf)
     _land_order_book(spark, sf, f"{root}/pages")
     return flows.order_book_snapshot(spark, f"{root}/pages", schema=schemas.ORDER_BOOK)
@@ -198,6 +204,7 @@ def _land_bridge_pages(spark, sf, path):
 
 @register("bridge_latency_minute", ORACLES["latency_minute"])
 def q_bridge_latency_minute(spark, sf):
+    """Nested transaction pages -> chain-named transfers -> latency per minute."""
     root = run_folder(spark, "bridge", sf)
     _land_bridge_pages(spark, sf, f"{root}/pages")
     return flows.bridge_latency_minute(spark, f"{root}/pages", schema=schemas.BRIDGE_PAGE)

@@ -25,6 +25,7 @@ SELECT CAST(in_ts AS DATE) AS day,
        min({LAT_US}) / 1e6 AS min_latency_s
 FROM fills WHERE out_ts IS NOT NULL AND in_ts IS NOT NULL GROUP BY 1""")
 def q_latency_daily(spark: SparkSession, sf: str) -> DataFrame:
+    """Mean/max/min fill latency per input day."""
     return fills.latency_daily(B.fills_view(spark, sf))
 
 
@@ -33,6 +34,7 @@ SELECT CAST(in_ts AS DATE) AS day, sum(fee) / count(fee) AS avg_fee, max(fee) AS
 FROM (SELECT in_ts, input_amount_usd - output_amount_usd AS fee FROM fills
       WHERE output_symbol = token_symbol AND in_ts IS NOT NULL) GROUP BY 1""")
 def q_fee_daily(spark, sf):
+    """Mean/max/min fee per day over same-token fills."""
     return fills.fee_daily(B.fills_view(spark, sf))
 
 
@@ -42,6 +44,7 @@ SELECT CAST(in_ts AS DATE) AS day, round(avg(p), 10) AS avg_fee_pct, round(max(p
 FROM (SELECT in_ts, (input_amount_usd - output_amount_usd) / nullif(input_amount_usd, 0) AS p FROM fills
       WHERE output_symbol = token_symbol AND in_ts IS NOT NULL) GROUP BY 1""")
 def q_fee_pct_daily(spark, sf):
+    """Mean/max/min fee fraction per day over same-token fills (A5, P20)."""
     return _round(fills.fee_pct_daily(B.fills_view(spark, sf)),
                   ["avg_fee_pct", "max_fee_pct", "min_fee_pct"], 10)
 
@@ -50,6 +53,7 @@ def q_fee_pct_daily(spark, sf):
 SELECT token_symbol, coalesce(sum(input_amount_usd), 0.0) AS volume_usd
 FROM fills WHERE token_symbol IS NOT NULL GROUP BY 1""")
 def q_volume_by_token(spark, sf):
+    """USD volume per input token, descending."""
     return fills.volume_by(B.fills_view(spark, sf), "token_symbol")
 
 
@@ -57,6 +61,7 @@ def q_volume_by_token(spark, sf):
 SELECT src_chain, coalesce(sum(input_amount_usd), 0.0) AS volume_usd
 FROM fills WHERE src_chain IS NOT NULL GROUP BY 1""")
 def q_volume_by_chain(spark, sf):
+    """USD volume per source chain, descending."""
     return fills.volume_by(B.fills_view(spark, sf, with_chain=True), "src_chain")
 
 
@@ -64,6 +69,7 @@ def q_volume_by_chain(spark, sf):
 SELECT relayer, coalesce(sum(input_amount_usd - output_amount_usd), 0.0) AS total_fees
 FROM fills WHERE relayer IS NOT NULL GROUP BY 1""")
 def q_relayer_fees(spark, sf):
+    """Total fees per relayer."""
     return fills.relayer_fees(B.fills_view(spark, sf))
 
 
@@ -72,6 +78,7 @@ SELECT relayer, round(avg((input_amount_usd - output_amount_usd) * 100 / nullif(
        AS avg_yield_pct
 FROM fills WHERE relayer IS NOT NULL GROUP BY 1""")
 def q_relayer_yield(spark, sf):
+    """Mean per-fill yield percent per relayer."""
     return _round(fills.relayer_yield(B.fills_view(spark, sf)), ["avg_yield_pct"], 8)
 
 
@@ -82,6 +89,7 @@ SELECT 100 * count(*) FILTER (WHERE output_symbol = token_symbol) / count(*) AS
          AS diff_token_pct
 FROM fills""")
 def q_token_share(spark, sf):
+    """Percent of same-token and different-token fills over all rows."""
     return fills.token_share(B.fills_view(spark, sf))
 
 

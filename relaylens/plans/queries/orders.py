@@ -64,12 +64,14 @@ SUMMARY = """count({k}) AS tx_count, round(avg(final_price), 6) AS avg_price, su
 
 @register("pair_analysis", ORDERS_BASE + f"SELECT pair, {SUMMARY.format(k='pair')} FROM m GROUP BY pair")
 def q_pair_analysis(spark, sf):
+    """Per-pair count, mean price, in/out totals, USD volume."""
     return _round(orders.pair_analysis(B.order_docs_view(spark, sf), B.event_log_view(spark, sf)),
                   ["avg_price"], 6)
 
 
 @register("chain_analysis", ORDERS_BASE + f"SELECT route AS chain, {SUMMARY.format(k='route')} FROM m GROUP BY route")
 def q_chain_analysis(spark, sf):
+    """The same per src-dest route; unknown routes form a NULL route counted 0 (A2)."""
     return _round(orders.chain_analysis(B.order_docs_view(spark, sf), B.event_log_view(spark, sf)),
                   ["avg_price"], 6)
 
@@ -78,6 +80,7 @@ def q_chain_analysis(spark, sf):
 SELECT split(pair, '-')[2] AS out_leg, usd_price, count(*) AS orders, sum(amount_out) AS amount_out,
        sum(usd_price * amount_out) AS volume_usd FROM m GROUP BY 1, 2""")
 def q_usd_volume(spark, sf):
+    """USD volume per output leg and its reference price."""
     return orders.usd_volume(B.order_docs_view(spark, sf), B.event_log_view(spark, sf))
 
 
@@ -87,6 +90,7 @@ SELECT orderid,
   {_num('takeOfferWithMetadata_finalAmount')} / pow(10, {_num('takeOfferWithMetadata_metadata_decimals')}) AS take_amount
 FROM docs""")
 def q_scale_amount(spark, sf):
+    """Raw amounts scaled by their decimals."""
     d = B.order_docs_view(spark, sf)
     return d.select("orderid",
                     X.scale_amount(orders.GIVE_AMOUNT, orders.GIVE_DECIMALS).alias("give_amount"),
@@ -99,6 +103,7 @@ SELECT d.orderid,
   {_chain_case('receiverDst', 'takeOfferWithMetadata_metadata_symbol', 'e.dest_chain')} AS dest_chain
 FROM docs d LEFT JOIN ev e ON e.orderid = d.orderid""")
 def q_classify_chain(spark, sf):
+    """Source and destination chain of every order document."""
     j = orders.enrich_orders(B.order_docs_view(spark, sf), B.event_log_view(spark, sf))
     return j.select("orderid",
                     X.classify_chain(orders.MAKER, orders.GIVE_SYMBOL, "ev_src_chain").alias("src_chain"),
@@ -119,6 +124,7 @@ FROM docs d LEFT JOIN ev e ON e.orderid = d.orderid {where}"""
 
 @register("order_details", _detail_sql())
 def q_order_details(spark, sf):
+    """30-column order detail; ORDERID from the event side."""
     return orders.order_details(B.order_docs_view(spark, sf), B.event_log_view(spark, sf))
 
 
@@ -127,6 +133,7 @@ LOOKUP_ID = "1"
 
 @register("order_lookup", _detail_sql(f"WHERE e.orderid = '{LOOKUP_ID}'"))
 def q_order_lookup(spark, sf):
+    """One order's detail by id (F1)."""
     return orders.order_lookup(q_order_details(spark, sf), LOOKUP_ID)
 
 
@@ -137,6 +144,7 @@ SELECT coalesce(s1.id, d1.id) AS orderid, s1.t AS src_evt_time, s1.c AS src_chai
        d1.t AS dest_evt_time, d1.c AS dest_chain
 FROM s1 FULL OUTER JOIN d1 ON s1.id = d1.id""")
 def q_align_legs(spark, sf):
+    """Earliest source and destination event per order, full outer."""
     return orders.align_legs(B.source_leg(spark, sf), B.dest_leg(spark, sf))
 
 
@@ -144,12 +152,14 @@ def q_align_legs(spark, sf):
 SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate FROM orders
 WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)""")
 def q_backlog(spark, sf):
+    """Orders with no line item yet."""
     cand = B.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
     return orders.backlog(cand, B.table(spark, sf, "lineitem"), "o_orderkey", "l_orderkey")
 
 
 @register("distinct_ids", "SELECT DISTINCT l_orderkey FROM lineitem")
 def q_distinct_ids(spark, sf):
+    """Distinct order ids of the line items."""
     return orders.distinct_ids(B.table(spark, sf, "lineitem"), "l_orderkey")
 
 
