@@ -317,3 +317,25 @@ def test_pack_keeps_null_hour_group_and_gap_fill_drops_null_keys(spark):
                                "k string, ts timestamp_ntz, v double")
     got = [(r.k, r.v) for r in timeseries.gap_fill(df, "ts", "k", carry="v").collect()]
     assert got == [("a", 2.0)]
+
+
+def test_small_helpers(spark, tmp_dir):
+    from relaylens.functions import expr as X
+    from relaylens.sources import sinks
+    df = spark.createDataFrame([(1, dt.datetime(2024, 1, 1)), (1, dt.datetime(2024, 1, 2)),
+                                (2, dt.datetime(2024, 1, 3))], "k long, ts timestamp_ntz")
+    inside = df.where(X.in_range("ts", F.lit("2024-01-01").cast("timestamp_ntz"),
+                                 F.lit("2024-01-03").cast("timestamp_ntz")))
+    assert inside.count() == 2                                   # half-open: the end is excluded
+    assert shape.with_literal(df, "chain", "ETH").select("chain").distinct().first().chain == "ETH"
+    assert shape.dedupe_rows(df, ["k"]).count() == 2
+    dim = bridge.chain_dim(spark)
+    assert dim.count() == 36 and dim.where("code = 30").first().name == "Base"
+    sinks.append_table(df, f"{tmp_dir}/t", partition_by="k")
+    sinks.append_table(df, f"{tmp_dir}/t", partition_by="k")
+    assert spark.read.parquet(f"{tmp_dir}/t").count() == 6
+    sinks.append_table(df, "t_helpers_tbl", table=True)
+    try:
+        assert spark.table("t_helpers_tbl").count() == 3
+    finally:
+        spark.sql("DROP TABLE IF EXISTS t_helpers_tbl")
