@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import simhash, substring_dedup, url_filter
 from .common import read_table
 
 QUERIES: dict = {}
@@ -25,3 +25,38 @@ def op8_simhash(spark, sf_dir):
     """Near-duplicate component of every document (3-word shingles, 2 bits)."""
     found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, limit=2)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+URL_SQL = r"""
+WITH rules(action, host, path) AS (
+  VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')),
+parts AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+split AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM parts),
+numbered AS (SELECT row_number() OVER () AS n, * FROM split),
+best AS (
+  SELECT n, arg_max(r.host || r.path, length(r.host || r.path)) AS rule,
+         arg_max(r.action, length(r.host || r.path)) AS action
+  FROM numbered s JOIN rules r
+    ON (s.host = r.host OR ends_with(s.host, '.' || r.host)) AND starts_with(s.path, r.path)
+  GROUP BY n)
+SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM numbered LEFT JOIN best USING (n)
+"""
+
+
+@register("op9_url_filter", URL_SQL)
+def op9_url_filter(spark, sf_dir):
+    """Allow or block verdict of every page url by the longest fitting rule."""
+    judged = url_filter.judge_urls(read_table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
+    return judged.select("page_id", "judged.host", "judged.path", "judged.rule", "judged.verdict")
+
+
+@register("op1_substring_dedup")
+def op1_substring_dedup(spark, sf_dir):
+    """Words left in every document after removing repeated 13-word windows."""
+    left = substring_dedup.remove_repeats(read_table(spark, sf_dir, "documents"), width=13)
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
