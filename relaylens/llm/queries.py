@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import simhash, substring_dedup, url_filter
+from . import decontamination, simhash, substring_dedup, url_filter
 from .common import read_table
 
 QUERIES: dict = {}
@@ -60,3 +60,10 @@ def op1_substring_dedup(spark, sf_dir):
     """Words left in every document after removing repeated 13-word windows."""
     left = substring_dedup.remove_repeats(read_table(spark, sf_dir, "documents"), width=13)
     return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register("op3_decontamination")
+def op3_decontamination(spark, sf_dir):
+    """Every document and benchmark item that share a window of 13 tokens, 11 of them equal."""
+    return decontamination.find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"),
+                                      window=13, share=0.8).drop("text_key")
