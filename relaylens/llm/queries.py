@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontamination, simhash, substring_dedup, url_filter
-from .common import read_table
+from . import decontamination, simhash, substring_dedup, token_output, url_filter
+from .common import read_table, scratch_folder
 
 QUERIES: dict = {}
 ORACLES: dict = {}
 
+#: Vocabulary files of public tokenizers.
+WORD_BPE = "word_bpe_49k.json"
+
 
 def register(name: str, sql: str | None = None):
     def deco(fn):
@@ -67,3 +70,17 @@ def op3_decontamination(spark, sf_dir):
     """Every document and benchmark item that share a window of 13 tokens, 11 of them equal."""
     return decontamination.find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"),
                                       window=13, share=0.8).drop("text_key")
+
+
+def word_tokenizer():
+    import public_tokenizers
+    return token_output.word_encoder(public_tokenizers.path(WORD_BPE))
+
+
+@register("op2_token_output")
+def op2_token_output(spark, sf_dir):
+    """Place, length and checksum of every document's ids, as read back from the written files."""
+    folder = scratch_folder(spark, "op2_tokens")
+    token_output.write_tokens(read_table(spark, sf_dir, "documents"), folder, word_tokenizer, end_id=2)
+    back = token_output.read_tokens(spark, folder)
+    return back.select("doc_id", "start", "n_tokens", F.col("crc32").alias("ids_crc32"))
