@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from .common import freeze, per_text
 
 #: Distinct fingerprints per group, until MAX_GROUPS groups are reached.
-GROUP_SIZE = 4096
+GROUP_SIZE = 1 << 16
 #: Bound on the leaves of the upper index, and so on what every task receives
 #: (two 64-bit words each).
 MAX_GROUPS = 65536
