@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontamination, simhash, substring_dedup, token_output, url_filter
+from . import decontamination, quality_classifier, quality_rules, simhash, substring_dedup, token_output, url_filter
 from .common import read_table, scratch_folder
 
 QUERIES: dict = {}
@@ -84,3 +84,26 @@ def op2_token_output(spark, sf_dir):
     token_output.write_tokens(read_table(spark, sf_dir, "documents"), folder, word_tokenizer, end_id=2)
     back = token_output.read_tokens(spark, folder)
     return back.select("doc_id", "start", "n_tokens", F.col("crc32").alias("ids_crc32"))
+
+
+@register("op4_quality_rules")
+def op4_quality_rules(spark, sf_dir):
+    """Rule counts of every document and the verdict by divergence from language references."""
+    docs = read_table(spark, sf_dir, "documents")
+    judged = quality_rules.judge(docs.select("doc_id", "text"), quality_rules.build_references(docs))
+    return judged.select("doc_id", "quality.*")
+
+
+def fold(doc_id, folds: int):
+    """crc32 of the id as text, modulo ``folds``."""
+    return F.crc32(doc_id.cast("string").cast("binary")) % folds
+
+
+@register("op10_quality_classifier")
+def op10_quality_classifier(spark, sf_dir):
+    """Score of every document by trees fitted on the labels outside the held-out fold."""
+    docs, labels = (read_table(spark, sf_dir, t) for t in ("documents", "labels"))
+    model = quality_classifier.fit_quality(docs, labels, usable=fold(F.col("doc_id"), 3) != 1)
+    scored = quality_classifier.score_quality(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", F.coalesce(fold(F.col("doc_id"), 3) == 1, F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
