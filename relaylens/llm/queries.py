@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontamination, quality_classifier, quality_rules, simhash, substring_dedup, token_output, url_filter
+from . import decontamination, language_id, quality_classifier, quality_rules, simhash, substring_dedup, token_output, url_filter
 from .common import read_table, scratch_folder
 
 QUERIES: dict = {}
@@ -107,3 +107,13 @@ def op10_quality_classifier(spark, sf_dir):
     scored = quality_classifier.score_quality(docs.select("doc_id", "text"), model)
     return scored.select("doc_id", F.coalesce(fold(F.col("doc_id"), 3) == 1, F.lit(False)).alias("held_out"), "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@register("op6_language_id")
+def op6_language_id(spark, sf_dir):
+    """Language of every document, learned outside the held-out fold."""
+    docs = read_table(spark, sf_dir, "documents")
+    model = language_id.fit_languages(docs, usable=fold(F.col("doc_id"), 5) != 0)
+    found = language_id.predict_language(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", F.coalesce(fold(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"),
+                        F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score"))
