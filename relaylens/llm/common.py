@@ -32,27 +32,35 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def per_text(text: Column, make: Callable[[], Callable[[list], dict]], ddl: str) -> Column:
-    """Struct column computed from a text column in Arrow batches.
+def per_value(value: Column, make: Callable[[], Callable[[pa.Array], dict]], ddl: str) -> Column:
+    """Struct column computed from one column in Arrow batches.
 
-    ``make()`` runs once per task and returns a function from a list of texts
-    (``None`` for null) to a dict of equally long lists, one per struct field.
-    Only the text travels to Python; other columns stay in the JVM.
+    ``make()`` runs once per task and returns a function from an Arrow array to
+    a dict of equally long lists or arrays, one per struct field. Only this
+    column travels to Python; other columns stay in the JVM.
     """
 
     @F.arrow_udf(ddl)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        fn, kind = make(), None
+        fn, kind = make(), arrow_struct(ddl)
         for batch in batches:
             parts = []
             for lo in range(0, len(batch), SLICE_ROWS):
-                cols = fn(batch.slice(lo, SLICE_ROWS).to_pylist())
-                kind = kind or arrow_struct(ddl)
+                cols = fn(batch.slice(lo, SLICE_ROWS))
                 parts.append(pa.StructArray.from_arrays(
-                    [pa.array(cols[f.name], f.type) for f in kind], fields=list(kind)))
-            yield pa.concat_arrays(parts) if parts else pa.array([], type=arrow_struct(ddl))
+                    [c if isinstance(c := cols[f.name], pa.Array) else pa.array(c, f.type) for f in kind],
+                    fields=list(kind)))
+            yield pa.concat_arrays(parts) if parts else pa.array([], type=kind)
+
+    return run(value)
 
-    return run(text.cast("string"))
+
+def per_text(text: Column, make: Callable[[], Callable[[list], dict]], ddl: str) -> Column:
+    """As ``per_value`` for a text column; the function gets a list of texts, ``None`` for null."""
+    def from_list():
+        fn = make()
+        return lambda part: fn(part.to_pylist())
+    return per_value(text.cast("string"), from_list, ddl)
 
 
 def arrow_struct(ddl: str) -> pa.StructType:

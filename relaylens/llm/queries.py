@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontamination, language_id, quality_classifier, quality_rules, simhash, substring_dedup, token_output, url_filter
+from . import decontamination, language_id, quality_classifier, quality_rules, sentencepiece, simhash, substring_dedup, token_output, url_filter
 from .common import read_table, scratch_folder
 
 QUERIES: dict = {}
 ORACLES: dict = {}
 
 #: Vocabulary files of public tokenizers.
-WORD_BPE = "word_bpe_49k.json"
+WORD_BPE, PIECES = "word_bpe_49k.json", "piece_bpe_32k.model"
 
 
 def register(name: str, sql: str | None = None):
@@ -117,3 +117,24 @@ def op6_language_id(spark, sf_dir):
     found = language_id.predict_language(docs.select("doc_id", "text"), model)
     return found.select("doc_id", F.coalesce(fold(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"),
                         F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score"))
+
+
+def piece_model(spark):
+    import public_tokenizers
+    return sentencepiece.share_model(spark, public_tokenizers.path(PIECES))
+
+
+def encoded(docs, model):
+    """``docs`` with its pieces, their number and checksum, and the text that they decode to."""
+    coded = sentencepiece.decode(sentencepiece.encode(docs, model), model)
+    return coded.withColumns({
+        "n_pieces": F.coalesce(F.size("pieces"), F.lit(0)).cast("bigint"),
+        "round_trip": F.col("decoded").eqNullSafe(F.col("text")),
+        "pieces_sha256": F.sha2(F.array_join("pieces", ","), 256), "decoded_sha256": F.sha2("decoded", 256)})
+
+
+@register("op7_sentencepiece")
+def op7_sentencepiece(spark, sf_dir):
+    """Pieces of every document on its best path, and whether they decode to the text."""
+    coded = encoded(read_table(spark, sf_dir, "documents").select("doc_id", "text"), piece_model(spark))
+    return coded.select("doc_id", "n_pieces", "pieces_sha256", "decoded_sha256", "round_trip")
