@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from .common import freeze, per_text
 
 #: Distinct fingerprints per group, until MAX_GROUPS groups are reached.
-GROUP_SIZE = 1 << 16
+GROUP_SIZE = 1 << 15
 #: Bound on the leaves of the upper index, and so on what every task receives
 #: (two 64-bit words each).
 MAX_GROUPS = 65536
@@ -196,8 +196,14 @@ def link_fingerprints(distinct: DataFrame, limit: int = 2) -> DataFrame:
                 to = ids[node]
                 later = to >= g[q]                        # the other direction is the other one's visit
                 q, to = q[later], to[later]
+                order = np.lexsort((to != g[q], to))      # neighbours in Gray order visit the same groups together
+                q, to = q[order], to[order]
+                away = to != g[q]
+                cuts = np.flatnonzero(np.r_[True, (np.diff(to) != 0) | (np.diff(away) != 0)]) if len(q) else order
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(to), pa.array(f[q]), pa.array((to != g[q]).astype(np.int32))], ["grp", "fp", "visitor"])
+                    [pa.array(to[cuts]), pa.array(away[cuts].astype(np.int32)),
+                     pa.array([f[x].tobytes() for x in np.split(q, cuts[1:])] if len(q) else [], pa.binary())],
+                    ["grp", "visitor", "fps"])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for members, visitors in _runs(batches):
@@ -206,7 +212,7 @@ def link_fingerprints(distinct: DataFrame, limit: int = 2) -> DataFrame:
 
     if not top:
         return placed.select(F.col("fp").alias("a"), F.col("fp").alias("b"))
-    visits = placed.mapInArrow(route, "grp int, fp bigint, visitor int")
+    visits = placed.mapInArrow(route, "grp int, visitor int, fps binary")
     return (visits.repartition(groups, "grp").sortWithinPartitions("grp", "visitor")
             .mapInArrow(search, "a bigint, b bigint"))
 
@@ -215,11 +221,8 @@ def _runs(batches: Iterator[pa.RecordBatch]):
     """(members, iterator of visitor blocks) for each group of a sorted stream."""
     def pieces():
         for batch in batches:
-            grp, fp, visitor = (batch.column(c).to_numpy() for c in ("grp", "fp", "visitor"))
-            cuts = np.flatnonzero((np.diff(grp) != 0) | (np.diff(visitor) != 0)) + 1
-            for s, e in zip(np.r_[0, cuts], np.r_[cuts, len(grp)], strict=True):
-                if e > s:
-                    yield int(grp[s]), bool(visitor[s]), fp[s:e].view(np.uint64)
+            for row in zip(*(batch.column(c).to_pylist() for c in ("grp", "visitor", "fps")), strict=True):
+                yield row[0], bool(row[1]), np.frombuffer(row[2], np.uint64)
 
     stream = pieces()
     piece = next(stream, None)
