@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontamination, language_id, quality_classifier, quality_rules, sentencepiece, simhash, substring_dedup, token_output, url_filter
+from . import decontamination, language_id, pii, quality_classifier, quality_rules, sentencepiece, simhash, substring_dedup, token_output, url_filter
 from .common import read_table, scratch_folder
 
 QUERIES: dict = {}
@@ -138,3 +138,12 @@ def op7_sentencepiece(spark, sf_dir):
     """Pieces of every document on its best path, and whether they decode to the text."""
     coded = encoded(read_table(spark, sf_dir, "documents").select("doc_id", "text"), piece_model(spark))
     return coded.select("doc_id", "n_pieces", "pieces_sha256", "decoded_sha256", "round_trip")
+
+
+@register("op5_pii")
+def op5_pii(spark, sf_dir):
+    """Personal data in every document: pattern spans, and those that the tagger adds."""
+    docs = read_table(spark, sf_dir, "documents")
+    found = pii.find_pii(docs.select("doc_id", "text"), pii.fit_tagger(docs))
+    return found.select("doc_id", *(f"pii.n_{k}" for k in pii.KINDS), F.sha2("pii.base", 256).alias("base_sha256"),
+                        "pii.spans", F.col("pii.base").alias("base_spans"))
