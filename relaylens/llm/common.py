@@ -77,17 +77,21 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").split()
 
 
-def span_hashes(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit polynomial hashes of byte spans, equal for equal bytes wherever
-    the spans lie. Equal hashes do not prove equal bytes."""
-    powers, inverse = _powers(len(buffer) + 1)
-    prefix = np.zeros(len(buffer) + 1, np.uint64)
-    np.cumsum((buffer.astype(np.uint64) + np.uint64(1)) * powers[:-1], out=prefix[1:])
-    h = (prefix[ends] - prefix[starts]) * inverse[starts]
-    h ^= h >> np.uint64(32)
-    h *= np.uint64(0xD6E8FEB86659FD93)
-    h ^= h >> np.uint64(32)
-    return h
+def span_hashes(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray, piece: int = 1 << 16) -> np.ndarray:
+    """64-bit polynomial hashes of byte spans (ascending starts), equal for equal bytes wherever
+    the spans lie. Equal hashes do not prove equal bytes. Memory is that of ``piece`` spans."""
+    out = np.empty(len(starts), np.uint64)
+    for at in range(0, len(starts), piece):
+        s, e = starts[at:at + piece], ends[at:at + piece]
+        base, stop = int(s[0]), int(e.max())
+        powers, inverse = _powers(stop - base + 1)
+        prefix = np.zeros(stop - base + 1, np.uint64)
+        np.cumsum((buffer[base:stop].astype(np.uint64) + np.uint64(1)) * powers[:-1], out=prefix[1:])
+        out[at:at + piece] = (prefix[e - base] - prefix[s - base]) * inverse[s - base]
+    out ^= out >> np.uint64(32)
+    out *= np.uint64(0xD6E8FEB86659FD93)
+    out ^= out >> np.uint64(32)
+    return out
 
 
 _MULTIPLIER = 0x9E3779B97F4A7C15 | 1

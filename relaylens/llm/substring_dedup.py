@@ -3,8 +3,9 @@
 A window is ``width`` consecutive words of one document. Its minimiser is the
 smallest of its word pairs under a fixed hash order in which short pairs come
 last. Consecutive windows with the same minimiser travel as one packed string
-(a super-k-mer) to the minimiser's bucket, so equal windows always meet there.
-The bucket sorts its windows by a hash of their bytes and compares the bytes
+(a super-k-mer) to the minimiser's bucket, so equal windows always meet there;
+a block of documents sends all its super-k-mers of one bucket as one compressed
+row. The bucket sorts its windows by a hash of their bytes and compares the bytes
 inside every run of equal hashes, so the counts are exact.
 
 Documents are dealt into blocks first. A block sends each distinct super-k-mer
@@ -23,19 +24,23 @@ an empty result. Other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import span_hashes, words_of
 
 #: Bytes of text that a block should hold.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
+#: Bytes of text whose windows a bucket should hold (as super-k-mers about three times as much).
+BUCKET_BYTES = 1 << 20
 NO_ID = np.iinfo(np.int64).max
-#: Bytes of packed strings that a bucket task sorts at a time, if one minimiser has no more.
-CHUNK_BYTES = 8 << 20
+#: Windows found before a bucket task passes them on.
+HELD_ANSWERS = 200_000
 #: Word pairs of fewer bytes come last in the order of minimisers: they are the frequent ones.
 SHORT_PAIR = 10
 
@@ -46,16 +51,16 @@ class Block:
     def __init__(self, ids: list, texts: list, width: int):
         order = sorted(range(len(ids)), key=lambda i: (NO_ID if ids[i] is None else ids[i], texts[i] or ""))
         self.ids = [ids[i] for i in order]
-        self.docs = [words_of(texts[i]) for i in order]
-        self.sizes = np.array([len(d) for d in self.docs], np.int64)
-        self.width, self.n_words = width, int(self.sizes.sum())
         self.key = np.array([NO_ID if i is None else i for i in self.ids], np.int64)
-        joined = b" ".join(w for d in self.docs for w in d)
-        self.joined = joined
+        docs = [words_of(texts[i]) for i in order]
+        self.sizes = np.array([len(d) for d in docs], np.int64)
+        self.width, self.n_words = width, int(self.sizes.sum())
+        self.joined = joined = b" ".join([b" ".join(d) for d in docs if d])
+        del docs
         data = np.frombuffer(joined + b" ", np.uint8)
         self.ends = np.flatnonzero(data == 32) if self.n_words else np.zeros(0, np.int64)
         self.starts = np.r_[0, self.ends[:-1] + 1] if self.n_words else self.ends
-        self.doc_of = np.repeat(np.arange(len(self.docs)), self.sizes)
+        self.doc_of = np.repeat(np.arange(len(self.ids), dtype=np.int32), self.sizes)
         self._cut(data)
 
     def _cut(self, data: np.ndarray) -> None:
@@ -173,29 +178,34 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         raise ValueError("width must be between 2 and 60")
     keyed = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
     size = keyed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(-(-size // BLOCK_BYTES), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks, buckets = max(-(-size // BLOCK_BYTES), tasks), max(-(-size // BUCKET_BYTES), 4 * tasks)
     dealt = keyed.withColumn("block", F.pmod(F.xxhash64("id", F.octet_length("text")), F.lit(blocks)).cast("bigint"))
 
     def pack(table: pa.Table) -> pa.Table:
         block = Block(table["id"].to_pylist(), table["text"].to_pylist(), width)
+        own = table["block"][0].as_py()
+        del table
         packed, mz, low, high, _ = block.packed()
-        own = table["block"][0].as_py() << 32
-        return pa.table({"mz": mz, "packed": pa.array(packed, pa.binary()), "low": low, "more": high - low,
-                         "ref": np.arange(len(packed), dtype=np.int64) + own})
+        bucket = (mz.view(np.uint64) % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        parts = np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(order) else []
+        press = zstandard.ZstdCompressor(level=3)
+        return pa.table({"bucket": pa.array([int(bucket[p[0]]) for p in parts], pa.int64()),
+                         "block": pa.array([own] * len(parts), pa.int64()),
+                         "payload": pa.array([press.compress(_pack(packed, low, high, p)) for p in parts], pa.binary())})
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for packed, low, high, ref in _chunks(batches):
+        held, n = [], 0
+        for packed, low, high, ref, block in _buckets(batches):
             string, least, mask = _matches(packed, low, high, width)
-            to = ref[string]
-            block = to >> 32
-            order = np.argsort(block, kind="stable")
-            cuts = np.flatnonzero(np.diff(block[order])) + 1
-            parts = np.split(order, cuts) if len(order) else []
-            yield pa.RecordBatch.from_arrays([
-                pa.array([int(block[p[0]]) for p in parts], pa.int64()),
-                *(pa.array([x[p].astype(kind).tobytes() for p in parts], pa.binary())
-                  for x, kind in ((to & 0xFFFFFFFF, np.uint32), (least, np.int64), (mask, np.int64)))],
-                ["block", "ref", "least", "mask"])
+            held.append((block[string], ref[string], least, mask))
+            n += len(string)
+            if n >= HELD_ANSWERS:
+                yield _answers(held)
+                held, n = [], 0
+        if held:
+            yield _answers(held)
 
     def apply(own: pa.Table, answers: pa.Table) -> pa.Table:
         block = Block(own["id"].to_pylist(), own["text"].to_pylist(), width)
@@ -204,47 +214,63 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         stay = block.keep(which, read("ref", np.uint32), read("least", np.int64), read("mask", np.int64))
         at = np.cumsum(block.sizes) - block.sizes
         kept, n_removed = [], []
-        for words, lo, n in zip(block.docs, at.tolist(), block.sizes.tolist(), strict=True):
+        for lo, n in zip(at.tolist(), block.sizes.tolist(), strict=True):
             k = stay[lo:lo + n]
             left = int(k.sum())
             n_removed.append(n - left)
-            kept.append(b" ".join(words if left == n else [words[i] for i in np.flatnonzero(k)]))
+            text = block.joined[block.starts[lo]:block.ends[lo + n - 1]] if n else b""
+            kept.append(text if left == n else b" ".join(compress(text.split(b" "), k.tolist())))
         return pa.table({"id": pa.array(block.ids, pa.int64()), "n_words": block.sizes,
                          "n_removed": pa.array(n_removed, pa.int64()),
                          "kept": pa.array(kept, pa.binary()).cast(pa.string())})
 
-    sent = dealt.groupBy("block").applyInArrow(pack, "mz bigint, packed binary, low bigint, more bigint, ref bigint")
-    answers = (sent.repartition("mz").sortWithinPartitions("mz")
+    sent = dealt.groupBy("block").applyInArrow(pack, "bucket bigint, block bigint, payload binary")
+    answers = (sent.repartition("bucket").sortWithinPartitions("bucket")
                .mapInArrow(compare, "block bigint, ref binary, least binary, mask binary"))
     done = dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         apply, "id bigint, n_words bigint, n_removed bigint, kept string")
     return done.withColumnRenamed("id", id_col)
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]):
-    """(strings, smallest ids, largest ids, refs) of whole minimisers, several to a
-    chunk; strings that are alone with their minimiser and document are left out."""
-    held: list[pa.RecordBatch] = []
-    size = 0
+def _pack(packed: list[bytes], low: np.ndarray, high: np.ndarray, pick: np.ndarray) -> bytes:
+    """The picked super-k-mers with their numbers and ids as differences (small, so they compress)."""
+    with np.errstate(over="ignore"):
+        numbers = np.stack([np.diff(pick, prepend=0), np.diff(low[pick], prepend=0), (high - low)[pick]]).astype("<i8")
+    return np.array([len(pick)], "<i8").tobytes() + numbers.tobytes() + b"\n".join([packed[i] for i in pick.tolist()])
+
+
+def _unpack(payload: bytes):
+    n = int(np.frombuffer(payload, "<i8", 1)[0])
+    ref, low, more = np.frombuffer(payload, "<i8", 3 * n, 8).reshape(3, n)
+    low = np.cumsum(low)
+    return payload[8 + 24 * n:].split(b"\n"), low, low + more, np.cumsum(ref)
 
-    def out(rows: pa.Table):
-        mz, low = rows["mz"].to_numpy(), rows["low"].to_numpy()
-        high = low + rows["more"].to_numpy()
-        alone = np.r_[True, mz[1:] != mz[:-1]] & np.r_[mz[1:] != mz[:-1], True] & (low == high)
-        pick = np.flatnonzero(~alone)
-        if len(pick):
-            yield (rows["packed"].take(pa.array(pick)).to_pylist(), low[pick], high[pick], rows["ref"].to_numpy()[pick])
 
+def _buckets(batches: Iterator[pa.RecordBatch]):
+    """(strings, smallest ids, largest ids, numbers, blocks) of one bucket after the other."""
+    def out(rows):
+        found = [_unpack(zstandard.ZstdDecompressor().decompress(p)) for _, p in rows]
+        return ([x for f in found for x in f[0]], *(np.concatenate([f[k] for f in found]) for k in (1, 2, 3)),
+                np.repeat([b for b, _ in rows], [len(f[1]) for f in found]))
+
+    now, rows = None, []
     for batch in batches:
-        held.append(batch)
-        size += batch.nbytes
-        if size < CHUNK_BYTES:
-            continue
-        rows = pa.Table.from_batches(held)
-        mz = rows["mz"].to_numpy()
-        cut = int(np.searchsorted(mz, mz[-1], "left"))
-        if cut:
-            yield from out(rows.slice(0, cut))
-            held, size = rows.slice(cut).combine_chunks().to_batches(), 0
-    if held:
-        yield from out(pa.Table.from_batches(held))
+        for bucket, block, payload in zip(*(batch.column(c).to_pylist() for c in ("bucket", "block", "payload")), strict=True):
+            if bucket != now and rows:
+                yield out(rows)
+                rows = []
+            now = bucket
+            rows.append((block, payload))
+    if rows:
+        yield out(rows)
+
+
+def _answers(held: list) -> pa.RecordBatch:
+    """One row per block, with its numbers, ids and window bits."""
+    block, ref, least, mask = (np.concatenate(x) for x in zip(*held, strict=True))
+    order = np.argsort(block, kind="stable")
+    parts = np.split(order, np.flatnonzero(np.diff(block[order])) + 1) if len(order) else []
+    return pa.RecordBatch.from_arrays([
+        pa.array([int(block[p[0]]) for p in parts], pa.int64()),
+        *(pa.array([x[p].astype(kind).tobytes() for p in parts], pa.binary())
+          for x, kind in ((ref, np.uint32), (least, np.int64), (mask, np.int64)))], ["block", "ref", "least", "mask"])
