@@ -279,10 +279,33 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     smallest id reachable over links of at most ``limit`` bits."""
     keyed = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     prints = freeze(add_fingerprint(keyed, "text", "fp", shingle).select("id", "fp"))
-    distinct = prints.groupBy("fp").agg(F.min("id").alias("least"))
-    roots = components(link_fingerprints(distinct, limit))
-    rooted = (distinct.join(roots, distinct.fp == roots.node, "left")
-              .select("fp", "least", F.coalesce("root", "fp").alias("root")))
+    rooted = _rooted(prints.groupBy("fp").agg(F.min("id").alias("least")), limit)
     best = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(best, "root").select("fp", "component_id")
     return prints.join(named, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+
+
+def _rooted(distinct: DataFrame, limit: int) -> DataFrame:
+    """``distinct`` (a row per ``fp``) with the ``root`` of each fingerprint's component."""
+    roots = components(link_fingerprints(distinct, limit))
+    return (distinct.join(roots, distinct.fp == roots.node, "left")
+            .select(*(distinct[c] for c in distinct.columns), F.coalesce("root", "fp").alias("root")))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+             shingle: int = 3, limit: int = 2) -> DataFrame:
+    """The rows of ``docs`` that stay: of every component the one with the smallest id (null
+    counts as largest), then with the smallest hash of its text, then of its values."""
+    names = {c.lower() for c in docs.columns}
+    key, row = (next(n for k in range(len(names) + 1) if (n := f"{x}_{k}") not in names) for x in ("key", "row"))
+    text = F.col(text_col).cast("string")
+    own = docs.withColumn(key, F.xxhash64(F.coalesce(text, F.lit("")), text.isNull()))
+    prints = freeze(add_fingerprint(own.select(F.col(id_col).alias("id"), F.col(key).alias("key"), text.alias("text")),
+                                    "text", "fp", shingle).select("fp", "id", "key"))
+    order = F.struct(F.col("id").isNull().alias("no_id"), "id", "key")
+    rooted = _rooted(prints.groupBy("fp").agg(F.min(order).alias("least")), limit)
+    stays = rooted.groupBy("root").agg(F.min("least").alias("s")).select(F.col("s.id").alias("stay_id"), F.col("s.key").alias("stay_key"))
+    kept = own.join(stays, (own[key] == stays.stay_key) & own[id_col].eqNullSafe(stays.stay_id), "left_semi")
+    as_text = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\0")) for c in docs.columns]
+    best = kept.groupBy(key, id_col).agg(F.min_by(F.struct(*(F.col(f"`{c}`") for c in docs.columns)), F.xxhash64(*as_text)).alias(row))
+    return best.select(f"{row}.*")
