@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -28,6 +30,15 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
 
 
+def kept_in_worker(key, make: Callable):
+    """``make()``, once in the life of a Python worker: later tasks of the same worker, which get
+    their functions anew, find the object in a module that only serves as its place."""
+    place = sys.modules.setdefault("_relaylens_worker", types.ModuleType("_relaylens_worker")).__dict__
+    if key not in place:
+        place[key] = make()
+    return place[key]
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from . import decontamination, language_id, pii, quality_classifier, quality_rules, sentencepiece, simhash, substring_dedup, token_output, url_filter
-from .common import read_table, scratch_folder
+from .common import kept_in_worker, read_table, scratch_folder
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -74,7 +74,8 @@ def op3_decontamination(spark, sf_dir):
 
 def word_tokenizer():
     import public_tokenizers
-    return token_output.word_encoder(public_tokenizers.path(WORD_BPE))
+    path = public_tokenizers.path(WORD_BPE)
+    return kept_in_worker(("word_encoder", path), lambda: token_output.word_encoder(path))
 
 
 @register("op2_token_output")

@@ -12,8 +12,8 @@ Segment bytes (little endian): ``S8B1``, uint32 block size, uint64 ids,
 uint32 blocks + 1 offsets, then the words.
 
 The written table is a folder of Parquet files, one or more per range of ids,
-whose rows are segments: ``part``, ``seg`` (their order), ``doc_ids``,
-``counts`` and ``payload``. Spark's committer writes it, so retried tasks
+whose rows are segments: ``part`` and ``seg`` (their order), ``before`` (ids of
+the part before them), ``n_ids``, ``doc_ids``, ``counts`` and ``payload``. Spark's committer writes it, so retried tasks
 leave no partial files.
 
 Defined cases: a null text is an empty one and has only the end id. Null ids
@@ -43,6 +43,8 @@ BLOCK = 1024
 SEGMENT_IDS = 1 << 19
 #: Bytes of text in a range of ids.
 RANGE_BYTES = 16 << 20
+#: Words that an encoder remembers.
+HELD_WORDS = 600_000
 MAGIC = b"S8B1"
 
 
@@ -143,48 +145,55 @@ def unpack(segment: bytes, first_block: int = 0, last_block: int | None = None)
     return out[:total]
 
 
-def word_encoder(path: str) -> Callable[[str], list[int]]:
+class _Words(dict):
+    """Words with their ids (little-endian uint32 bytes), encoded when first met."""
+
+    def __init__(self, encode_word: Callable[[str], bytes]):
+        super().__init__()
+        self.encode_word = encode_word
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self[word] = self.encode_word(word)
+        return ids
+
+
+def word_encoder(path: str) -> Callable[[str], bytes]:
     """Encoder of whole texts with the ``tokenizers`` file at ``path``, without special
-    tokens. Its split never joins characters across white space, so words are
-    encoded once and remembered; a text is the sequence of its words' ids.
+    tokens; the ids come as little-endian uint32 bytes. The file's split never joins
+    characters across white space, so words are encoded once and remembered; a text is
+    the sequence of its words' ids.
 
-    A word of letters goes to the file's model directly. Any other word goes
-    through the whole tokenizer, after its closing punctuation is split off."""
+    A word of letters goes to the file's model directly, in lower case. Any other word
+    goes through the whole tokenizer, after its closing punctuation is split off."""
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     model = tokenizer.model
     chars = _byte_chars()
-    known: dict[str, list[int]] = {}
     split = re.compile(r"[^ \t\n\r]+").findall
 
     def letters(word: str) -> bool:
         return word.isalpha() and (word.isascii() or unicodedata.is_normalized("NFC", word) and all(
             "À" <= c <= "ſ" and len(c.lower()) == 1 for c in word if c > "\x7f"))
 
-    def encode_word(word: str) -> list[int]:
+    def encode_lower(word: str) -> bytes:
+        return np.array([t.id for t in model.tokenize(word if word.isascii() else word.translate(chars))], "<u4").tobytes()
+
+    def encode_word(word: str) -> bytes:
         if letters(word):
-            low = word.lower()
-            ids = known.get(low)
-            if ids is None:
-                ids = [t.id for t in model.tokenize(low.translate(chars) if not low.isascii() else low)]
-                known[low] = ids
-            return ids
+            return plain[word.lower()]
         body, end = word[:-1], word[-1:]
         if end in (".", ",") and letters(body):
-            return encode_word(body) + encode_word(end)
-        return tokenizer.encode(word, add_special_tokens=False).ids
-
-    def encode(text: str) -> list[int]:
-        out: list[int] = []
-        for word in split(text):
-            ids = known.get(word)
-            if ids is None:
-                if len(known) > 400_000:
-                    known.clear()
-                ids = known[word] = encode_word(word)
-            out += ids
-        return out
+            return plain[body.lower()] + words[end]
+        return np.array(tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+
+    plain, words = _Words(encode_lower), _Words(encode_word)
+
+    def encode(text: str) -> bytes:
+        if len(words) > HELD_WORDS:
+            plain.clear()
+            words.clear()
+        return b"".join(map(words.__getitem__, split(text)))
 
     return encode
 
@@ -198,7 +207,7 @@ def _byte_chars() -> dict[int, str]:
     return {c: "".join(byte[b] for b in chr(c).encode()) for c in range(0xC0, 0x180)}
 
 
-def write_tokens(docs: DataFrame, path: str, encoder: Callable[[], Callable[[str], list[int]]], end_id: int = 2,
+def write_tokens(docs: DataFrame, path: str, encoder: Callable[[], Callable[[str], bytes]], end_id: int = 2,
                  id_col: str = "doc_id", text_col: str = "text") -> None:
     """Write the ids of all documents, each closed by ``end_id``, as segments under ``path``."""
     keyed = docs.select(F.col(id_col).cast("bigint").alias("id"),
@@ -209,31 +218,33 @@ def write_tokens(docs: DataFrame, path: str, encoder: Callable[[], Callable[[str
     dealt = keyed.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part, seg = encoder(), TaskContext.get().partitionId(), 0
-        ids, held = [], []
+        encode, part, seg, before = encoder(), TaskContext.get().partitionId(), 0, 0
+        end = np.array([end_id], "<u4").tobytes()
+        ids, held, n = [], [], 0
 
         def segment():
-            counts = np.array([len(h) for h in held], np.int64)
+            counts = np.array([len(h) // 4 for h in held], np.int64)
             return pa.RecordBatch.from_arrays([
-                pa.array([part], pa.int32()), pa.array([seg], pa.int32()), pa.array([ids], pa.list_(pa.int64())),
-                pa.array([counts], pa.list_(pa.int64())), pa.array([pack(np.concatenate(held))], pa.binary())],
-                ["part", "seg", "doc_ids", "counts", "payload"])
+                pa.array([part], pa.int32()), pa.array([seg], pa.int32()), pa.array([before], pa.int64()),
+                pa.array([n], pa.int64()), pa.array([ids], pa.list_(pa.int64())),
+                pa.array([counts], pa.list_(pa.int64())), pa.array([pack(np.frombuffer(b"".join(held), "<u4"))], pa.binary())],
+                ["part", "seg", "before", "n_ids", "doc_ids", "counts", "payload"])
 
-        n = 0
         for batch in batches:
             for lo in range(0, len(batch), 64):
                 rows = batch.slice(lo, 64)
                 for i, text in zip(rows.column("id").to_pylist(), rows.column("text").to_pylist(), strict=True):
                     ids.append(i)
-                    held.append(np.array([*encode(text), end_id], np.uint32))
-                    n += len(held[-1])
+                    held.append(encode(text) + end)
+                    n += len(held[-1]) // 4
                     if n >= SEGMENT_IDS:
                         yield segment()
-                        ids, held, n, seg = [], [], 0, seg + 1
+                        ids, held, n, seg, before = [], [], 0, seg + 1, before + n
         if held:
             yield segment()
 
-    (dealt.mapInArrow(code, "part int, seg int, doc_ids array<bigint>, counts array<bigint>, payload binary")
+    (dealt.mapInArrow(code, "part int, seg int, before bigint, n_ids bigint, doc_ids array<bigint>, "
+                            "counts array<bigint>, payload binary")
      .write.parquet(path))
 
 
@@ -241,19 +252,17 @@ def read_tokens(spark: SparkSession, path: str, id_col: str = "doc_id") -> DataF
     """One row per document of a written folder: id, ``start`` (ids before it), ``n_tokens``,
     ``tokens`` (the ids) and ``crc32`` (of the ids as little-endian 32-bit integers)."""
     table = spark.read.parquet(path)
-    # a row for every range that was written, of which there are as many as tasks that wrote
-    totals = table.groupBy("part").agg(F.sum(F.aggregate("counts", F.lit(0).cast("bigint"), lambda a, x: a + x)).alias("ids"))
-    bases = totals.selectExpr("part", "sum(ids) over (order by part) - ids as base")
-    segments = table.join(bases, "part").repartition("part").sortWithinPartitions("part", "seg")
+    # one row for every range of ids, which is as many as there were tasks: small enough to send to every task
+    totals = table.groupBy("part").agg(F.sum("n_ids").alias("ids"))
+    bases = totals.selectExpr("part as base_part", "sum(ids) over (order by part) - ids as base")
+    segments = (table.join(F.broadcast(bases), F.col("part") == F.col("base_part"))
+                .select((F.col("base") + F.col("before")).alias("first"), "doc_ids", "counts", "payload"))
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, at = None, 0
         for batch in batches:
             for row in range(len(batch)):
                 one = batch.slice(row, 1)
-                own, base = one.column("part")[0].as_py(), one.column("base")[0].as_py()
-                if own != part:
-                    part, at = own, base
+                first = one.column("first")[0].as_py()
                 counts = one.column("counts")[0].values.to_numpy()
                 tokens = unpack(one.column("payload")[0].as_py()).astype(np.uint32)
                 ends = np.cumsum(counts)
@@ -261,9 +270,8 @@ def read_tokens(spark: SparkSession, path: str, id_col: str = "doc_id") -> DataF
                 crc = [zlib.crc32(data[4 * (e - n):4 * e]) for e, n in zip(ends.tolist(), counts.tolist(), strict=True)]
                 lists = pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), pa.array(tokens.astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([
-                    one.column("doc_ids")[0].values, pa.array(at + ends - counts), pa.array(counts), lists,
+                    one.column("doc_ids")[0].values, pa.array(first + ends - counts), pa.array(counts), lists,
                     pa.array(crc, pa.int64())], ["id", "start", "n_tokens", "tokens", "crc32"])
-                at += int(ends[-1])
 
     out = segments.mapInArrow(decode, "id bigint, start bigint, n_tokens bigint, tokens array<int>, crc32 bigint")
     return out.withColumnRenamed("id", id_col)

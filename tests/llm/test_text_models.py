@@ -52,7 +52,7 @@ def test_word_encoder_equals_library():
     odd = ["áb ÀÉ ŉ ĳ ſ Œœ ß", "ﬁ Å K İstanbul ǅ", "<|endoftext|>foo bar<|startoftext|>", "don't we'll THE.'s 's", "", " \n",
            "a\u00a0b\u2003c\u0085d\x1c\x1d e\x0bf\x0cg", "ΑΣ ΑΣ. ß", "12,345.67 ab12 x.,", "漢字 かな 🙂", "e\u0301 \u0301a", "...,,, . ,"]
     for text in odd:
-        assert mine(text) == whole.encode(text, add_special_tokens=False).ids, text
+        assert np.frombuffer(mine(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, text
 
 
 def test_token_files(spark, docs, rows, no_docs, monkeypatch):
