@@ -15,7 +15,7 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from .operators import bridge, fills, orders
+from .operators import bridge, fills, marks, orders
 from .plans import flows
 from .session import ensure_settings
 from .sources import sinks
@@ -37,12 +37,8 @@ def _replace(df, out: str) -> None:
 
 
 def _stored(spark: SparkSession, path: str | None, key: str):
-    if not path:
-        return None
-    try:
-        return spark.read.parquet(path).select(key)
-    except Exception:  # noqa: BLE001 - nothing stored yet
-        return None
+    """The stored ids, ``None`` where nothing is stored yet."""
+    return spark.read.parquet(path).select(key) if path and marks.stored_exists(spark, path) else None
 
 
 def run(args, spark: SparkSession) -> None:
@@ -68,12 +64,15 @@ def run(args, spark: SparkSession) -> None:
     elif c == "file-drop":
         flows.file_drop_aggregate(spark, args.root, args.keyword, args.schema, target=args.out)
     elif c == "bundles":
-        sinks.append_table(flows.bundle_history(spark, args.pages, args.since), args.out)
+        if args.since is None:
+            flows.resume_bundles(spark, args.pages, args.out)
+        else:
+            sinks.append_table(flows.bundle_history(spark, args.pages, args.since), args.out)
     elif c == "transfers":
         from .streaming import ingest
         q = ingest.ingest_transfers(spark, args.inputs, args.out, args.checkpoint,
-                                    horizon=args.horizon, available_now=not args.continuous,
-                                    since_epoch=args.since)
+                                    available_now=not args.continuous, since_epoch=args.since,
+                                    clean_source=args.clean_source, archive_dir=args.archive_dir)
         q.awaitTermination()
     elif c == "order-book":
         _replace(flows.order_book_snapshot(spark, args.pages, order_hash=args.hash), args.out)
@@ -120,7 +119,7 @@ def parser() -> argparse.ArgumentParser:
 
     s = sub.add_parser("prices", help="price pages -> de-duplicated, gap-filled series")
     s.add_argument("--pages", required=True)
-    s.add_argument("--step", default="1 hour")
+    s.add_argument("--step", help="bar distance (default: that of the data)")
     s.add_argument("--out", required=True)
 
     s = sub.add_parser("file-drop", help="listing -> keyword selection -> CSV union")
@@ -131,15 +130,16 @@ def parser() -> argparse.ArgumentParser:
 
     s = sub.add_parser("bundles", help="bundle pages after a mark")
     s.add_argument("--pages", required=True)
-    s.add_argument("--since", type=int, required=True, help="epoch seconds (exclusive)")
+    s.add_argument("--since", type=int, help="epoch seconds (exclusive; default: the newest stored bundle)")
     s.add_argument("--out", required=True)
 
     s = sub.add_parser("transfers", help="incremental transfer stream")
     s.add_argument("inputs")
     s.add_argument("--out", required=True)
     s.add_argument("--checkpoint", required=True)
-    s.add_argument("--horizon", default="1 day")
     s.add_argument("--since", type=int)
+    s.add_argument("--clean-source", choices=("archive", "delete"), help="clear processed files")
+    s.add_argument("--archive-dir", help="folder for --clean-source archive")
     s.add_argument("--continuous", action="store_true", help="poll every 10 s instead of stopping")
 
     s = sub.add_parser("order-book", help="order-book pages -> snapshot")

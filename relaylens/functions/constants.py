@@ -7,6 +7,12 @@ FIXED VALUES — do not edit; results depend on them exactly.
 # a missing key is written as 'nan', an explicit null as 'None'.
 MISSING_TEXT = ("nan", "None", "")
 
+# Texts that a CSV export uses for "no value" (the defaults of the common readers).
+CSV_MISSING_TEXT = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+
 # Hourly event packing: chain value in the event table -> packed column name.
 PACK_CHAINS = (
     ("ethereum", "ETH"),
@@ -73,3 +79,12 @@ RAW_METADATA_COLUMN = "orderMetadata_rawMetadataHex"
 # Slice width of the bundle history walk and rows per stored order batch.
 BUNDLE_SLICE = "5 minutes"
 ORDER_BATCH_ROWS = 1000
+
+# Columns left out of the flat bridge transfers (fixed values).
+BRIDGE_DROP = [
+    "emitterAddress", "id", "txHash", "originTx.attribute.value.originTxHash",
+    "payload", "standardizedProperties", "globalTx", "originTx.txHash", "fromAddress",
+    "fromChain", "normalizedDecimals", "originTx.attribute.value.originChainId", "feeAddress",
+    "feeChain", "originTx.status", "originTx.attribute.type",
+    "originTx.attribute.value.originAddress", "amount",
+]

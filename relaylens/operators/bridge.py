@@ -25,8 +25,8 @@ def chain_dim(spark):
 def map_codes(df: DataFrame, cols, dim: DataFrame | None = None,
               default: str = K.UNKNOWN_CHAIN, code: str = "code",
               name: str = "name") -> DataFrame:
-    """Replace code columns by names, unknown or NULL codes -> ``default``
-    (P18, J4).
+    """Replace code columns by names; unknown, NULL, unparsable and too wide
+    codes -> ``default`` (P18, J4).
 
     Without ``dim`` the fixed 36-entry table is inlined as a map literal:
     no join, no shuffle, evaluated inside the generated code. With a
@@ -39,12 +39,12 @@ def map_codes(df: DataFrame, cols, dim: DataFrame | None = None,
     if dim is None:
         m = chain_code_map()
         return df.withColumns({
-            c: F.coalesce(F.try_element_at(m, F.col(c).cast("int")), F.lit(default))
+            c: F.coalesce(F.try_element_at(m, F.col(c).try_cast("int")), F.lit(default))
             for c in cols})
     out = df
     d = dim.select(F.col(code).alias("__code"), F.col(name).alias("__name"))
     for c in cols:
-        out = (out.join(d, out[c] == d["__code"], "left")
+        out = (out.join(d, out[c].try_cast(d.schema["__code"].dataType) == d["__code"], "left")
                   .withColumn(c, F.coalesce(F.col("__name"), F.lit(default)))
                   .drop("__code", "__name"))
     return out

@@ -104,9 +104,9 @@ def relayer_yield(fills: DataFrame) -> DataFrame:
 
 def token_share(fills: DataFrame) -> DataFrame:
     """Percent of same-token and of different-token fills, both over ALL
-    rows, so they need not add up to 100 (A11). One global aggregate."""
+    rows, so they need not add up to 100 (A11); NULL for no rows. One global aggregate."""
     same = X.same_token("output_symbol", "token_symbol")
     diff = X.different_token("output_symbol", "token_symbol", "output_token")
     return fills.agg(
-        (F.lit(100) * F.count_if(same) / F.count(F.lit(1))).alias("same_token_pct"),
-        (F.lit(100) * F.count_if(diff) / F.count(F.lit(1))).alias("diff_token_pct"))
+        F.try_divide(F.lit(100) * F.count_if(same), F.count(F.lit(1))).alias("same_token_pct"),
+        F.try_divide(F.lit(100) * F.count_if(diff), F.count(F.lit(1))).alias("diff_token_pct"))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import expr as X
@@ -23,6 +24,18 @@ def since(df: DataFrame, ts: str, mark) -> DataFrame:
     return df.where(X.newer_than(ts, m))
 
 
+def stored_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a parquet table is stored at ``path``. Only a missing or empty
+    folder means no; storage and permission errors are raised."""
+    try:
+        spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
+    return True
+
+
 def with_row_count(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:
     """Attach a row-count metric to ``df`` without an extra job (A15); read
     ``obs.get`` after the first action on the returned frame."""

@@ -168,8 +168,9 @@ def order_details(orders: DataFrame, events: DataFrame) -> DataFrame:
 
 
 def order_lookup(details: DataFrame, order_id: str, key: str = "ORDERID") -> DataFrame:
-    """Point lookup by id (F1); Catalyst pushes the equality to both join
-    inputs and into the scans."""
+    """Point lookup by id (F1). Catalyst pushes the equality to both join
+    inputs; it reaches the scans if the id is a stored column there (not a
+    computed one)."""
     return details.where(X.id_equals(key, order_id))
 
 
@@ -223,10 +224,12 @@ def backlog(candidates: DataFrame, processed: DataFrame, key: str,
     """Candidates whose id is not stored yet.
 
     A NULL candidate id is kept (no stored id can equal it), as a pandas
-    ``~isin`` does when the stored ids hold no NULL.
+    ``~isin`` does when the stored ids hold no NULL. Stored ids may repeat: an
+    anti join needs no distinct ones, and an aggregate before it would keep
+    AQE from splitting a hot candidate id.
     """
     pk = processed_key or key
-    done = processed.select(F.col(pk).alias("__done")).distinct()
+    done = processed.select(F.col(pk).alias("__done"))
     return candidates.join(done, candidates[key] == done["__done"], "left_anti")
 
 

@@ -72,34 +72,66 @@ def with_literal(df: DataFrame, name: str, value) -> DataFrame:
 # ------------------------------------------------------------------ flattening
 
 def _flatten_fields(dtype: T.StructType, path: list[str], parent: Column | None,
-                    sep: str, prefer: str | None, arrays_as_text: bool):
+                    sep: str, prefer: str | None, arrays_as_text: bool, mixed):
     for f in dtype.fields:
         col = F.col(f"`{f.name}`") if parent is None else parent.getField(f.name)
         name_path = path + [f.name]
         dt = f.dataType
         if isinstance(dt, T.StructType):
-            names = [x.name for x in dt.fields]
-            if prefer is not None and prefer in names:
-                # An object carrying the preferred key collapses to it; its
-                # sibling keys are discarded.
-                yield sep.join(name_path), col.getField(prefer)
-            else:
-                yield from _flatten_fields(dt, name_path, col, sep, prefer, arrays_as_text)
+            others = T.StructType([x for x in dt.fields if x.name != prefer])
+            if prefer is None or len(others) == len(dt):
+                yield from _flatten_fields(dt, name_path, col, sep, prefer, arrays_as_text, mixed)
+                continue
+            # An object carrying the preferred key collapses to it. Where
+            # objects of this path come without it, their keys stay beside.
+            yield sep.join(name_path), col.getField(prefer)
+            if others.fields and sep.join(name_path) in mixed:
+                for n, c in _flatten_fields(others, name_path, col, sep, prefer, arrays_as_text, mixed):
+                    yield n, F.when(col.getField(prefer).isNull(), c)
         elif arrays_as_text and isinstance(dt, (T.ArrayType, T.MapType)):
             yield sep.join(name_path), F.to_json(col)
         else:
             yield sep.join(name_path), col
 
 
+def _wrapped_paths(dtype: T.StructType, path: list[str], parent: Column | None, sep: str, prefer: str):
+    """(flat name, condition: the object has other keys but not the preferred one)."""
+    for f in dtype.fields:
+        if isinstance(f.dataType, T.StructType):
+            col = F.col(f"`{f.name}`") if parent is None else parent.getField(f.name)
+            others = [x.name for x in f.dataType.fields if x.name != prefer]
+            if others and len(others) < len(f.dataType):
+                bare = col.getField(prefer).isNull() & reduce(
+                    lambda a, b: a | b, [col.getField(n).isNotNull() for n in others])
+                yield sep.join(path + [f.name]), bare
+            yield from _wrapped_paths(f.dataType, path + [f.name], col, sep, prefer)
+
+
+def mixed_paths(df: DataFrame, sep: str = "_", prefer: str = K.STRING_VALUE_KEY) -> set[str]:
+    """Flat names of objects that carry the ``prefer`` key in some rows and only
+    other keys in others: one aggregate over all rows, one boolean per path."""
+    found = list(_wrapped_paths(df.schema, [], None, sep, prefer))
+    if not found:
+        return set()
+    row = df.agg(*[F.bool_or(c).alias(f"m{i}") for i, (_, c) in enumerate(found)]).first()
+    return {name for (name, _), hit in zip(found, row, strict=True) if hit}
+
+
 def flatten_struct(df: DataFrame, sep: str = "_", prefer: str | None = K.STRING_VALUE_KEY,
-                   arrays_as_text: bool = True) -> DataFrame:
+                   arrays_as_text: bool = True, mixed=None) -> DataFrame:
     """Recursively flatten nested structs into ``a<sep>b<sep>c`` columns.
 
-    An object that has a ``prefer`` key (default ``stringValue``) collapses
-    to that value. Lists become JSON text. Raises if two paths produce the
-    same flat name (e.g. ``a.b_c`` and ``a_b.c`` with ``sep='_'``).
+    An object that has a ``prefer`` key (default ``stringValue``) collapses to
+    that value, document by document: at the paths named in ``mixed`` the other
+    keys of objects without it become columns too (NULL where the key is
+    present). ``mixed=None`` finds these paths in the data (:func:`mixed_paths`,
+    one more pass if any object can have both); pass ``()`` where the feed never
+    mixes. Lists become JSON text. Raises if two paths produce the same flat
+    name (e.g. ``a.b_c`` and ``a_b.c`` with ``sep='_'``).
     """
-    pairs = list(_flatten_fields(df.schema, [], None, sep, prefer, arrays_as_text))
+    if mixed is None:
+        mixed = mixed_paths(df, sep, prefer) if prefer is not None else ()
+    pairs = list(_flatten_fields(df.schema, [], None, sep, prefer, arrays_as_text, set(mixed)))
     names = [n for n, _ in pairs]
     dups = sorted({n for n in names if names.count(n) > 1})
     if dups:
@@ -107,22 +139,24 @@ def flatten_struct(df: DataFrame, sep: str = "_", prefer: str | None = K.STRING_
     return df.select(*[c.alias(n) for n, c in pairs])
 
 
+#: A back-quoted key, or a type word of a variant's schema text (a key name is followed by a colon).
+_TYPE_WORD = re.compile(r"`(?:[^`]|``)*`|\bOBJECT(?=<)|\b(?:VOID|VARIANT|DECIMAL\(\d+,\s*\d+\))(?=\s*(?:[,>]|$))")
+
+
 def infer_json_schema(df: DataFrame, col: str) -> str:
     """Merged schema of a JSON text column over *all* rows, as a
     ``from_json`` DDL string (drift mode for documents kept in a column).
 
     One distributed aggregate (``schema_of_variant_agg``) merges the keys of
     every document; only the schema string reaches the driver. Keys that are
-    always null become STRING, fractional numbers DOUBLE, objects STRUCT;
-    text that is not JSON is ignored.
+    always null or that hold several types become STRING, fractional numbers
+    DOUBLE, objects STRUCT; text that is not JSON is ignored.
     """
     ddl = df.select(F.schema_of_variant_agg(F.try_parse_json(F.col(col)))).first()[0]
     if ddl is None:
         return "STRUCT<>"
-    ddl = re.sub(r"\bOBJECT<", "STRUCT<", ddl)
-    ddl = re.sub(r"\bVOID\b", "STRING", ddl)
-    ddl = re.sub(r"\bDECIMAL\(\d+,\s*\d+\)", "DOUBLE", ddl)
-    return ddl
+    types = {"O": "STRUCT", "V": "STRING", "D": "DOUBLE"}
+    return _TYPE_WORD.sub(lambda m: types.get(m[0][0], m[0]), ddl)
 
 
 def flatten_json_column(df: DataFrame, col: str, schema: str | None = None, sep: str = "_",
@@ -135,65 +169,54 @@ def flatten_json_column(df: DataFrame, col: str, schema: str | None = None, sep:
     return flatten_struct(df.withColumn(col, F.from_json(F.col(col), schema)), sep=sep, prefer=prefer)
 
 
-def expand_structs(df: DataFrame, cols, sep: str = ".", keep: bool = True) -> DataFrame:
+def expand_structs(df: DataFrame, cols, sep: str = ".", keep: bool = True, drop=()) -> DataFrame:
     """Normalise the given struct columns and paste their leaves beside the
     original columns (P8); the struct's own name is not part of the leaf
-    names, as with a per-column JSON normalise."""
-    extra = []
+    names, as with a per-column JSON normalise. Columns and leaves named in
+    ``drop`` are left out first, so a leaf may repeat a dropped column's name;
+    any other repeated name raises."""
+    base = [c for c in df.columns if c not in drop and (keep or c not in cols)]
+    out = [(c, F.col(f"`{c}`")) for c in base]
     for c in cols:
         st = df.schema[c].dataType
         if not isinstance(st, T.StructType):
             raise TypeError(f"{c} is not a struct")
-        for n, col in _flatten_fields(st, [], F.col(f"`{c}`"), sep, None, False):
-            extra.append(col.alias(n))
-    base = [F.col(f"`{c}`") for c in df.columns] if keep else \
-        [F.col(f"`{c}`") for c in df.columns if c not in cols]
-    out = df.select(*base, *extra)
-    names = out.columns
+        out += [(n, col) for n, col in _flatten_fields(st, [], F.col(f"`{c}`"), sep, None, False, ()) if n not in drop]
+    names = [n for n, _ in out]
     dups = sorted({n for n in names if names.count(n) > 1})
     if dups:
         raise ValueError(f"expanded names collide: {dups}")
-    return out
+    return df.select(*[c.alias(n) for n, c in out])
 
 
 # ------------------------------------------------------------------ packing
 
-def spread_groups(df: DataFrame, keys, item, max_items: int, part: str = "part") -> DataFrame:
-    """Add ``part`` so that every ``keys + [part]`` group holds about
-    ``max_items`` rows at most: ``part = hash(item) mod ceil(n_key / max_items)``.
+def part_of(item, parts: int) -> Column:
+    """Number of the sub-group (0 to ``parts - 1``) that an item belongs to.
 
     Used wherever a group is collected into one value (a packed cell, a JSON
-    page), so a key holding a large share of all rows is spread over many
-    tasks instead of one. The per-key sizes are one small aggregate, joined
-    back (broadcast by Spark when measured small, skew-split by AQE if not).
-    """
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    sizes = sizes.select(*[F.col(k).alias(f"__key{i}") for i, k in enumerate(keys)], "__n")
-    # NULL keys form a group of their own (as in GROUP BY): join null-safely.
-    cond = reduce(lambda a, b: a & b, [df[k].eqNullSafe(sizes[f"__key{i}"]) for i, k in enumerate(keys)])
-    parts = F.greatest(F.lit(1), F.ceil(F.col("__n") / F.lit(max_items)))
-    item_col = F.col(item) if isinstance(item, str) else item
-    return (df.join(sizes, cond)
-              .withColumn(part, F.pmod(F.xxhash64(item_col), parts).cast("int"))
-              .drop("__n", *[f"__key{i}" for i in range(len(keys))]))
+    page): the caller fixes ``parts`` for the largest group it expects, so a
+    key holding a large share of all rows is collected by ``parts`` tasks, and
+    the output's shape does not depend on how many rows a group has."""
+    if parts < 1:
+        raise ValueError("parts must be at least 1")
+    item = F.col(item) if isinstance(item, str) else item
+    return F.lit(0) if parts == 1 else F.pmod(F.xxhash64(item), F.lit(parts)).cast("int")
 
 
 def pack_events(df: DataFrame, ts: str = "evt_block_time", id_col: str = "orderid",
                 cat: str = "chain", categories=K.PACK_CHAINS, start=None, end=None,
                 time_format: str = "yyyy-MM-dd HH:mm:ss.SSSSSS",
-                max_items: int = 50_000, ordered: bool = True) -> DataFrame:
+                parts: int = 1, ordered: bool = True) -> DataFrame:
     """Hourly packed event log.
 
     One row per hour with one text column per category: the ``', '``-joined
     ``<id>-<time>`` items of that category, sorted, ``''`` when none.
 
-    A packed cell is a single value, so an hour holding a large share of all
-    events would otherwise be collected by one task. The hour's events are
-    therefore spread over ``part = hash(item) mod ceil(n_hour / max_items)``
-    sub-rows (``part`` is 0 whenever the hour holds at most ``max_items``
-    events), which bounds every collected group while keeping every item;
-    :func:`unpack_events` reads any number of parts.
+    A packed cell is a single value that one task collects. Where an hour can
+    hold a large share of all events, ``parts`` spreads every hour over that
+    many sub-rows (``part = hash(item) mod parts``, empty ones left out) and
+    keeps every item; :func:`unpack_events` reads any number of parts.
     """
     ev = df
     if start is not None or end is not None:
@@ -207,7 +230,7 @@ def pack_events(df: DataFrame, ts: str = "evt_block_time", id_col: str = "orderi
                     F.date_format(F.col(ts), time_format))
     ev = ev.select(X.floor_to("hour", ts).alias("event_hour"), item.alias("item"),
                    F.col(cat).alias("cat"))
-    ev = spread_groups(ev, ["event_hour"], "item", max_items)
+    ev = ev.withColumn("part", part_of("item", parts))
     aggs = [F.array_join(F.sort_array(F.collect_list(F.when(F.col("cat") == v, F.col("item")))),
                          K.PACK_ITEM_SEP).alias(name)
             for v, name in categories]

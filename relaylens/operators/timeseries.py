@@ -17,56 +17,67 @@ def _micros(span: str) -> int:
     return int(n) * _UNIT_US[unit.lower()]
 
 
-def gap_fill(df: DataFrame, ts: str, keys, carry, zero=(), step: str = "1 hour",
+def infer_step(df: DataFrame, ts: str, keys) -> str | None:
+    """The smallest distance between consecutive bars of a key on one day, as
+    ``"<n> microseconds"`` (``None`` if no day of a key has two bars)."""
+    us = F.unix_micros(F.col(ts).cast("timestamp"))
+    by = Window.partitionBy(*_list(keys), "__day").orderBy("__us")
+    gaps = (df.where(F.col(ts).isNotNull()).select(*_list(keys), us.alias("__us"), F.to_date(ts).alias("__day"))
+              .select((F.col("__us") - F.lag("__us").over(by)).alias("gap")).where("gap > 0"))
+    least = gaps.agg(F.min("gap")).first()[0]
+    return f"{least} microseconds" if least else None
+
+
+def _list(x) -> list:
+    return [x] if isinstance(x, str) else list(x)
+
+
+def gap_fill(df: DataFrame, ts: str, keys, carry, zero=(), step: str | None = None,
              block: str = "1 day") -> DataFrame:
     """Complete a per-key series at a fixed ``step`` (U4).
 
-    For each key the grid runs from its first to its last bucket; ``carry``
-    columns take the last known value (forward fill), ``zero`` columns
-    become 0 and ``filled`` marks generated buckets. ``df`` must hold one
-    row per (key, bucket), with buckets on the ``step`` grid of each key;
-    rows with a NULL key or time are dropped.
+    A bar belongs to the bucket ``floor(ts / step)`` of the UTC epoch and gets
+    the bucket's start as its time. Of several bars in a bucket the latest
+    counts, of revisions with the same time the one that compares largest.
+    Without ``step`` it is the smallest distance between bars (``infer_step``),
+    so that every bar of a regular series keeps its own bucket.
+
+    For each key the result runs from its first to its last bucket; ``carry``
+    columns take the last known value (forward fill), ``zero`` columns become 0
+    and ``filled`` marks generated buckets. Rows with a NULL key or time are
+    dropped.
 
-    The fill is two-level so no task handles a whole key's history: the grid
-    is generated and forward-filled per (key, ``block``) partition; the last
-    value of every block is then carried across blocks by a window over the
-    small per-key block table (time range / ``block`` rows) and joined back.
+    One scan and one shuffle of the bars, by (key, ``block``): a task never
+    holds a key's whole history. A bar is exploded up to the next one; the last
+    bar of a block gets the next block's first bucket, and values carried into
+    a block, from the small per-key block table.
     """
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    carry = [carry] if isinstance(carry, str) else list(carry)
-    zero = [zero] if isinstance(zero, str) else list(zero)
-    step_us = _micros(step)
-    per_block = max(1, _micros(block) // step_us)
-    # A series needs a key and a time: NULL keys/times are dropped, as a
-    # pandas groupby drops them.
+    keys, carry, zero = _list(keys), _list(carry), _list(zero)
+    step = step or infer_step(df, ts, keys) or block
+    step_us, block_us = _micros(step), max(_micros(block), _micros(step))
     df = df.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys + [ts]]))
-
     us = F.unix_micros(F.col(ts).cast("timestamp"))
-    bounds = df.groupBy(*keys).agg(F.min(us).alias("__lo"), F.max(us).alias("__hi"))
-    n_steps = (F.col("__hi") - F.col("__lo")) / F.lit(step_us)            # exact: buckets are on the grid
-    blocks = (bounds.select(*keys, "__lo", n_steps.cast("long").alias("__n"))
-                    .select(*keys, "__lo", "__n",
-                            F.explode(F.sequence(F.lit(0).cast("long"),
-                                                 F.expr(f"__n div {per_block}"))).alias("__b"))
-                    .repartition(*keys, "__b"))
-    first_i = F.col("__b") * per_block
-    last_i = F.least(first_i + per_block - 1, F.col("__n"))
-    grid = blocks.select(*keys, "__b", "__lo", F.explode(F.sequence(first_i, last_i)).alias("__i"))
-    grid = grid.select(*keys, "__b", F.timestamp_micros(F.col("__lo") + F.col("__i") * step_us)
-                       .cast(df.schema[ts].dataType).alias(ts))
-
-    j = grid.join(df.withColumn("__seen", F.lit(True)), keys + [ts], "left")
-    w_in = Window.partitionBy(*keys, "__b").orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)
-    level1 = j.select(*keys, "__b", ts,
-                      *[F.last(c, ignorenulls=True).over(w_in).alias(c) for c in carry],
-                      *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in zero],
-                      F.col("__seen").isNull().alias("filled"))
-
-    ends = j.groupBy(*keys, "__b").agg(
-        *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(ts))).alias(c) for c in carry])
-    w_across = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    carried = ends.select(*keys, "__b",
-                          *[F.last(c, ignorenulls=True).over(w_across).alias(f"__in_{c}") for c in carry])
-    out = level1.join(carried, keys + ["__b"], "left")
-    return out.select(*keys, ts, *[F.coalesce(F.col(c), F.col(f"__in_{c}")).alias(c) for c in carry],
-                      *zero, "filled")
+    bars = (df.select(*keys, *dict.fromkeys(carry + zero), us.alias("__us"))
+              .withColumn("__i", F.expr(f"(__us - pmod(__us, {step_us}L)) div {step_us}L"))
+              .withColumn("__b", F.expr(f"(__us - pmod(__us, {block_us}L)) div {block_us}L"))
+              .repartition(*keys, "__b"))
+    inside = Window.partitionBy(*keys, "__b").orderBy("__us", *dict.fromkeys(carry + zero))
+    upto = inside.rowsBetween(Window.unboundedPreceding, 0)
+    bars = bars.select(*keys, "__b", "__i", F.lead("__i").over(inside).alias("__next"),
+                       F.min("__i").over(upto).alias("__first"), *[F.col(c).alias(f"__zero_{c}") for c in zero],
+                       *[F.last(c, ignorenulls=True).over(upto).alias(c) for c in carry])
+    bars = bars.where("__next is null or __next <> __i")
+
+    across = Window.partitionBy(*keys).orderBy("__b")
+    before = across.rowsBetween(Window.unboundedPreceding, -1)
+    ends = bars.where("__next is null").select(
+        *keys, "__b", F.lead("__first").over(across).alias("__resume"),
+        *[F.last(c, ignorenulls=True).over(before).alias(f"__in_{c}") for c in carry])
+    out = bars.join(ends, keys + ["__b"], "left")
+    until = F.coalesce("__next", "__resume", F.col("__i") + 1)
+    out = out.select(*keys, "__i", *[F.coalesce(F.col(c), F.col(f"__in_{c}")).alias(c) for c in carry],
+                     *[f"__zero_{c}" for c in zero], F.explode(F.sequence(F.col("__i"), until - 1)).alias("__j"))
+    filled = F.col("__j") != F.col("__i")
+    return out.select(*keys, F.timestamp_micros(F.col("__j") * step_us).cast(df.schema[ts].dataType).alias(ts), *carry,
+                      *[F.when(filled, F.lit(0)).otherwise(F.coalesce(F.col(f"__zero_{c}"), F.lit(0))).alias(c) for c in zero],
+                      filled.alias("filled"))

@@ -24,15 +24,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread_coarse(df: DataFrame) -> DataFrame:
-    """Spread an input that arrives in fewer partitions than the cluster has
-    cores (e.g. a single parquet row group) before CPU-heavy work such as
-    serialising landed test files. A no-op when the scan has enough splits,
-    which is always the case at scale. Used only where inputs are landed."""
-    n = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
-
-
 def _case_mod(col: str, m: int, labels) -> str:
     whens = " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(labels))
     return f"CASE {col} % {m} {whens} END"
@@ -56,18 +47,15 @@ FILL_COLUMNS = [
 ]
 
 
-def fills_view(spark: SparkSession, sf_dir: str, with_chain: bool = False, spread: bool = False) -> DataFrame:
+def fills_view(spark: SparkSession, sf_dir: str, with_chain: bool = False) -> DataFrame:
     """Raw fills with text times ``'yyyy-MM-dd HH:mm:ss.SSSSSS UTC'``.
 
     ``with_chain`` adds ``src_chain`` (customer nation), which costs two
-    more joins; queries that do not group by chain leave it out. ``spread``
-    applies :func:`spread_coarse` to the line items (for landing files).
+    more joins; queries that do not group by chain leave it out.
     """
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_discount",
         "l_returnflag", "l_linestatus", "l_shipdate")
-    if spread:
-        li = spread_coarse(li)
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
     j = li.join(o, li["l_orderkey"] == o["o_orderkey"])
     chain = F.lit(None).cast("string")
@@ -153,16 +141,16 @@ ORDER_DOC_COLUMNS = [
 ]
 
 
-def order_docs_view(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
-    """Flattened order documents (all text), one per line item. ``spread``
-    applies :func:`spread_coarse` to the line items (for landing files)."""
+def order_docs_view(spark: SparkSession, sf_dir: str, order: int | None = None) -> DataFrame:
+    """Flattened order documents (all text), one per line item; ``order`` limits
+    them to one order by the stored key, which reaches the scans."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
         "l_discount", "l_returnflag")
-    if spread:
-        li = spread_coarse(li)
     p = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", "p_size")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    if order is not None:
+        li = li.where(F.col("l_orderkey") == order)
     j = li.join(p, li["l_partkey"] == p["p_partkey"]).join(o, F.col("l_orderkey") == o["o_orderkey"])
     return j.selectExpr(*[f"{e} AS {a}" for a, e in ORDER_DOC_COLUMNS])
 
@@ -183,10 +171,12 @@ EVENT_LOG_COLUMNS = [
 ]
 
 
-def event_log_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_log_view(spark: SparkSession, sf_dir: str, order: int | None = None) -> DataFrame:
     """Aligned order events; orders still pending have no event row, so
     the left join of the order analytics misses for them."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+    if order is not None:
+        o = o.where(F.col("o_orderkey") == order)
     cols = [F.expr(e).alias(a) for a, e in EVENT_LOG_COLUMNS]
     dest_t = F.timestamp_add("SECOND", F.col("o_orderkey") % 3600, F.col("o_orderdate"))
     return (o.where(F.expr(EVENT_LOG_FILTER))
@@ -209,11 +199,9 @@ def source_leg(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr(_case_mod("o_custkey", 8, CHAIN_NAMES)).alias("chain"))
 
 
-def dest_leg(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+def dest_leg(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fulfilment events: one per shipment, several per order."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_shipdate", "l_suppkey")
-    if spread:
-        li = spread_coarse(li)
     return li.select(F.col("l_orderkey").alias("orderId"), F.col("l_shipdate").alias("evt_time"),
                      F.expr(_case_mod("l_suppkey", 8, CHAIN_NAMES)).alias("chain"))
 

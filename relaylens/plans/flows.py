@@ -38,10 +38,10 @@ def _packed_schema(categories) -> T.StructType:
 
 
 # ------------------------------------------------------------- L1 event log
-def write_packed_csv(events: DataFrame, path: str, categories=K.PACK_CHAINS) -> None:
+def write_packed_csv(events: DataFrame, path: str, categories=K.PACK_CHAINS, parts: int = 8) -> None:
     """Land an hourly packed event export (``orderid, evt_block_time, chain``
-    rows in) as header CSV."""
-    packed = shape.pack_events(events, categories=categories, ordered=False)
+    rows in) as header CSV, every hour over ``parts`` rows."""
+    packed = shape.pack_events(events, categories=categories, parts=parts, ordered=False)
     (packed.write.option("header", True).option("timestampNTZFormat", PACK_TIME)
            .mode("overwrite").csv(path))
 
@@ -123,23 +123,32 @@ def nest_order_docs(flat: DataFrame) -> DataFrame:
 
 def order_detail_load(spark: SparkSession, docs_path: str, processed: DataFrame | None = None,
                       target: str | None = None, schema=None,
-                      batch_rows: int = K.ORDER_BATCH_ROWS, metrics: dict | None = None,
-                      null_text: str | None = None) -> DataFrame:
+                      batch_rows: int | None = None, metrics: dict | None = None,
+                      null_text: str | None = None, mixed=None) -> DataFrame:
     """Landed order documents -> flat text rows of orders not stored yet
     (L2: J3 → S5 → P7 → P3 → P4 → P2 → S9).
 
-    Without ``schema`` the document schema is inferred over all files, so
-    documents whose keys drift merge into one schema (missing keys NULL).
+    With a declared ``schema`` (``schemas.ORDER_DOC``) the documents are read
+    once. Without one it is inferred over all files, so documents whose keys
+    drift merge into one schema (missing keys NULL). ``mixed`` is that of
+    ``flatten_struct``; with a declared schema it is ``()`` unless given.
+    Documents are dropped on their id before they are flattened to text.
     ``null_text='nan'`` stores missing values as that text, as the original
     all-text order table does.
     """
     raw = files.read_json_pages(spark, docs_path, envelope=None, schema=schema, multi_line=False)
-    flat = shape.flatten_struct(raw, sep="_", prefer=K.STRING_VALUE_KEY)
+    raw = _observe(raw, metrics, "documents")
+    if processed is not None:
+        by_id = isinstance(raw.schema["orderId"].dataType, T.StructType)
+        raw = raw.withColumn("__id", (F.col("orderId").getField(K.STRING_VALUE_KEY) if by_id
+                                      else F.col("orderId")).cast("string"))
+        raw = orders.backlog(raw, processed, "__id", "orderid").drop("__id")
+    if mixed is None and schema is not None:
+        mixed = ()
+    flat = shape.flatten_struct(raw, sep="_", prefer=K.STRING_VALUE_KEY, mixed=mixed)
     flat = shape.to_strings(flat, null_text=null_text)
     flat = shape.drop_cols(flat, [K.RAW_METADATA_COLUMN], strict=False)
-    flat = _observe(flat.withColumnRenamed("orderId", "orderid"), metrics, "documents")
-    new = orders.backlog(flat, processed, "orderid") if processed is not None else flat
-    new = _observe(new, metrics, "new_rows")
+    new = _observe(flat.withColumnRenamed("orderId", "orderid"), metrics, "new_rows")
     if target:
         sinks.append_batched(new, target, batch_rows)
     return new
@@ -161,12 +170,13 @@ def write_price_pages(bars: DataFrame, path: str) -> None:
     pages.select("instrument", "value").write.mode("overwrite").partitionBy("instrument").text(path)
 
 
-def price_history(spark: SparkSession, pages_path: str, step: str = "1 hour",
+def price_history(spark: SparkSession, pages_path: str, step: str | None = None,
                   target: str | None = None, schema=None) -> DataFrame:
     """Price pages -> de-duplicated, gap-filled series per instrument
     (L3: S5 → U2 → U3 → P23 → U4 → S7). ``schema`` (e.g.
     ``schemas.PRICE_PAGE``) skips inference; the ``instrument`` partition
-    column comes from the folder names either way."""
+    column comes from the folder names either way. Without ``step`` the
+    distance of the bars in the data is used (minute pages stay minute bars)."""
     bars = files.read_json_pages(spark, pages_path, envelope="Data", multi_line=False, schema=schema)
     bars = shape.dedupe_rows(bars)
     bars = bars.select("instrument", X.epoch_to_ts("TIMESTAMP").alias("ts"), "CLOSE")
@@ -183,7 +193,7 @@ def file_drop_aggregate(spark: SparkSession, root: str, keyword: str, schema=Non
     """Listing -> keyword/suffix selection -> header-drift-tolerant CSV
     union (L4: S3 → S4 → S2 → S7)."""
     chosen = files.select_files(files.file_inventory(spark, root), keyword, suffix)
-    df = _observe(files.read_csv_union(spark, chosen, schema, timestamp_format=timestamp_format),
+    df = _observe(files.read_csv_union(spark, chosen, schema, timestamp_format=timestamp_format, metrics=metrics),
                   metrics, "rows")
     if target:
         sinks.append_table(df, target)
@@ -192,13 +202,12 @@ def file_drop_aggregate(spark: SparkSession, root: str, keyword: str, schema=Non
 
 # -------------------------------------------------------- L5 bundle history
 def write_json_pages(records: DataFrame, path: str, envelope: str, page_col: str,
-                     page_rows: int = 1000, partition_by: str | None = None) -> None:
-    """Group records into JSON pages of at most about ``page_rows`` records
-    per ``page_col`` value (``{"<envelope>": [...]}``), one page per line.
-    A page value holding many records is split over several pages."""
+                     parts: int = 8, partition_by: str | None = None) -> None:
+    """Group records into JSON pages, ``parts`` per ``page_col`` value
+    (``{"<envelope>": [...]}``), one page per line."""
     cols = [c for c in records.columns if c not in (page_col, partition_by)]
     keys = [page_col] + ([partition_by] if partition_by else [])
-    rec = shape.spread_groups(records, keys, F.struct(*cols), page_rows, part="__part")
+    rec = records.withColumn("__part", shape.part_of(F.struct(*cols), parts))
     pages = (rec.groupBy(*keys, "__part")
                 .agg(F.to_json(F.struct(F.collect_list(F.struct(*cols)).alias(envelope))).alias("value")))
     w = pages.select(*([partition_by] if partition_by else []), "value").write.mode("overwrite")
@@ -215,6 +224,19 @@ def bundle_history(spark: SparkSession, pages_path: str, start_epoch: int,
     return shape.drop_cols(b, list(drop))
 
 
+def resume_bundles(spark: SparkSession, pages_path: str, target: str,
+                   drop=("tokens", "token_balance_delta"), schema=None) -> int | None:
+    """Append the bundles that are newer than the newest stored one (A12 on
+    ``target`` → F5 → L5 → S7). Returns the mark (``None``: nothing stored yet,
+    everything is loaded). Parquet statistics answer the maximum."""
+    mark = None
+    if marks.stored_exists(spark, target):
+        mark = spark.read.parquet(target).agg(F.max("timestamp")).first()[0]
+    b = bundle_history(spark, pages_path, mark if mark is not None else -(1 << 62), drop, schema)
+    sinks.append_table(b, target)
+    return mark
+
+
 # ---------------------------------------------------- L7 order-book snapshot
 def write_array_pages(records_json: DataFrame, path: str, page_col: str = "page") -> None:
     """One bare JSON array per page, each page in its own file
@@ -237,24 +259,14 @@ def order_book_snapshot(spark: SparkSession, pages_path: str, order_hash: str |
 
 
 # ------------------------------------------------------- L8 bridge transfers
-BRIDGE_DROP = [
-    "emitterAddress", "id", "txHash", "originTx.attribute.value.originTxHash",
-    "payload", "standardizedProperties", "globalTx", "originTx.txHash", "fromAddress",
-    "fromChain", "normalizedDecimals", "originTx.attribute.value.originChainId", "feeAddress",
-    "feeChain", "originTx.status", "originTx.attribute.type",
-    "originTx.attribute.value.originAddress", "amount",
-]
-
-
 def bridge_transfers(spark: SparkSession, pages_path: str, positive_amount_only: bool = False,
                      schema=None) -> DataFrame:
     """Transaction pages -> flat, chain-named transfers with parsed times
     (L8 first part: S5 → P8 → P18×3 → P2). ``schema`` (e.g.
     ``schemas.BRIDGE_PAGE``) skips inference."""
     tx = files.read_json_pages(spark, pages_path, envelope="transactions", multi_line=False, schema=schema)
-    tx = shape.expand_structs(tx, ["globalTx", "standardizedProperties"], sep=".")
+    tx = shape.expand_structs(tx, ["globalTx", "standardizedProperties"], sep=".", drop=K.BRIDGE_DROP)
     tx = bridge.map_codes(tx, ["emitterChain", "toChain", "tokenChain"])
-    tx = shape.drop_cols(tx, BRIDGE_DROP, strict=False)
     if positive_amount_only:
         tx = tx.where(X.is_positive("tokenAmount"))
     return (tx.withColumn("timestamp", X.parse_iso(F.col("timestamp")))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ...functions import constants as K
 from ...functions import expr as X
 from ...operators import bridge, marks, shape, timeseries
+from ...session import run_folder
 from ...sources.coverage import slice_coverage
 from .. import bindings as B
 from ..registry import register
@@ -18,10 +19,10 @@ ITEM_SQL = "CAST(event_id AS VARCHAR) || '-' || strftime(ts, '%Y-%m-%d %H:%M:%S.
 IN_PACK_RANGE = f"ts >= TIMESTAMP '{PACK_START}' AND ts < TIMESTAMP '{PACK_END}'"
 
 
-def _packed(spark, sf):
+def _packed(spark, sf, start=None, end=None, parts=1):
     ev = B.events(spark, sf).select(F.col("event_id").alias("orderid"), F.col("ts").alias("evt_block_time"),
                                     F.col("event_type").alias("chain"))
-    return shape.pack_events(ev, categories=B.EVENT_CATEGORIES, start=PACK_START, end=PACK_END)
+    return shape.pack_events(ev, categories=B.EVENT_CATEGORIES, start=start, end=end, parts=parts)
 
 
 _PACK_COLS = ",\n  ".join(
@@ -36,16 +37,17 @@ FROM (SELECT ts, event_type, {ITEM_SQL} AS item FROM events WHERE {IN_PACK_RANGE
 GROUP BY 1""")
 def q_events_packed(spark, sf):
     """Hourly packed event log by event type."""
-    return _packed(spark, sf)
+    return _packed(spark, sf, PACK_START, PACK_END)
 
 
 @register("events_unpacked", f"""
 SELECT CAST(event_id AS VARCHAR) AS orderId, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS evt_time,
        upper(event_type) AS chain
-FROM events WHERE {IN_PACK_RANGE}""")
+FROM events""")
 def q_events_unpacked(spark, sf):
-    """Round trip: packed cells back to one row per event."""
-    return shape.unpack_events(_packed(spark, sf))
+    """Round trip over all events: packed cells (every hour over 16 rows) back
+    to one row per event (U1, F10)."""
+    return shape.unpack_events(_packed(spark, sf, parts=16))
 
 
 CODES_SQL = "codes(code, name) AS (VALUES " + ", ".join(
@@ -68,6 +70,35 @@ def q_map_codes(spark, sf):
     return bridge.map_codes(c, ["emitterChain", "toChain", "tokenChain"])
 
 
+BAD_CODES = {5: "'abc'", 7: "'99999999999'", 11: "NULL", 13: "''"}
+TEXT_CODE = "CASE c_custkey % 17 " + " ".join(f"WHEN {k} THEN {v}" for k, v in BAD_CODES.items()) + \
+    " ELSE CAST(c_custkey % 40 AS STRING) END"
+
+
+@register("map_codes_text", f"""WITH {CODES_SQL},
+c AS (SELECT c_custkey, {TEXT_CODE} AS code_text, CAST(c_custkey AS BIGINT) * 4294967296 + c_custkey % 40 AS wide FROM customer)
+SELECT c.c_custkey, coalesce(a.name, 'Unknown') AS code_text, coalesce(b.name, 'Unknown') AS wide
+FROM c LEFT JOIN codes a ON a.code = TRY_CAST(c.code_text AS INTEGER)
+       LEFT JOIN codes b ON b.code = TRY_CAST(c.wide AS INTEGER)""")
+def q_map_codes_text(spark, sf):
+    """Codes as text, some unparsable, missing or too wide: 'Unknown' (P18)."""
+    c = B.table(spark, sf, "customer").select(
+        "c_custkey", F.expr(TEXT_CODE).alias("code_text"),
+        (F.col("c_custkey").cast("bigint") * 4294967296 + F.col("c_custkey") % 40).alias("wide"))
+    return bridge.map_codes(c, ["code_text", "wide"])
+
+
+@register("map_codes_dim", """
+SELECT c_custkey, coalesce(a.n_name, 'Unknown') AS emitterChain, coalesce(b.n_name, 'Unknown') AS toChain
+FROM customer LEFT JOIN nation a ON a.n_nationkey = c_nationkey LEFT JOIN nation b ON b.n_nationkey = c_custkey % 40""")
+def q_map_codes_dim(spark, sf):
+    """Customer chain ids looked up in a dimension table."""
+    c = B.table(spark, sf, "customer").select("c_custkey", F.col("c_nationkey").alias("emitterChain"),
+                                              (F.col("c_custkey") % 40).alias("toChain"))
+    return bridge.map_codes(c, ["emitterChain", "toChain"], dim=B.table(spark, sf, "nation"),
+                            code="n_nationkey", name="n_name")
+
+
 @register("json_field", "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
 def q_json_field(spark, sf):
     """Nested field of a JSON text column, declared schema."""
@@ -127,7 +158,25 @@ def q_gap_fill(spark, sf):
     bars = (B.events(spark, sf)
             .groupBy("event_type", X.floor_to("hour", "ts").alias("event_hour"))
             .agg(F.max("value").alias("high"), F.count(F.lit(1)).alias("n")))
-    return timeseries.gap_fill(bars, "event_hour", "event_type", carry="high", zero="n")
+    return timeseries.gap_fill(bars, "event_hour", "event_type", carry="high", zero="n", step="1 hour")
+
+
+@register("gap_fill_irregular", """WITH bars AS (
+  SELECT event_type, make_timestamp(epoch_us(ts) // 600000000 * 600000000) AS bucket, ts, value, event_id FROM events),
+last AS (SELECT event_type, bucket, arg_max(value, ts) AS value
+         FROM (SELECT event_type, bucket, ts, max(value) AS value FROM bars GROUP BY 1, 2, 3) GROUP BY 1, 2),
+bnd AS (SELECT event_type, min(bucket) AS lo, max(bucket) AS hi FROM last GROUP BY 1),
+grid AS (SELECT event_type, unnest(generate_series(lo, hi, INTERVAL 10 MINUTE)) AS ts FROM bnd)
+SELECT g.event_type, g.ts,
+  last_value(b.value IGNORE NULLS) OVER (PARTITION BY g.event_type ORDER BY g.ts
+                                         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS value,
+  b.bucket IS NULL AS filled
+FROM grid g LEFT JOIN last b ON b.event_type = g.event_type AND b.bucket = g.ts""")
+def q_gap_fill_irregular(spark, sf):
+    """Every event as a bar off the grid, several to a bucket and some revised
+    (two values at one time): the latest of each 10 minutes, gaps filled (U4)."""
+    return timeseries.gap_fill(B.events(spark, sf).select("event_type", "ts", "value"), "ts", "event_type",
+                               carry="value", step="10 minutes")
 
 
 SLICE_START, SLICE_END, SLICE_STEP_S = "2024-01-01 00:00:00", "2024-01-31 00:00:00", 300
@@ -165,6 +214,17 @@ def q_high_water_mark(spark, sf):
     return marks.high_water_mark(B.events(spark, sf), "ts", by=["event_type"])
 
 
+@register("observed_rows", """
+SELECT event_type, count(*) AS rows, (SELECT count(*) FROM events) AS observed FROM events GROUP BY 1""")
+def q_observed_rows(spark, sf):
+    """Rows per type beside the row count that an observation saw during a write."""
+    ev, seen = marks.with_row_count(B.events(spark, sf).select("event_type"), "rows")
+    folder = run_folder(spark, "observed_rows", sf)
+    ev.write.parquet(folder)
+    per = spark.read.parquet(folder).groupBy("event_type").agg(F.count(F.lit(1)).alias("rows"))
+    return per.withColumn("observed", F.lit(seen.get["rows"]).cast("bigint"))
+
+
 @register("epoch_roundtrip", """
 SELECT event_id, epoch_us(ts) // 1000000 AS epoch_s, make_timestamp((epoch_us(ts) // 1000000) * 1000000) AS ts_second
 FROM events""")

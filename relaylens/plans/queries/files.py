@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 
 from ... import schemas
 from ...functions import expr as X
+from ...operators import shape
 from ...session import run_folder
 from .. import bindings as B
 from .. import flows
 from ..registry import ORACLES, register
+from .events import CODES_SQL
 
 
 # Each flow lands its input files (derived by Spark from the driver tables)
@@ -35,7 +37,7 @@ def q_event_log_build(spark, sf):
     root = run_folder(spark, "event_log_build", sf)
     src = B.source_leg(spark, sf).select(F.col("orderId").alias("orderid"),
                                          F.col("evt_time").alias("evt_block_time"), "chain")
-    dest = B.dest_leg(spark, sf, spread=True).select(F.col("orderId").alias("orderid"),
+    dest = B.dest_leg(spark, sf).select(F.col("orderId").alias("orderid"),
                                         F.col("evt_time").alias("evt_block_time"), "chain")
     flows.write_packed_csv(src, f"{root}/src")
     flows.write_packed_csv(dest, f"{root}/dest")
@@ -66,13 +68,35 @@ SELECT * FROM docs WHERE NOT EXISTS (
 def q_order_detail_load(spark, sf):
     """L2: landed nested order documents (drifting keys) -> text rows of new orders."""
     root = run_folder(spark, "order_detail_load", sf)
-    flows.nest_order_docs(B.order_docs_view(spark, sf, spread=True)).write.text(f"{root}/docs")
+    flows.nest_order_docs(B.order_docs_view(spark, sf)).write.text(f"{root}/docs")
     stored = (B.table(spark, sf, "orders").where(F.col("o_orderstatus") == "O")
               .select(F.col("o_orderkey").cast("string").alias("orderid")))
-    flows.order_detail_load(spark, f"{root}/docs", stored, target=f"{root}/orders", null_text="nan")
+    flows.order_detail_load(spark, f"{root}/docs", stored, target=f"{root}/orders", null_text="nan",
+                            schema=schemas.ORDER_DOC)
     return spark.read.parquet(f"{root}/orders")
 
 
+@register("flatten_mixed_docs", """
+SELECT o_orderkey AS id, CASE WHEN o_custkey % 3 = 0 THEN CAST(o_custkey AS VARCHAR) END AS fee,
+       CASE WHEN o_custkey % 3 = 1 THEN o_custkey END AS fee_amount,
+       CASE WHEN o_custkey % 3 = 1 THEN o_orderpriority END AS fee_unit_code, o_orderstatus AS state
+FROM orders""")
+def q_flatten_mixed_docs(spark, sf):
+    """Documents that wrap a value, send it as an object, or leave it out: each
+    flattened by its own form (P7)."""
+    root = run_folder(spark, "mixed_docs", sf)
+    o = B.table(spark, sf, "orders")
+    kind = F.col("o_custkey") % 3
+    fee = F.struct(F.when(kind == 0, F.col("o_custkey").cast("string")).alias("stringValue"),
+                   F.when(kind == 1, F.col("o_custkey")).alias("amount"),
+                   F.when(kind == 1, F.struct(F.col("o_orderpriority").alias("code"))).alias("unit"))
+    doc = F.struct(F.col("o_orderkey").alias("id"), F.when(kind < 2, fee).alias("fee"),
+                   F.struct(F.col("o_orderstatus").alias("stringValue")).alias("state"))
+    o.select(F.to_json(doc)).write.text(f"{root}/docs")
+    schema = "id BIGINT, fee STRUCT<stringValue: STRING, amount: BIGINT, unit: STRUCT<code: STRING>>, state STRUCT<stringValue: STRING>"
+    return shape.flatten_struct(flows.files.read_json_pages(spark, f"{root}/docs", schema=schema, multi_line=False))
+
+
 @register("price_history", """WITH bars AS (
   SELECT event_type AS instrument, date_trunc('hour', ts) AS ts, max(value) AS CLOSE FROM events GROUP BY 1, 2),
 bnd AS (SELECT instrument, min(ts) AS lo, max(ts) AS hi FROM bars GROUP BY 1),
@@ -89,7 +113,26 @@ def q_price_history(spark, sf):
             .groupBy(F.col("event_type").alias("instrument"), X.floor_to("hour", "ts").alias("ts"))
             .agg(F.max("value").alias("CLOSE")))
     flows.write_price_pages(bars, f"{root}/pages")
-    return flows.price_history(spark, f"{root}/pages", schema=schemas.PRICE_PAGE)
+    return flows.price_history(spark, f"{root}/pages", step="1 hour", schema=schemas.PRICE_PAGE)
+
+
+@register("price_history_minute", """WITH bars AS (
+  SELECT event_type AS instrument, date_trunc('minute', ts) AS ts, max(value) AS CLOSE FROM events GROUP BY 1, 2),
+bnd AS (SELECT instrument, min(ts) AS lo, max(ts) AS hi FROM bars GROUP BY 1),
+grid AS (SELECT instrument, unnest(generate_series(lo, hi, INTERVAL 1 MINUTE)) AS ts FROM bnd)
+SELECT g.instrument, g.ts,
+  last_value(b.CLOSE IGNORE NULLS) OVER (PARTITION BY g.instrument ORDER BY g.ts
+                                         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS CLOSE,
+  b.CLOSE IS NULL AS filled
+FROM grid g LEFT JOIN bars b ON b.instrument = g.instrument AND b.ts = g.ts""")
+def q_price_history_minute(spark, sf):
+    """L3 over pages of minute bars: every bar keeps its minute."""
+    root = run_folder(spark, "price_minutes", sf)
+    bars = (B.events(spark, sf)
+            .groupBy(F.col("event_type").alias("instrument"), X.floor_to("minute", "ts").alias("ts"))
+            .agg(F.max("value").alias("CLOSE")))
+    flows.write_price_pages(bars, f"{root}/pages")
+    return flows.price_history(spark, f"{root}/pages", step="1 minute", schema=schemas.PRICE_PAGE)
 
 
 DROP_SCHEMA = "event_id BIGINT, ts TIMESTAMP_NTZ, event_type STRING, value DOUBLE, user_id BIGINT"
@@ -123,6 +166,27 @@ def q_file_inventory(spark, sf):
     return flows.files.file_inventory(spark, root).select("key", "size")
 
 
+@register("file_inventory_counts", """
+SELECT event_type AS folder, 2 AS files, 1 AS empty_files,
+       CAST(sum(length(CAST(event_id AS VARCHAR)) + 1) AS BIGINT) AS bytes
+FROM events GROUP BY 1""")
+def q_file_inventory_counts(spark, sf):
+    """Files, files without bytes and bytes per folder of a landed drop, from its listing (S3)."""
+    root = run_folder(spark, "inventory_counts", sf)
+    ev = B.events(spark, sf).select(F.col("event_id").cast("string"), F.col("event_type").alias("kind"))
+    # one task and so one file per folder: a small folder count is what this listing is checked with
+    ev.repartition("kind").write.partitionBy("kind").text(root)
+    kinds = [r[0] for r in ev.select("kind").distinct().collect()]
+    jvm = spark.sparkContext._jvm
+    for kind in kinds:
+        path = jvm.org.apache.hadoop.fs.Path(f"{root}/kind={kind}/empty.csv")
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path).close()
+    found = flows.files.file_inventory(spark, root)
+    return found.groupBy(F.regexp_extract("key", "kind=([^/]+)/", 1).alias("folder")).agg(
+        F.count(F.lit(1)).cast("int").alias("files"), F.count_if(F.col("size") == 0).cast("int").alias("empty_files"),
+        F.sum("size").alias("bytes"))
+
+
 BUNDLE_START = 1704844800  # 2024-01-10 00:00:00 UTC
 
 
@@ -142,6 +206,27 @@ def q_bundle_history(spark, sf):
     return flows.bundle_history(spark, f"{root}/pages", BUNDLE_START)
 
 
+@register("resume_from_stored", f"""
+SELECT event_id, epoch_us(ts) // 1000000 AS timestamp, value,
+       make_timestamp((epoch_us(ts) // 1000000) * 1000000) AS DATETIME FROM events""")
+def q_resume_from_stored(spark, sf):
+    """L5 resumed: the first load stores the bundles up to a mark, the second
+    appends what is newer than the newest stored one (A12, F5, S7)."""
+    root = run_folder(spark, "resume_stored", sf)
+    rec = B.events(spark, sf).select(X.ts_to_epoch("ts").alias("timestamp"), "event_id", "value",
+                                     F.array("event_type").alias("tokens"), F.lit("x").alias("token_balance_delta"),
+                                     X.floor_to("hour", "ts").alias("page"))
+    flows.write_json_pages(rec.where(F.col("timestamp") <= BUNDLE_START), f"{root}/pages/a", "data", "page")
+    flows.resume_bundles(spark, f"{root}/pages/*", f"{root}/stored", schema=BUNDLE_FIELDS)
+    flows.write_json_pages(rec, f"{root}/pages/b", "data", "page")
+    flows.resume_bundles(spark, f"{root}/pages/*", f"{root}/stored", schema=BUNDLE_FIELDS)
+    return spark.read.parquet(f"{root}/stored")
+
+
+BUNDLE_FIELDS = ("data ARRAY<STRUCT<timestamp: BIGINT, event_id: BIGINT, value: DOUBLE, tokens: ARRAY<STRING>, "
+                 "token_balance_delta: STRING>>")
+
+
 def _land_order_book(spark, sf, path):
     """Orders as 500-row order-book pages (bare JSON arrays, one per file);
     every other page lacks ``makerRate`` (drift)."""
@@ -202,6 +287,24 @@ def _land_bridge_pages(spark, sf, path):
     flows.write_json_pages(tx, path, "transactions", "page")
 
 
+def _chain_sql(code: str) -> str:
+    return f"coalesce((SELECT name FROM codes WHERE code = CAST({code} AS INTEGER)), 'Unknown')"
+
+
+@register("bridge_transfers", f"""WITH {CODES_SQL}, b AS ({B.BRIDGE_PAIRS_SQL})
+SELECT {_chain_sql('user_id % 40')} AS emitterChain, CAST(value AS VARCHAR) AS tokenAmount, timestamp,
+       strftime(dest_timestamp, '%Y-%m-%dT%H:%M:%S.%fZ') AS "destinationTx.timestamp",
+       CAST((user_id + 7) % 40 AS INTEGER) AS "destinationTx.chainId",
+       {_chain_sql('(user_id + 1) % 40')} AS toChain, {_chain_sql('(user_id + 2) % 40')} AS tokenChain, dest_timestamp
+FROM b""")
+def q_bridge_transfers(spark, sf):
+    """L8 first part: nested transaction pages -> flat, chain-named transfers,
+    without the dropped columns (P8, P18, P2)."""
+    root = run_folder(spark, "bridge_transfers", sf)
+    _land_bridge_pages(spark, sf, f"{root}/pages")
+    return flows.bridge_transfers(spark, f"{root}/pages", schema=schemas.BRIDGE_PAGE)
+
+
 @register("bridge_latency_minute", ORACLES["latency_minute"])
 def q_bridge_latency_minute(spark, sf):
     """Nested transaction pages -> chain-named transfers -> latency per minute."""

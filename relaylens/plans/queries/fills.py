@@ -98,8 +98,27 @@ def q_fill_exports_latency(spark, sf):
     """Daily fill latency from two landed CSV exports (split by input
     symbol), read back with the declared fills schema."""
     root = run_folder(spark, "fill_exports", sf)
-    f = B.fills_view(spark, sf, spread=True)
+    f = B.fills_view(spark, sf)
     first = F.coalesce(F.col("token_symbol"), F.lit("")).isin("F", "O")
     (f.withColumn("export", F.when(first, "p1").otherwise("p2"))
       .write.partitionBy("export").option("header", True).csv(root))      # both exports in one job
     return fills.latency_daily(flows.read_fill_exports(spark, [f"{root}/export=p1", f"{root}/export=p2"]))
+
+
+NULL_TEXT = ("nan", "NULL", "NA", "None")
+
+
+@register("fills_null_text", FILLS + f"""
+SELECT token_symbol, count(*) AS fills, count(out_ts) AS filled, coalesce(sum(input_amount_usd), 0.0) AS volume_usd
+FROM fills GROUP BY 1""")
+def q_fills_null_text(spark, sf):
+    """Fill exports that write missing values as 'nan', 'NULL', 'NA' or 'None',
+    read back as NULL in text and number columns (S1)."""
+    root = run_folder(spark, "fills_null_text", sf)
+    f = B.fills_view(spark, sf)
+    word = F.element_at(F.array(*[F.lit(t) for t in NULL_TEXT]), F.pmod(F.xxhash64("input_time", "relayer"), F.lit(4)).cast("int") + 1)
+    f.select(*[F.coalesce(F.col(c).cast("string"), word).alias(c) for c in f.columns]).write.option("header", True).csv(root)
+    back = flows.read_fill_exports(spark, [root])
+    return back.groupBy("token_symbol").agg(
+        F.count(F.lit(1)).alias("fills"), F.count("output_time").alias("filled"),
+        F.coalesce(F.sum("input_amount_usd"), F.lit(0.0)).alias("volume_usd"))

@@ -133,8 +133,9 @@ LOOKUP_ID = "1"
 
 @register("order_lookup", _detail_sql(f"WHERE e.orderid = '{LOOKUP_ID}'"))
 def q_order_lookup(spark, sf):
-    """One order's detail by id (F1)."""
-    return orders.order_lookup(q_order_details(spark, sf), LOOKUP_ID)
+    """One order's detail by id (F1), looked up on the stored key of both tables."""
+    docs, log = (f(spark, sf, int(LOOKUP_ID)) for f in (B.order_docs_view, B.event_log_view))
+    return orders.order_lookup(orders.order_details(docs, log), LOOKUP_ID)
 
 
 @register("align_legs", f"""WITH s AS ({B.SOURCE_LEG_SQL}), d AS ({B.DEST_LEG_SQL}),

@@ -9,17 +9,11 @@ from ...session import run_folder
 from ...streaming import ingest as S
 from .. import bindings as B
 from .. import flows
-from ..registry import register
+from ..registry import ORACLES, register
 
 
-def _await(q, timeout_s: int = 600) -> None:
-    finished = q.awaitTermination(timeout_s)
-    error = q.exception()
-    q.stop()
-    if error is not None:
-        raise RuntimeError(str(error))
-    if not finished:
-        raise TimeoutError(f"streaming query did not finish within {timeout_s} s")
+def _await(q) -> None:
+    q.awaitTermination()                   # as long as it takes; a failed query raises
 
 
 @register("stream_ingest", f"""
@@ -28,11 +22,11 @@ SELECT CAST(event_id AS VARCHAR) AS id, status, value AS amount,
 FROM (SELECT *, {B.TRANSFER_STATUS} AS status FROM events) WHERE status = 'DONE'""")
 def q_stream_ingest(spark, sf):
     """Transfer pages per day, each repeating the previous day's last hour
-    (re-delivery); streamed once with ``availableNow``."""
+    (re-delivery across files); streamed with ``availableNow``."""
     root = run_folder(spark, "stream_ingest", sf)
     _land_transfer_pages(spark, sf, f"{root}/in")
     _await(S.ingest_transfers(spark, f"{root}/in", f"{root}/out", f"{root}/ckpt"))
-    return spark.read.parquet(f"{root}/out")
+    return S.read_stored(spark, f"{root}/out")
 
 
 @register("stream_latency_minute", f"""WITH b AS ({B.BRIDGE_PAIRS_SQL}),
@@ -59,15 +53,16 @@ SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS orderid FROM lineitem
 WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderstatus = 'F' AND o_orderkey = l_orderkey)""")
 def q_stream_backlog(spark, sf):
     """Candidate ids (one per line item, so ids repeat across files) stream
-    in three files per batch (two batches) against the stored ids, which start as the
-    fulfilled orders."""
+    a few files per batch against the stored ids, which start as the fulfilled orders."""
     root = run_folder(spark, "stream_backlog", sf)
-    cand = B.table(spark, sf, "lineitem").select(F.col("l_orderkey").cast("string").alias("orderid"))
-    cand.repartition(6).write.parquet(f"{root}/in")
+    lines = B.table(spark, sf, "lineitem").select(F.col("l_orderkey").cast("string").alias("orderid"), "l_linenumber")
+    cand = lines.select("orderid")
+    for odd in (0, 1):                     # two landings, so at least two batches
+        lines.where(F.col("l_linenumber") % 2 == odd).select("orderid").write.mode("append").parquet(f"{root}/in")
     stored0 = (B.table(spark, sf, "orders").where(F.col("o_orderstatus") == "F")
                .select(F.col("o_orderkey").cast("string").alias("orderid")))
     S.seed_stored(stored0, f"{root}/stored")
-    src = spark.readStream.schema(cand.schema).option("maxFilesPerTrigger", 3).parquet(f"{root}/in")
+    src = spark.readStream.schema(cand.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
     _await(S.stream_backlog(src, f"{root}/stored", f"{root}/ckpt"))
     return spark.read.parquet(f"{root}/stored").where(F.col("batch_id") >= 0).select("orderid")
 
@@ -75,14 +70,18 @@ def q_stream_backlog(spark, sf):
 RESUME_MARK = 1705276800  # 2024-01-15 00:00:00 UTC
 
 
-def _land_transfer_pages(spark, sf, path):
-    """Transfer pages per day, each repeating the previous day's last hour
-    (re-delivery across files)."""
-    rec = B.events(spark, sf).select(
+def _transfer_records(spark, sf):
+    return B.events(spark, sf).select(
         F.col("event_id").cast("string").alias("id"), F.expr(B.TRANSFER_STATUS).alias("status"),
         F.col("value").alias("amount"),
         F.struct(X.ts_to_epoch("ts").alias("timestamp"), F.lit(1).cast("long").alias("chainId")).alias("sending"),
         F.to_date("ts").alias("day"), F.hour("ts").alias("h"))
+
+
+def _land_transfer_pages(spark, sf, path):
+    """Transfer pages per day, each repeating the previous day's last hour
+    (re-delivery across files)."""
+    rec = _transfer_records(spark, sf)
     again = rec.where(F.col("h") == 23).withColumn("day", F.date_add("day", 1))
     flows.write_json_pages(rec.unionByName(again).drop("h").withColumn("page", F.col("day")),
                            path, "transfers", "page", partition_by="day")
@@ -94,11 +93,27 @@ SELECT CAST(event_id AS VARCHAR) AS id, status, value AS amount,
 FROM (SELECT *, {B.TRANSFER_STATUS} AS status FROM events)
 WHERE status = 'DONE' AND epoch_us(ts) // 1000000 > {RESUME_MARK}""")
 def q_stream_resume(spark, sf):
-    """T4: backfill of landed day files strictly after a stored mark,
-    sixteen files per micro-batch; the de-duplication horizon spans the backfill
-    so files processed out of day order lose nothing."""
+    """T4: backfill strictly after a stored mark from slices that land newest
+    first, each repeating its neighbour's last hour, one file per micro-batch."""
     root = run_folder(spark, "stream_resume", sf)
-    _land_transfer_pages(spark, sf, f"{root}/in")
-    _await(S.resume_history(spark, f"{root}/in", f"{root}/out", f"{root}/ckpt", RESUME_MARK,
-                            files_per_batch=16, horizon="31 days"))
-    return spark.read.parquet(f"{root}/out")
+    rec = _transfer_records(spark, sf)
+    for slice_no in reversed(range(4)):
+        day = F.dayofmonth("day")
+        own = (day >= 8 * slice_no) & (day < 8 * slice_no + 8)
+        again = (day == 8 * slice_no + 8) & (F.col("h") == 0)
+        flows.write_json_pages(rec.where(own | again).drop("h").withColumnRenamed("day", "page"),
+                               f"{root}/in/slice={slice_no}", "transfers", "page")
+    _await(S.resume_history(spark, f"{root}/in", f"{root}/out", f"{root}/ckpt", RESUME_MARK))
+    return S.read_stored(spark, f"{root}/out")
+
+
+@register("stream_latency_batches", ORACLES["latency_minute"])
+def q_stream_latency_batches(spark, sf):
+    """T3 over pairs that land out of order, one file per micro-batch: all of them count."""
+    root = run_folder(spark, "stream_latency_batches", sf)
+    pairs = B.bridge_pairs(spark, sf)
+    for k in range(4):
+        pairs.where(F.col("event_id") % 4 == 3 - k).write.mode("append").parquet(f"{root}/in")
+    src = spark.readStream.schema(pairs.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    _await(S.store_latency(src, f"{root}/out", f"{root}/ckpt"))
+    return S.read_latency(spark, f"{root}/out")

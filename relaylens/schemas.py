@@ -19,6 +19,18 @@ EVENTS_WIDE = "event_hour TIMESTAMP_NTZ, part INT, " + ", ".join(f"{n} STRING" f
 EVENT_SOURCE = "orderid STRING, evt_block_time TIMESTAMP_NTZ, chain STRING"
 # F3 aligned legs
 EVENT_LOG = "orderid STRING, src_evt_time STRING, src_chain STRING, dest_evt_time STRING, dest_chain STRING"
+# F5 order documents (JSON lines), as nested as the feed sends them
+_OFFER = ("STRUCT<finalAmount: STRUCT<stringValue: STRING>, metadata: STRUCT<decimals: STRING, symbol: STRING>, "
+          "chainId: STRUCT<stringValue: STRING, bigIntegerValue: BIGINT>>")
+_TOKEN = "STRUCT<name: STRING, symbol: STRING, decimals: STRING>"
+_EVENT = "STRUCT<transactionHash: STRUCT<stringValue: STRING>>"
+ORDER_DOC = ("orderId STRUCT<stringValue: STRING, bytesArrayValue: STRING>, makerSrc STRING, receiverDst STRING, "
+             f"giveOfferWithMetadata {_OFFER}, takeOfferWithMetadata {_OFFER}, "
+             f"createdSrcEventMetadata {_EVENT}, fulfilledDstEventMetadata {_EVENT}, "
+             f"preswapData STRUCT<inAmount: STRING, outAmount: STRING, tokenInMetadata: {_TOKEN}, "
+             f"tokenOutMetadata: {_TOKEN}>, "
+             "taker STRING, percentFee STRING, finalPercentFee STRING, fixFee STRING, state STRING, "
+             "orderMetadata STRUCT<origin: STRING, orderTradeType: STRING, rawMetadataHex: STRING>")
 # F6 relayed transfers (CSV)
 FILLS = ("input_time STRING, output_time STRING, token_symbol STRING, output_symbol STRING, "
          "output_token STRING, input_amount_usd DOUBLE, output_amount_usd DOUBLE, relayer STRING, "
@@ -55,4 +67,5 @@ def parse(ddl: str) -> T.StructType:
     return T.StructType.fromDDL(ddl)
 
 
-ALL = {name: value for name, value in globals().items() if name.isupper() and isinstance(value, str)}
+ALL = {name: value for name, value in globals().items()
+       if name.isupper() and not name.startswith("_") and isinstance(value, str)}

@@ -12,7 +12,6 @@ Settings the operators rely on:
 from __future__ import annotations
 
 import hashlib
-import os
 import tempfile
 import time
 import uuid
@@ -29,12 +28,14 @@ DEFAULT_CONF = {
 }
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
+def build_session(master: str = "local[*]", shuffle_partitions: int | None = None,
                   app_name: str = "relaylens", extra: dict | None = None) -> SparkSession:
-    """Create (or reuse) a session with the settings above."""
+    """Create (or reuse) a session with the settings above. ``shuffle_partitions``
+    is left to the deployment unless given."""
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -54,12 +55,14 @@ def ensure_settings(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the deployment and must point at shared
-    storage; we only read it. When it is unset (unit tests, a laptop) a
-    private temporary folder is created and registered instead.
+    On a cluster the deployment sets it to shared storage and we only read it;
+    without it this raises, as executors could not see each other's files. Only
+    in local mode (unit tests, a laptop) a private folder is made instead.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="relaylens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     try:
@@ -69,52 +72,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique sub-folder of the checkpoint root for written tables."""
-    root = checkpoint_root(spark)
-    sep = "" if root.endswith("/") else "/"
-    return f"{root}{sep}relaylens/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_dir(path: str) -> str:
-    """Strip a ``file:`` scheme so Python can create local test fixtures."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-    os.makedirs(path, exist_ok=True)
-    return path
-
-
-def delete_path(spark: SparkSession, path: str) -> None:
-    """Recursively delete ``path`` on whatever filesystem it lives on
-    (local, HDFS, object store) through the Hadoop FileSystem API."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(p):
-        fs.delete(p, True)
-
-
-def run_folder(spark: SparkSession, name: str, key: str = "", keep_runs: int = 2) -> str:
-    """Fresh folder for one run of a file-landing flow, under the checkpoint
-    root, in a slot per (``name``, ``key``).
-
-    Only the newest ``keep_runs`` earlier runs of the slot are kept; older
-    ones are removed when a new run starts. Space per slot is therefore
-    bounded by ``keep_runs + 1`` runs however often the flow runs, while the
-    DataFrames returned by the last few runs (possibly not consumed yet)
-    keep their files.
-    """
+def run_folder(spark: SparkSession, name: str, key: str = "") -> str:
+    """A new folder for one run of a file-landing flow, under the checkpoint
+    root. Nothing is deleted: DataFrames of earlier runs and other sessions may
+    still read their folders; their lifetime is the checkpoint folder's."""
     root = checkpoint_root(spark).rstrip("/")
     slot = name + (("-" + hashlib.sha1(key.encode()).hexdigest()[:10]) if key else "")
-    base = f"{root}/relaylens/{slot}"
-    try:
-        jvm = spark.sparkContext._jvm
-        bp = jvm.org.apache.hadoop.fs.Path(base)
-        fs = bp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        if fs.exists(bp):
-            runs = sorted(fs.listStatus(bp), key=lambda st: st.getModificationTime(), reverse=True)
-            for st in runs[keep_runs:]:
-                fs.delete(st.getPath(), True)
-    except Exception:  # noqa: BLE001 - clean-up is best effort, never fails a run
-        pass
-    return f"{base}/run-{int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}"
+    return f"{root}/relaylens/{slot}/run-{int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}"

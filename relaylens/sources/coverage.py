@@ -9,7 +9,7 @@ counts, so empty slices are reported.
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,7 +41,10 @@ def slice_coverage(df: DataFrame, ts: str, start, end, step: str = "5 minutes")
     total = (end_us - _micros(start)) // step_us
     lo_us = end_us - total * step_us
     us = F.unix_micros(F.col(ts).cast("timestamp"))
-    counts = (df.select(us.alias("__us"))
+    kind = df.schema[ts].dataType
+    bound = lambda x: F.lit(datetime.fromtimestamp(0, timezone.utc).replace(tzinfo=None) + timedelta(microseconds=x)).cast(kind)
+    # The range on the column itself reaches the scan; whole microseconds make it exact.
+    counts = (df.where((F.col(ts) >= bound(lo_us)) & (F.col(ts) < bound(end_us))).select(us.alias("__us"))
                 .where((F.col("__us") < F.lit(end_us)) & (F.col("__us") >= F.lit(lo_us)))
                 .select(F.expr(f"({end_us} - __us + {step_us - 1}) div {step_us}").alias("k"))
                 .groupBy("k").agg(F.count(F.lit(1)).alias("rows")))

@@ -10,12 +10,14 @@ from __future__ import annotations
 
 import csv
 import logging
-from collections import defaultdict
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import constants as K
+from ..functions.nulls import clean_text, normalise_frame
 from ..operators.shape import union_by_name
 
 log = logging.getLogger(__name__)
@@ -27,43 +29,57 @@ def _schema(schema):
     return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
 
+def _typed(name: str, kind: T.DataType, null_text, timestamp_format: str | None) -> Column:
+    """A text column as its declared type; null texts are NULL first, other text that
+    does not parse fails the job (ANSI casts)."""
+    text = clean_text(F.col(f"`{name}`"), null_text)
+    if isinstance(kind, T.StringType):
+        return text
+    if timestamp_format and isinstance(kind, T.TimestampNTZType):
+        return F.to_timestamp_ntz(text, F.lit(timestamp_format))
+    if timestamp_format and isinstance(kind, T.TimestampType):
+        return F.to_timestamp(text, timestamp_format)
+    return text.cast(kind)
+
+
 def read_csv(spark: SparkSession, path, schema=None, provenance: bool = False,
-             timestamp_format: str | None = None, **options) -> DataFrame:
+             timestamp_format: str | None = None, null_text=K.CSV_MISSING_TEXT, **options) -> DataFrame:
     """Header CSV into a declared schema (S1), columns matched **by name**.
 
     CSV columns are positional. Reading with a declared schema would assign
     columns by position, so a file whose columns come in another order
     would be mis-read, even by a pruned query that never triggers Spark's
-    header check. Instead the header names are read first, the declared
-    types are laid out in the file's column order, the data is parsed with
-    them (``enforceSchema=false`` still validates every file's header), and
-    the result is returned in declared order. File columns that are not
-    declared stay text; a declared column missing from the file raises.
-    Empty fields are NULL. With ``provenance`` the source file path is added
-    as ``_source_file``.
+    header check. Instead the header names are read first, the columns are read
+    as text in the file's order (``enforceSchema=false`` still validates every
+    file's header), and the result is typed and returned in declared order. File
+    columns that are not declared stay text; a declared column missing from the
+    file raises. Fields that hold a ``null_text`` are NULL in columns of every
+    type; any other text that is not of the column's type fails the job. With
+    ``provenance`` the source file path is added as ``_source_file``.
     """
     def reader():
         r = spark.read.option("header", True)
-        if timestamp_format:
-            r = r.option("timestampNTZFormat", timestamp_format).option("timestampFormat", timestamp_format)
         for k, v in options.items():
             r = r.option(k, v)
         return r
 
     s = _schema(schema)
     if s is None:
-        df = reader().option("inferSchema", True).csv(path)
+        r = reader().option("inferSchema", True)
+        if timestamp_format:
+            r = r.option("timestampNTZFormat", timestamp_format).option("timestampFormat", timestamp_format)
+        df = normalise_frame(r.csv(path), null_text)
     else:
         header = reader().csv(path).columns                     # names of the first file's header
-        declared = {f.name: f for f in s.fields}
+        declared = {f.name: f.dataType for f in s.fields}
         missing = [n for n in declared if n not in header]
         if missing:
             raise KeyError(f"declared columns not in the CSV header: {missing}")
-        file_schema = T.StructType([declared.get(n, T.StructField(n, T.StringType(), True)) for n in header])
         df = (reader().option("enforceSchema", False).option("mode", "FAILFAST")
-                      .schema(file_schema).csv(path))
-        df = df.select(*[F.col(f"`{n}`") for n in declared], *[F.col(f"`{n}`") for n in header
-                                                              if n not in declared])
+                      .schema(T.StructType([T.StructField(n, T.StringType()) for n in header])).csv(path))
+        names = list(declared) + [n for n in header if n not in declared]
+        typed = [_typed(n, declared.get(n, T.StringType()), null_text, timestamp_format).alias(n) for n in names]
+        return df.select(*typed, *([F.col("_metadata.file_path").alias("_source_file")] if provenance else []))
     if provenance:
         df = df.withColumn("_source_file", F.col("_metadata.file_path"))
     return df
@@ -72,15 +88,29 @@ def read_csv(spark: SparkSession, path, schema=None, provenance: bool = False,
 def file_inventory(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
     """Recursive listing ``key, size, last_modified`` (S3).
 
-    Uses the ``binaryFile`` source with only metadata columns selected, so
-    file contents are never read. Zero-length files hold no rows and are
-    not listed.
+    Uses the ``binaryFile`` source with only metadata columns selected, so file
+    contents are never read. That source gives no row for a file without bytes;
+    those are added from its own listing, which Spark keeps on the driver.
     """
     r = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob:
         r = r.option("pathGlobFilter", glob)
-    return r.load(root).select(F.col("path").alias("key"), F.col("length").alias("size"),
-                               F.col("modificationTime").alias("last_modified"))
+    found = r.load(root)
+    rows = found.select(F.col("path").alias("key"), F.col("length").alias("size"),
+                        F.col("modificationTime").alias("last_modified"))
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    empty = []
+    listed = spark.createDataFrame([(f,) for f in found.inputFiles()], "uri string")
+    plain = F.regexp_replace("key", "^([a-z0-9+]+):/+", "$1:/")
+    paths = listed.withColumn("key", F.url_decode(F.replace("uri", F.lit("+"), F.lit("%2B"))))
+    with_bytes = rows.select(plain.alias("known"))
+    for r_ in paths.join(with_bytes, plain == F.col("known"), "left_anti").collect():   # files without bytes only
+        path = jvm.org.apache.hadoop.fs.Path(r_["key"])
+        status = path.getFileSystem(conf).getFileStatus(path)
+        empty.append((status.getPath().toString(), int(status.getLen()), status.getModificationTime()))
+    more = spark.createDataFrame(empty, "key string, size bigint, ms bigint")
+    return rows.unionByName(more.select("key", "size", F.timestamp_millis("ms").alias("last_modified")))
 
 
 def select_files(inventory: DataFrame, keyword: str, suffix: str = ".csv", key: str = "key") -> DataFrame:
@@ -90,70 +120,45 @@ def select_files(inventory: DataFrame, keyword: str, suffix: str = ".csv", key:
     return inventory.where(k.endswith(suffix) & F.lower(k).contains(keyword.lower()))
 
 
-def _first_lines(batches):
-    import pandas as pd
-    from pyarrow import fs as pafs
-
-    for pdf in batches:
-        headers, errors = [], []
-        for p in pdf["path"]:
-            try:
-                uri = p
-                for hadoop_scheme in ("s3a://", "s3n://"):
-                    if uri.startswith(hadoop_scheme):
-                        uri = "s3://" + uri[len(hadoop_scheme):]
-                filesystem, rel = pafs.FileSystem.from_uri(uri)
-                with filesystem.open_input_stream(rel) as f:
-                    buf = b""
-                    while b"\n" not in buf:
-                        chunk = f.read(65536)
-                        if not chunk:
-                            break
-                        buf += chunk
-                line = buf.split(b"\n", 1)[0].decode("utf-8").rstrip("\r")
-                headers.append(line)
-                errors.append(None)
-            except Exception as e:  # noqa: BLE001 - report, do not fail the job
-                headers.append(None)
-                errors.append(f"{type(e).__name__}: {e}")
-        yield pd.DataFrame({"path": pdf["path"], "header": headers, "error": errors})
-
-
-def csv_headers(paths: DataFrame, path_col: str = "key") -> DataFrame:
-    """First line of every file, read by the executors in parallel."""
-    return (paths.select(F.col(path_col).alias("path"))
-                 .mapInPandas(_first_lines, "path string, header string, error string"))
+def csv_headers(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(header, paths of the files that have it), read by Spark's text source: one
+    pass over the text, of which only each file's first line is shuffled."""
+    lines = (spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("path"),
+                                           F.col("_metadata.file_block_start").alias("at"))
+                  .withColumn("n", F.monotonically_increasing_id()))
+    first = lines.where("at = 0").groupBy("path").agg(F.min_by("value", "n").alias("header"))
+    first = first.where(~F.col("header").contains("\ufffd"))            # a first line that is not text
+    return first.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
 
 
 def read_csv_union(spark: SparkSession, files: DataFrame, schema=None, path_col: str = "key",
-                   timestamp_format: str | None = None, provenance: bool = False) -> DataFrame:
+                   timestamp_format: str | None = None, provenance: bool = False,
+                   metrics: dict | None = None) -> DataFrame:
     """Read a set of CSV files whose headers may drift, stacked by column
     name with NULL fill (S2).
 
     Files are grouped by header; each group is one Spark read (so files with
     the same header are scanned in parallel as one dataset) and the groups
-    are combined with ``unionByName(allowMissingColumns=True)``. An
-    unreadable or empty file is skipped with a log message. ``schema`` may
-    declare types for any superset of the columns; undeclared columns are
-    text.
+    are combined with ``unionByName(allowMissingColumns=True)``. Files without
+    a line, or whose first line is not text, have no columns and add nothing; their number is logged and put into
+    ``metrics["files_without_header"]``. A file that cannot be read fails the
+    job. ``schema`` may declare types for any superset of the columns;
+    undeclared columns are text.
     """
-    heads = csv_headers(files, path_col).collect()   # metadata: one row per file
-    groups: dict[str, list[str]] = defaultdict(list)
-    for r in heads:
-        if r["header"]:
-            groups[r["header"]].append(r["path"])
-        else:
-            log.warning("skipping unreadable CSV %s (%s)", r["path"], r["error"] or "empty")
-    if heads and not groups:
-        # Not one header could be read: a storage/configuration problem, not
-        # a bad file; failing beats returning an empty result.
-        raise RuntimeError(f"no CSV header readable among {len(heads)} files; first error: {heads[0]['error']}")
+    paths = [r[0] for r in files.select(path_col).collect()]    # Spark's reader takes its paths from the driver
+    groups = csv_headers(spark, paths).orderBy("header").collect() if paths else []
+    empty = len(paths) - sum(len(g["paths"]) for g in groups)
+    if empty:
+        log.warning("%d of %d CSV files have no header line", empty, len(paths))
+    if metrics is not None:
+        metrics["files_without_header"] = empty
     declared = {f.name: f for f in (_schema(schema).fields if schema is not None else [])}
     frames = []
-    for header, paths in sorted(groups.items()):
-        names = next(csv.reader([header]))
+    for g in groups:
+        names = next(csv.reader([g["header"]]), [])
         st = T.StructType([declared.get(n, T.StructField(n, T.StringType(), True)) for n in names])
-        frames.append(read_csv(spark, paths, st, provenance=provenance, timestamp_format=timestamp_format))
+        frames.append(read_csv(spark, [unquote(x) for x in g["paths"]], st, provenance=provenance,
+                               timestamp_format=timestamp_format))
     if not frames:
         return spark.createDataFrame([], _schema(schema) or T.StructType([]))
     return union_by_name(frames)

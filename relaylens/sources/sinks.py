@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ..functions import constants as K
 
 
 def append_table(df: DataFrame, target: str, fmt: str = "parquet", partition_by=None,
@@ -24,18 +23,21 @@ def append_table(df: DataFrame, target: str, fmt: str = "parquet", partition_by=
         w.save(target)
 
 
-def append_batched(df: DataFrame, target: str, batch_rows: int = K.ORDER_BATCH_ROWS,
+def append_batched(df: DataFrame, target: str, batch_rows: int | None = None,
                    fmt: str = "parquet") -> None:
-    """Append in files of at most ``batch_rows`` rows (S9): every task
-    rolls a new file after ``batch_rows`` records, in parallel."""
-    df.write.mode("append").format(fmt).option("maxRecordsPerFile", batch_rows).save(target)
+    """Append in batches (S9). A task's rows are one batch, and AQE sizes the
+    tasks by bytes (``REBALANCE``), so files are few and of even size at any
+    scale. ``batch_rows`` (e.g. ``constants.ORDER_BATCH_ROWS``) instead rolls a
+    new file after so many rows."""
+    w = (df if batch_rows else df.hint("rebalance")).write.mode("append").format(fmt)
+    (w.option("maxRecordsPerFile", batch_rows) if batch_rows else w).save(target)
 
 
-def write_batch(df: DataFrame, target: str, batch_id: int, fmt: str = "parquet") -> None:
+def write_batch(df: DataFrame, target: str, batch_id: int, fmt: str = "parquet", partition_by=None) -> None:
     """Idempotent write of one micro-batch: the batch owns the directory
     ``batch_id=<n>`` and a replay overwrites it instead of appending twice."""
-    (df.write.mode("overwrite").format(fmt)
-       .save(f"{target.rstrip('/')}/batch_id={int(batch_id)}"))
+    w = df.write.mode("overwrite").format(fmt)
+    (w.partitionBy(partition_by) if partition_by else w).save(f"{target.rstrip('/')}/batch_id={int(batch_id)}")
 
 
 def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int,

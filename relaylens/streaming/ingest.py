@@ -3,11 +3,12 @@
 * Progress lives in the checkpoint (source offsets + commit log), not in a
   ``max(timestamp)`` query: a restarted query resumes exactly after the
   last committed micro-batch, and a lost executor only re-runs tasks.
-* Re-delivered records are removed with ``dropDuplicatesWithinWatermark``
-  on the record id, whose state is bounded by the watermark delay. (A
-  strict ``ts > max(ts)`` cursor would silently lose same-second arrivals.)
-* Sinks are idempotent: file sinks are exactly-once through the commit
-  log, and ``foreachBatch`` writers own one ``batch_id=<n>`` folder each.
+* Loads lose nothing, whatever the order of the files: re-delivered records
+  are recognised by their id against the stored rows of the same days, and no
+  watermark drops what comes late. A batch reads only the stored days that it
+  brings.
+* Sinks are idempotent: ``foreachBatch`` writers own one ``batch_id=<n>``
+  folder each, which a replay overwrites.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import types as T
 from .. import schemas
 from ..functions import constants as K
 from ..functions import expr as X
+from ..operators import marks
 from ..sources.sinks import write_batch
 
 TRANSFER_PAGE = schemas.TRANSFER_PAGE   # DDL text; parsed by the reader
@@ -53,47 +55,95 @@ def shape_transfers(df: DataFrame, status: str = K.DONE_STATUS, since_epoch: int
                .withColumn("DATETIME", X.epoch_to_ts("timestamp")))
 
 
-def dedupe_within(df: DataFrame, key: str, ts: str, horizon: str) -> DataFrame:
-    """Drop re-delivered ids inside a watermark horizon; the event-time
-    column must be a zoned timestamp for the watermark."""
-    return (df.withColumn("__wm", F.col(ts).cast("timestamp"))
-              .withWatermark("__wm", horizon)
-              .dropDuplicatesWithinWatermark([key])
-              .drop("__wm"))
+def append_new(stream: DataFrame, target: str, checkpoint: str, key: str = "id", ts: str = "DATETIME",
+               available_now: bool = True, interval: str = "10 seconds"):
+    """Append the stream's records that are not stored yet to ``target``, as
+    ``batch_id=<n>/day=<date>`` folders (:func:`read_stored` reads them).
+
+    A record is known by ``key`` and its day. Records of one batch with the same
+    key count once; records without a key only if all their values are equal.
+    Late and unordered records are stored like any other.
+    """
+    spark = stream.sparkSession
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.withColumn("day", F.to_date(ts)).persist()
+        new = (batch.where(F.col(key).isNotNull()).dropDuplicates([key, "day"])
+                    .unionByName(batch.where(F.col(key).isNull()).dropDuplicates()))
+        days = [r["day"] for r in batch.select("day").distinct().collect()]     # of one micro-batch's files
+        if marks.stored_exists(spark, target):
+            stored = (spark.read.parquet(target).where(F.col("batch_id") != F.lit(batch_id))
+                           .where(F.col("day").isin([d for d in days if d is not None]) | F.col("day").isNull())
+                           .select(F.col(key).alias("__key"), F.col("day").alias("__day")))
+            new = new.join(stored, (new[key] == stored["__key"]) & new["day"].eqNullSafe(stored["__day"]), "left_anti")
+        write_batch(new, target, batch_id, partition_by="day")
+        batch.unpersist()
+
+    w = stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
+    return w.start()
+
+
+def read_stored(spark: SparkSession, target: str) -> DataFrame:
+    """The records that :func:`append_new` stored, without the folder columns."""
+    return spark.read.parquet(target).drop("batch_id", "day")
 
 
 def ingest_transfers(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str,
-                     horizon: str = "1 day", available_now: bool = True,
-                     interval: str = "10 seconds", since_epoch: int | None = None,
-                     max_files_per_trigger: int | None = None):
-    """Landed transfer pages -> de-duplicated DONE transfers appended
-    to ``out_dir`` (parquet, exactly-once file sink).
+                     available_now: bool = True, interval: str = "10 seconds", since_epoch: int | None = None,
+                     max_files_per_trigger: int | None = None, clean_source: str | None = None,
+                     archive_dir: str | None = None):
+    """Landed transfer pages -> de-duplicated DONE transfers appended to
+    ``out_dir`` (:func:`append_new`; read back with :func:`read_stored`).
 
     ``available_now=True`` processes everything landed so far and stops
     (tests, backfills); otherwise the query polls every ``interval``.
+    ``clean_source`` and ``archive_dir`` clear processed files (S10).
     Returns the started ``StreamingQuery``.
     """
-    src = transfers_stream(spark, in_dir, max_files_per_trigger=max_files_per_trigger)
-    shaped = dedupe_within(shape_transfers(src, since_epoch=since_epoch), "id", "DATETIME", horizon)
-    w = (shaped.writeStream.format("parquet").option("path", out_dir)
-               .option("checkpointLocation", checkpoint).outputMode("append"))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
-    return w.start()
+    src = transfers_stream(spark, in_dir, max_files_per_trigger=max_files_per_trigger,
+                           clean_source=clean_source, archive_dir=archive_dir)
+    return append_new(shape_transfers(src, since_epoch=since_epoch), out_dir, checkpoint,
+                      available_now=available_now, interval=interval)
 
 
 def resume_history(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str, mark_epoch: int,
-                   files_per_batch: int = 1, horizon: str = "1 day"):
+                   files_per_batch: int = 1, clean_source: str | None = None, archive_dir: str | None = None):
     """T4: backfill slice-named pages strictly after ``mark_epoch``, a few
-    files per micro-batch; rerunning resumes from the checkpoint."""
-    return ingest_transfers(spark, in_dir, out_dir, checkpoint, horizon=horizon,
-                            since_epoch=mark_epoch, max_files_per_trigger=files_per_batch)
+    files per micro-batch, in whatever order the slices come; rerunning resumes
+    from the checkpoint."""
+    return ingest_transfers(spark, in_dir, out_dir, checkpoint, since_epoch=mark_epoch,
+                            max_files_per_trigger=files_per_batch, clean_source=clean_source, archive_dir=archive_dir)
+
+
+def store_latency(pairs: DataFrame, target: str, checkpoint: str, start: str = "timestamp",
+                  end: str = "dest_timestamp", available_now: bool = True, interval: str = "10 seconds"):
+    """T3 without a watermark: every micro-batch adds its sums per minute as
+    one ``batch_id=<n>`` folder; :func:`read_latency` merges them. Pairs may
+    come in any order and any number of batches."""
+    def process(batch: DataFrame, batch_id: int) -> None:
+        f = batch.select(X.floor_to("minute", start).alias("minute"), X.latency_micros(start, end).alias("lat_us"))
+        sums = (f.where("lat_us > 0 and minute is not null").groupBy("minute")
+                 .agg(F.sum("lat_us").alias("lat_us"), F.count(F.lit(1)).alias("transfers")))
+        write_batch(sums, target, batch_id)
+
+    w = pairs.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
+    return w.start()
+
+
+def read_latency(spark: SparkSession, target: str) -> DataFrame:
+    """Mean positive latency in seconds and transfers per minute, over all stored batches."""
+    g = spark.read.parquet(target).groupBy("minute").agg(F.sum("lat_us").alias("us"), F.sum("transfers").alias("transfers"))
+    return g.select("minute", (F.col("us").cast("double") / F.col("transfers") / 1e6).alias("avg_latency_s"), "transfers")
 
 
 def stream_latency_minute(df: DataFrame, start: str = "timestamp", end: str = "dest_timestamp",
                           delay: str = "10 minutes") -> DataFrame:
-    """Tumbling one-minute mean of positive latency, emitted in append
-    mode once the watermark closes the window (state is bounded by
-    ``delay``)."""
+    """T3, live: tumbling one-minute mean of positive latency, emitted in
+    append mode once the watermark closes the window (state is bounded by
+    ``delay``). Pairs that are later than ``delay`` are not counted; use
+    :func:`store_latency` where pairs come out of order."""
     lat = X.latency_micros(start, end)
     return (df.select(F.col(start).cast("timestamp").alias("__t"), lat.alias("lat_us"))
               .where(F.col("lat_us") > 0)

@@ -180,8 +180,9 @@ def test_pack_splits_hot_hours_without_losing_items(spark):
     ev = spark.range(0, 1000).select(F.col("id").cast("string").alias("orderid"),
                                      F.lit(dt.datetime(2025, 2, 1, 5)).cast("timestamp_ntz").alias("evt_block_time"),
                                      F.lit("ethereum").alias("chain"))
-    packed = shape.pack_events(ev, max_items=100)
-    assert packed.count() >= 10
+    assert shape.pack_events(ev).count() == 1            # the shape does not depend on the hour's size
+    packed = shape.pack_events(ev, parts=10)
+    assert packed.count() == 10
     assert packed.select(F.max(F.size(F.split("ETH", ", ")))).first()[0] < 200
     assert shape.unpack_events(packed).count() == 1000
 
@@ -270,7 +271,7 @@ def test_gap_fill(spark):
             ("b", dt.datetime(2024, 1, 1, 1), 9.0, 1)]
     df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, v double, n long")
     got = [(r.k, r.ts.hour, r.v, r.n, r.filled) for r in
-           timeseries.gap_fill(df, "ts", "k", carry="v", zero="n").orderBy("k", "ts").collect()]
+           timeseries.gap_fill(df, "ts", "k", carry="v", zero="n", step="1 hour").orderBy("k", "ts").collect()]
     assert got == [("a", 0, 1.0, 2, False), ("a", 1, 1.0, 0, True), ("a", 2, 1.0, 0, True),
                    ("a", 3, 4.0, 1, False), ("b", 1, 9.0, 1, False)]
 
@@ -339,3 +340,50 @@ def test_small_helpers(spark, tmp_dir):
         assert spark.table("t_helpers_tbl").count() == 3
     finally:
         spark.sql("DROP TABLE IF EXISTS t_helpers_tbl")
+
+
+def test_gap_fill_keeps_every_bar_of_its_own_step(spark):
+    from relaylens.operators import timeseries
+    base = dt.datetime(2025, 1, 1, 23, 50)
+    bars = [("a", base + dt.timedelta(minutes=m), float(m)) for m in range(40) if m not in (5, 6, 20)]
+    bars += [("a", base + dt.timedelta(days=3), 99.0), ("b", base, None), ("b", base + dt.timedelta(minutes=1), 2.0)]
+    bars += [("b", base + dt.timedelta(minutes=1), 3.0), (None, base, 1.0)]          # a revised bar; no key
+    df = spark.createDataFrame(bars, "k string, ts timestamp_ntz, v double")
+    out = {(r.k, r.ts): (r.v, r.filled) for r in timeseries.gap_fill(df, "ts", "k", "v").collect()}
+    assert len(out) == 3 * 1440 + 1 + 2
+    for k, ts, v in bars[:37]:
+        assert out[(k, ts)] == (v, False)
+    assert out[("a", base + dt.timedelta(minutes=6))] == (4.0, True)
+    assert out[("a", base + dt.timedelta(days=2))] == (39.0, True)
+    assert out[("a", base + dt.timedelta(days=3))] == (99.0, False)
+    assert out[("b", base)] == (None, False) and out[("b", base + dt.timedelta(minutes=1))] == (3.0, False)
+
+
+def test_gap_fill_buckets_bars_off_the_grid(spark):
+    from relaylens.operators import timeseries
+    base = dt.datetime(1969, 12, 31, 23, 0)
+    bars = [("a", base + dt.timedelta(minutes=m), m) for m in (7, 29, 31, 150)]
+    df = spark.createDataFrame(bars, "k string, ts timestamp_ntz, v int").withColumn("n", F.lit(1))
+    out = timeseries.gap_fill(df, "ts", "k", "v", zero="n", step="30 minutes").orderBy("ts").collect()
+    assert [(r.ts, r.v, r.n, r.filled) for r in out] == [
+        (base + dt.timedelta(minutes=30 * i), v, n, f) for i, (v, n, f) in
+        enumerate([(29, 1, False), (31, 1, False), (31, 0, True), (31, 0, True), (31, 0, True), (150, 1, False)])]
+
+
+def test_expand_structs_drops_before_names_can_clash(spark):
+    df = spark.sql("SELECT 1 AS id, named_struct('id', 2, 'x', 3) AS s")
+    with pytest.raises(ValueError):
+        shape.expand_structs(df, ["s"], keep=False)
+    assert shape.expand_structs(df, ["s"], drop=["id", "s"]).first().asDict() == {"x": 3}
+
+
+def test_inferred_json_keeps_key_names_and_mixed_values(spark):
+    df = spark.createDataFrame([('{"VOID": 1, "OBJECT": {"DECIMAL": 1.5}, "m": 1}',), ('{"m": "t", "n": null}',)], "p string")
+    rows = shape.flatten_json_column(df, "p").collect()
+    assert (rows[0].p_VOID, rows[0].p_OBJECT_DECIMAL, rows[0].p_m, rows[1].p_m) == (1, 1.5, "1", "t")
+
+
+def test_token_share_of_nothing(spark):
+    from relaylens.operators import fills
+    empty = spark.createDataFrame([], "output_symbol string, token_symbol string, output_token string")
+    assert fills.token_share(empty).first()[0] is None

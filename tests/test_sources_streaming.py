@@ -34,15 +34,17 @@ def test_csv_union_with_drift_selection_and_bad_files(spark, tmp_dir):
     _write(f"{tmp_dir}/BUNDLEs/2024-11/z.csv", "id,value\n3,9.0\n")          # keyword case-insensitive
     _write(f"{tmp_dir}/bundles/2024-11/upper.CSV", "id\n4\n")                # suffix case-sensitive
     _write(f"{tmp_dir}/private/2024-11/p.csv", "id\n5\n")                     # other dataset
-    _write(f"{tmp_dir}/bundles/2024-11/empty.csv", "")                       # zero bytes: not listed
+    _write(f"{tmp_dir}/bundles/2024-11/empty.csv", "")                       # zero bytes: listed, no header
     with open(f"{tmp_dir}/bundles/2024-11/bad.csv", "wb") as f:                # undecodable: skipped
         f.write(b"\xff\xfe\x00\x81,\n1\n")
     inv = files.file_inventory(spark, tmp_dir)
-    assert inv.count() == 6 and set(inv.columns) == {"key", "size", "last_modified"}
+    assert inv.count() == 7 and set(inv.columns) == {"key", "size", "last_modified"}
     chosen = files.select_files(inv, "bundles/2024-11")
-    assert chosen.count() == 4
+    assert chosen.count() == 5
+    metrics = {}
     df = files.read_csv_union(spark, chosen, "id LONG, ts TIMESTAMP_NTZ, value DOUBLE, user LONG",
-                              timestamp_format="yyyy-MM-dd HH:mm:ss")
+                              timestamp_format="yyyy-MM-dd HH:mm:ss", metrics=metrics)
+    assert metrics["files_without_header"] == 2
     got = {r.id: (r.ts, r.value, r.user) for r in df.collect()}
     assert got == {1: (dt.datetime(2024, 11, 1), 1.5, None), 2: (dt.datetime(2024, 11, 2), None, 7),
                    3: (None, 9.0, None)}
@@ -214,20 +216,77 @@ def test_read_csv_maps_columns_by_name(spark, tmp_dir):
         files.read_csv(spark, f"{tmp_dir}/x.csv", "a LONG, c LONG")
 
 
-def test_run_folder_keeps_only_the_newest_runs(spark):
+def test_run_folders_are_new_and_kept(spark):
+    from relaylens.session import run_folder
+    made = [run_folder(spark, "keep-test", "k") for _ in range(4)]
+    for p in made:
+        os.makedirs(p.replace("file:", ""))
+    assert len(set(made)) == 4 and all(os.path.isdir(p.replace("file:", "")) for p in made)
+
+
+def test_checkpoint_folder_is_required_on_a_cluster():
+    from relaylens.session import checkpoint_root
+
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "spark://host:7077"}.get(key, default)
+
+    class Session:
+        conf = Conf()
+    with pytest.raises(RuntimeError):
+        checkpoint_root(Session())
+
+
+def test_newest_first_slices_and_late_pairs_lose_nothing(spark, tmp_dir):
+    """One file per micro-batch, newest slice first, each overlapping its neighbour."""
     import time as _t
+    stamps = [1704067200 + 86400 * d for d in range(4)]
+    for i, ts in enumerate(reversed(stamps)):
+        page = [(f"s{ts}-{k}", "DONE", 1.0, ts + k) for k in range(5)] + [(f"s{ts + 86400}-0", "DONE", 1.0, ts + 86400)]
+        _write(f"{tmp_dir}/in/{i}.json", _page(page))
+        _t.sleep(0.02)
+    S.resume_history(spark, f"{tmp_dir}/in", f"{tmp_dir}/out", f"{tmp_dir}/ck", mark_epoch=1704067200).awaitTermination()
+    got = S.read_stored(spark, f"{tmp_dir}/out")
+    ids = [r.id for r in got.collect()]
+    want = {f"s{ts}-{k}" for ts in stamps for k in range(5)} | {f"s{stamps[-1] + 86400}-0"}
+    assert sorted(ids) == sorted(want - {f"s{stamps[0]}-0"})          # strictly after the mark
+    assert "batch_id" not in got.columns and "day" not in got.columns
+
+
+def test_missing_text_in_exports(spark, tmp_dir):
+    _write(f"{tmp_dir}/x.csv", "t,n,d\nnan,NULL,2024-01-01 00:00:00.000000\nNA,5,None\n\"\",nan,\nok,7,N/A\n")
+    df = files.read_csv(spark, f"{tmp_dir}/x.csv", "t STRING, n DOUBLE, d TIMESTAMP_NTZ", timestamp_format="yyyy-MM-dd HH:mm:ss.SSSSSS")
+    rows = [(r.t, r.n, r.d and r.d.year) for r in df.collect()]
+    assert rows == [(None, None, 2024), (None, 5.0, None), (None, None, None), ("ok", 7.0, None)]
+    _write(f"{tmp_dir}/bad.csv", "t,n\na,oops\n")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        files.read_csv(spark, f"{tmp_dir}/bad.csv", "t STRING, n DOUBLE").collect()
+
+
+def test_inventory_lists_files_without_bytes(spark, tmp_dir):
+    _write(f"{tmp_dir}/drop/a b/one.csv", "x\n1\n")
+    _write(f"{tmp_dir}/drop/a b/none.csv", "")
+    got = {os.path.basename(r.key): r.size for r in files.file_inventory(spark, f"{tmp_dir}/drop").collect()}
+    assert got == {"one.csv": 4, "none.csv": 0}
+    metrics = {}
+    inv = files.file_inventory(spark, f"{tmp_dir}/drop")
+    df = files.read_csv_union(spark, inv, "x INT", metrics=metrics)
+    assert [r.x for r in df.collect()] == [1] and metrics["files_without_header"] == 1
+
+
+def test_sql_text_keeps_other_braces(spark):
+    from relaylens.sources.sql import sql_query
+    a = spark.createDataFrame([("ab",)], "x string")
+    assert sql_query(spark, "SELECT regexp_like(x, '[a-z]{2}') AS m FROM {t}", {"t": a}).first().m
+
 
-    from relaylens.session import local_dir, run_folder
-    made = []
-    for _ in range(4):
-        p = run_folder(spark, "keep-test", "k")
-        local_dir(p)
-        made.append(p.replace("file:", ""))
-        _t.sleep(0.05)
-    base = os.path.dirname(made[0])
-    left = sorted(os.path.join(base, d) for d in os.listdir(base))
-    # each call kept the two newest earlier runs: after the 4th call, runs 2 and 3 remain (+ the 4th)
-    assert left == sorted(made[1:])
+def test_stored_exists_only_hides_a_missing_table(spark, tmp_dir):
+    from relaylens.operators import marks
+    assert not marks.stored_exists(spark, f"{tmp_dir}/none")
+    spark.range(3).write.parquet(f"{tmp_dir}/t")
+    assert marks.stored_exists(spark, f"{tmp_dir}/t")
+    with pytest.raises(Exception):
+        marks.stored_exists(spark, "nosuchscheme://x/y")
 
 
 def test_compact_stored_keeps_every_id_in_one_folder(spark, tmp_dir):
