@@ -127,7 +127,7 @@ def csv_headers(spark: SparkSession, paths: list[str]) -> DataFrame:
                                            F.col("_metadata.file_block_start").alias("at"))
                   .withColumn("n", F.monotonically_increasing_id()))
     first = lines.where("at = 0").groupBy("path").agg(F.min_by("value", "n").alias("header"))
-    first = first.where(~F.col("header").contains("\ufffd"))            # a first line that is not text
+    first = first.where(F.is_valid_utf8("header"))             # else the first line is not text
     return first.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
 
 
