@@ -82,12 +82,12 @@ def _flatten_fields(dtype: T.StructType, path: list[str], parent: Column | None,
             if prefer is None or len(others) == len(dt):
                 yield from _flatten_fields(dt, name_path, col, sep, prefer, arrays_as_text, mixed)
                 continue
-            # An object carrying the preferred key collapses to it. Where
-            # objects of this path come without it, their keys stay beside.
+            # An object carrying the preferred key collapses to it. Keys that
+            # objects of this path have instead of it stay beside.
             yield sep.join(name_path), col.getField(prefer)
-            if others.fields and sep.join(name_path) in mixed:
-                for n, c in _flatten_fields(others, name_path, col, sep, prefer, arrays_as_text, mixed):
-                    yield n, F.when(col.getField(prefer).isNull(), c)
+            others = T.StructType([x for x in others.fields if sep.join([*name_path, x.name]) in mixed])
+            for n, c in _flatten_fields(others, name_path, col, sep, prefer, arrays_as_text, mixed):
+                yield n, F.when(col.getField(prefer).isNull(), c)
         elif arrays_as_text and isinstance(dt, (T.ArrayType, T.MapType)):
             yield sep.join(name_path), F.to_json(col)
         else:
@@ -95,21 +95,20 @@ def _flatten_fields(dtype: T.StructType, path: list[str], parent: Column | None,
 
 
 def _wrapped_paths(dtype: T.StructType, path: list[str], parent: Column | None, sep: str, prefer: str):
-    """(flat name, condition: the object has other keys but not the preferred one)."""
+    """(flat name of another key, condition: the object has it but not the preferred one)."""
     for f in dtype.fields:
         if isinstance(f.dataType, T.StructType):
             col = F.col(f"`{f.name}`") if parent is None else parent.getField(f.name)
             others = [x.name for x in f.dataType.fields if x.name != prefer]
             if others and len(others) < len(f.dataType):
-                bare = col.getField(prefer).isNull() & reduce(
-                    lambda a, b: a | b, [col.getField(n).isNotNull() for n in others])
-                yield sep.join(path + [f.name]), bare
+                for n in others:
+                    yield sep.join([*path, f.name, n]), col.getField(prefer).isNull() & col.getField(n).isNotNull()
             yield from _wrapped_paths(f.dataType, path + [f.name], col, sep, prefer)
 
 
 def mixed_paths(df: DataFrame, sep: str = "_", prefer: str = K.STRING_VALUE_KEY) -> set[str]:
-    """Flat names of objects that carry the ``prefer`` key in some rows and only
-    other keys in others: one aggregate over all rows, one boolean per path."""
+    """Flat names of the keys that objects have instead of the ``prefer`` key, where
+    others of the same path carry it: one aggregate over all rows, one boolean per key."""
     found = list(_wrapped_paths(df.schema, [], None, sep, prefer))
     if not found:
         return set()
@@ -122,9 +121,9 @@ def flatten_struct(df: DataFrame, sep: str = "_", prefer: str | None = K.STRING_
     """Recursively flatten nested structs into ``a<sep>b<sep>c`` columns.
 
     An object that has a ``prefer`` key (default ``stringValue``) collapses to
-    that value, document by document: at the paths named in ``mixed`` the other
-    keys of objects without it become columns too (NULL where the key is
-    present). ``mixed=None`` finds these paths in the data (:func:`mixed_paths`,
+    that value, document by document: other keys whose flat names are in
+    ``mixed`` become columns too, for the objects without it (NULL where it is
+    present). ``mixed=None`` finds these names in the data (:func:`mixed_paths`,
     one more pass if any object can have both); pass ``()`` where the feed never
     mixes. Lists become JSON text. Raises if two paths produce the same flat
     name (e.g. ``a.b_c`` and ``a_b.c`` with ``sep='_'``).
