@@ -58,14 +58,45 @@ def op9_url_filter(spark, sf_dir):
     return judged.select("page_id", "judged.host", "judged.path", "judged.rule", "judged.verdict")
 
 
-@register("op1_substring_dedup")
+SUBSTRING_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS s FROM d, unnest(range(1, len(w) - 11)) t(i)),
+firsts AS (SELECT s, min(doc_id) AS f FROM win GROUP BY s),
+gone AS (SELECT DISTINCT doc_id, i + k AS p FROM win JOIN firsts USING (s), unnest(range(13)) r(k) WHERE f < doc_id),
+words AS (SELECT doc_id, p, w[p] AS word FROM d, unnest(range(1, len(w) + 1)) t(p)),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS text FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+
+@register("op1_substring_dedup", SUBSTRING_SQL)
 def op1_substring_dedup(spark, sf_dir):
     """Words left in every document after removing repeated 13-word windows."""
     left = substring_dedup.remove_repeats(read_table(spark, sf_dir, "documents"), width=13)
     return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-@register("op3_decontamination")
+#: 11 of 13 equal tokens leave a run of at least 4, which finds the alignments here.
+LEAK_SQL = r"""
+WITH cut AS (SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM benchmark),
+items AS (SELECT w AS iw, min(item_id) AS item_id FROM cut WHERE len(w) >= 13 GROUP BY w),
+docs AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS dw FROM documents),
+ig AS (SELECT item_id, i, array_to_string(iw[i:i + 3], ' ') AS g FROM items, unnest(range(1, len(iw) - 2)) t(i)),
+dg AS (SELECT doc_id, i, array_to_string(dw[i:i + 3], ' ') AS g FROM docs, unnest(range(1, len(dw) - 2)) t(i)),
+lines AS (SELECT DISTINCT doc_id, item_id, dg.i - ig.i AS shift FROM dg JOIN ig USING (g)),
+win AS (SELECT doc_id, item_id, shift + k - 1 AS start, list_sum(list_transform(range(13),
+          lambda j: CASE WHEN iw[k + j] = dw[shift + k + j] THEN 1 ELSE 0 END)) AS n
+        FROM lines JOIN items USING (item_id) JOIN docs USING (doc_id),
+             unnest(range(greatest(1, 1 - shift), least(len(iw), len(dw) - shift) - 11)) t(k)),
+best AS (SELECT doc_id, item_id, max(n) AS n_equal FROM win WHERE n >= 11 GROUP BY ALL)
+SELECT doc_id, item_id, CAST(n_equal AS INTEGER) AS n_equal, CAST(min(start) AS INTEGER) AS start
+FROM best JOIN win USING (doc_id, item_id) WHERE n = n_equal GROUP BY ALL
+"""
+
+
+@register("op3_decontamination", LEAK_SQL)
 def op3_decontamination(spark, sf_dir):
     """Every document and benchmark item that share a window of 13 tokens, 11 of them equal."""
     return decontamination.find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"),
