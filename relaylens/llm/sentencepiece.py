@@ -281,14 +281,15 @@ def load_model(path: str) -> Automaton:
 
 
 def share_model(spark: SparkSession, path: str):
-    """The automaton for every task: its size is set by the vocabulary alone."""
-    return spark.sparkContext.broadcast(load_model(path))
+    """The automaton's fields for every task (plain arrays, so that executors need no copy of
+    this module): their size is set by the vocabulary alone."""
+    return spark.sparkContext.broadcast(dict(vars(load_model(path))))
 
 
 def encode(docs: DataFrame, model, text_col: str = "text", out: str = "pieces") -> DataFrame:
     """``docs`` with the ids of ``text_col`` (array<int>) in column ``out``; ``model`` from share_model."""
     def make():
-        run = model.value.encoder()
+        run = Automaton(**model.value).encoder()
         return lambda texts: {"ids": run(texts)}
     return docs.withColumn(out, per_text(F.col(text_col), make, "ids array<int>")["ids"])
 
@@ -296,7 +297,7 @@ def encode(docs: DataFrame, model, text_col: str = "text", out: str = "pieces")
 def decode(docs: DataFrame, model, ids_col: str = "pieces", out: str = "decoded") -> DataFrame:
     """``docs`` with the text of ``ids_col`` in column ``out``."""
     def make():
-        read = model.value.decode
+        read = Automaton(**model.value).decode
 
         def run(rows: pa.ListArray):
             ids, ends = rows.values.to_numpy().tolist(), rows.offsets.to_pylist()

@@ -46,8 +46,8 @@ class UrlTrie:
 
     PATHS, ENDS = 0, 1                                    # keys that no label or segment (text) equals
 
-    def __init__(self, rules: Sequence[tuple[str, str]]):
-        self.root: dict = {}
+    def __init__(self, rules: Sequence[tuple[str, str]] = (), root: dict | None = None):
+        self.root: dict = {} if root is None else root
         for action, rule in rules:
             host, slash, path = rule.partition("/")
             node = self.root
@@ -88,10 +88,10 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]], url_col: str
     bad = [a for a, _ in rules if a not in ("allow", "block")]
     if bad:
         raise ValueError(f"unknown action {bad[0]!r}")
-    trie = pages.sparkSession.sparkContext.broadcast(UrlTrie(rules))
+    trie = pages.sparkSession.sparkContext.broadcast(UrlTrie(rules).root)     # plain dicts
 
     def make():
-        tree = trie.value
+        tree = UrlTrie(root=trie.value)
 
         def judge(urls):
             parts = [split_url(u) for u in urls]
