@@ -11,7 +11,7 @@ longer last piece. Scores are added in 64-bit floats.
 Spaces become U+2581, and one is put in front. Where no piece of the model
 continues over a boundary (a U+2581 after another character; a line feed) the
 text is cut, which leaves the best path unchanged. Distinct chunks are solved
-once per task: short ones side by side in numpy, one character of all of them
+once and remembered over a worker's tasks: short ones side by side in numpy, one character of all of them
 at a time, long ones alone.
 
 Defined cases: a null text has null ids and decodes to null; an empty one has
@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import re
 from collections import deque
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -32,15 +32,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import per_text, per_value
+from .common import kept_in_worker, per_text, per_value
 
 SPACE = "▁"
 #: An unknown step scores this much less than the lowest piece.
 UNKNOWN_PENALTY = 10.0
 #: Longest chunk that is solved side by side with others.
 SHORT = 40
-#: Distinct chunks that a task remembers.
-HELD_CHUNKS = 300_000
+#: Distinct chunks that a worker remembers.
+HELD_CHUNKS = 600_000
 
 
 @dataclass
@@ -127,10 +127,11 @@ class Automaton:
             open_, s = open_[left], self.fail[s[left]].astype(np.int64)
         return out
 
-    def solve(self, chunks: list[str]) -> list[list[int]]:
-        """Ids of the best path of every chunk; chunks of similar length side by side."""
-        done: list[list[int]] = [[]] * len(chunks)
-        order = sorted(range(len(chunks)), key=lambda i: len(chunks[i]))
+    def solve(self, chunks: list[str]) -> list[bytes]:
+        """Ids of the best path of every chunk (little-endian int32 bytes); chunks of similar
+        length side by side."""
+        done = [b""] * len(chunks)
+        order = sorted(range(len(chunks)), key=list(map(len, chunks)).__getitem__)
         for lo in range(0, len(order), 8192):
             part = order[lo:lo + 8192]
             short = [i for i in part if len(chunks[i]) <= SHORT]
@@ -140,7 +141,7 @@ class Automaton:
                 done[i] = self.solve_long(chunks[i])
         return done
 
-    def _solve_block(self, chunks: list[str]) -> list[list[int]]:
+    def _solve_block(self, chunks: list[str]) -> list[bytes]:
         if not chunks:
             return []
         size = np.array([len(c) for c in chunks], np.int64)
@@ -170,9 +171,9 @@ class Automaton:
             score = best[t - 1] + self.unknown
             r = np.flatnonzero(~one & (score > best[t]))
             best[t, r], back[t, r], last[t, r] = score[r], 1, -1
-        at, paths = size.copy(), [[] for _ in range(n)]
-        live = np.flatnonzero(at > 0)
-        found_row, found_id, found_at = [], [], []
+        at, live = size.copy(), np.flatnonzero(size > 0)
+        none = np.zeros(0, np.int64)
+        found_row, found_id, found_at = [none], [none], [none]
         while len(live):
             pos = at[live]
             found_row.append(live)
@@ -182,10 +183,20 @@ class Automaton:
             live = live[at[live] > 0]
         row, ident, pos = (np.concatenate(x) for x in (found_row, found_id, found_at))
         order = np.lexsort((pos, row))
-        for i, k, p in zip(row[order].tolist(), ident[order].tolist(), pos[order].tolist(), strict=True):
-            paths[i] += [k] if k >= 0 else self.spell(chunks[i][p - 1])
+        row, ident, pos = row[order], ident[order], pos[order]
+        cuts = np.r_[0, np.cumsum(np.bincount(row, minlength=n))].tolist()
+        data = ident.astype("<i4").tobytes()
+        paths = [data[4 * a:4 * b] for a, b in zip(cuts, cuts[1:], strict=False)]
+        for i in np.unique(row[ident < 0]).tolist():      # chunks with unknown characters
+            a, b = cuts[i], cuts[i + 1]
+            paths[i] = self._spelled(chunks[i], ident[a:b].tolist(), pos[a:b].tolist())
         return paths
 
+    def _spelled(self, chunk: str, ids: list[int], ends: list[int]) -> bytes:
+        """The path's ids, unknown steps (-1) spelled out."""
+        out = [j for i, e in zip(ids, ends, strict=True) for j in ([i] if i >= 0 else self.spell(chunk[e - 1]))]
+        return np.array(out, "<i4").tobytes()
+
     # -- one long chunk -----------------------------------------------------------
 
     @cached_property
@@ -197,7 +208,7 @@ class Automaton:
         return [list(zip(self.out_length[a:b].tolist(), self.out_score[a:b].tolist(), self.out_id[a:b].tolist(),
                          strict=True)) for a, b in zip(self.out_from[:-1].tolist(), self.out_from[1:].tolist(), strict=True)]
 
-    def solve_long(self, chunk: str) -> list[int]:
+    def solve_long(self, chunk: str) -> bytes:
         width, table, ends, fail = len(self.letters) + 1, self._table, self._ends, self.fail
         codes = np.frombuffer(chunk.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
         best, back, last, s = [0.0], [0], [-1], 0
@@ -218,11 +229,12 @@ class Automaton:
             best.append(top)
             back.append(length)
             last.append(ident)
-        t, path = len(chunk), []
+        t, ids, stops = len(chunk), [], []
         while t:
-            path.append([last[t]] if last[t] >= 0 else self.spell(chunk[t - 1]))
+            ids.append(last[t])
+            stops.append(t)
             t -= back[t]
-        return [i for ids in reversed(path) for i in ids]
+        return self._spelled(chunk, ids[::-1], stops[::-1])
 
     # -- texts --------------------------------------------------------------------
 
@@ -234,7 +246,7 @@ class Automaton:
 
     def encoder(self):
         """Function from a list of texts to an Arrow array of their ids; it remembers chunks."""
-        known: dict[str, list[int]] = {}
+        known: dict[str, bytes] = {}
         split = re.compile(self.cuts).findall
 
         def encode(texts: Iterable[str | None]) -> pa.ListArray:
@@ -243,13 +255,9 @@ class Automaton:
                 known.clear()
             new = list({c for p in parts for c in p if c not in known})
             known.update(zip(new, self.solve(new), strict=True))
-            flat: list[int] = []
-            ends = [0]
-            for p in parts:
-                for c in p:
-                    flat += known[c]
-                ends.append(len(flat))
-            return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.array(flat, np.int32)),
+            coded = [b"".join(map(known.__getitem__, p)) for p in parts]
+            ends = np.cumsum([0] + [len(c) // 4 for c in coded])
+            return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(coded), "<i4")),
                                             mask=pa.array([t is None for t in texts]))
         return encode
 
@@ -283,13 +291,23 @@ def load_model(path: str) -> Automaton:
 def share_model(spark: SparkSession, path: str):
     """The automaton's fields for every task (plain arrays, so that executors need no copy of
     this module): their size is set by the vocabulary alone."""
-    return spark.sparkContext.broadcast(dict(vars(load_model(path))))
+    return spark.sparkContext.broadcast((path, dict(vars(load_model(path)))))
+
+
+def _automaton(model) -> tuple[Automaton, Callable]:
+    """The shared automaton and its encoder, as a worker keeps them."""
+    path, fields = model.value
+
+    def make():
+        own = Automaton(**fields)
+        return own, own.encoder()
+    return kept_in_worker(("pieces", path), make)
 
 
 def encode(docs: DataFrame, model, text_col: str = "text", out: str = "pieces") -> DataFrame:
     """``docs`` with the ids of ``text_col`` (array<int>) in column ``out``; ``model`` from share_model."""
     def make():
-        run = Automaton(**model.value).encoder()
+        run = _automaton(model)[1]
         return lambda texts: {"ids": run(texts)}
     return docs.withColumn(out, per_text(F.col(text_col), make, "ids array<int>")["ids"])
 
@@ -297,7 +315,7 @@ def encode(docs: DataFrame, model, text_col: str = "text", out: str = "pieces")
 def decode(docs: DataFrame, model, ids_col: str = "pieces", out: str = "decoded") -> DataFrame:
     """``docs`` with the text of ``ids_col`` in column ``out``."""
     def make():
-        read = Automaton(**model.value).decode
+        read = _automaton(model)[0].decode
 
         def run(rows: pa.ListArray):
             ids, ends = rows.values.to_numpy().tolist(), rows.offsets.to_pylist()

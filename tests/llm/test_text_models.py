@@ -326,6 +326,7 @@ def test_best_path_equals_plain_search():
                         best[t] = max(best[t], best[s] + step)
             side, alone = auto.solve([chunk, "a"])[0], auto.solve_long(chunk)
             assert side == alone
+            side = np.frombuffer(side, "<i4").tolist()
             assert sum(value[pieces[i]] if i != 99 else auto.unknown for i in side) == pytest.approx(best[-1])
 
 
