@@ -55,13 +55,11 @@ def per_value(value: Column, make: Callable[[], Callable[[pa.Array], dict]], ddl
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         fn, kind = make(), arrow_struct(ddl)
         for batch in batches:
-            parts = []
-            for lo in range(0, len(batch), SLICE_ROWS):
+            for lo in range(0, len(batch), SLICE_ROWS):       # results leave by slices, so none pile up
                 cols = fn(batch.slice(lo, SLICE_ROWS))
-                parts.append(pa.StructArray.from_arrays(
+                yield pa.StructArray.from_arrays(
                     [c if isinstance(c := cols[f.name], pa.Array) else pa.array(c, f.type) for f in kind],
-                    fields=list(kind)))
-            yield pa.concat_arrays(parts) if parts else pa.array([], type=kind)
+                    fields=list(kind))
 
     return run(value)
 

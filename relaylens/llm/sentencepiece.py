@@ -40,7 +40,7 @@ UNKNOWN_PENALTY = 10.0
 #: Longest chunk that is solved side by side with others.
 SHORT = 40
 #: Distinct chunks that a worker remembers.
-HELD_CHUNKS = 600_000
+HELD_CHUNKS = 200_000
 
 
 @dataclass
