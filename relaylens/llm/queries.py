@@ -158,7 +158,7 @@ def piece_model(spark):
 
 def encoded(docs, model):
     """``docs`` with its pieces, their number and checksum, and the text that they decode to."""
-    coded = sentencepiece.decode(sentencepiece.encode(docs, model), model)
+    coded = sentencepiece.round_trip(docs, model)
     return coded.withColumns({
         "n_pieces": F.coalesce(F.size("pieces"), F.lit(0)).cast("bigint"),
         "round_trip": F.col("decoded").eqNullSafe(F.col("text")),

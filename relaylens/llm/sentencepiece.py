@@ -323,3 +323,18 @@ def decode(docs: DataFrame, model, ids_col: str = "pieces", out: str = "decoded"
                              zip(ends, ends[1:], rows.is_null().to_pylist(), strict=False)]}
         return run
     return docs.withColumn(out, per_value(F.col(ids_col), make, "text string")["text"])
+
+
+def round_trip(docs: DataFrame, model, text_col: str = "text", pieces: str = "pieces", decoded: str = "decoded") -> DataFrame:
+    """As ``encode`` then ``decode``, in one pass and so in one Python worker a task."""
+    def make():
+        own, run = _automaton(model)
+
+        def both(texts):
+            ids = run(texts)
+            flat, ends = ids.values.to_numpy(), ids.offsets.to_pylist()
+            return {"ids": ids, "text": [None if t is None else own.decode(flat[a:b].tolist())
+                                         for t, a, b in zip(texts, ends, ends[1:], strict=False)]}
+        return both
+    done = docs.withColumn(decoded, per_text(F.col(text_col), make, "ids array<int>, text string"))
+    return done.withColumn(pieces, F.col(f"{decoded}.ids")).withColumn(decoded, F.col(f"{decoded}.text"))

@@ -355,6 +355,8 @@ def test_pieces_of_documents(spark, docs, rows, no_docs):
     assert collections.Counter((r.doc_id, r.decoded) for r in got) == collections.Counter(r[:2] for r in rows)
     assert all(r.round_trip and (r.pieces is None) == (r.text is None) for r in got)
     assert queries.encoded(no_docs, model).collect() == []
+    apart = sentencepiece.decode(sentencepiece.encode(docs, model), model).select("doc_id", "pieces", "decoded").collect()
+    assert sorted(map(str, apart)) == sorted(str(r) for r in queries.encoded(docs, model).select("doc_id", "pieces", "decoded").collect())
 
 
 # -- urls -------------------------------------------------------------------------------
