@@ -87,7 +87,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     span = 1 + max(p for m in masks for p in m)
     keyed = _keyed(docs, id_col, text_col)
     words = keyed.select("id", "key", F.transform(tokens(F.col("text")), lambda w: F.xxhash64(w)).alias("all"))
-    cuts = F.transform(F.sequence(F.lit(0), F.size("all") - window, F.lit(CHUNK)),
+    last = F.greatest(F.size("all") - span, F.lit(0))     # the last position that has a seed
+    cuts = F.transform(F.sequence(F.lit(0), last, F.lit(CHUNK)),
                        lambda s: F.struct(s.alias("s"), F.slice("all", s + 1, F.lit(CHUNK + span - 1)).alias("h")))
     chunks = (words.filter(F.size("all") >= window).select("id", "key", F.explode(cuts).alias("c"))
               .select("id", "key", F.col("c.s").alias("s"), F.col("c.h").alias("hashes")))

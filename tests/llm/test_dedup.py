@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import random
 import re
 
@@ -162,6 +163,21 @@ def test_find_leaks(spark, docs, rows):
     assert decontamination.remove_leaks(docs, bench).count() == len(rows)
 
 
+@pytest.mark.parametrize("chunk", [64, 1024])
+def test_leaks_at_the_end_of_a_chunk(spark, monkeypatch, chunk):
+    """Two substitutions in the last 13 tokens of a document, for all ends around a chunk's."""
+    monkeypatch.setattr(decontamination, "CHUNK", chunk)
+    item = [f"t{i}" for i in range(13)]
+    mine = []
+    for size in range(chunk + 8, chunk + 15):
+        for a, b in itertools.combinations(range(13), 2):
+            words = [f"f{i}" for i in range(size - 13)] + [w if i not in (a, b) else "other" for i, w in enumerate(item)]
+            mine.append((10_000 * size + 100 * a + b, " ".join(words)))
+    got = decontamination.find_leaks(spark.createDataFrame(mine, "doc_id bigint, text string").repartition(8),
+                                     spark.createDataFrame([(1, " ".join(item))], "item_id bigint, text string"))
+    assert {(r.doc_id, r.n_equal, r.start) for r in got.collect()} == {(i, 11, i // 10_000 - 13) for i, _ in mine}
+
+
 def test_leaks_without_broadcast(spark, monkeypatch):
     monkeypatch.setattr(decontamination, "MAX_BROADCAST_SEEDS", 0)
     monkeypatch.setattr(decontamination, "MAX_BROADCAST_DOCS", 0)
