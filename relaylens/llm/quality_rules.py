@@ -1,12 +1,13 @@
 """Quality rules by distribution divergence.
 
-Every language of the corpus has two reference histograms, counted over all its
-documents: character classes, and common words (those that make up at least
-``WORD_SHARE`` of its words, and one bin for all others). A document is
-compared with every reference by the Jensen-Shannon distance (square root of
-the divergence in bits, 0 to 1) and keeps the nearest. It fails if that
+Every language of the corpus, however rare, has two reference histograms,
+counted over all its documents: character classes, and common words (those that
+make up at least ``WORD_SHARE`` of its words, and one bin for all others). A
+document is compared with every reference by the Jensen-Shannon distance (square
+root of the divergence in bits, 0 to 1) and keeps the nearest. It fails if that
 distance is above the limit. Short texts vary by chance: a histogram of fewer
-than ``MIN_CHARS`` characters or ``MIN_WORDS`` words gives no verdict.
+than ``MIN_CHARS`` characters or ``MIN_WORDS`` words gives no verdict, and a
+language with fewer in all is no reference for a text with more.
 
 Defined cases: null and empty texts have zero counts and fail the base rules.
 Documents without a language take part in no reference and are judged like any
@@ -29,8 +30,6 @@ from .doc_stats import CLASSES, base_counts, class_counts
 
 #: A common word is at least this share of its language's words, so a language has at most 1000.
 WORD_SHARE = 0.001
-#: A reference language has at least this share of the documents, so there are at most 1000.
-LANG_SHARE = 0.001
 MIN_CHARS, MIN_WORDS = 300, 60
 MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.27, 0.5
 #: Different words that a task counts before it passes its counts on.
@@ -51,14 +50,13 @@ def build_references(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     all documents that have a language."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chars: dict = defaultdict(lambda: np.zeros(len(CLASSES), np.int64))
-        seen: Counter = Counter()
         words: dict = defaultdict(Counter)
 
         def out():
             rows = [(g, "class", str(k).encode(), int(n)) for g, c in chars.items() for k, n in enumerate(c) if n]
             rows += [(g, "word", w, n) for g, c in words.items() for w, n in c.items()]
-            rows += [(g, "doc", b"", n) for g, n in seen.items()]
-            for held in (chars, seen, words):
+            rows += [(g, "words", b"", sum(c.values())) for g, c in words.items()]
+            for held in (chars, words):
                 held.clear()
             return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(
                 zip(*rows, strict=True) if rows else ([], [], [], []), (pa.string(), pa.string(), pa.binary(), pa.int64()),
@@ -70,7 +68,6 @@ def build_references(docs: DataFrame, text_col: str = "text", lang_col: str = "l
                 for lang, text in zip(part.column("g").to_pylist(), part.column("t").to_pylist(), strict=True):
                     chars[lang] += class_counts((text or "").encode("utf-8", "surrogatepass"))
                     words[lang].update(map(plain, words_of(text)))
-                    seen[lang] += 1
                 if sum(map(len, words.values())) > HELD_WORDS:
                     yield out()
         yield out()
@@ -82,13 +79,14 @@ def build_references(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     kept = (counts.alias("c").join(totals.alias("t"), ["g", "kind"])
             .filter(f"kind <> 'word' OR (n >= total * {WORD_SHARE} AND length(item) > 0)"))
     rows = kept.collect()                                 # at most 1000 words and a few classes a language
-    docs_of = {r.g: r.n for r in rows if r.kind == "doc"}
-    out = {g: (np.zeros(len(CLASSES)), {}, 0) for g, n in docs_of.items() if n >= LANG_SHARE * sum(docs_of.values())}
+    out = {r.g: (np.zeros(len(CLASSES)), {}, 0) for r in rows}
     for r in rows:
-        if r.g in out and r.kind == "class":
+        if r.kind == "class":
             out[r.g][0][int(bytes(r.item))] = r.n
-        elif r.g in out and r.kind == "word":
-            out[r.g] = (out[r.g][0], out[r.g][1] | {bytes(r.item): r.n}, r.total)
+        elif r.kind == "word":
+            out[r.g][1][bytes(r.item)] = r.n
+        else:
+            out[r.g] = (*out[r.g][:2], r.n)
     return out
 
 
@@ -122,11 +120,14 @@ def judge(docs: DataFrame, references: dict, text_col: str = "text", out: str =
             row = base_counts(text or "", words)
             failed = row["n_words"] < min_words or 100 * row["n_repeat_words"] > max_repeat_percent * row["n_words"]
             classes, tally, best = class_counts((text or "").encode("utf-8", "surrogatepass")), None, None
+            told = classes.sum() >= MIN_CHARS, len(words) >= MIN_WORDS
             for g, (ref_classes, index, ref_words) in zip(names, sets, strict=True):
+                if told[0] and ref_classes.sum() < MIN_CHARS or told[1] and ref_words.sum() < MIN_WORDS:
+                    continue                              # no document of that language is as long
                 by_class = by_word = None
-                if classes.sum() >= MIN_CHARS and ref_classes.sum():
+                if told[0]:
                     by_class = js_distance(classes, ref_classes)
-                if len(words) >= MIN_WORDS and ref_words.sum():
+                if told[1]:
                     tally = tally or Counter(map(plain, words))
                     mine = np.zeros(len(ref_words))
                     for w in tally.keys() & index.keys():

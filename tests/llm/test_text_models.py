@@ -130,6 +130,23 @@ def test_divergence(spark, no_docs):
     assert kept.kept and kept.nearest is None
 
 
+def test_rare_languages_are_judged_by_their_own(spark):
+    """One document in 1500 has a language and script of its own; junk beside it and languages
+    of hardly any text excuse nothing."""
+    rng = random.Random(6)
+    greek = "ποταμός σπίτι κήπος παράθυρο ασήμι πρωί άνθρωποι και στο από με το".split()
+    rows = [(i, prose(rng, 80), "en") for i in range(1500)] + [(2000, prose(rng, 200, greek), "el")]
+    rows += [(2001, " ".join(f"zq{rng.random()}" for _ in range(150)), "en"), (2002, None, "aa"), (2003, "oh no", "ab"),
+             (2004, " ".join(["unusual" * 2] * 40), "ac"), (2005, " ".join("字" + chr(0x4E00 + i) for i in range(1100)), "zh")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, lang string")
+    refs = quality_rules.build_references(docs)
+    assert refs["el"][2] == 200 and refs["ab"][2] == 2 and refs["zh"][1:] == ({}, 1100)
+    got = {r.doc_id: r for r in quality_rules.judge(docs, refs).select("doc_id", "quality.*").collect()}
+    assert got[2000].kept and got[2000].nearest == "el" and got[2000].class_distance < 1e-6
+    assert got[2005].kept and got[2005].nearest == "zh"     # no word of it is common
+    assert all(got[i].kept and got[i].nearest == "en" for i in range(1500)) and not got[2001].kept
+
+
 def test_trees_learn_and_walk():
     rng = np.random.default_rng(0)
     x = rng.random((3000, 4))
