@@ -8,6 +8,12 @@ a block of documents sends all its super-k-mers of one bucket as one compressed
 row. The bucket sorts its windows by a hash of their bytes and compares the bytes
 inside every run of equal hashes, so the counts are exact.
 
+The windows of every bucket are counted first. A bucket of more than
+``HOT_WINDOWS`` gets no super-k-mers: they are cut into single windows, and a
+checksum of a window's bytes deals it to one of several buckets in its place. So
+equal windows still meet, and however frequent a word pair is, a bucket holds
+about as many windows as the others.
+
 Documents are dealt into blocks first. A block sends each distinct super-k-mer
 once, with the smallest and largest id that hold it, and gets back which of
 its windows start in a smaller document. Copies are thereby merged before the
@@ -23,6 +29,7 @@ an empty result. Other columns are ignored.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from itertools import compress
 
@@ -32,12 +39,14 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import span_hashes, words_of
+from .common import SLICE_ROWS, span_hashes, words_of
 
 #: Bytes of text that a block should hold.
 BLOCK_BYTES = 8 << 20
 #: Bytes of text whose windows a bucket should hold (as super-k-mers about three times as much).
 BUCKET_BYTES = 1 << 20
+#: Windows of a bucket, repeats included, above which it is split (about three times the mean).
+HOT_WINDOWS = 1 << 19
 NO_ID = np.iinfo(np.int64).max
 #: Windows found before a bucket task passes them on.
 HELD_ANSWERS = 200_000
@@ -89,8 +98,26 @@ class Block:
         self.last = at[np.r_[np.flatnonzero(cut)[1:] - 1, len(at) - 1]]
         self.mz = (low[self.first] >> np.uint64(20)).view(np.int64)
 
+    def deal(self, buckets: int, hot: np.ndarray, parts: np.ndarray) -> Block:
+        """bucket: that of every super-k-mer. Those of the ``hot`` buckets (ascending) become
+        single windows, each dealt to one of its ``parts`` of the buckets from ``buckets`` on."""
+        self.bucket = (self.mz.view(np.uint64) % np.uint64(buckets)).astype(np.int64)
+        if not len(hot):
+            return self
+        at = np.minimum(np.searchsorted(hot, self.bucket), len(hot) - 1)
+        split = hot[at] == self.bucket
+        n = np.where(split, self.last - self.first + 1, 1)
+        of = np.repeat(np.arange(len(n)), n)
+        first = self.first[of] + np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+        at, split = at[of], split[of]
+        self.first, self.last, self.bucket = first, np.where(split, first, self.last[of]), self.bucket[of]
+        sums = np.fromiter((zlib.crc32(self.joined[s:e]) for s, e in zip(
+            self.starts[first[split]].tolist(), self.ends[first[split] + self.width - 1].tolist(), strict=True)), np.int64)
+        self.bucket[split] = buckets + (np.cumsum(parts) - parts)[at[split]] + sums % parts[at[split]]
+        return self
+
     def packed(self):
-        """Distinct super-k-mers in order of appearance: (strings, minimisers,
+        """Distinct super-k-mers in order of appearance: (strings, buckets,
         smallest id, largest id, number of the string for every occurrence)."""
         seen: dict[bytes, int] = {}
         text = self.joined
@@ -103,7 +130,7 @@ class Block:
         order = np.argsort(which, kind="stable")
         at = np.flatnonzero(np.r_[True, np.diff(which[order]) != 0])
         key = self.key[self.doc_of[self.first]][order]
-        return list(seen), self.mz[order][at], np.minimum.reduceat(key, at), np.maximum.reduceat(key, at), which
+        return list(seen), self.bucket[order][at], np.minimum.reduceat(key, at), np.maximum.reduceat(key, at), which
 
     def keep(self, which: np.ndarray, ref: np.ndarray, least: np.ndarray, mask: np.ndarray) -> np.ndarray:
         """For every word, whether it stays. ``ref``, ``least``, ``mask``: windows (bits of
@@ -182,12 +209,26 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     blocks, buckets = max(-(-size // BLOCK_BYTES), tasks), max(-(-size // BUCKET_BYTES), 4 * tasks)
     dealt = keyed.withColumn("block", F.pmod(F.xxhash64("id", F.octet_length("text")), F.lit(blocks)).cast("bigint"))
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        windows, none = np.zeros(buckets, np.int64), np.zeros(0, np.int64)
+        for batch in batches:
+            for lo in range(0, len(batch), SLICE_ROWS):
+                texts = batch.slice(lo, SLICE_ROWS)["text"].to_pylist()
+                block = Block([None] * len(texts), texts, width).deal(buckets, none, none)
+                np.add.at(windows, block.bucket, block.last - block.first + 1)
+        at = np.flatnonzero(windows)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(windows[at])], ["bucket", "n"])
+
+    large = (keyed.select("text").mapInArrow(count, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n"))
+             .filter(F.col("n") > HOT_WINDOWS).sort("bucket").collect())
+    hot = np.array([r.bucket for r in large], np.int64)
+    split = np.array([-(-2 * r.n // HOT_WINDOWS) for r in large], np.int64)
+
     def pack(table: pa.Table) -> pa.Table:
-        block = Block(table["id"].to_pylist(), table["text"].to_pylist(), width)
+        block = Block(table["id"].to_pylist(), table["text"].to_pylist(), width).deal(buckets, hot, split)
         own = table["block"][0].as_py()
         del table
-        packed, mz, low, high, _ = block.packed()
-        bucket = (mz.view(np.uint64) % np.uint64(buckets)).astype(np.int64)
+        packed, bucket, low, high, _ = block.packed()
         order = np.argsort(bucket, kind="stable")
         parts = np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(order) else []
         press = zstandard.ZstdCompressor(level=3)
@@ -208,7 +249,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             yield _answers(held)
 
     def apply(own: pa.Table, answers: pa.Table) -> pa.Table:
-        block = Block(own["id"].to_pylist(), own["text"].to_pylist(), width)
+        block = Block(own["id"].to_pylist(), own["text"].to_pylist(), width).deal(buckets, hot, split)
         which = block.packed()[4]
         read = lambda c, kind: np.frombuffer(b"".join(answers[c].to_pylist()), kind).astype(np.int64)
         stay = block.keep(which, read("ref", np.uint32), read("least", np.int64), read("mask", np.int64))

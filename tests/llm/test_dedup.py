@@ -52,6 +52,33 @@ def test_remove_repeats_hot_and_overlapping(spark):
     assert collections.Counter(map(tuple, got.collect())) == brute_repeats(rows)
 
 
+@pytest.mark.parametrize("width", [2, 13])
+def test_remove_repeats_split_buckets(docs, rows, width, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "HOT_WINDOWS", 20, raising=False)
+    got = substring_dedup.remove_repeats(docs, width=width)
+    assert collections.Counter(map(tuple, got.collect())) == brute_repeats([r[:2] for r in rows], width)
+
+
+def test_frequent_pair_makes_no_large_bucket(spark, monkeypatch):
+    """A pair of long words with differing neighbours in every document."""
+    pairs = [f"boilerplate{k} licence{k}".encode() for k in range(300)]
+    pair = min(pairs, key=lambda p: substring_dedup.span_hashes(np.frombuffer(p, np.uint8), np.array([0]), np.array([len(p)]))[0])
+    rng = random.Random(8)
+    some = lambda n: " ".join("".join(rng.choices("abcdefgh", k=4)) for _ in range(n))
+    left, right = some(12), some(12)
+    rows = [(i, f"{some(14)} {pair.decode()} {some(14)}" if i % 5 else f"{some(3)} {left} {pair.decode()} {right}") for i in range(600)]
+    real = substring_dedup._matches
+
+    def bounded(packed, low, high, width):
+        assert sum(len(p.split()) - width + 1 for p in packed) <= 1500
+        return real(packed, low, high, width)
+
+    monkeypatch.setattr(substring_dedup, "_matches", bounded)
+    monkeypatch.setattr(substring_dedup, "HOT_WINDOWS", 1500, raising=False)
+    got = substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert collections.Counter(map(tuple, got)) == brute_repeats(rows) and sum(r.n_removed for r in got) > 1000
+
+
 def test_equal_hashes_are_compared(monkeypatch):
     monkeypatch.setattr(substring_dedup, "span_hashes", lambda data, s, e: np.zeros(len(s), np.uint64))
     low, high = np.array([1, 5, 2]), np.array([1, 5, 9])
