@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontamination, language_id, pii, quality_classifier, quality_rules, sentencepiece, simhash, substring_dedup, token_output, url_filter
+from . import (decontamination, language_id, pii, quality_classifier, quality_rules, sentencepiece, simhash,
+               source_divergence, substring_dedup, token_output, url_filter)
 from .common import kept_in_worker, read_table, scratch_folder
 
 QUERIES: dict = {}
@@ -179,3 +180,38 @@ def op5_pii(spark, sf_dir):
     found = pii.find_pii(docs.select("doc_id", "text"), pii.fit_tagger(docs))
     return found.select("doc_id", *(f"pii.n_{k}" for k in pii.KINDS), F.sha2("pii.base", 256).alias("base_sha256"),
                         "pii.spans", F.col("pii.base").alias("base_spans"))
+
+
+DIVERGENCE_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, CAST(count(*) AS HUGEINT) AS lang_n FROM t GROUP BY ALL HAVING count(DISTINCT r) >= 10),
+groups AS (SELECT DISTINCT lang, source FROM d),
+langs AS (SELECT lang, CAST(count(term) AS HUGEINT) AS v, coalesce(sum(lang_n), 0) AS lang_total
+          FROM (SELECT DISTINCT lang FROM groups) LEFT JOIN kept USING (lang) GROUP BY lang),
+counts AS (SELECT lang, source, term, CAST(count(*) AS HUGEINT) AS n FROM t JOIN kept USING (lang, term) GROUP BY ALL),
+totals AS (SELECT lang, source, coalesce(sum(n), 0) AS total FROM groups LEFT JOIN counts USING (lang, source) GROUP BY ALL),
+shares AS (SELECT g.lang, g.source, k.term, coalesce(n, 0) AS n,
+                  1 + (1000000000 * (coalesce(n, 0) + 2)) // (g.total + 2 * l.v) AS p,
+                  1 + (1000000000 * (k.lang_n + 2)) // (l.lang_total + 2 * l.v) AS q
+           FROM totals g JOIN langs l USING (lang) JOIN kept k USING (lang) LEFT JOIN counts c
+             ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+sums AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+         FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+          FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // (p + q) AS value FROM shares WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+           FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+
+@register("op11_source_divergence", DIVERGENCE_SQL)
+def op11_source_divergence(spark, sf_dir):
+    """How far the term use of every source differs from its language's other sources, and its terms."""
+    return source_divergence.audit(read_table(spark, sf_dir, "documents"), min_docs=10, top=10)
