@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import (decontamination, language_id, pii, quality_classifier, quality_rules, sentencepiece, simhash,
+from . import (conversation_repair, decontamination, fingerprint, language_id, pii, quality_classifier, quality_rules, sentencepiece, simhash,
                source_divergence, substring_dedup, token_output, url_filter)
-from .common import kept_in_worker, read_table, scratch_folder
+from .common import freeze, kept_in_worker, read_table, scratch_folder
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -215,3 +215,102 @@ FROM ranked WHERE part = 'pair' OR rank <= 10
 def op11_source_divergence(spark, sf_dir):
     """How far the term use of every source differs from its language's other sources, and its terms."""
     return source_divergence.audit(read_table(spark, sf_dir, "documents"), min_docs=10, top=10)
+
+
+@register("op13_fingerprint")
+def op13_fingerprint(spark, sf_dir):
+    """Fingerprint of every document, held against its half-replaced text and the next document."""
+    return fingerprint.compare_with_next(read_table(spark, sf_dir, "documents"))
+
+
+def damaged(turns):
+    """Conversations with a fifth of their rows damaged, by a checksum of ``conv_id:turn``: 0 drops a row,
+    1 empties its text, 2 takes its ``.!?``, 3 repeats it, 4 makes it the user's. Nulls are one space."""
+    filled = turns.select("conv_id", "turn", *(F.coalesce(c, F.lit(" ")).alias(c) for c in ("role", "text")))
+    key = F.concat_ws(":", *(F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")))
+    rows = filled.withColumn("kind", F.crc32(key.cast("binary")) % 20).filter("kind <> 0")
+    rows = rows.withColumns({
+        "text": F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text")),
+        "role": F.when(F.col("kind") == 4, "user").otherwise(F.col("role"))})
+    copies = F.explode(F.array_repeat(F.lit(0), F.when(F.col("kind") == 3, 2).otherwise(1)))
+    return rows.select("conv_id", "turn", "role", "text", copies.alias("copy")).drop("copy")
+
+
+def _state(s: str, cost: str, letter: str) -> str:
+    """SQL: a state (cost in 12 digits, then the audit) after one more edit; null stays null."""
+    return f"(printf('%012d', CAST({s}[:12] AS BIGINT) + {cost}) || {s}[13:] || {letter})"
+
+
+def _with_inserts(s0: str, s1: str, s2: str, s3: str) -> str:
+    """SQL: the four phases' states, inserts after them included."""
+    after_u = f"least({s2}, {_state(s0, '3', repr('I'))}, {_state(s1, '3', repr('I'))}, {_state(s3, '3', repr('I'))})"
+    return f"{s0} AS s0, {s1} AS s1, {after_u} AS s2, least({s3}, {_state(after_u, '3', repr('I'))}) AS s3"
+
+
+def _step() -> str:
+    """SQL: the four phases' states after a turn of initial ``r.c``, which ``must`` go or costs ``e`` to keep."""
+    gone = {k: _state(f"w.s{k}", "4", "'D'") for k in range(4)}
+    to = {(k, x): "CASE WHEN NOT r.must THEN " + _state(f"w.s{k}", f"(r.e + CASE WHEN r.c = '{x}' THEN 0 ELSE 3 END)",
+                                                        f"CASE WHEN r.c = '{x}' THEN 'K' ELSE 'R' END") + " END"
+          for k, x in ((0, "u"), (1, "u"), (3, "u"), (2, "a"))}
+    system = "CASE WHEN NOT r.must AND r.c = 's' THEN " + _state("w.s0", "r.e", "'K'") + " END"
+    return (f"{gone[0]} AS t0, least({gone[1]}, {system}) AS t1, "
+            f"least({gone[2]}, {to[0, 'u']}, {to[1, 'u']}, {to[3, 'u']}) AS t2, least({gone[3]}, {to[2, 'a']}) AS t3")
+
+
+REPAIR_SQL = rf"""
+WITH RECURSIVE src AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''),
+                        lambda x: CAST(unicode(x) AS BIGINT)) AS codes FROM conversations),
+hashed AS (SELECT *, xor(4294967295, list_reduce(flatten(list_transform(codes, lambda x: [x, -1, -1, -1, -1, -1, -1, -1, -1])),
+             lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, 3988292384 * (c & 1)) END, CAST(4294967295 AS BIGINT))) % 20 AS k FROM src),
+damaged AS (SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+                   CASE k WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+            FROM hashed, unnest(range(CASE k WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) WHERE k <> 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS i FROM damaged),
+judged AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'b'
+                          WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'd'
+                          WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 't' ELSE '' END AS fault,
+                  lag(role[1:1]) OVER (PARTITION BY conv_id ORDER BY i) || role[1:1] AS two FROM placed),
+turns AS (SELECT *, role[1:1] AS c, fault IN ('b', 'd') AS must, CASE WHEN fault = 't' THEN 3 ELSE 0 END AS e FROM judged),
+ids AS (SELECT DISTINCT conv_id FROM conversations),
+walk AS (
+  SELECT conv_id, 0 AS i, repeat('0', 12) AS s0, CAST(NULL AS VARCHAR) AS s1, repeat('0', 11) || '3I' AS s2, repeat('0', 11) || '6II' AS s3 FROM ids
+  UNION ALL
+  SELECT conv_id, i, {_with_inserts('t0', 't1', 't2', 't3')} FROM (
+    SELECT w.conv_id, w.i + 1 AS i, {_step()}
+    FROM walk w JOIN turns r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.i = w.i + 1)),
+best AS (SELECT conv_id, arg_max(least(s0, s3), i) AS s FROM walk GROUP BY conv_id),
+audits AS (SELECT conv_id, CAST(s[:12] AS BIGINT) AS cost, s[13:] AS audit FROM best),
+edits AS (SELECT conv_id, audit, p, audit[p:p] AS x FROM audits, unnest(range(1, length(audit) + 1)) u(p)),
+numbered AS (SELECT *, count(*) FILTER (x <> 'I') OVER (PARTITION BY conv_id ORDER BY p) AS i,
+                    count(*) FILTER (x <> 'D') OVER (PARTITION BY conv_id ORDER BY p) AS place,
+                    count(*) FILTER (x <> 'D') OVER (PARTITION BY conv_id) % 2 AS odd FROM edits),
+lines AS (SELECT n.conv_id, p, CASE WHEN x = 'K' THEN role WHEN (place + odd) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' ||
+                               CASE WHEN x = 'I' THEN '' ELSE text END AS line
+          FROM numbered n LEFT JOIN turns t ON t.conv_id IS NOT DISTINCT FROM n.conv_id AND t.i = n.i WHERE x <> 'D'),
+written AS (SELECT conv_id, string_agg(line, chr(10) ORDER BY p) AS body FROM lines GROUP BY conv_id),
+sums AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank,
+                count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+                count(*) FILTER (two NOT IN ('su', 'ua', 'au')) AS illegal FROM turns GROUP BY conv_id)
+SELECT a.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, cost, audit, sha256(coalesce(body, '')) AS repaired_sha256
+FROM audits a LEFT JOIN sums s ON s.conv_id IS NOT DISTINCT FROM a.conv_id
+LEFT JOIN written w ON w.conv_id IS NOT DISTINCT FROM a.conv_id
+"""
+
+
+@register("op12_conversation_repair", REPAIR_SQL)
+def op12_conversation_repair(spark, sf_dir):
+    """Faults, cheapest repair and repaired text's checksum of every damaged conversation."""
+    turns = read_table(spark, sf_dir, "conversations")
+    hurt = damaged(turns)
+    audits = freeze(conversation_repair.audit(hurt))
+    digests = conversation_repair.repaired_digests(hurt, audits)
+    found = audits.join(digests.withColumnRenamed("conv_id", "c"), F.col("conv_id").eqNullSafe(F.col("c"))).drop("c")
+    ids = turns.select(F.col("conv_id").alias("id")).distinct()
+    numbers = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return ids.join(found, F.col("id").eqNullSafe(F.col("conv_id")), "left").select(
+        F.col("id").alias("conv_id"), *(F.coalesce(c, F.lit(0)).alias(c) for c in numbers),
+        F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
