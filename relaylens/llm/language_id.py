@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from .common import per_text
 
 PER_LANG, TRAIN_ROWS = 500, 4000
+#: Parts that a language's documents are sampled in.
+SALTS = 64
 #: Hashed n-gram buckets, and the sizes of n-grams in bytes.
 BUCKETS, SIZES = 2048, (1, 2, 3)
 #: Bytes of text that are taken at a time.
@@ -159,9 +161,13 @@ def fit_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     own = docs.filter(usable) if usable is not None else docs
     own = own.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
     marked = own.filter("id is not null and lang is not null and text is not null").select("id", "lang")
-    marked = marked.withColumn("h", F.xxhash64("id", F.lit(7)))
-    order = Window.partitionBy("lang").orderBy("h", "id")
-    sample = (marked.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_lang)
+    marked = marked.withColumns({"h": F.xxhash64("id", F.lit(7)), "salt": F.pmod(F.xxhash64("id", F.lit(8)), F.lit(SALTS))})
+
+    def first(some: DataFrame, *keys: str) -> DataFrame:
+        order = Window.partitionBy("lang", *keys).orderBy("h", "id")
+        return some.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_lang)
+    # of a language with any share of all rows, a task sees the candidates of one salt, then those of all salts
+    sample = (first(first(marked, "salt").drop("n"))
               .orderBy("n", "h", "id", "lang").limit(rows).select("id", "lang").distinct())
 
     def make():
