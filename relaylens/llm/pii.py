@@ -2,17 +2,18 @@
 
 The tagger is a bidirectional LSTM over characters with CRF transitions between
 tags (none, or one per kind). It is trained in numpy from labelled spans: the
-pattern spans of a bounded sample of documents, and rewritten forms of them
-that the patterns do not cover (``rewrite``). A text is cut into windows that
-overlap by ``OVERLAP``; the windows of many texts are decoded side by side, one
-character of all of them at a time. A span that touches a window's edge inside
-the text is incomplete and dropped, as the neighbour window holds it whole; of
-the others the best scored wins where they overlap, over the whole text.
-Pattern spans always stay; the tagger's spans must not overlap them, must score
-at least ``MIN_SCORE`` and hold what their kind needs (``plausible``).
-
-Spans are (kind, start, end) in code points, end exclusive. Spans of the tagger
-are at most ``OVERLAP`` characters long.
+pattern spans of a bounded sample of documents, and rewritten forms of them and
+of made-up data that the patterns do not cover (``rewrite``). A text is cut into
+windows that overlap by ``OVERLAP``; the windows of many texts are decoded side by
+side, one character of all of them at a time. A span that touches a window's edge
+inside the text is incomplete: the neighbour window holds it whole, or else wider
+windows around it are decoded until one does, so spans may have any length. Of
+whole spans the best scored wins where they overlap, over the whole text. Pattern
+spans always stay; the tagger's spans must not overlap them, must score at least
+``MIN_SCORE`` and hold what their kind needs (``plausible``). Windows in which
+nothing can be plausible (``may_hold``) need no decoding.
+
+Spans are (kind, start, end) in code points, end exclusive.
 
 Defined cases: null and empty texts have no spans, and ``redact`` keeps them.
 Without any span to learn from (an empty table) only the patterns hold.
@@ -22,6 +23,7 @@ Repeated rows stay; other columns are kept.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,10 +37,10 @@ WINDOW, OVERLAP = 512, 64
 #: Windows that are decoded side by side.
 SIDE_BY_SIDE = 1024
 #: Documents that the tagger is trained on (those with the smallest hashes of their ids), the
-#: excerpts taken from each, and their length.
-TRAIN_DOCS, PER_DOC, EXCERPT = 1500, 3, 96
-HIDDEN = 8
-MIN_SCORE = 8.0
+#: excerpts taken from each around its data and with made-up data, and their length.
+TRAIN_DOCS, PER_DOC, MADE_UP, EXCERPT = 1500, 3, 2, 96
+HIDDEN = 20
+MIN_SCORE = 0.0
 
 # -- patterns ----------------------------------------------------------------
 
@@ -84,43 +86,91 @@ def pattern_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
-def rewrite(kind: str, span: str, choice: int) -> str:
+#: Forms that training data is rewritten to (tests hold others against the tagger): what stands for
+#: the @ and the dots of an address, between the parts of an ip, of a card and of a phone, and how phones are set.
+AT_FORMS = (" at ", " (at) ", "(at)", "[at]", " [at] ", " @ ", " AT ", "<at>", "-at-")
+DOT_FORMS = (" dot ", "(dot)", "[dot]", " [dot] ", "[.]", "(.)", ".", " . ", " DOT ", "<dot>", "-dot-")
+IP_FORMS = ("[.]", " . ", "(.)", " dot ", "(dot)", ", ", " .", "<.>")
+CARD_FORMS = ("/", ".", ". ", "  ", " / ", ":", "--")
+PHONE_FORMS = ("({a}) {b}{s}{c}", "{a}{s}{b}{s}{c}", "00{n}{s}{a}{s}{b}{s}{c}", "{a}{s}{b} {c}", "1{s}{a}{s}{b}{s}{c}", "({a}){b}{s}{c}")
+PHONE_SIGNS = ("-", " ", ".", ". ", "/", "--")
+ODD_SIGNS = "!#$%&*;=?^~"
+
+
+def rewrite(kind: str, span: str, rng: np.random.Generator) -> str:
     """The same datum in a form that the patterns do not cover."""
+    def of(forms):
+        return forms[int(rng.integers(0, len(forms)))]
+
+    def sign(forms):                                      # now and then any sign, so that none must be known
+        if rng.random() < 0.6:
+            return of(forms)
+        return f"{' ' * int(rng.integers(0, 2))}{of(ODD_SIGNS)}{' ' * int(rng.integers(0, 2))}"
     digits = _digits(span)
     if kind == "email":
         name, _, host = span.partition("@")
-        return (f"{name} at {host.replace('.', ' dot ')}", f"{name} (at) {host}", f"{name}[at]{host.replace('.', '[dot]')}",
-                f"{name} @ {host}")[choice % 4]
+        dot = of(DOT_FORMS)
+        at = of(AT_FORMS) if dot == "." or rng.random() < 0.85 else "@"
+        return f"{name}{at}{host.replace('.', dot)}"
+    if kind == "ip":
+        return span.replace(".", sign(IP_FORMS))
+    if kind == "card":
+        return sign(CARD_FORMS).join(digits[i:i + 4] for i in range(0, len(digits), 4))
+    tail = digits[-10:].rjust(10, "2")
+    return of(PHONE_FORMS).format(a=tail[:3], b=tail[3:6], c=tail[6:], n=digits[:-10] or "1", s=sign(PHONE_SIGNS))
+
+
+def invented(kind: str, rng: np.random.Generator) -> str:
+    """A made-up datum in the plain form, for documents that have none."""
+    def digits(n):
+        return "".join(map(str, rng.integers(0, 10, n)))
+
+    def word():
+        return "".join(rng.choice(list("abcdefghijklmnoprstuvw"), int(rng.integers(2, 9))))
+    if kind == "email":
+        return f"{word()}{rng.choice(['', '.' + word(), '_' + word(), digits(2)])}@{'.'.join(word() for _ in range(int(rng.integers(2, 4))))}"
     if kind == "ip":
-        return (span.replace(".", "[.]"), span.replace(".", " . "), span.replace(".", "(.)"))[choice % 3]
+        return ".".join(str(x >> s) for x, s in zip(rng.integers(0, 256, 4).tolist(), rng.integers(0, 7, 4).tolist(), strict=True))
     if kind == "card":
-        return ("/".join(digits[i:i + 4] for i in range(0, len(digits), 4)),
-                ".".join(digits[i:i + 4] for i in range(0, len(digits), 4)),
-                "  ".join(digits[i:i + 4] for i in range(0, len(digits), 4)))[choice % 3]
-    tail = digits[-10:]
-    return (f"({tail[:3]}) {tail[3:6]}-{tail[6:]}", f"{tail[:3]}-{tail[3:6]}-{tail[6:]}",
-            f"00{digits[:-10] or '1'} {tail[:3]} {tail[3:6]} {tail[6:]}")[choice % 3]
+        body = digits(15)
+        return next(body + str(d) for d in range(10) if luhn(body + str(d)))
+    return f"+{rng.integers(1, 99)} {digits(3)} {digits(3)} {digits(4)}"
+
+
+_AT = r"(?:[@\uff20]|(?<![A-Za-z])(?:at|AT|At)(?![A-Za-z]))"
+_DOT = r"(?:\.(?=[A-Za-z0-9])|\s\.\s|[\[({<]\s*\.\s*[\])}>]|(?<![A-Za-z])(?:dot|DOT|Dot)(?![A-Za-z]))"
+_ADDRESS = re.compile(rf"[A-Za-z0-9][\W_]*{_AT}[\W_]*[A-Za-z0-9][A-Za-z0-9-]*[\W_]*?{_DOT}[\W_]*[A-Za-z0-9]")
+_FOUR_DIGITS = re.compile("[0-9][^0-9]*[0-9][^0-9]*[0-9][^0-9]*[0-9]")
 
 
 def plausible(kind: str, span: str) -> bool:
     """Whether a span holds what its kind needs."""
-    groups, n = re.findall(r"[0-9]+", span), len(_digits(span))
     if kind == "email":
-        return bool(re.search(r"[A-Za-z0-9]\s*(@|[\[(]\s*at\s*[\])]|\sat\s)\s*[A-Za-z0-9-]+\s*(\.|\sdot\s|[\[(]\s*dot\s*[\])])", span))
+        return bool(_ADDRESS.search(span))
+    bare = re.sub("(?i)dot", "", span) if kind == "ip" else span
+    groups, n = re.findall(r"[0-9]+", bare), len(_digits(bare))
+    if re.search("[A-Za-z]", bare):
+        return False
     if kind == "ip":
-        return len(groups) == 4 and all(int(g[-9:]) <= 255 for g in groups) and not re.search(r"[A-Za-z]", span)
+        return len(groups) == 4 and all(int(g[-9:]) <= 255 for g in groups)
     if kind == "card":
-        return 16 <= n <= 19 and len(groups) > 1 and luhn(_digits(span)) and not re.search(r"[A-Za-z]", span)
-    return 10 <= n <= 15 and len(groups) >= 3 and not re.search(r"[A-Za-z]", span)
+        return 16 <= n <= 19 and len(groups) > 1 and luhn(_digits(bare))
+    return 10 <= n <= 15 and len(groups) >= 3
+
+
+def may_hold(text: str) -> bool:
+    """False if no span of ``text`` can be plausible: no address, and fewer than four digits."""
+    return bool(_FOUR_DIGITS.search(text) or _ADDRESS.search(text))
 
 
 # -- the tagger -----------------------------------------------------------------
 
 TAGS = len(KINDS) + 1
-#: Code points up to U+024F by value, the rest in two codes; 0 is the padding after a text.
-_CODES = np.array([0 if c > 0x250 else c - 30 if 32 <= c < 127 else 1 if c < 32 else 98 if c >= 0xC0 else 99 if c < 0xC0 else 100
-                   for c in range(0x251)], np.uint8)
-_CODES[0x250] = 100
+#: Code points by value up to U+007E, the rest in three codes; 0 is the padding after a text. Digits are
+#: one code, letters are lower case, and signs of like use are one, so that none must have been seen.
+_LIKE = str.maketrans("0123456789{<}>#$%&*=^~|_\\", "0000000000[[]]///////////")
+_CODES = np.array([ord(chr(c).lower().translate(_LIKE)) - 30 if 32 <= c < 127 else 1 if c < 32 else 98 if 0xC0 <= c < 0x250
+                   else 99 if c < 0xC0 else 100 for c in range(0x251)], np.uint8)
 VOCABULARY = 101
 
 
@@ -257,8 +307,9 @@ def gradients(model: Tagger, codes: np.ndarray, tags: np.ndarray) -> tuple[float
     grad |= {"b": g_em.sum(axis=(0, 2)), "u": np.zeros_like(model.u), "v": np.zeros_like(model.v), "e": np.zeros_like(model.e)}
     h = model.v.shape[2]
     carried = {0: None, 1: None}
+    inputs = np.empty((2, steps, wide, 4 * h), model.u.dtype)
     for d, t, a, g, hid0, cell0, cell, squashed, live in reversed(trace):
-        g_hid, g_cell = carried[d] or (np.zeros((h, wide)), np.zeros((h, wide)))
+        g_hid, g_cell = carried[d] or (np.zeros((h, wide), em.dtype), np.zeros((h, wide), em.dtype))
         hid = g[2 * h:3 * h] * squashed
         grad["e"][d] += g_em[t] @ hid.T
         g_hid = g_hid + model.e[d].T @ g_em[t]
@@ -268,12 +319,15 @@ def gradients(model: Tagger, codes: np.ndarray, tags: np.ndarray) -> tuple[float
         g_gates[:3 * h] *= 0.5
         g_a = g_gates * _soft_slope(a)
         grad["v"][d] += g_a @ hid0.T
-        np.add.at(grad["u"][d].T, codes[t], g_a.T)
+        inputs[d, t] = g_a.T
         carried[d] = (model.v[d].T @ g_a, g_cell * g[h:2 * h])
+    seen = (codes.ravel()[:, None] == np.arange(VOCABULARY)).astype(model.u.dtype)
+    for d in (0, 1):
+        grad["u"][d] += inputs[d].reshape(-1, 4 * h).T @ seen
     return float((total - gold).sum()), grad
 
 
-def train(examples: list[tuple[str, list[tuple[str, int, int]]]], passes: int = 12, batch: int = 64,
+def train(examples: list[tuple[str, list[tuple[str, int, int]]]], passes: int = 12, batch: int = 96,
           rate: float = 0.02, seed: int = 0) -> Tagger | None:
     """Fit on excerpts of EXCERPT characters with their spans (Adam); None without a span."""
     if not any(spans for _, spans in examples):
@@ -287,6 +341,8 @@ def train(examples: list[tuple[str, list[tuple[str, int, int]]]], passes: int =
             tags[i, a:b] = 1 + KINDS.index(kind)
     model, rng = Tagger.new(seed=seed), np.random.default_rng(seed)
     names = ("u", "v", "e", "b", "t", "s")
+    for k in names:
+        setattr(model, k, getattr(model, k).astype(np.float32))
     mean = {k: np.zeros_like(getattr(model, k)) for k in names}
     square = {k: np.zeros_like(getattr(model, k)) for k in names}
     step = 0
@@ -304,20 +360,14 @@ def train(examples: list[tuple[str, list[tuple[str, int, int]]]], passes: int =
                 mean[k] = 0.9 * mean[k] + 0.1 * g
                 square[k] = 0.99 * square[k] + 0.01 * g * g
                 getattr(model, k)[...] -= pace * (mean[k] / (1 - 0.9 ** step)) / (np.sqrt(square[k] / (1 - 0.99 ** step)) + 1e-6)
-    for k in names:
-        setattr(model, k, np.ascontiguousarray(getattr(model, k), np.float32))
     return model
 
 
 # -- whole texts ------------------------------------------------------------------
 
-def tagger_spans(model: Tagger, texts: list[str]) -> list[list[tuple[str, int, int, float]]]:
-    """(kind, start, end, score) that the tagger finds in every text, without overlaps."""
-    found: list[list] = [[] for _ in texts]
-    codes = [codes_of(t) for t in texts]
-    cuts = [(i, lo, min(lo + WINDOW, len(c))) for i, c in enumerate(codes)
-            for lo in range(0, max(1, len(c) - OVERLAP), WINDOW - OVERLAP) if len(c)]
-    cuts.sort(key=lambda x: x[2] - x[1])
+def _decoded(model: Tagger, codes: list, cuts: list) -> Iterator[tuple]:
+    """(cut, [(tag, start, end, score)]) of windows (text number, start, end), SIDE_BY_SIDE at a time."""
+    cuts = sorted(cuts, key=lambda x: x[2] - x[1])
     for at in range(0, len(cuts), SIDE_BY_SIDE):
         part = cuts[at:at + SIDE_BY_SIDE]
         lengths = np.array([b - a for _, a, b in part])
@@ -326,12 +376,32 @@ def tagger_spans(model: Tagger, texts: list[str]) -> list[list[tuple[str, int, i
             table[row, :b - a] = codes[i][a:b]
         tags, gain = model.decode(np.ascontiguousarray(table.T), lengths)
         for col in np.flatnonzero(tags.any(axis=0)).tolist():
-            i, a, b = part[col]
+            _, a, b = part[col]
             line = tags[:b - a, col]
             edge = np.flatnonzero(np.diff(np.r_[0, line, 0]))
-            for s, e in zip(edge, edge[1:], strict=False):
-                if line[s] and (s > 0 or a == 0) and (e < b - a or b == len(codes[i])):
-                    found[i].append((KINDS[line[s] - 1], a + int(s), a + int(e), float(gain[s:e, col].sum())))
+            yield part[col], [(int(line[s]), a + int(s), a + int(e), float(gain[s:e, col].sum()))
+                              for s, e in zip(edge, edge[1:], strict=False) if line[s]]
+
+
+def tagger_spans(model: Tagger, texts: list[str]) -> list[list[tuple[str, int, int, float]]]:
+    """(kind, start, end, score) that the tagger finds in every text, without overlaps."""
+    found: list[list] = [[] for _ in texts]
+    codes = [codes_of(t) for t in texts]
+    cuts = [(i, lo, min(lo + WINDOW, len(t))) for i, t in enumerate(texts)
+            for lo in range(0, max(1, len(t) - OVERLAP), WINDOW - OVERLAP) if may_hold(t[lo:lo + WINDOW])]
+    wide = WINDOW
+    while cuts:
+        broken = []
+        for (i, a, b), spans in _decoded(model, codes, cuts):
+            for tag, s, e, score in spans:
+                if (s == a > 0) or (e == b < len(codes[i])):
+                    broken.append((i, s, e))              # cut off by the window's edge
+                else:
+                    found[i].append((KINDS[tag - 1], s, e, score))
+        # unless another window has the whole, a wider one around it is decoded
+        wide *= 2
+        cuts = list({(i, max(0, (s + e - wide) // 2), min(len(codes[i]), (s + e + wide) // 2)) for i, s, e in broken
+                     if not any(f[1] <= s and e <= f[2] for f in found[i])})
     out = []
     for spans in found:
         kept: list = []
@@ -359,7 +429,7 @@ def all_spans(model: Tagger | None, texts: list[str | None]) -> tuple[list, list
         for text, spans, own in zip(texts, every, tagger_spans(model, [t or "" for t in texts]), strict=True):
             for kind, a, b, score in own:
                 a, b = trim(text, kind, a, b)
-                if (score >= MIN_SCORE and b - a <= OVERLAP and plausible(kind, text[a:b])
+                if (score >= MIN_SCORE and plausible(kind, text[a:b])
                         and all(b <= s or a >= e for _, s, e in spans)):
                     spans.append((kind, a, b))
     for spans in every:
@@ -368,28 +438,40 @@ def all_spans(model: Tagger | None, texts: list[str | None]) -> tuple[list, list
 
 
 def excerpts(text: str | None, seed: int) -> list[tuple[str, list]]:
-    """At most PER_DOC training excerpts of a text: around pattern spans, as they are or rewritten,
-    and around other digits."""
+    """Training excerpts of a text: at most PER_DOC around pattern spans, as they are or rewritten,
+    MADE_UP with a made-up datum, and one without any, around digits or an "at" if there is one."""
     text = text or ""
     rng = np.random.default_rng(seed)
     spans = sorted(pattern_spans(text), key=lambda x: x[1])
     spans = [s for k, s in enumerate(spans) if not k or s[1] >= spans[k - 1][2]]
     out = []
-    for k in rng.permutation(len(spans))[:PER_DOC - 1].tolist():
+
+    def add(kind, word, before, after):
+        if len(word) <= EXCERPT * 3 // 4:
+            before = before[len(before) - int(rng.integers(0, EXCERPT - len(word) + 1)):] if before else ""
+            before = before[-(EXCERPT - len(word)):] if len(word) < EXCERPT else ""
+            out.append(((before + word + after)[:EXCERPT], [(kind, len(before), len(before) + len(word))]))
+    for k in rng.permutation(len(spans))[:PER_DOC].tolist():
         kind, a, b = spans[k]
-        if b - a > EXCERPT // 2:
+        word = text[a:b] if rng.random() < 0.25 else rewrite(kind, text[a:b], rng)
+        add(kind, word, text[max(spans[k - 1][2] if k else 0, a - EXCERPT):a],
+            text[b:spans[k + 1][1] if k + 1 < len(spans) else len(text)][:EXCERPT])
+
+    def clean(at):
+        lo = max(0, at - EXCERPT // 2)
+        return None if any(s < lo + EXCERPT and e > lo for _, s, e in spans) else text[lo:lo + EXCERPT]
+    for kind in (KINDS[k] for k in rng.permutation(len(KINDS))[:MADE_UP]):
+        spot = clean(int(rng.integers(0, max(1, len(text) - EXCERPT))))
+        if spot is None:
             continue
-        word = text[a:b] if rng.random() < 0.4 else rewrite(kind, text[a:b], int(rng.integers(0, 12)))
-        lead = int(rng.integers(0, max(1, EXCERPT - len(word))))
-        before = text[max(spans[k - 1][2] if k else 0, a - lead):a]
-        after = text[b:spans[k + 1][1] if k + 1 < len(spans) else len(text)]
-        if len(word) + len(before) <= EXCERPT:
-            out.append(((before + word + after)[:EXCERPT], [(kind, len(before), len(before) + len(word))]))
-    free = [m.start() for m in re.finditer(r"[0-9]", text) if all(m.start() < s - EXCERPT or m.start() >= e for _, s, e in spans)]
-    at = free[int(rng.integers(0, len(free)))] - EXCERPT // 2 if free else int(rng.integers(0, max(1, len(text) - EXCERPT)))
-    lo = max(0, at)
-    if not any(s < lo + EXCERPT and e > lo for _, s, e in spans):
-        out.append((text[lo:lo + EXCERPT], []))
+        word = invented(kind, rng)
+        at = spot.find(" ", int(rng.integers(0, EXCERPT)))
+        add(kind, rewrite(kind, word, rng) if rng.random() < 0.85 else word, spot[:at + 1], " " + spot[at + 1:])
+    telling = [m.start() for m in re.finditer(r"[0-9]|(?i:\bat\b|\bdot\b)", text)]
+    none = clean(telling[int(rng.integers(0, len(telling)))] if telling and rng.random() < 0.8
+                 else int(rng.integers(0, max(1, len(text)))))
+    if none:
+        out.append((none, []))
     return out
 
 
