@@ -6,16 +6,20 @@ joined with the seeds of every position of every document. A hit fixes an
 alignment of item and document, and the alignment is verified: a leak is a
 window of ``window`` aligned tokens of which at least ``share`` are equal.
 
-``MASKS`` leave no gap: whichever two tokens of a 13-token window are
-substituted, some mask has a placement in the window whose care positions miss
-both. With 13 tokens and a share of 0.8 (11 equal tokens) the seeds therefore
-find every leak.
+The masks leave no gap: whichever tokens of a window may be substituted, some
+mask has a placement in the window whose care positions miss all of them, so the
+seeds find every leak. ``masks_for`` has masks for any window and share: for 13
+tokens and a share of 0.8 (11 equal tokens) ``MASKS``, in general one mask whose
+care positions are as far apart as makes them miss every substitution in some
+placement. It raises where fewer than ``LEAST_CARE`` care positions would be left
+(half the tokens may differ: single words would be seeds); given masks are
+checked the same way.
 
 Tokens are runs of letters and digits of the lower-cased text. Long documents
 are cut into overlapping chunks of tokens, so a task's memory does not grow
-with a document. The benchmark's seeds are broadcast when their counted number
-is at most ``MAX_BROADCAST_SEEDS`` and joined by shuffle otherwise; hit
-documents likewise.
+with a document, and only the tokens that an item is aligned with travel to it.
+The benchmark's seeds, its items and the hit documents are broadcast when their
+measured bytes are at most ``MAX_BROADCAST_BYTES`` and joined by shuffle otherwise.
 
 Defined cases: null and empty texts, and texts or items of fewer tokens than
 the window, have no leaks. Items with equal tokens are searched once, under
@@ -27,17 +31,50 @@ ignored by ``find_leaks``.
 
 from __future__ import annotations
 
+from itertools import combinations
+from math import comb
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import freeze
 
-#: Care positions; see the module docstring for what they cover together.
+#: Care positions; they miss no two substitutions in 13 tokens.
 MASKS = ((0, 1, 2, 5, 7, 8), (0, 2, 3, 5, 6, 7))
 #: Tokens of a document that are taken apart at a time.
 CHUNK = 1024
-MAX_BROADCAST_SEEDS = 2_000_000
-MAX_BROADCAST_DOCS = 1_000_000
+LEAST_CARE = 2
+#: Ways to place substitutions up to which given masks are checked.
+MAX_CHECKED = 1_000_000
+MAX_BROADCAST_BYTES = 64 << 20
+#: Bytes of a row of two numbers and its place in a hash table; of a seed, which has two more numbers.
+ROW_BYTES, SEED_BYTES = 48, 64
+
+
+def covers(masks, window: int, misses: int) -> bool:
+    """Whether any ``misses`` tokens of a window leave a placement of some mask untouched."""
+    placed = [{p + o for p in m} for m in masks for o in range(window - max(m))]
+    return all(any(not spot & hit for spot in placed) for hit in map(set, combinations(range(window), misses)))
+
+
+def masks_for(window: int, share: float, masks=None) -> tuple:
+    """Masks that lose no leak of ``window`` tokens of which ``share`` are equal; raises if there are none."""
+    if window < 1 or not 0 < share <= 1:
+        raise ValueError("a window has at least one token, a share lies in (0, 1]")
+    misses = window + int(-window * share // 1)
+    if masks is not None:
+        if comb(window, misses) > MAX_CHECKED:
+            raise ValueError(f"too many ways to place {misses} substitutions in {window} tokens to check masks")
+        if not covers(masks, window, misses):
+            raise ValueError(f"these masks lose leaks with {misses} substitutions in {window} tokens")
+        return tuple(masks)
+    if (window, misses) == (13, 2):
+        return MASKS
+    # of misses + 1 interleaved placements one holds no substitution
+    care = window // (misses + 1)
+    if care < min(LEAST_CARE, window):
+        raise ValueError(f"{misses} of {window} tokens may differ: no mask has {LEAST_CARE} care positions")
+    return (tuple(range(0, care * (misses + 1), misses + 1)),)
 
 
 def tokens(text: Column) -> Column:
@@ -59,9 +96,16 @@ def _seeds(df: DataFrame, hashes: str, masks, first) -> DataFrame:
     return rows.select(*keep, "pos", F.posexplode("seeds").alias("mask", "seed"))
 
 
-def _bounded(df: DataFrame, limit: int) -> DataFrame:
-    """``df`` marked for broadcast if it has at most ``limit`` rows; otherwise it is shuffled."""
-    return F.broadcast(df) if df.count() <= limit else df
+def _bounded(df: DataFrame, size) -> DataFrame:
+    """``df`` marked for broadcast if its rows, ``size`` bytes each (a number or a column), are at most
+    MAX_BROADCAST_BYTES together; otherwise it is shuffled."""
+    total = df.agg(F.sum(size if isinstance(size, Column) else F.lit(size)).alias("n")).first()[0] or 0
+    return F.broadcast(df) if total <= MAX_BROADCAST_BYTES else df
+
+
+def _bytes(*values: str) -> Column:
+    """Bytes of a row with these columns and one more number."""
+    return F.lit(ROW_BYTES) + sum((F.coalesce(F.octet_length(F.col(v).cast("string")), F.lit(0)) for v in values), F.lit(0))
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -71,12 +115,12 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                item_col: str = "item_id", item_text_col: str = "text", window: int = 13,
-               share: float = 0.8, masks=MASKS) -> DataFrame:
+               share: float = 0.8, masks=None) -> DataFrame:
     """A row per document and benchmark item with a leak: the document's id,
     ``text_key`` (hash of its text), the item's id, ``n_equal`` (most equal
     tokens in a window) and ``start`` (token of the document where the first
     such window begins; of several alignments, the best and then the first)."""
-    least = -int(-window * share // 1)
+    masks, least = masks_for(window, share, masks), -int(-window * share // 1)
     items = (benchmark.select(F.col(item_col).alias("item"), tokens(F.col(item_text_col)).alias("words"))
              .filter(F.size("words") >= window)
              .groupBy("words").agg(F.min("item").alias("item")))
@@ -93,21 +137,24 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     chunks = (words.filter(F.size("all") >= window).select("id", "key", F.explode(cuts).alias("c"))
               .select("id", "key", F.col("c.s").alias("s"), F.col("c.h").alias("hashes")))
     doc_seeds = _seeds(chunks, "hashes", masks, F.col("s"))
-    hits = freeze(doc_seeds.join(_bounded(item_seeds, MAX_BROADCAST_SEEDS), ["mask", "seed"])
+    hits = freeze(doc_seeds.join(_bounded(item_seeds, SEED_BYTES), ["mask", "seed"])
                   .select("id", "key", "item_key", (F.col("pos") - F.col("item_pos")).alias("shift")).distinct())
 
-    wanted = _bounded(hits.select("id", "key").distinct(), MAX_BROADCAST_DOCS)
+    # where an item's words meet the document's: from, and how many
+    sizes = items.select("item_key", F.size("words").alias("size")).distinct()
+    spots = hits.join(_bounded(sizes, ROW_BYTES), "item_key").withColumn("from", F.greatest(F.lit(0), -F.col("shift")))
+    wanted = _bounded(hits.select("id", "key").distinct(), _bytes("id"))
     texts = (keyed.alias("d").join(wanted.alias("w"), F.expr("d.id <=> w.id AND d.key = w.key"), "left_semi")
              .select("id", "key", "text").dropDuplicates(["id", "key"])
              .select("id", "key", tokens(F.col("text")).alias("doc_words")))
-    lined = (texts.alias("d").join(hits.alias("h"), F.expr("d.id <=> h.id AND d.key = h.key"))
-             .select("d.id", "d.key", "doc_words", "item_key", "shift")
-             .join(_bounded(items, MAX_BROADCAST_DOCS), "item_key"))
-    lined = lined.withColumn("from", F.greatest(F.lit(0), -F.col("shift"))) \
-                 .withColumn("n", F.least(F.size("words"), F.size("doc_words") - F.col("shift")) - F.col("from")) \
-                 .filter(F.col("n") >= window)
+    n = F.least(F.col("size"), F.size("doc_words") - F.col("shift")) - F.col("from")
+    slices = (texts.alias("d").join(spots.alias("h"), F.expr("d.id <=> h.id AND d.key = h.key")).filter(n >= window)
+              .select("d.id", "d.key", "item_key", "shift", "from", n.alias("n"),
+                      F.slice("doc_words", F.col("shift") + F.col("from") + 1, n).alias("doc_words")))
+    held = _bounded(items, _bytes("item") + F.aggregate("words", F.lit(0), lambda a, w: a + F.octet_length(w) + 16))
+    lined = slices.join(held, "item_key")
     equal = F.zip_with(F.slice("words", F.col("from") + 1, F.col("n")),
-                       F.slice("doc_words", F.col("shift") + F.col("from") + 1, F.col("n")),
+                       F.col("doc_words"),
                        lambda a, b: (a == b).cast("int"))
     sums = F.transform(F.sequence(F.lit(1), F.col("n") - (window - 1)),
                        lambda s: F.aggregate(F.slice("equal", s, F.lit(window)), F.lit(0), lambda x, y: x + y))
@@ -127,5 +174,5 @@ def remove_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     leaks = freeze(find_leaks(docs, benchmark, id_col, text_col, **how)
                    .select(F.col(id_col).alias("id"), "text_key").distinct())
     key = F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit("")))
-    bad = _bounded(leaks, MAX_BROADCAST_DOCS)
+    bad = _bounded(leaks, _bytes("id"))
     return docs.join(bad, docs[id_col].eqNullSafe(bad["id"]) & (key == bad["text_key"]), "left_anti")

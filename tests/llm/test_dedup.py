@@ -206,8 +206,7 @@ def test_leaks_at_the_end_of_a_chunk(spark, monkeypatch, chunk):
 
 
 def test_leaks_without_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(decontamination, "MAX_BROADCAST_SEEDS", 0)
-    monkeypatch.setattr(decontamination, "MAX_BROADCAST_DOCS", 0)
+    monkeypatch.setattr(decontamination, "MAX_BROADCAST_BYTES", 0)
     text = " ".join(f"t{i}" for i in range(20))
     bench = spark.createDataFrame([(1, text)], "item_id bigint, text string")
     mine = spark.createDataFrame([(5, "a b " + text), (6, "a b c")], "doc_id bigint, text string")
@@ -215,6 +214,37 @@ def test_leaks_without_broadcast(spark, monkeypatch):
     assert [r.doc_id for r in decontamination.remove_leaks(mine, bench).collect()] == [6]
 
 
+@pytest.mark.parametrize(("window", "share"), [(8, 1.0), (13, 0.69), (13, 0.85), (20, 0.9), (6, 0.66), (1, 1.0), (9, 0.5)])
+def test_leaks_of_any_window_and_share(spark, window, share):
+    """Every planted leak is found, whatever the window and share, or none can be looked for."""
+    rng = random.Random(window)
+    least = -int(-window * share // 1)
+    if window // (window - least + 1) < min(2, window):
+        with pytest.raises(ValueError, match="care positions"):
+            decontamination.masks_for(window, share)
+        return
+    assert decontamination.covers(decontamination.masks_for(window, share), window, window - least)
+    vocabulary = [f"v{i}" for i in range(300)]
+    items = [(k, prose(rng, n, vocabulary)) for k, n in enumerate([window, window + 1, 3 * window])]
+    mine = []
+    for k in range(60):
+        words = rng.choice(items)[1].split()
+        for at in rng.sample(range(len(words)), min(len(words), rng.randint(0, window - least + 1))):
+            words[at] = "other"
+        mine.append((k, f"{prose(rng, rng.randint(0, 30))} {' '.join(words)} {prose(rng, rng.randint(0, 30))}"))
+    got = decontamination.find_leaks(spark.createDataFrame(mine, "doc_id bigint, text string"),
+                                     spark.createDataFrame(items, "item_id bigint, text string"), window=window, share=share)
+    assert {(r.doc_id, r.item_id, r.n_equal, r.start) for r in got.collect()} == brute_leaks(mine, items, window, least)
+
+
+def test_masks_that_lose_leaks_raise():
+    with pytest.raises(ValueError, match="lose leaks"):
+        decontamination.masks_for(13, 0.69, decontamination.MASKS)
+    with pytest.raises(ValueError, match="lies in"):
+        decontamination.masks_for(13, 0)
+    assert decontamination.masks_for(13, 0.85, decontamination.MASKS) == decontamination.MASKS
+
+
 def test_masks_miss_no_pair_of_substitutions():
     for a in range(13):
         for b in range(13):
