@@ -5,9 +5,10 @@ tags (none, or one per kind). It is trained in numpy from labelled spans: the
 pattern spans of a bounded sample of documents, and rewritten forms of them and
 of made-up data that the patterns do not cover (``rewrite``). A text is cut into
 windows that overlap by ``OVERLAP``; the windows of many texts are decoded side by
-side, one character of all of them at a time. A span that touches a window's edge
-inside the text is incomplete: the neighbour window holds it whole, or else wider
-windows around it are decoded until one does, so spans may have any length. Of
+side, one character of all of them at a time. A span within ``MARGIN`` of a window's
+edge inside the text may be incomplete: the neighbour window holds it whole, or else wider
+windows around it are decoded until one does, so spans may have any length. Where
+neighbours find different spans of one place, a wider window is decoded too. Of
 whole spans the best scored wins where they overlap, over the whole text. Pattern
 spans always stay; the tagger's spans must not overlap them, must score at least
 ``MIN_SCORE`` and hold what their kind needs (``plausible``). Windows in which
@@ -34,6 +35,8 @@ from .common import per_text
 
 KINDS = ("email", "ip", "card", "phone")
 WINDOW, OVERLAP = 512, 64
+#: Characters at a window's edge inside a text where it decides nothing.
+MARGIN = 16
 #: Windows that are decoded side by side.
 SIDE_BY_SIDE = 1024
 #: Documents that the tagger is trained on (those with the smallest hashes of their ids), the
@@ -394,10 +397,14 @@ def tagger_spans(model: Tagger, texts: list[str]) -> list[list[tuple[str, int, i
         broken = []
         for (i, a, b), spans in _decoded(model, codes, cuts):
             for tag, s, e, score in spans:
-                if (s == a > 0) or (e == b < len(codes[i])):
-                    broken.append((i, s, e))              # cut off by the window's edge
+                if (a > 0 and s - a < MARGIN) or (b < len(codes[i]) and b - e < MARGIN):
+                    broken.append((i, s, e))              # cut off by the window's edge, or seen without what follows
                 else:
                     found[i].append((KINDS[tag - 1], s, e, score))
+        if wide == WINDOW:                                # neighbours that disagree see too little of a datum
+            broken += [(i, min(x[1], y[1]), max(x[2], y[2])) for i, spans in enumerate(found)
+                       for own in [sorted(set(spans), key=lambda x: x[1:3])]
+                       for x, y in zip(own, own[1:], strict=False) if y[1] < x[2]]
         # unless another window has the whole, a wider one around it is decoded
         wide *= 2
         cuts = list({(i, max(0, (s + e - wide) // 2), min(len(codes[i]), (s + e + wide) // 2)) for i, s, e in broken
