@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 import sys
 import types
 import uuid
@@ -16,6 +17,8 @@ from relaylens.session import checkpoint_root
 
 #: Rows handed to Python code at a time inside one Arrow batch.
 SLICE_ROWS = 256
+#: Rows of an Arrow batch at most.
+BATCH_ROWS = 1024
 
 
 def freeze(df: DataFrame) -> DataFrame:
@@ -39,7 +42,18 @@ def kept_in_worker(key, make: Callable):
     return place[key]
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Let at most BATCH_ROWS rows travel to Python at a time (fewer if the session says so): texts are long,
+    and a task holds whole batches on both sides."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key))
+    if not 0 < now <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table, in a session whose batches are bounded (``bound_batches``)."""
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -60,6 +74,7 @@ def per_value(value: Column, make: Callable[[], Callable[[pa.Array], dict]], ddl
                 yield pa.StructArray.from_arrays(
                     [c if isinstance(c := cols[f.name], pa.Array) else pa.array(c, f.type) for f in kind],
                     fields=list(kind))
+        pa.default_memory_pool().release_unused()             # the worker waits for other tasks
 
     return run(value)
 
@@ -81,6 +96,18 @@ def arrow_struct(ddl: str) -> pa.StructType:
     return pa.struct([(n, kinds[t]) for n, t in (x.strip().split(" ", 1) for x in ddl.split(","))])
 
 
+def fit_in_task(rows: DataFrame, fit: Callable[[list], object]):
+    """What ``fit`` makes of a bounded sample's rows (a list of tuples), computed in one task, so that the
+    driver neither holds the sample nor spends its time; None if there is no row. The result must be made of
+    plain values and arrays, as executors have no copy of this package."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [row for b in batches for row in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(held))], pa.binary())], ["model"])
+    found = rows.repartition(1).mapInArrow(run, "model binary").first()
+    return pickle.loads(found.model) if found else None
+
+
 def words_of(text: str | None) -> list[bytes]:
     """Runs of characters other than space and \\t\\n\\v\\f\\r, as UTF-8 (null: none)."""
     return (text or "").encode("utf-8", "surrogatepass").split()

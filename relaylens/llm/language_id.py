@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import per_text
+from .common import fit_in_task, per_text
 
 PER_LANG, TRAIN_ROWS = 500, 4000
 #: Parts that a language's documents are sampled in.
@@ -171,13 +171,21 @@ def fit_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
               .orderBy("n", "h", "id", "lang").limit(rows).select("id", "lang").distinct())
 
     def make():
-        return lambda texts: {"x": [vector_of(t) if has_letter(t) else None for t in texts]}
-    # at most ``rows`` ids are broadcast, and as many vectors of BUCKETS numbers come back
+        return lambda texts: {"x": [vector_of(t).tobytes() if has_letter(t) else None for t in texts]}
+    # at most ``rows`` ids are broadcast; as many vectors of BUCKETS numbers meet in one task, which sends back the machines
     found = (own.join(F.broadcast(sample), ["id", "lang"])
-             .select("id", "lang", per_text(F.col("text"), make, "x array<float>")["x"].alias("x"))
-             .filter("x is not null").groupBy("id", "lang").agg(F.max("x").alias("x")).orderBy("lang", "id").toPandas())
-    x = np.stack(found["x"].tolist()) if len(found) else np.zeros((0, BUCKETS + 1), np.float32)
-    return Hierarchy.fit(x.astype(np.float32), found["lang"].tolist())
+             .select("id", "lang", per_text(F.col("text"), make, "x binary")["x"].alias("x"))
+             .filter("x is not null").groupBy("id", "lang").agg(F.max("x").alias("x")).select("lang", "id", "x"))
+
+    def fit(held):
+        held.sort(key=lambda r: r[:2])
+        model = Hierarchy.fit(np.stack([np.frombuffer(x, np.float32) for _, _, x in held]), [lang for lang, _, _ in held])
+        return [(d.names, d.weights) for d in (model.families, *model.within.values())], list(model.within)
+    duels, families = fit_in_task(found, fit) or ([], [])
+    if not duels:
+        return Hierarchy(None, {})
+    own_family, *within = (Duel(names, weights) for names, weights in duels)
+    return Hierarchy(own_family, dict(zip(families, within, strict=True)))
 
 
 def predict_language(docs: DataFrame, model: Hierarchy, text_col: str = "text", out: str = "language") -> DataFrame:

@@ -31,7 +31,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import per_text
+from .common import fit_in_task, per_text
 
 KINDS = ("email", "ip", "card", "phone")
 WINDOW, OVERLAP = 512, 64
@@ -497,13 +497,18 @@ def fit_tagger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             return {"text": [[x for x, _ in f] for f in found],
                     "spans": [[";".join(f"{k}:{a}:{b}" for k, a, b in s) for _, s in f] for f in found]}
         return run
-    # at most ``rows`` ids are broadcast, and PER_DOC short excerpts of each document come back
-    rows_back = (own.join(F.broadcast(sample), "id")
-                 .select("id", per_text(F.col("text"), make, "text array<string>, spans array<string>").alias("x"))
-                 .groupBy("id").agg(F.max(F.struct("x.text", "x.spans")).alias("x")).orderBy("id").collect())
-    examples = [(text, [(k, int(a), int(b)) for k, a, b in (s.split(":") for s in spans.split(";") if s)])
-                for r in rows_back for text, spans in zip(r.x["text"], r.x["spans"], strict=True)]
-    return train(examples)
+    # at most ``rows`` ids are broadcast; a few short excerpts of each document meet in one task, which sends back the tagger
+    found = (own.join(F.broadcast(sample), "id")
+             .select("id", per_text(F.col("text"), make, "text array<string>, spans array<string>").alias("x"))
+             .groupBy("id").agg(F.max(F.struct("x.text", "x.spans")).alias("x")).select("id", "x.text", "x.spans"))
+
+    def fit(held):
+        examples = [(text, [(k, int(a), int(b)) for k, a, b in (s.split(":") for s in spans.split(";") if s)])
+                    for _, texts, marked in sorted(held, key=lambda r: r[0]) for text, spans in zip(texts, marked, strict=True)]
+        model = train(examples)
+        return model and [getattr(model, k) for k in "uvebts"]
+    weights = fit_in_task(found, fit)
+    return Tagger(*weights) if weights else None
 
 
 def _joined(spans) -> str:
