@@ -14,11 +14,22 @@ empty table gives empty results.
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from relaylens.llm import decontamination, language_id, pii, queries, simhash
-from relaylens.llm.common import read_table, scratch_folder
+from relaylens.llm.common import bound_batches, read_table, scratch_folder
+
+
+def _bounded(stage):
+    """``stage`` in a session whose Arrow batches are bounded."""
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        bound_batches(spark)
+        return stage(spark, docs, sf_dir)
+    return run
 
 
 def _fresh(docs: DataFrame, name: str) -> str:
@@ -59,8 +70,9 @@ def stage_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return coded.select("doc_id", "pieces", "n_pieces", "round_trip", "decoded_sha256")
 
 
-STAGES = [("language_id", stage_language), ("near_duplicates", stage_near_duplicates),
-          ("decontamination", stage_decontaminate), ("pii", stage_pii), ("sentencepiece", stage_pieces)]
+STAGES = [(name, _bounded(stage)) for name, stage in (
+    ("language_id", stage_language), ("near_duplicates", stage_near_duplicates), ("decontamination", stage_decontaminate),
+    ("pii", stage_pii), ("sentencepiece", stage_pieces))]
 
 #: SQL can't express the learned stages; tests hold the stages against brute force.
 ORACLE_SQL = None
