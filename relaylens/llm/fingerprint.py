@@ -206,7 +206,7 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     size = keyed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = max(-(-size // RANGE_BYTES), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    order = [F.col("id").asc_nulls_first(), F.xxhash64("text").asc(), F.col("text").asc()]
+    order = [F.col("id").asc_nulls_first(), F.xxhash64("text").asc()]      # a sample of these goes to the driver
     dealt = keyed.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
