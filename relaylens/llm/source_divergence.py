@@ -41,6 +41,8 @@ UNIT = 1_000_000_000
 BLOCK = 4096
 #: Terms that a counting task holds before it passes them on.
 HELD_TERMS = 400_000
+#: Rows (of two names and three numbers) up to which a table of languages or groups is broadcast.
+MAX_BROADCAST_ROWS = 200_000
 #: Elements of the shorter array that are searched together.
 RUN = 64
 
@@ -202,6 +204,11 @@ def audit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sourc
     return _ranked(_pairs(kept, langs, groups), "pair", None).unionByName(_ranked(_terms(kept, groups), "term", top))
 
 
+def _bounded(df: DataFrame) -> DataFrame:
+    """``df`` marked for broadcast if it has at most MAX_BROADCAST_ROWS rows; otherwise it is shuffled."""
+    return F.broadcast(df) if df.count() <= MAX_BROADCAST_ROWS else df
+
+
 def _ranked(found: DataFrame, part: str, top: int | None) -> DataFrame:
     order = Window.partitionBy("lang", "source").orderBy(F.col("value").desc(), "item")
     out = found.withColumn("rank", F.row_number().over(order))
@@ -212,13 +219,13 @@ def _ranked(found: DataFrame, part: str, top: int | None) -> DataFrame:
 
 def _terms(kept: DataFrame, groups: DataFrame) -> DataFrame:
     p, q = share(F.col("n"), F.col("total")), share(F.col("lang_n"), F.col("lang_total"))
-    return (kept.join(groups, ["lang", "source"]).withColumns({"p": p, "q": q}).filter("n > 0 and p > q")
+    return (kept.join(_bounded(groups), ["lang", "source"]).withColumns({"p": p, "q": q}).filter("n > 0 and p > q")
             .select("lang", "source", F.col("term").alias("item"), difference(F.col("p"), F.col("q")).alias("value")))
 
 
 def _pairs(kept: DataFrame, langs: DataFrame, groups: DataFrame) -> DataFrame:
     block = F.pmod(F.xxhash64("term"), F.col("blocks"))
-    numbered = (kept.join(langs.select("lang", "blocks"), "lang").withColumn("block", block)
+    numbered = (kept.join(_bounded(langs.select("lang", "blocks")), "lang").withColumn("block", block)
                 .withColumn("id", F.dense_rank().over(Window.partitionBy("lang", "block").orderBy("term"))))
     arrays = (numbered.groupBy("lang", "source", "block")
               .agg(F.sort_array(F.collect_list(F.struct("id", "n"))).alias("x"))   # at most a block's terms
