@@ -60,7 +60,7 @@ def run(args, spark: SparkSession) -> None:
     elif c == "fills":
         _replace(FILL_REPORTS[args.report](flows.read_fill_exports(spark, args.inputs)), args.out)
     elif c == "prices":
-        sinks.append_table(flows.price_history(spark, args.pages, step=args.step), args.out)
+        flows.price_history(spark, args.pages, step=args.step, target=args.out)
     elif c == "file-drop":
         flows.file_drop_aggregate(spark, args.root, args.keyword, args.schema, target=args.out)
     elif c == "bundles":
@@ -119,7 +119,7 @@ def parser() -> argparse.ArgumentParser:
 
     s = sub.add_parser("prices", help="price pages -> de-duplicated, gap-filled series")
     s.add_argument("--pages", required=True)
-    s.add_argument("--step", help="bar distance (default: that of the data)")
+    s.add_argument("--step", help="bar distance (default: the most frequent one of the data)")
     s.add_argument("--out", required=True)
 
     s = sub.add_parser("file-drop", help="listing -> keyword selection -> CSV union")
@@ -130,7 +130,7 @@ def parser() -> argparse.ArgumentParser:
 
     s = sub.add_parser("bundles", help="bundle pages after a mark")
     s.add_argument("--pages", required=True)
-    s.add_argument("--since", type=int, help="epoch seconds (exclusive; default: the newest stored bundle)")
+    s.add_argument("--since", type=int, help="epoch seconds (exclusive; default: all that are not stored yet)")
     s.add_argument("--out", required=True)
 
     s = sub.add_parser("transfers", help="incremental transfer stream")

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from ..functions import constants as K
 from ..functions import expr as X
 from ..operators import bridge, marks, orders, shape, timeseries
-from ..sources import files, sinks
+from ..sources import files, sinks, slices
 
 PACK_TIME = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 ISO_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
@@ -131,7 +131,8 @@ def order_detail_load(spark: SparkSession, docs_path: str, processed: DataFrame
     With a declared ``schema`` (``schemas.ORDER_DOC``) the documents are read
     once. Without one it is inferred over all files, so documents whose keys
     drift merge into one schema (missing keys NULL). ``mixed`` is that of
-    ``flatten_struct``; with a declared schema it is ``()`` unless given.
+    ``flatten_struct``: unless given it is found in the documents, so that an
+    object without the preferred key keeps its values under a declared schema too.
     Documents are dropped on their id before they are flattened to text.
     ``null_text='nan'`` stores missing values as that text, as the original
     all-text order table does.
@@ -143,8 +144,6 @@ def order_detail_load(spark: SparkSession, docs_path: str, processed: DataFrame
         raw = raw.withColumn("__id", (F.col("orderId").getField(K.STRING_VALUE_KEY) if by_id
                                       else F.col("orderId")).cast("string"))
         raw = orders.backlog(raw, processed, "__id", "orderid").drop("__id")
-    if mixed is None and schema is not None:
-        mixed = ()
     flat = shape.flatten_struct(raw, sep="_", prefer=K.STRING_VALUE_KEY, mixed=mixed)
     flat = shape.to_strings(flat, null_text=null_text)
     flat = shape.drop_cols(flat, [K.RAW_METADATA_COLUMN], strict=False)
@@ -170,20 +169,58 @@ def write_price_pages(bars: DataFrame, path: str) -> None:
     pages.select("instrument", "value").write.mode("overwrite").partitionBy("instrument").text(path)
 
 
-def price_history(spark: SparkSession, pages_path: str, step: str | None = None,
-                  target: str | None = None, schema=None) -> DataFrame:
+PRICES = "instrument STRING, ts TIMESTAMP_NTZ, CLOSE DOUBLE, filled BOOLEAN"
+
+
+def price_history(spark: SparkSession, pages_path: str, step: str | None = None, target: str | None = None,
+                  schema=None, max_growth: int | None = None) -> DataFrame:
     """Price pages -> de-duplicated, gap-filled series per instrument
     (L3: S5 → U2 → U3 → P23 → U4 → S7). ``schema`` (e.g.
     ``schemas.PRICE_PAGE``) skips inference; the ``instrument`` partition
-    column comes from the folder names either way. Without ``step`` the
-    distance of the bars in the data is used (minute pages stay minute bars)."""
+    column comes from the folder names either way. Without ``step`` the most
+    frequent distance of the bars is used (minute pages stay minute bars);
+    ``max_growth`` is that of :func:`gap_fill`.
+
+    With ``target``, rows that differ from the stored series are appended as one
+    more ``load_id`` and :func:`read_prices` reads the newest of each bar: loading the
+    same pages again appends nothing, a revised bar replaces the stored one, and a
+    generated bar never replaces a real one. The last real bar stored before the
+    pages is taken along, so that the gap between two loads is filled too. Returns
+    the series of the pages (without ``target``) or the appended rows.
+    """
     bars = files.read_json_pages(spark, pages_path, envelope="Data", multi_line=False, schema=schema)
     bars = shape.dedupe_rows(bars)
-    bars = bars.select("instrument", X.epoch_to_ts("TIMESTAMP").alias("ts"), "CLOSE")
-    out = timeseries.gap_fill(bars, "ts", "instrument", carry="CLOSE", step=step)
-    if target:
-        sinks.append_table(out, target)
-    return out
+    bars = bars.select(F.col("instrument").cast("string").alias("instrument"), X.epoch_to_ts("TIMESTAMP").alias("ts"), "CLOSE")
+    if target is None:
+        return timeseries.gap_fill(bars, "ts", "instrument", carry="CLOSE", step=step, max_growth=max_growth)
+    stored = _stored_prices(spark, target)
+    number = stored.agg(F.max("load_id")).first()[0]
+    held = _newest_prices(stored)
+    starts = bars.groupBy("instrument").agg(F.min("ts").alias("__start"))
+    before = (held.where("not filled").join(starts, "instrument").where("ts < __start").groupBy("instrument")
+                  .agg(F.max_by(F.struct("ts", "CLOSE"), "ts").alias("b")).select("instrument", "b.*"))
+    out = timeseries.gap_fill(bars.unionByName(before), "ts", "instrument", carry="CLOSE", step=step, max_growth=max_growth)
+    old = held.select("instrument", "ts", F.col("CLOSE").alias("__close"), F.col("filled").alias("__filled"))
+    differs = F.col("__filled").isNull() | ((~F.col("CLOSE").eqNullSafe(F.col("__close")) | (F.col("filled") != F.col("__filled")))
+                                            & ~(F.col("filled") & ~F.col("__filled")))
+    new = out.join(old, ["instrument", "ts"], "left").where(differs).select("instrument", "ts", "CLOSE", "filled")
+    folder = f"{target.rstrip('/')}/load_id={0 if number is None else number + 1}"
+    new.write.mode("overwrite").parquet(folder)
+    return spark.read.schema(PRICES).parquet(folder)
+
+
+def _stored_prices(spark: SparkSession, target: str) -> DataFrame:
+    return slices.read_declared(spark, target, PRICES + ", load_id BIGINT")
+
+
+def _newest_prices(stored: DataFrame) -> DataFrame:
+    newest = stored.groupBy("instrument", "ts").agg(F.max_by(F.struct("CLOSE", "filled"), "load_id").alias("bar"))
+    return newest.select("instrument", "ts", "bar.CLOSE", "bar.filled")
+
+
+def read_prices(spark: SparkSession, target: str) -> DataFrame:
+    """The series that :func:`price_history` stored (empty before the first load)."""
+    return _newest_prices(_stored_prices(spark, target))
 
 
 # ---------------------------------------------------------- L4 file drop
@@ -224,17 +261,20 @@ def bundle_history(spark: SparkSession, pages_path: str, start_epoch: int,
     return shape.drop_cols(b, list(drop))
 
 
-def resume_bundles(spark: SparkSession, pages_path: str, target: str,
-                   drop=("tokens", "token_balance_delta"), schema=None) -> int | None:
-    """Append the bundles that are newer than the newest stored one (A12 on
-    ``target`` → F5 → L5 → S7). Returns the mark (``None``: nothing stored yet,
-    everything is loaded). Parquet statistics answer the maximum."""
-    mark = None
-    if marks.stored_exists(spark, target):
-        mark = spark.read.parquet(target).agg(F.max("timestamp")).first()[0]
-    b = bundle_history(spark, pages_path, mark if mark is not None else -(1 << 62), drop, schema)
-    sinks.append_table(b, target)
-    return mark
+def resume_bundles(spark: SparkSession, pages_path: str, target: str, drop=("tokens", "token_balance_delta"),
+                   schema=None, seconds: int = 3600, key: str | None = None) -> int:
+    """Append the bundles that are not stored yet, whatever slices have been
+    loaded and in which order (L5 → S7 over :mod:`sources.slices`): an interrupted
+    load goes on, and same-second and late bundles are stored. ``key`` names a
+    column that identifies a bundle; without one equal bundles are one. Returns
+    the load's number; read back with :func:`read_bundles`."""
+    b = bundle_history(spark, pages_path, -(1 << 62), drop, schema)
+    return slices.load(b, target, "timestamp", seconds, key)
+
+
+def read_bundles(spark: SparkSession, target: str, schema) -> DataFrame:
+    """The bundles that :func:`resume_bundles` stored; ``schema`` is theirs (DDL or StructType)."""
+    return slices.read(spark, target, T.StructType.fromDDL(schema) if isinstance(schema, str) else schema)
 
 
 # ---------------------------------------------------- L7 order-book snapshot

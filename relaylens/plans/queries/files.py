@@ -8,6 +8,7 @@ from ... import schemas
 from ...functions import expr as X
 from ...operators import shape
 from ...session import run_folder
+from ...sources import slices
 from .. import bindings as B
 from .. import flows
 from ..registry import ORACLES, register
@@ -76,6 +77,27 @@ def q_order_detail_load(spark, sf):
     return spark.read.parquet(f"{root}/orders")
 
 
+@register("order_detail_mixed", """
+SELECT CAST(o_orderkey AS VARCHAR) AS orderid, CASE WHEN o_custkey % 4 = 0 THEN NULL ELSE CAST(o_custkey % 9 AS VARCHAR) END AS giveOfferWithMetadata_chainId,
+       CASE WHEN o_custkey % 4 = 0 THEN CAST(o_custkey % 9 AS VARCHAR) END AS giveOfferWithMetadata_chainId_bigIntegerValue,
+       o_orderstatus AS state
+FROM orders""")
+def q_order_detail_mixed(spark, sf):
+    """L2 with a declared schema: documents whose chain id has only ``bigIntegerValue`` keep it."""
+    root = run_folder(spark, "order_mixed", sf)
+    o = B.table(spark, sf, "orders")
+    chain = F.col("o_custkey") % 9
+    only = F.col("o_custkey") % 4 == 0
+    doc = F.struct(F.struct(F.col("o_orderkey").cast("string").alias("stringValue")).alias("orderId"),
+                   F.struct(F.struct(F.when(~only, chain.cast("string")).alias("stringValue"),
+                                     chain.cast("long").alias("bigIntegerValue")).alias("chainId")).alias("giveOfferWithMetadata"),
+                   F.col("o_orderstatus").alias("state"))
+    o.select(F.to_json(doc)).write.text(f"{root}/docs")
+    flows.order_detail_load(spark, f"{root}/docs", target=f"{root}/orders", schema=schemas.ORDER_DOC)
+    kept = ("orderid", "giveOfferWithMetadata_chainId", "giveOfferWithMetadata_chainId_bigIntegerValue", "state")
+    return spark.read.parquet(f"{root}/orders").select(*kept)
+
+
 @register("flatten_mixed_docs", """
 SELECT o_orderkey AS id, CASE WHEN o_custkey % 3 = 0 THEN CAST(o_custkey AS VARCHAR) END AS fee,
        CASE WHEN o_custkey % 3 = 1 THEN o_custkey END AS fee_amount,
@@ -135,6 +157,50 @@ def q_price_history_minute(spark, sf):
     return flows.price_history(spark, f"{root}/pages", step="1 minute", schema=schemas.PRICE_PAGE)
 
 
+#: Bars every ten minutes; every eleventh is a second off the grid, every seventh comes again, revised, three seconds later.
+REVISED_BARS_SQL = """own AS (
+  SELECT event_type AS instrument, epoch_us(ts) // 600000000 AS b, max(value) AS v FROM events GROUP BY 1, 2),
+bars AS (
+  SELECT instrument, b * 600 + CASE WHEN b % 11 = 0 THEN 1 ELSE 0 END AS t, v FROM own
+  UNION ALL SELECT instrument, b * 600 + 3, v + 1 FROM own WHERE b % 7 = 0),
+kept AS (SELECT instrument, t // 600 AS b, arg_max(v, t) AS v FROM bars GROUP BY 1, 2),
+bnd AS (SELECT instrument, min(b) AS lo, max(b) AS hi FROM kept GROUP BY 1),
+grid AS (SELECT instrument, unnest(range(lo, hi + 1)) AS b FROM bnd)
+SELECT g.instrument, make_timestamp(g.b * 600000000) AS ts,
+       last_value(k.v IGNORE NULLS) OVER (PARTITION BY g.instrument ORDER BY g.b) AS CLOSE, k.v IS NULL AS filled
+FROM grid g LEFT JOIN kept k ON k.instrument = g.instrument AND k.b = g.b"""
+
+
+def _revised_bars(spark, sf):
+    own = (B.events(spark, sf).groupBy(F.col("event_type").alias("instrument"), F.expr("unix_micros(cast(ts as timestamp)) div 600000000").alias("b"))
+           .agg(F.max("value").alias("CLOSE")))
+    bars = own.select("instrument", (F.col("b") * 600 + (F.col("b") % 11 == 0).cast("int")).alias("t"), "CLOSE")
+    again = own.where("b % 7 = 0").select("instrument", (F.col("b") * 600 + 3).alias("t"), (F.col("CLOSE") + 1).alias("CLOSE"))
+    return bars.unionByName(again).select("instrument", X.epoch_to_ts("t").alias("ts"), "CLOSE")
+
+
+@register("price_history_default_step", "WITH " + REVISED_BARS_SQL)
+def q_price_history_default_step(spark, sf):
+    """L3 without a step: bars off the grid and revisions a moment later leave it at ten minutes."""
+    root = run_folder(spark, "price_default", sf)
+    flows.write_price_pages(_revised_bars(spark, sf), f"{root}/pages")
+    return flows.price_history(spark, f"{root}/pages", schema=schemas.PRICE_PAGE)
+
+
+@register("price_history_rerun", "WITH " + REVISED_BARS_SQL)
+def q_price_history_rerun(spark, sf):
+    """L3 stored in three loads: the first days, all days, all days again (which appends nothing)."""
+    root = run_folder(spark, "price_rerun", sf)
+    bars = _revised_bars(spark, sf)
+    flows.write_price_pages(bars.where(F.col("ts") < F.lit("2024-01-09").cast("timestamp_ntz")), f"{root}/first")
+    flows.write_price_pages(bars, f"{root}/all")
+    for pages in ("first", "all", "all"):
+        added = flows.price_history(spark, f"{root}/{pages}", target=f"{root}/stored", schema=schemas.PRICE_PAGE)
+    if not added.isEmpty():
+        raise AssertionError("the same pages were appended twice")
+    return flows.read_prices(spark, f"{root}/stored")
+
+
 DROP_SCHEMA = "event_id BIGINT, ts TIMESTAMP_NTZ, event_type STRING, value DOUBLE, user_id BIGINT"
 DROP_A = ("click", "view", "purchase")
 
@@ -211,7 +277,7 @@ SELECT event_id, epoch_us(ts) // 1000000 AS timestamp, value,
        make_timestamp((epoch_us(ts) // 1000000) * 1000000) AS DATETIME FROM events""")
 def q_resume_from_stored(spark, sf):
     """L5 resumed: the first load stores the bundles up to a mark, the second
-    appends what is newer than the newest stored one (A12, F5, S7)."""
+    appends what is not stored yet (S6, S7)."""
     root = run_folder(spark, "resume_stored", sf)
     rec = B.events(spark, sf).select(X.ts_to_epoch("ts").alias("timestamp"), "event_id", "value",
                                      F.array("event_type").alias("tokens"), F.lit("x").alias("token_balance_delta"),
@@ -220,13 +286,49 @@ def q_resume_from_stored(spark, sf):
     flows.resume_bundles(spark, f"{root}/pages/*", f"{root}/stored", schema=BUNDLE_FIELDS)
     flows.write_json_pages(rec, f"{root}/pages/b", "data", "page")
     flows.resume_bundles(spark, f"{root}/pages/*", f"{root}/stored", schema=BUNDLE_FIELDS)
-    return spark.read.parquet(f"{root}/stored")
+    return flows.read_bundles(spark, f"{root}/stored", STORED_BUNDLES)
 
 
+STORED_BUNDLES = "timestamp BIGINT, event_id BIGINT, value DOUBLE, DATETIME TIMESTAMP_NTZ"
 BUNDLE_FIELDS = ("data ARRAY<STRUCT<timestamp: BIGINT, event_id: BIGINT, value: DOUBLE, tokens: ARRAY<STRING>, "
                  "token_balance_delta: STRING>>")
 
 
+@register("resume_interrupted", ORACLES["resume_from_stored"])
+def q_resume_interrupted(spark, sf):
+    """L5 newest first, with an interruption: the newest week is loaded without its late bundles, a load of the
+    week before breaks off before its commit, then everything comes again, all bundles at once."""
+    root = run_folder(spark, "resume_interrupted", sf)
+    rec = B.events(spark, sf).select(X.ts_to_epoch("ts").alias("timestamp"), "event_id", "value",
+                                     F.array("event_type").alias("tokens"), F.lit("x").alias("token_balance_delta"),
+                                     X.floor_to("hour", "ts").alias("page"))
+    week, day = 7 * 86400, 86400
+    newest = F.col("timestamp") >= BUNDLE_START + week
+    late = F.col("event_id") % 5 == 0                     # same-second ones among them
+    flows.write_json_pages(rec.where(newest & ~late), f"{root}/pages/newest", "data", "page")
+    flows.resume_bundles(spark, f"{root}/pages/newest", f"{root}/stored", schema=BUNDLE_FIELDS)
+    flows.write_json_pages(rec.where(~newest & (F.col("timestamp") >= BUNDLE_START - day)), f"{root}/pages/broken", "data", "page")
+    broken = flows.bundle_history(spark, f"{root}/pages/broken", -(1 << 62), schema=BUNDLE_FIELDS)
+    slices.load(broken, f"{root}/stored", "timestamp", commit=False)
+    flows.write_json_pages(rec, f"{root}/pages/all", "data", "page")
+    flows.resume_bundles(spark, f"{root}/pages/*", f"{root}/stored", schema=BUNDLE_FIELDS)
+    flows.resume_bundles(spark, f"{root}/pages/all", f"{root}/stored", schema=BUNDLE_FIELDS)      # and once more: nothing new
+    return flows.read_bundles(spark, f"{root}/stored", STORED_BUNDLES)
+
+
+@register("loaded_intervals", """
+WITH s AS (SELECT DISTINCT epoch_us(ts) // 1000000 // 3600 AS n FROM events WHERE epoch_us(ts) // 3600000000 % 7 < 3 OR ts < TIMESTAMP '2024-01-12'),
+i AS (SELECT n, n - row_number() OVER (ORDER BY n) AS island FROM s)
+SELECT min(n) AS first, max(n) AS last FROM i GROUP BY island""")
+def q_loaded_intervals(spark, sf):
+    """The hours that two loads brought, merged (gaps and islands)."""
+    root = run_folder(spark, "loaded_intervals", sf)
+    rec = B.events(spark, sf).select("event_id", "ts", X.ts_to_epoch("ts").alias("timestamp"))
+    slices.load(rec.where(F.expr("timestamp div 3600 % 7 < 3")).drop("ts"), f"{root}/stored", "timestamp")
+    slices.load(rec.where(F.col("ts") < F.lit("2024-01-12").cast("timestamp_ntz")).drop("ts"), f"{root}/stored", "timestamp")
+    return slices.loaded_slices(spark, f"{root}/stored")
+
+
 def _land_order_book(spark, sf, path):
     """Orders as 500-row order-book pages (bare JSON arrays, one per file);
     every other page lacks ``makerRate`` (drift)."""

@@ -29,6 +29,33 @@ def q_stream_ingest(spark, sf):
     return S.read_stored(spark, f"{root}/out")
 
 
+@register("stream_redelivered_null_ids", f"""
+SELECT CASE WHEN event_id % 3 > 0 THEN CAST(event_id AS VARCHAR) END AS id, status, CAST(event_id AS DOUBLE) AS amount,
+       epoch_us(ts) // 1000000 AS timestamp, make_timestamp((epoch_us(ts) // 1000000) * 1000000) AS DATETIME
+FROM (SELECT *, {B.TRANSFER_STATUS} AS status FROM events) WHERE status = 'DONE'""")
+def q_stream_redelivered_null_ids(spark, sf):
+    """A third of the records have no id; every file comes twice, in batches of their own."""
+    root = run_folder(spark, "stream_null_ids", sf)
+    rec = _transfer_records(spark, sf).drop("h")
+    rec = rec.withColumns({"amount": F.col("id").cast("double"), "id": F.when(F.col("id").cast("long") % 3 > 0, F.col("id"))})
+    for again in (0, 1):
+        flows.write_json_pages(rec.withColumn("page", F.dayofmonth("day") % 3).drop("day"), f"{root}/in/{again}", "transfers", "page", parts=1)
+    _await(S.ingest_transfers(spark, f"{root}/in", f"{root}/out", f"{root}/ckpt", max_files_per_trigger=3))
+    return S.read_stored(spark, f"{root}/out")
+
+
+@register("stream_empty", """
+SELECT CAST(event_id AS VARCHAR) AS id, event_type AS status, value AS amount, epoch_us(ts) // 1000000 AS timestamp, ts AS DATETIME
+FROM events WHERE event_type = 'no such status'""")
+def q_stream_empty(spark, sf):
+    """T1 where no landed transfer is done yet: the stored table reads as an empty one."""
+    root = run_folder(spark, "stream_empty", sf)
+    rec = _transfer_records(spark, sf).drop("h").withColumn("status", F.lit("PENDING"))
+    flows.write_json_pages(rec.withColumnRenamed("day", "page"), f"{root}/in", "transfers", "page")
+    _await(S.ingest_transfers(spark, f"{root}/in", f"{root}/out", f"{root}/ckpt"))
+    return S.read_stored(spark, f"{root}/out")
+
+
 @register("stream_latency_minute", f"""WITH b AS ({B.BRIDGE_PAIRS_SQL}),
 p AS (SELECT timestamp, epoch_us(dest_timestamp) - epoch_us(timestamp) AS lat FROM b),
 mx AS (SELECT max(timestamp) AS t FROM p WHERE lat > 0)

@@ -20,8 +20,8 @@ from pyspark.sql import types as T
 from .. import schemas
 from ..functions import constants as K
 from ..functions import expr as X
-from ..operators import marks
 from ..sources.sinks import write_batch
+from ..sources.slices import read_declared, values_of
 
 TRANSFER_PAGE = schemas.TRANSFER_PAGE   # DDL text; parsed by the reader
 
@@ -60,23 +60,32 @@ def append_new(stream: DataFrame, target: str, checkpoint: str, key: str = "id",
     """Append the stream's records that are not stored yet to ``target``, as
     ``batch_id=<n>/day=<date>`` folders (:func:`read_stored` reads them).
 
-    A record is known by ``key`` and its day. Records of one batch with the same
-    key count once; records without a key only if all their values are equal.
-    Late and unordered records are stored like any other.
+    A record is known by its day and ``key``, a record without a key by its day
+    and a checksum of all its values, so that one that comes again is not stored
+    twice. Of several records of one batch that are known by the same key the one
+    with the smallest checksum is stored; a stored record stays. Late and unordered
+    records are stored like any other. Stored rows are read with the stream's own
+    schema, and only those of the days at hand.
     """
     spark = stream.sparkSession
+    cols, schema = stream.columns, stored_schema(stream.schema)
+
+    def known(df: DataFrame) -> DataFrame:
+        df = df.withColumn("__values", values_of(df, cols))
+        return df.withColumn("__known", F.when(F.col(key).isNull(), F.concat(F.lit("values:"), "__values"))
+                                         .otherwise(F.concat(F.lit("key:"), F.col(key).cast("string"))))
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.withColumn("day", F.to_date(ts)).persist()
-        new = (batch.where(F.col(key).isNotNull()).dropDuplicates([key, "day"])
-                    .unionByName(batch.where(F.col(key).isNull()).dropDuplicates()))
+        batch = known(batch.withColumn("day", F.to_date(ts))).persist()
+        row = F.struct(*(F.col(f"`{c}`") for c in cols))
+        new = (batch.groupBy("__known", "day").agg(F.min_by(row, "__values").alias("__row"))
+                    .select("__known", "day", "__row.*"))
         days = [r["day"] for r in batch.select("day").distinct().collect()]     # of one micro-batch's files
-        if marks.stored_exists(spark, target):
-            stored = (spark.read.parquet(target).where(F.col("batch_id") != F.lit(batch_id))
-                           .where(F.col("day").isin([d for d in days if d is not None]) | F.col("day").isNull())
-                           .select(F.col(key).alias("__key"), F.col("day").alias("__day")))
-            new = new.join(stored, (new[key] == stored["__key"]) & new["day"].eqNullSafe(stored["__day"]), "left_anti")
-        write_batch(new, target, batch_id, partition_by="day")
+        stored = known(read_declared(spark, target, schema).where(F.col("batch_id") != F.lit(batch_id))
+                       .where(F.col("day").isin([d for d in days if d is not None]) | F.col("day").isNull()))
+        stored = stored.select(F.col("__known").alias("__stored"), F.col("day").alias("__day"))
+        new = new.join(stored, (new["__known"] == stored["__stored"]) & new["day"].eqNullSafe(stored["__day"]), "left_anti")
+        write_batch(new.select(*cols, "day"), target, batch_id, partition_by="day")
         batch.unpersist()
 
     w = stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
@@ -84,9 +93,21 @@ def append_new(stream: DataFrame, target: str, checkpoint: str, key: str = "id",
     return w.start()
 
 
-def read_stored(spark: SparkSession, target: str) -> DataFrame:
-    """The records that :func:`append_new` stored, without the folder columns."""
-    return spark.read.parquet(target).drop("batch_id", "day")
+def stored_schema(schema: T.StructType) -> T.StructType:
+    """Schema of the rows that :func:`append_new` stores, with the folder columns."""
+    return T.StructType([*schema.fields, T.StructField("batch_id", T.LongType()), T.StructField("day", T.DateType())])
+
+
+def transfer_schema(spark: SparkSession) -> T.StructType:
+    """Schema of the stored transfers of :func:`ingest_transfers`."""
+    pages = spark.createDataFrame([], TRANSFER_PAGE)
+    return shape_transfers(pages.select(F.inline("transfers"))).schema
+
+
+def read_stored(spark: SparkSession, target: str, schema: T.StructType | None = None) -> DataFrame:
+    """The records that :func:`append_new` stored, without the folder columns; an empty table where
+    nothing is stored yet. ``schema`` is that of the stream (default: shaped transfers)."""
+    return read_declared(spark, target, stored_schema(schema or transfer_schema(spark))).drop("batch_id", "day")
 
 
 def ingest_transfers(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str,
