@@ -157,31 +157,33 @@ def q_price_history_minute(spark, sf):
     return flows.price_history(spark, f"{root}/pages", step="1 minute", schema=schemas.PRICE_PAGE)
 
 
-#: Bars every ten minutes; every eleventh is a second off the grid, every seventh comes again, revised, three seconds later.
+#: Hourly bars; every eleventh is a second off the grid, every seventh comes again, revised, three seconds later.
 REVISED_BARS_SQL = """own AS (
-  SELECT event_type AS instrument, epoch_us(ts) // 600000000 AS b, max(value) AS v FROM events GROUP BY 1, 2),
+  SELECT CASE WHEN user_id % 2 = 0 THEN 'even' ELSE 'odd' END AS instrument, epoch_us(ts) // 3600000000 AS b, max(value) AS v
+  FROM events GROUP BY 1, 2),
 bars AS (
-  SELECT instrument, b * 600 + CASE WHEN b % 11 = 0 THEN 1 ELSE 0 END AS t, v FROM own
-  UNION ALL SELECT instrument, b * 600 + 3, v + 1 FROM own WHERE b % 7 = 0),
-kept AS (SELECT instrument, t // 600 AS b, arg_max(v, t) AS v FROM bars GROUP BY 1, 2),
+  SELECT instrument, b * 3600 + CASE WHEN b % 11 = 0 THEN 1 ELSE 0 END AS t, v FROM own
+  UNION ALL SELECT instrument, b * 3600 + 3, v + 1 FROM own WHERE b % 7 = 0),
+kept AS (SELECT instrument, t // 3600 AS b, arg_max(v, t) AS v FROM bars GROUP BY 1, 2),
 bnd AS (SELECT instrument, min(b) AS lo, max(b) AS hi FROM kept GROUP BY 1),
 grid AS (SELECT instrument, unnest(range(lo, hi + 1)) AS b FROM bnd)
-SELECT g.instrument, make_timestamp(g.b * 600000000) AS ts,
+SELECT g.instrument, make_timestamp(g.b * 3600000000) AS ts,
        last_value(k.v IGNORE NULLS) OVER (PARTITION BY g.instrument ORDER BY g.b) AS CLOSE, k.v IS NULL AS filled
 FROM grid g LEFT JOIN kept k ON k.instrument = g.instrument AND k.b = g.b"""
 
 
 def _revised_bars(spark, sf):
-    own = (B.events(spark, sf).groupBy(F.col("event_type").alias("instrument"), F.expr("unix_micros(cast(ts as timestamp)) div 600000000").alias("b"))
+    instrument = F.when(F.col("user_id") % 2 == 0, "even").otherwise("odd").alias("instrument")
+    own = (B.events(spark, sf).groupBy(instrument, F.expr("unix_micros(cast(ts as timestamp)) div 3600000000").alias("b"))
            .agg(F.max("value").alias("CLOSE")))
-    bars = own.select("instrument", (F.col("b") * 600 + (F.col("b") % 11 == 0).cast("int")).alias("t"), "CLOSE")
-    again = own.where("b % 7 = 0").select("instrument", (F.col("b") * 600 + 3).alias("t"), (F.col("CLOSE") + 1).alias("CLOSE"))
+    bars = own.select("instrument", (F.col("b") * 3600 + (F.col("b") % 11 == 0).cast("int")).alias("t"), "CLOSE")
+    again = own.where("b % 7 = 0").select("instrument", (F.col("b") * 3600 + 3).alias("t"), (F.col("CLOSE") + 1).alias("CLOSE"))
     return bars.unionByName(again).select("instrument", X.epoch_to_ts("t").alias("ts"), "CLOSE")
 
 
 @register("price_history_default_step", "WITH " + REVISED_BARS_SQL)
 def q_price_history_default_step(spark, sf):
-    """L3 without a step: bars off the grid and revisions a moment later leave it at ten minutes."""
+    """L3 without a step: bars off the grid and revisions a moment later leave it at an hour."""
     root = run_folder(spark, "price_default", sf)
     flows.write_price_pages(_revised_bars(spark, sf), f"{root}/pages")
     return flows.price_history(spark, f"{root}/pages", schema=schemas.PRICE_PAGE)
