@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -272,3 +272,35 @@ def dedupe_rows(df: DataFrame, subset=None) -> DataFrame:
     """Drop duplicate rows (U3); the partial aggregate removes repeats
     before the shuffle."""
     return df.dropDuplicates(subset) if subset else df.dropDuplicates()
+
+
+def dedupe_page_edges(pages: DataFrame, envelope: str, ts: str, by=(), block: int = 86400) -> DataFrame:
+    """Records of pages whose cursor includes its ends, each once.
+
+    Neighbouring pages repeat the records of the moment where they meet, so only records at
+    a page's first or last time (or without one) can come again on another page: these are exchanged,
+    all others stay where they were read. Repeats inside a page are dropped within its array.
+
+    That holds where the pages of one series (``by``, e.g. the folder column) do not overlap beyond
+    their ends. It is checked first, with a narrow row per page and ``block`` of time (in the
+    unit of ``ts``, a whole number); where it does not hold, all records are exchanged. The result
+    is the same: the distinct rows.
+    """
+    by = [by] if isinstance(by, str) else list(by)
+    rows = F.array_distinct(F.col(envelope))
+    times = F.filter(F.transform(rows, lambda r: r[ts]), lambda t: t.isNotNull())
+    own = pages.withColumns({envelope: rows, "__first": F.array_min(times), "__last": F.array_max(times)})
+    keep = [F.col(c) for c in pages.columns if c != envelope]
+    records = own.select(*keep, "__first", "__last", F.inline(envelope))
+    if _pages_overlap(own, by, block):
+        return records.drop("__first", "__last").dropDuplicates()
+    at_edge = F.col(ts).isNull() | (F.col(ts) == F.col("__first")) | (F.col(ts) == F.col("__last"))
+    inner = records.where(~at_edge).drop("__first", "__last")
+    return inner.unionByName(records.where(at_edge).drop("__first", "__last").dropDuplicates())
+
+
+def _pages_overlap(pages: DataFrame, by, block: int) -> bool:
+    spans = pages.where("__first IS NOT NULL").select(*by, "__first", "__last")
+    spans = spans.withColumn("__block", F.explode(F.sequence(F.floor(F.col("__first") / block), F.floor(F.col("__last") / block))))
+    order = Window.partitionBy(*by, "__block").orderBy("__first", "__last").rowsBetween(Window.unboundedPreceding, -1)
+    return not spans.withColumn("__seen", F.max("__last").over(order)).where("__first < __seen").isEmpty()

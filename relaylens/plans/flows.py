@@ -188,8 +188,8 @@ def price_history(spark: SparkSession, pages_path: str, step: str | None = None,
     pages is taken along, so that the gap between two loads is filled too. Returns
     the series of the pages (without ``target``) or the appended rows.
     """
-    bars = files.read_json_pages(spark, pages_path, envelope="Data", multi_line=False, schema=schema)
-    bars = shape.dedupe_rows(bars)
+    pages = files.read_json_pages(spark, pages_path, envelope=None, multi_line=False, schema=schema)
+    bars = shape.dedupe_page_edges(pages, "Data", "TIMESTAMP", by="instrument")
     bars = bars.select(F.col("instrument").cast("string").alias("instrument"), X.epoch_to_ts("TIMESTAMP").alias("ts"), "CLOSE")
     if target is None:
         return timeseries.gap_fill(bars, "ts", "instrument", carry="CLOSE", step=step, max_growth=max_growth)

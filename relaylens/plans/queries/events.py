@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ...functions import constants as K
 from ...functions import expr as X
-from ...operators import bridge, marks, shape, timeseries
+from ...operators import bridge, cells, marks, shape, timeseries
 from ...session import run_folder
 from ...sources.coverage import slice_coverage
 from .. import bindings as B
@@ -50,6 +50,40 @@ def q_events_unpacked(spark, sf):
     return shape.unpack_events(_packed(spark, sf, parts=16))
 
 
+CELL_BYTES = 4096
+#: Half of all events in one hour, and every fifth event three times.
+HOT_HOUR_SQL = f"""hot AS (
+  SELECT *, CASE WHEN event_id % 2 = 0 THEN TIMESTAMP '2024-01-10' + (ts - date_trunc('hour', ts)) ELSE ts END AS t
+  FROM events, unnest(range(CASE WHEN event_id % 5 = 0 THEN 3 ELSE 1 END)) AS r(copy)),
+items AS (SELECT date_trunc('hour', t) AS event_hour, event_type,
+                 CAST(event_id AS VARCHAR) || '-' || strftime(t, '%Y-%m-%d %H:%M:%S.%f') AS item FROM hot),
+placed AS (SELECT *, coalesce(sum(strlen(item) + 2) OVER (PARTITION BY event_hour, event_type ORDER BY item
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos FROM items)"""
+
+
+def _hot_hour(spark, sf):
+    ev = B.events(spark, sf).withColumn("copy", F.explode(F.sequence(F.lit(1), F.when(F.col("event_id") % 5 == 0, 3).otherwise(1))))
+    hot = F.lit("2024-01-10").cast("timestamp_ntz") + (F.col("ts") - X.floor_to("hour", "ts"))
+    return ev.select(F.col("event_id").alias("orderid"), F.col("event_type").alias("chain"),
+                     F.when(F.col("event_id") % 2 == 0, hot).otherwise(F.col("ts")).alias("evt_block_time"))
+
+
+@register("events_packed_bounded", f"""WITH {HOT_HOUR_SQL}
+SELECT event_hour, CAST(pos // ({CELL_BYTES} - (SELECT max(strlen(item)) + 2 FROM items)) AS INTEGER) AS part,
+  {_PACK_COLS}
+FROM placed GROUP BY 1, 2""")
+def q_events_packed_bounded(spark, sf):
+    """Packed event log in cells of at most 4096 bytes, in item order, with half of all events in one hour."""
+    return cells.pack_bounded(_hot_hour(spark, sf), CELL_BYTES, categories=B.EVENT_CATEGORIES)
+
+
+@register("events_bounded_unpacked", f"""WITH {HOT_HOUR_SQL}
+SELECT CAST(event_id AS VARCHAR) AS orderId, strftime(t, '%Y-%m-%d %H:%M:%S.%f') AS evt_time, upper(event_type) AS chain FROM hot""")
+def q_events_bounded_unpacked(spark, sf):
+    """The bounded cells back to one row per event, repeats included."""
+    return shape.unpack_events(cells.pack_bounded(_hot_hour(spark, sf), CELL_BYTES, categories=B.EVENT_CATEGORIES, ordered=False))
+
+
 CODES_SQL = "codes(code, name) AS (VALUES " + ", ".join(
     f"({k}, '{v}')" for k, v in sorted(K.CHAIN_CODES.items())) + ")"
 

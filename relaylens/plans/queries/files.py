@@ -203,6 +203,20 @@ def q_price_history_rerun(spark, sf):
     return flows.read_prices(spark, f"{root}/stored")
 
 
+@register("price_bars_from_pages", """
+SELECT event_type AS instrument, epoch_us(date_trunc('hour', ts)) // 1000000 AS TIMESTAMP, max(value) AS CLOSE
+FROM events GROUP BY event_type, date_trunc('hour', ts)""")
+def q_price_bars_from_pages(spark, sf):
+    """Pages that repeat their neighbour's first bar; only bars at page edges are exchanged."""
+    root = run_folder(spark, "price_edges", sf)
+    bars = (B.events(spark, sf)
+            .groupBy(F.col("event_type").alias("instrument"), X.floor_to("hour", "ts").alias("ts"))
+            .agg(F.max("value").alias("CLOSE")))
+    flows.write_price_pages(bars, f"{root}/pages")
+    pages = flows.files.read_json_pages(spark, f"{root}/pages", multi_line=False, schema=schemas.PRICE_PAGE)
+    return shape.dedupe_page_edges(pages, "Data", "TIMESTAMP", by="instrument")
+
+
 DROP_SCHEMA = "event_id BIGINT, ts TIMESTAMP_NTZ, event_type STRING, value DOUBLE, user_id BIGINT"
 DROP_A = ("click", "view", "purchase")
 

@@ -134,6 +134,31 @@ def q_stream_resume(spark, sf):
     return S.read_stored(spark, f"{root}/out")
 
 
+ACCOUNT_MARK = 1705276800  # 2024-01-15 00:00:00 UTC
+
+
+@register("stream_accounts", f"""
+WITH t AS (SELECT event_id, epoch_us(ts) // 1000000 AS s FROM (SELECT *, {B.TRANSFER_STATUS} AS status FROM events) WHERE status = 'DONE'),
+f AS (SELECT *, s < {ACCOUNT_MARK} AND event_id % 5 > 0 AS first FROM t),
+m AS (SELECT max(s) AS newest FROM f WHERE first)
+SELECT CAST(0 AS BIGINT) AS batch_id, count(*) AS landed, count(*) AS on_time, CAST(0 AS BIGINT) AS late, CAST(0 AS BIGINT) AS repeated
+FROM f WHERE first
+UNION ALL
+SELECT 1, count(*), count(*) FILTER (NOT first AND s > newest - 600), count(*) FILTER (NOT first AND s <= newest - 600),
+       count(*) FILTER (first)
+FROM f, m""")
+def q_stream_accounts(spark, sf):
+    """What became of the landed transfers of two batches; the second one brings
+    those of the first again, a fifth of the old ones late, and the new ones."""
+    root = run_folder(spark, "stream_accounts", sf)
+    rec = _transfer_records(spark, sf).drop("h")
+    first = (F.col("sending.timestamp") < ACCOUNT_MARK) & (F.col("id").cast("long") % 5 > 0)
+    for name, part in (("a", rec.where(first)), ("b", rec)):
+        flows.write_json_pages(part.withColumnRenamed("day", "page"), f"{root}/in/{name}", "transfers", "page")
+        _await(S.ingest_transfers(spark, f"{root}/in", f"{root}/out", f"{root}/ckpt", accounts=f"{root}/accounts"))
+    return S.read_accounts(spark, f"{root}/accounts").select("batch_id", "landed", "on_time", "late", "repeated")
+
+
 @register("stream_latency_batches", ORACLES["latency_minute"])
 def q_stream_latency_batches(spark, sf):
     """T3 over pairs that land out of order, one file per micro-batch: all of them count."""

@@ -56,7 +56,8 @@ def shape_transfers(df: DataFrame, status: str = K.DONE_STATUS, since_epoch: int
 
 
 def append_new(stream: DataFrame, target: str, checkpoint: str, key: str = "id", ts: str = "DATETIME",
-               available_now: bool = True, interval: str = "10 seconds"):
+               available_now: bool = True, interval: str = "10 seconds",
+               accounts: str | None = None, delay_seconds: int = 600):
     """Append the stream's records that are not stored yet to ``target``, as
     ``batch_id=<n>/day=<date>`` folders (:func:`read_stored` reads them).
 
@@ -66,6 +67,11 @@ def append_new(stream: DataFrame, target: str, checkpoint: str, key: str = "id",
     with the smallest checksum is stored; a stored record stays. Late and unordered
     records are stored like any other. Stored rows are read with the stream's own
     schema, and only those of the days at hand.
+
+    With ``accounts``, every batch writes one row there: ``landed`` records are
+    ``on_time`` + ``late`` (stored, but ``delay_seconds`` or more older than the newest
+    record of earlier batches) + ``repeated``. :func:`read_accounts` reads them. A batch
+    that is replayed writes its row again in the same place.
     """
     spark = stream.sparkSession
     cols, schema = stream.columns, stored_schema(stream.schema)
@@ -86,6 +92,9 @@ def append_new(stream: DataFrame, target: str, checkpoint: str, key: str = "id",
         stored = stored.select(F.col("__known").alias("__stored"), F.col("day").alias("__day"))
         new = new.join(stored, (new["__known"] == stored["__stored"]) & new["day"].eqNullSafe(stored["__day"]), "left_anti")
         write_batch(new.select(*cols, "day"), target, batch_id, partition_by="day")
+        if accounts:
+            own = read_declared(spark, target, schema).where(F.col("batch_id") == F.lit(batch_id))
+            write_batch(_account(batch, own, read_accounts(spark, accounts), ts, batch_id, delay_seconds), accounts, batch_id)
         batch.unpersist()
 
     w = stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
@@ -93,6 +102,29 @@ def append_new(stream: DataFrame, target: str, checkpoint: str, key: str = "id",
     return w.start()
 
 
+ACCOUNTS = "landed BIGINT, on_time BIGINT, late BIGINT, repeated BIGINT, newest TIMESTAMP_NTZ, batch_id BIGINT"
+
+
+def _account(batch: DataFrame, stored: DataFrame, accounts: DataFrame, ts: str, batch_id: int, delay_seconds: int) -> DataFrame:
+    """The account of one batch, counted from the rows that it landed and the rows that it stored."""
+    mark = accounts.where(F.col("batch_id") < F.lit(batch_id)).agg(F.max("newest")).first()[0]
+    at = F.col(ts).cast("timestamp_ntz")
+    limit = F.lit(mark).cast("timestamp_ntz") - F.make_dt_interval(secs=F.lit(delay_seconds))
+    late = F.coalesce(at <= limit, F.lit(False)).cast("bigint")
+    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    landed = batch.select(one.alias("landed"), zero.alias("stored"), zero.alias("late"), at.alias("newest"))
+    kept = stored.select(zero.alias("landed"), one.alias("stored"), late.alias("late"), at.alias("newest"))
+    sums = landed.unionByName(kept).agg(*[F.coalesce(F.sum(c), zero).alias(c) for c in ("landed", "stored", "late")],
+                                        F.max("newest").alias("newest"))
+    return sums.select("landed", (F.col("stored") - F.col("late")).alias("on_time"), "late",
+                       (F.col("landed") - F.col("stored")).alias("repeated"), "newest")
+
+
+def read_accounts(spark: SparkSession, accounts: str) -> DataFrame:
+    """The accounts that :func:`append_new` wrote, a row per batch; empty before the first one."""
+    return read_declared(spark, accounts, ACCOUNTS)
+
+
 def stored_schema(schema: T.StructType) -> T.StructType:
     """Schema of the rows that :func:`append_new` stores, with the folder columns."""
     return T.StructType([*schema.fields, T.StructField("batch_id", T.LongType()), T.StructField("day", T.DateType())])
@@ -113,19 +145,20 @@ def read_stored(spark: SparkSession, target: str, schema: T.StructType | None =
 def ingest_transfers(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str,
                      available_now: bool = True, interval: str = "10 seconds", since_epoch: int | None = None,
                      max_files_per_trigger: int | None = None, clean_source: str | None = None,
-                     archive_dir: str | None = None):
+                     archive_dir: str | None = None, accounts: str | None = None, delay_seconds: int = 600):
     """Landed transfer pages -> de-duplicated DONE transfers appended to
     ``out_dir`` (:func:`append_new`; read back with :func:`read_stored`).
 
     ``available_now=True`` processes everything landed so far and stops
     (tests, backfills); otherwise the query polls every ``interval``.
     ``clean_source`` and ``archive_dir`` clear processed files (S10).
+    ``accounts`` names a side table of landed, late and repeated records a batch.
     Returns the started ``StreamingQuery``.
     """
     src = transfers_stream(spark, in_dir, max_files_per_trigger=max_files_per_trigger,
                            clean_source=clean_source, archive_dir=archive_dir)
     return append_new(shape_transfers(src, since_epoch=since_epoch), out_dir, checkpoint,
-                      available_now=available_now, interval=interval)
+                      available_now=available_now, interval=interval, accounts=accounts, delay_seconds=delay_seconds)
 
 
 def resume_history(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str, mark_epoch: int,
