@@ -62,7 +62,11 @@ def run(args, spark: SparkSession) -> None:
     elif c == "prices":
         flows.price_history(spark, args.pages, step=args.step, target=args.out)
     elif c == "file-drop":
-        flows.file_drop_aggregate(spark, args.root, args.keyword, args.schema, target=args.out)
+        if args.journal or args.clean:
+            from .sources import drops
+            drops.load_drop(spark, args.root, args.keyword, args.out, args.schema, timestamp_format=flows.PACK_TIME, clean=args.clean)
+        else:
+            flows.file_drop_aggregate(spark, args.root, args.keyword, args.schema, target=args.out)
     elif c == "bundles":
         if args.since is None:
             flows.resume_bundles(spark, args.pages, args.out)
@@ -127,6 +131,8 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--keyword", required=True)
     s.add_argument("--schema", help="DDL of declared column types")
     s.add_argument("--out", required=True)
+    s.add_argument("--journal", action="store_true", help="load only files that are not loaded yet (needs --schema)")
+    s.add_argument("--clean", action="store_true", help="the same, and delete files that are loaded")
 
     s = sub.add_parser("bundles", help="bundle pages after a mark")
     s.add_argument("--pages", required=True)

@@ -8,7 +8,7 @@ from ... import schemas
 from ...functions import expr as X
 from ...operators import shape
 from ...session import run_folder
-from ...sources import slices
+from ...sources import drops, slices
 from .. import bindings as B
 from .. import flows
 from ..registry import ORACLES, register
@@ -240,6 +240,23 @@ def q_file_drop_aggregate(spark, sf):
     return flows.file_drop_aggregate(spark, root, "BUNDLES/2024-01", DROP_SCHEMA)
 
 
+@register("file_drop_journal", """SELECT event_id, ts, event_type, CASE WHEN event_id % 3 > 0 THEN value END AS value,
+  CASE WHEN event_id % 3 = 0 THEN user_id END AS user_id, CAST(0 AS BIGINT) AS files_left FROM events""")
+def q_file_drop_journal(spark, sf):
+    """L4 with clean-up (S10): a load breaks off before its commit, one after it and before its
+    clean-up, then one more file group lands and everything is loaded and deleted."""
+    root = run_folder(spark, "file_drop_journal", sf)
+    ev = B.events(spark, sf)
+    w = dict(header=True, timestampNTZFormat=flows.PACK_TIME)
+    drop, target = f"{root}/landed", f"{root}/stored"
+    for k, stop in ((0, "append"), (1, "commit"), (2, None)):
+        cols = ["event_id", "ts", "event_type", "user_id" if k == 0 else "value"]
+        ev.where(F.col("event_id") % 3 == k).select(*cols).write.options(**w).csv(f"{drop}/bundles/{k}")
+        drops.load_drop(spark, drop, "bundles", target, DROP_SCHEMA, timestamp_format=flows.PACK_TIME, clean=True, stop_after=stop)
+    left = flows.files.select_files(flows.files.file_inventory(spark, drop), "bundles").count()
+    return drops.read_drop(spark, target, DROP_SCHEMA).withColumn("files_left", F.lit(left).cast("bigint"))
+
+
 @register("file_inventory")
 def q_file_inventory(spark, sf):
     """Listing of the landed event CSV drop (rows-only check)."""

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ...functions import expr as X
 from ...session import run_folder
+from ...sources import idindex
 from ...streaming import ingest as S
 from .. import bindings as B
 from .. import flows
@@ -94,6 +95,20 @@ def q_stream_backlog(spark, sf):
     return spark.read.parquet(f"{root}/stored").where(F.col("batch_id") >= 0).select("orderid")
 
 
+@register("stream_backlog_indexed", ORACLES["stream_backlog"])
+def q_stream_backlog_indexed(spark, sf):
+    """The streaming backlog over an id table in hash buckets, rewritten every other batch while it runs."""
+    root = run_folder(spark, "stream_backlog_indexed", sf)
+    lines = B.table(spark, sf, "lineitem").select(F.col("l_orderkey").cast("string").alias("orderid"), "l_linenumber")
+    for part in range(3):
+        lines.where(F.col("l_linenumber") % 3 == part).select("orderid").write.mode("append").parquet(f"{root}/in")
+    stored0 = B.table(spark, sf, "orders").where(F.col("o_orderstatus") == "F").select(F.col("o_orderkey").alias("orderid"))
+    idindex.create(stored0, f"{root}/ids", "orderid", rows_per_bucket=2000)
+    src = spark.readStream.schema("orderid STRING").option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    _await(S.stream_backlog_indexed(src, f"{root}/ids", f"{root}/ckpt", rows_per_bucket=2000, compact_every=2))
+    return idindex.read(spark, f"{root}/ids").where("batch_id >= 0").select(F.col("id").alias("orderid"))
+
+
 RESUME_MARK = 1705276800  # 2024-01-15 00:00:00 UTC
 
 

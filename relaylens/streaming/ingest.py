@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from .. import schemas
 from ..functions import constants as K
 from ..functions import expr as X
+from ..sources import idindex
 from ..sources.sinks import write_batch
 from ..sources.slices import read_declared, values_of
 
@@ -236,6 +237,23 @@ def stream_backlog(candidates: DataFrame, stored_path: str, checkpoint: str, key
     return w.start()
 
 
+def stream_backlog_indexed(candidates: DataFrame, index: str, checkpoint: str, key: str = "orderid",
+                           rows_per_bucket: int = 1_000_000, compact_every: int = 100,
+                           available_now: bool = True, interval: str = "10 seconds"):
+    """T2 on a table of ids in hash buckets (:mod:`sources.idindex`, made by ``idindex.create``): a batch
+    reads the buckets of its own ids only. Every ``compact_every`` batches, before it appends, a batch
+    rewrites the table with buckets of ``rows_per_bucket`` ids. Read the ids with ``idindex.read``."""
+    def process(batch: DataFrame, batch_id: int) -> None:
+        if batch_id and batch_id % compact_every == 0:
+            # a replayed batch may have appended already: its ids are then in the base, brought by itself
+            idindex.rebucket(batch.sparkSession, index, rows_per_bucket)
+        idindex.append_new(batch, index, batch_id, key)
+
+    w = candidates.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
+    return w.start()
+
+
 def seed_stored(df: DataFrame, stored_path: str, key: str = "orderid") -> None:
     """Initial content of a stored-id table (``batch_id=-1``)."""
     write_batch(df.select(key), stored_path, -1)
