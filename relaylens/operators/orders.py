@@ -13,14 +13,16 @@ Scale notes
   route is pre-aggregated on the map side.
 * ``align_legs`` reduces each leg to one row per id before the full outer
   join, so duplicate ids cannot multiply rows.
-* ``backlog`` de-duplicates the stored ids (partial aggregate) and anti-joins;
-  the aggregate's hash partitioning is reused by the join.
+* With the chain labels given, ``align_legs`` finds an id's earliest event as the minimum
+  of one 64-bit number, so Spark aggregates by hash and sorts nothing before the shuffle.
+* ``backlog`` is a plain anti join; AQE can split a hot candidate id.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import expr as X
 
@@ -174,22 +176,69 @@ def order_lookup(details: DataFrame, order_id: str, key: str = "ORDERID") -> Dat
     return details.where(X.id_equals(key, order_id))
 
 
-def earliest_per_id(leg: DataFrame, key: str, ts: str, chain: str) -> DataFrame:
+#: Stands for a missing time in a packed number; no time of a four-digit year is as small.
+NO_TIME = -253_402_300_800_000_000
+#: So many labels keep (micros, label number) of every four-digit year within 64 bits.
+MAX_PACKED_CHAINS = 35
+
+
+def _packed_event(leg: DataFrame, ts: str, chain: str, chains, time_format: str | None):
+    """(packed number of an event, its time and chain again from the column ``e``). Order and
+    ties are those of (time, chain), NULLs first."""
+    labels = sorted(set(chains))
+    if len(labels) > MAX_PACKED_CHAINS:
+        raise ValueError(f"at most {MAX_PACKED_CHAINS} chain labels can be packed, not {len(labels)}")
+    kind = leg.schema[ts].dataType
+    is_text = isinstance(kind, T.StringType)
+    if is_text and time_format is None:
+        raise ValueError(f"{ts} is text: packing it needs its time_format")
+    t = F.to_timestamp_ntz(F.col(ts), F.lit(time_format)) if is_text else F.col(ts)
+    micros = F.unix_micros(t.cast("timestamp"))
+    if is_text:                                   # a text that its format does not give back would be changed
+        same = F.date_format(t, time_format) == F.col(ts)
+        micros = F.when(F.col(ts).isNull(), None).when(same, micros).otherwise(
+            F.raise_error(F.concat(F.lit(f"{ts} is not in the format {time_format}: "), F.col(ts))).cast("bigint"))
+    names = F.array(*[F.lit(x) for x in labels])
+    number = F.array_position(names, F.col(chain))
+    number = F.when(F.col(chain).isNull(), 0).when(number > 0, number).otherwise(
+        F.raise_error(F.concat(F.lit("unknown chain label: "), F.col(chain))).cast("bigint"))
+    base = F.lit(len(labels) + 1).cast("bigint")
+    packed = F.coalesce(micros, F.lit(NO_TIME).cast("bigint")) * base + number
+    n = F.pmod(F.col("e"), base)
+    at = F.call_function("div", F.col("e") - n, base)
+    back = F.when(at != NO_TIME, F.timestamp_micros(at).cast("timestamp_ntz"))
+    back = F.date_format(back, time_format) if is_text else back.cast(kind)
+    return packed, back, F.get(names, (n - 1).cast("int"))
+
+
+def earliest_per_id(leg: DataFrame, key: str, ts: str, chain: str, chains=None,
+                    time_format: str | None = None) -> DataFrame:
     """One row per id: the earliest event (ties broken by chain), plus the
-    number of events seen. Partial aggregation keeps hot ids cheap."""
-    first = F.min(F.struct(F.col(ts).alias("t"), F.col(chain).alias("c")))
+    number of events seen. Partial aggregation keeps hot ids cheap.
+
+    With ``chains`` (all chain labels that occur, at most 35) time and chain are packed
+    into one number whose minimum a hash aggregate keeps; a label not among them
+    fails the job. Times may then be text in ``time_format``, and text in another form fails
+    the job too. Without ``chains`` any values go, by a sort-based aggregate.
+    """
+    if chains is None:
+        event, t, c = F.struct(F.col(ts).alias("t"), F.col(chain).alias("c")), F.col("e.t"), F.col("e.c")
+    else:
+        event, t, c = _packed_event(leg, ts, chain, chains, time_format)
     return (leg.groupBy(key)
-               .agg(first.alias("e"), F.count(F.lit(1)).alias("n"))
-               .select(F.col(key), F.col("e.t").alias(ts), F.col("e.c").alias(chain), "n"))
+               .agg(F.min(event).alias("e"), F.count(F.lit(1)).alias("n"))
+               .select(F.col(key), t.alias(ts), c.alias(chain), "n"))
 
 
 def align_legs(src: DataFrame, dest: DataFrame, key: str = "orderId", ts: str = "evt_time",
-               chain: str = "chain", with_counts: bool = False, metrics: dict | None = None) -> DataFrame:
+               chain: str = "chain", with_counts: bool = False, metrics: dict | None = None,
+               chains=None, time_format: str | None = None) -> DataFrame:
     """One row per order id with its source and destination leg.
 
     Each leg is first reduced to its earliest event per id, so duplicate ids
     cannot multiply rows; the full outer join then always shuffles both
     sides on the id (use pre-partitioned or bucketed inputs when repeated).
+    ``chains`` and ``time_format`` are those of :func:`earliest_per_id`.
     With a ``metrics`` dict, Observations ``src_duplicate_ids`` and
     ``dest_duplicate_ids`` (ids seen more than once in a leg) are registered
     in it; they are filled by the first action, without an extra job.
@@ -197,7 +246,7 @@ def align_legs(src: DataFrame, dest: DataFrame, key: str = "orderId", ts: str =
     from pyspark.sql import Observation
 
     def leg(df, prefix):
-        out = earliest_per_id(df.select(key, ts, chain), key, ts, chain)
+        out = earliest_per_id(df.select(key, ts, chain), key, ts, chain, chains, time_format)
         if metrics is not None:
             obs = Observation(f"{prefix}_duplicate_ids")
             out = out.observe(obs, F.count_if(F.col("n") > 1).alias(f"{prefix}_duplicate_ids"))

@@ -168,6 +168,65 @@ def flatten_json_column(df: DataFrame, col: str, schema: str | None = None, sep:
     return flatten_struct(df.withColumn(col, F.from_json(F.col(col), schema)), sep=sep, prefer=prefer)
 
 
+def _variant_leaves(kind: T.DataType, names: list[str], path: str):
+    """(flat name parts, variant path, type) of every value that is not an object in all documents."""
+    if not isinstance(kind, T.StructType):
+        yield names, path, kind
+        return
+    for f in kind.fields:
+        quote = "'" if "'" not in f.name else '"'
+        if quote in f.name:
+            raise ValueError(f"a key with both quotes has no variant path: {f.name}")
+        yield from _variant_leaves(f.dataType, [*names, f.name], f"{path}[{quote}{f.name}{quote}]")
+
+
+def shred_json_column(df: DataFrame, col: str, sep: str = "_", keep: str | None = None) -> DataFrame:
+    """Documents kept as JSON text -> one column per path, no value lost (P7, drift mode).
+
+    The types are merged over all rows, as in :func:`infer_json_schema`. A path whose values
+    agree becomes a typed column ``<col><sep><path>``, lists JSON text. A path that
+    is a number here and text or an object there becomes a VARIANT column with every value
+    as it came (:func:`variant_kinds` takes it apart); :func:`flatten_json_column` reads
+    such a path as text. With ``keep`` the whole document stays beside as a VARIANT
+    of that name. Text that is not JSON gives NULLs; documents that are no objects appear in
+    the ``keep`` column only. Names that collide raise.
+    """
+    ddl = df.select(F.schema_of_variant_agg(F.try_parse_json(F.col(col)))).first()[0]
+    types = {"O": "STRUCT", "D": "DOUBLE"}
+
+    def word(m):
+        return m[0] if m[0] == "VARIANT" else "STRING" if m[0] == "VOID" else types.get(m[0][0], m[0])
+
+    kind = T.DataType.fromDDL(_TYPE_WORD.sub(word, ddl)) if ddl else T.StructType([])
+    out = [(c, F.col(f"`{c}`")) for c in df.columns if c != col]
+    for names, path, leaf in _variant_leaves(kind, [col], "$") if isinstance(kind, T.StructType) else ():
+        as_text = isinstance(leaf, T.ArrayType)
+        value = F.try_variant_get(F.col("__doc"), path, "variant" if as_text else leaf.simpleString())
+        out.append((sep.join(names), F.to_json(value) if as_text else value))
+    if keep:
+        out.append((keep, F.col("__doc")))
+    found = [n.lower() for n, _ in out]
+    dups = sorted({n for n in found if found.count(n) > 1})
+    if dups:
+        raise ValueError(f"shredded names collide: {dups}")
+    return df.withColumn("__doc", F.try_parse_json(F.col(col))).select(*[c.alias(n) for n, c in out])
+
+
+def variant_kinds(df: DataFrame, col: str, sep: str = "_") -> DataFrame:
+    """Columns of a VARIANT column's values by kind, beside it: ``_text``, ``_number`` (double; the
+    VARIANT holds all digits), ``_flag`` and ``_json`` (objects and lists as JSON text)."""
+    v = F.col(f"`{col}`")
+    kind = F.schema_of_variant(v)
+    number = kind.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)")
+
+    def of(cond, as_type):
+        return F.when(cond, F.try_variant_get(v, "$", as_type))
+    return df.withColumns({
+        f"{col}{sep}text": of(kind == "STRING", "string"), f"{col}{sep}number": of(number, "double"),
+        f"{col}{sep}flag": of(kind == "BOOLEAN", "boolean"),
+        f"{col}{sep}json": F.when(kind.rlike("^(OBJECT|ARRAY)"), F.to_json(v))})
+
+
 def expand_structs(df: DataFrame, cols, sep: str = ".", keep: bool = True, drop=()) -> DataFrame:
     """Normalise the given struct columns and paste their leaves beside the
     original columns (P8); the struct's own name is not part of the leaf

@@ -48,16 +48,22 @@ def write_packed_csv(events: DataFrame, path: str, categories=K.PACK_CHAINS, par
 
 def event_log_build(spark: SparkSession, src_csv: str, dest_csv: str, processed: DataFrame | None = None,
                     target: str | None = None, categories=K.PACK_CHAINS,
-                    metrics: dict | None = None) -> DataFrame:
+                    metrics: dict | None = None, time_format: str | None = None) -> DataFrame:
     """Packed source/destination exports -> aligned event log of orders not
     stored yet (L1: S1×2 → U1×2 → J2 → P3 → J3 → S7).
 
+    With the ``time_format`` of the items (``PACK_TIME`` for this library's exports) the legs
+    are reduced by hash aggregates, and a time in another form fails the job. Without
+    it times are compared as text, whatever their form.
+
     With a ``metrics`` dict, ``aligned_rows``, ``new_rows`` and the legs'
     duplicate-id counts are registered in it as observations (A15)."""
     schema = _packed_schema(categories)
     src = shape.unpack_events(files.read_csv(spark, src_csv, schema, timestamp_format=PACK_TIME))
     dest = shape.unpack_events(files.read_csv(spark, dest_csv, schema, timestamp_format=PACK_TIME))
-    aligned = shape.rename_positional(orders.align_legs(src, dest, metrics=metrics), list(orders.EVENT_COLUMNS))
+    chains = [name for _, name in categories] if time_format else None
+    aligned = orders.align_legs(src, dest, metrics=metrics, chains=chains, time_format=time_format)
+    aligned = shape.rename_positional(aligned, list(orders.EVENT_COLUMNS))
     aligned = _observe(aligned, metrics, "aligned_rows")
     new = orders.backlog(aligned, processed, "orderid") if processed is not None else aligned
     new = _observe(new, metrics, "new_rows")

@@ -44,7 +44,8 @@ def q_event_log_build(spark, sf):
     flows.write_packed_csv(dest, f"{root}/dest")
     stored = (B.table(spark, sf, "orders").where(F.col("o_orderstatus") == "F")
               .select(F.col("o_orderkey").cast("string").alias("orderid")))
-    flows.event_log_build(spark, f"{root}/src", f"{root}/dest", stored, target=f"{root}/event_log")
+    flows.event_log_build(spark, f"{root}/src", f"{root}/dest", stored, target=f"{root}/event_log",
+                          time_format=flows.PACK_TIME)
     return spark.read.parquet(f"{root}/event_log")
 
 
@@ -98,6 +99,30 @@ def q_order_detail_mixed(spark, sf):
     return spark.read.parquet(f"{root}/orders").select(*kept)
 
 
+@register("json_conflicts_kept", """
+SELECT o_orderkey, o_orderstatus AS doc_state,
+       CASE WHEN o_custkey % 6 = 1 THEN 'fee ' || o_custkey END AS doc_fee_text,
+       CASE o_custkey % 6 WHEN 0 THEN CAST(o_custkey AS DOUBLE) WHEN 5 THEN o_custkey + 0.5 END AS doc_fee_number,
+       CASE WHEN o_custkey % 6 = 2 THEN o_custkey % 4 = 0 END AS doc_fee_flag,
+       CASE o_custkey % 6 WHEN 3 THEN '{"amount":' || o_custkey || ',"unit":"' || o_orderpriority || '"}'
+                          WHEN 4 THEN '[' || o_custkey || ',"' || o_orderstatus || '"]' END AS doc_fee_json,
+       CASE WHEN o_custkey % 9 > 0 THEN o_custkey % 9 END AS doc_chain_id
+FROM orders""")
+def q_json_conflicts_kept(spark, sf):
+    """Documents whose ``fee`` is a number, text, flag, object or list, stored with that key as VARIANT
+    beside the typed ones: every value comes back (P7)."""
+    root = run_folder(spark, "json_conflicts", sf)
+    fee = """CASE o_custkey % 6 WHEN 0 THEN concat('{"fee":', o_custkey, ',') WHEN 1 THEN concat('{"fee":"fee ', o_custkey, '",')
+             WHEN 2 THEN concat('{"fee":', o_custkey % 4 = 0, ',')
+             WHEN 3 THEN concat('{"fee":{"unit":"', o_orderpriority, '","amount":', o_custkey, '},')
+             WHEN 4 THEN concat('{"fee":[', o_custkey, ',"', o_orderstatus, '"],') ELSE concat('{"fee":', o_custkey, '.5,') END"""
+    chain = """CASE WHEN o_custkey % 9 > 0 THEN concat('"chain":{"id":', o_custkey % 9, '},') ELSE '' END"""
+    docs = B.table(spark, sf, "orders").select(
+        "o_orderkey", F.expr(f"""concat({fee}, {chain}, '"state":"', o_orderstatus, '"}}')""").alias("doc"))
+    shape.shred_json_column(docs, "doc").write.parquet(f"{root}/docs")
+    return shape.variant_kinds(spark.read.parquet(f"{root}/docs"), "doc_fee").drop("doc_fee")
+
+
 @register("flatten_mixed_docs", """
 SELECT o_orderkey AS id, CASE WHEN o_custkey % 3 = 0 THEN CAST(o_custkey AS VARCHAR) END AS fee,
        CASE WHEN o_custkey % 3 = 1 THEN o_custkey END AS fee_amount,

@@ -7,6 +7,8 @@ from __future__ import annotations
 from ...functions import constants as K
 from ...functions import expr as X
 from ...operators import orders
+from ...session import run_folder
+from ...sources import sinks
 from ...sources.sql import sql_query
 from .. import bindings as B
 from ..registry import register
@@ -138,6 +140,14 @@ def q_order_lookup(spark, sf):
     return orders.order_lookup(orders.order_details(docs, log), LOOKUP_ID)
 
 
+@register("order_lookup_stored", _detail_sql(f"WHERE e.orderid = '{LOOKUP_ID}'"))
+def q_order_lookup_stored(spark, sf):
+    """The same from order details stored for lookups: sorted by id, with Bloom filters."""
+    target = f"{run_folder(spark, 'order_lookup', sf)}/details"
+    sinks.write_for_lookup(orders.order_details(B.order_docs_view(spark, sf), B.event_log_view(spark, sf)), target, "ORDERID")
+    return orders.order_lookup(spark.read.parquet(target), LOOKUP_ID)
+
+
 @register("align_legs", f"""WITH s AS ({B.SOURCE_LEG_SQL}), d AS ({B.DEST_LEG_SQL}),
 s1 AS (SELECT id, t, c FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY t, c) AS rn FROM s) WHERE rn = 1),
 d1 AS (SELECT id, t, c FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY t, c) AS rn FROM d) WHERE rn = 1)
@@ -146,7 +156,7 @@ SELECT coalesce(s1.id, d1.id) AS orderid, s1.t AS src_evt_time, s1.c AS src_chai
 FROM s1 FULL OUTER JOIN d1 ON s1.id = d1.id""")
 def q_align_legs(spark, sf):
     """Earliest source and destination event per order, full outer."""
-    return orders.align_legs(B.source_leg(spark, sf), B.dest_leg(spark, sf))
+    return orders.align_legs(B.source_leg(spark, sf), B.dest_leg(spark, sf), chains=B.CHAIN_NAMES)
 
 
 @register("backlog", """

@@ -8,7 +8,7 @@ are raised, never swallowed.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-
+from pyspark.sql import functions as F
 
 
 def append_table(df: DataFrame, target: str, fmt: str = "parquet", partition_by=None,
@@ -53,3 +53,29 @@ def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int,
     (df.write.mode(mode).format("parquet").bucketBy(buckets, key).sortBy(key)
        .option("path", path).saveAsTable(table))
     return df.sparkSession.table(table)
+
+
+def write_for_lookup(df: DataFrame, target: str, key: str, partitions: int | None = None,
+                     row_group_bytes: int | None = None, mode: str = "overwrite") -> None:
+    """Store ``df`` so that a lookup of one ``key`` reads little (F1).
+
+    Rows are range-partitioned and sorted by the key, so the key's smallest and largest
+    value per row group and page tell which to read; a Bloom filter per row group settles
+    keys that lie between but are absent. An equality on the stored column
+    (``orders.order_lookup``) is pushed down to all three. A key or NULL that holds a large
+    share of the rows is split over several ranges by a hash of its rows and of their
+    input partition. Appended loads (``mode="append"``) are sorted each by itself: a lookup then
+    reads at most one place per load.
+    """
+    def new(name):
+        while name.lower() in {c.lower() for c in df.columns}:
+            name += "_"
+        return name
+
+    salt = new("__salt")
+    salted = df.withColumn(salt, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns], F.spark_partition_id()))
+    by = [F.col(f"`{key}`"), F.col(salt)]
+    ranged = salted.repartitionByRange(partitions, *by) if partitions else salted.repartitionByRange(*by)
+    w = ranged.sortWithinPartitions(f"`{key}`").drop(salt).write.mode(mode)
+    w = w.option("parquet.bloom.filter.enabled#" + key, "true")
+    (w.option("parquet.block.size", row_group_bytes) if row_group_bytes else w).parquet(target)
