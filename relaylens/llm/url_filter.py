@@ -3,16 +3,18 @@
 A rule is an action and a host with a path, written ``host/path``. It fits its
 host and all subdomains whose url path starts with the rule's path. The walk
 goes down the host labels from the right and, at every label on the way, down
-the path segments; the longest fitting rule (characters of host and path) wins,
-``block`` before ``allow`` where both are given for the same place. Urls that
-no rule fits get the default verdict.
+the path segments; the longest fitting rule (characters of host and path) wins;
+of equally long ones ``block`` goes before ``allow``, then the longer host. Where
+both actions are given for one place it is blocked. Urls that no rule fits get
+the default verdict. A rule's unfinished last segments are found by their lengths, so the
+time of a url does not grow with the rules of a host.
 
 The trie is sent to every task; the rules are a literal list that the caller
 holds, checked against ``MAX_RULES``.
 
 Defined cases: a null url or one without ``://`` has an empty host and path;
 no rule fits an empty host or an empty path unless the rule's path is empty.
-Repeated rows stay, other columns are kept.
+Repeated rows stay, other columns are kept; a column named as the output raises.
 """
 
 from __future__ import annotations
@@ -42,7 +44,7 @@ def split_url(url: str | None) -> tuple[str, str]:
 
 class UrlTrie:
     """Nested dicts: host labels from the right; under ``PATHS`` of a label the
-    path segments; under ``ENDS`` of a segment node the unfinished last segments."""
+    path segments; under ``ENDS`` of a segment node the unfinished last segments, by their length."""
 
     PATHS, ENDS = 0, 1                                    # keys that no label or segment (text) equals
 
@@ -57,13 +59,13 @@ class UrlTrie:
             *whole, last = (slash + path).split("/")
             for segment in whole:
                 node = node.setdefault(segment, {})
-            ends = node.setdefault(self.ENDS, {})
+            ends = node.setdefault(self.ENDS, {}).setdefault(len(last), {})
             if ends.get(last, ("", ""))[1] != "block":
                 ends[last] = (rule, action)
 
     def match(self, host: str, path: str) -> tuple[str, str] | None:
         """(rule, action) of the longest rule that fits."""
-        best, node, segments = None, self.root, path.split("/")
+        best, rank, node, segments = None, None, self.root, path.split("/")
         for label in reversed(host.split(".")):
             node = node.get(label)
             if node is None:
@@ -72,9 +74,12 @@ class UrlTrie:
             for segment in segments:
                 if at is None:
                     break
-                for last, found in at.get(self.ENDS, {}).items():
-                    if segment.startswith(last) and (best is None or len(found[0]) > len(best[0])):
-                        best = found
+                for length, ends in at.get(self.ENDS, {}).items():
+                    found = ends.get(segment[:length]) if length <= len(segment) else None
+                    if found:
+                        own = (len(found[0]), found[1] == "block")
+                        if best is None or own >= rank:            # later ones have the longer host
+                            best, rank = found, own
                 at = at.get(segment)
         return best
 
@@ -85,6 +90,8 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]], url_col: str
     fits) and verdict."""
     if len(rules) > MAX_RULES:
         raise ValueError(f"{len(rules)} rules are more than the {MAX_RULES} that every task may receive")
+    if out.lower() in {c.lower() for c in pages.columns}:
+        raise ValueError(f"the input has a column {out!r} already")
     bad = [a for a, _ in rules if a not in ("allow", "block")]
     if bad:
         raise ValueError(f"unknown action {bad[0]!r}")

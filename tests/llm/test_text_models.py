@@ -3,6 +3,7 @@
 import collections
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -461,3 +462,39 @@ def test_urls(spark):
     with pytest.raises(ValueError):
         url_filter.judge_urls(pages, [("maybe", "net/")])
     assert url_filter.judge_urls(pages.limit(0), rules).collect() == []
+
+
+def best_rule(host, path, rules):
+    """(rule, action) by the rank of every fitting rule: length, block, longer host."""
+    fits = []
+    for action, rule in rules:
+        h, slash, p = rule.partition("/")
+        if (host == h.lower() or host.endswith("." + h.lower())) and path.startswith(slash + p):
+            fits.append((len(rule), action == "block", len(h), rule, action))
+    return max(fits)[3:] if fits else None
+
+
+def test_equally_long_rules_and_many_last_segments():
+    rng = random.Random(5)
+    hosts, paths = ["a.b.c", "b.c", "c", "xb.c", "b.a.b.c"], ["", "/", "/p", "/pq", "/p/q", "/p/qq", "/ppppp", "/p/q/r"]
+    for _ in range(300):
+        rules = list({r: (rng.choice(["allow", "block"]), r) for r in
+                      (rng.choice(hosts) + rng.choice(paths) for _ in range(rng.randint(0, 12)))}.values())
+        trie = url_filter.UrlTrie(rules)
+        for h in hosts:
+            for p in paths:
+                assert trie.match(h, p) == best_rule(h, p, rules), (h, p, rules)
+    tie = [("allow", "c/pppp"), ("block", "b.c/pp"), ("allow", "a.b.c/")]
+    assert url_filter.UrlTrie(tie).match("a.b.c", "/ppppp") == ("b.c/pp", "block")
+    assert url_filter.UrlTrie([(("allow"), r) for _, r in tie]).match("a.b.c", "/ppppp") == ("a.b.c/", "allow")
+    many = url_filter.UrlTrie([("block", f"one.net/{i:06}") for i in range(100_000)])
+    start = time.perf_counter()
+    assert [many.match("one.net", f"/{i:06}x")[0] for i in range(2000)] == [f"one.net/{i:06}" for i in range(2000)]
+    assert time.perf_counter() - start < 1                  # 5 ms a url when all were scanned
+
+
+def test_urls_keep_columns(spark):
+    pages = spark.createDataFrame([(1, "http://a.net/")], "Judged int, url string")
+    with pytest.raises(ValueError, match="already"):
+        url_filter.judge_urls(pages, [("block", "net/")])
+    assert url_filter.judge_urls(pages, [("block", "net/")], out="found").first()["Judged"] == 1
