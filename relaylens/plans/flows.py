@@ -19,6 +19,7 @@ from ..sources import files, sinks, slices
 
 PACK_TIME = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 ISO_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
+DOCS_PER_FILE = 250_000
 
 
 def _observe(df: DataFrame, metrics: dict | None, name: str) -> DataFrame:
@@ -127,6 +128,12 @@ def nest_order_docs(flat: DataFrame) -> DataFrame:
     return flat.select(F.to_json(doc).alias("value"))
 
 
+def write_order_docs(docs: DataFrame, path: str) -> None:
+    """Land one JSON document per row (a text column) as gzip files of at most ``DOCS_PER_FILE``
+    documents: the keys repeat in every document, and a reader takes one file per task."""
+    docs.write.option("compression", "gzip").option("maxRecordsPerFile", DOCS_PER_FILE).text(path)
+
+
 def order_detail_load(spark: SparkSession, docs_path: str, processed: DataFrame | None = None,
                       target: str | None = None, schema=None,
                       batch_rows: int | None = None, metrics: dict | None = None,
@@ -139,23 +146,23 @@ def order_detail_load(spark: SparkSession, docs_path: str, processed: DataFrame
     drift merge into one schema (missing keys NULL). ``mixed`` is that of
     ``flatten_struct``: unless given it is found in the documents, so that an
     object without the preferred key keeps its values under a declared schema too.
-    Documents are dropped on their id before they are flattened to text.
+    The anti join on the id moves the flat columns that are stored, with NULLs (the keys an object
+    has beside its preferred one stay behind), and its tasks write their rows as they are.
     ``null_text='nan'`` stores missing values as that text, as the original
     all-text order table does.
     """
     raw = files.read_json_pages(spark, docs_path, envelope=None, schema=schema, multi_line=False)
     raw = _observe(raw, metrics, "documents")
-    if processed is not None:
-        by_id = isinstance(raw.schema["orderId"].dataType, T.StructType)
-        raw = raw.withColumn("__id", (F.col("orderId").getField(K.STRING_VALUE_KEY) if by_id
-                                      else F.col("orderId")).cast("string"))
-        raw = orders.backlog(raw, processed, "__id", "orderid").drop("__id")
     flat = shape.flatten_struct(raw, sep="_", prefer=K.STRING_VALUE_KEY, mixed=mixed)
-    flat = shape.to_strings(flat, null_text=null_text)
     flat = shape.drop_cols(flat, [K.RAW_METADATA_COLUMN], strict=False)
+    if processed is not None:
+        if not isinstance(flat.schema["orderId"].dataType, T.StringType):
+            flat = flat.withColumn("orderId", F.col("orderId").cast("string"))
+        flat = orders.backlog(flat, processed, "orderId", "orderid")
+    flat = shape.to_strings(flat, null_text=null_text)
     new = _observe(flat.withColumnRenamed("orderId", "orderid"), metrics, "new_rows")
     if target:
-        sinks.append_batched(new, target, batch_rows)
+        sinks.append_batched(new, target, batch_rows, even=processed is None)
     return new
 
 

@@ -70,7 +70,7 @@ SELECT * FROM docs WHERE NOT EXISTS (
 def q_order_detail_load(spark, sf):
     """L2: landed nested order documents (drifting keys) -> text rows of new orders."""
     root = run_folder(spark, "order_detail_load", sf)
-    flows.nest_order_docs(B.order_docs_view(spark, sf)).write.text(f"{root}/docs")
+    flows.write_order_docs(flows.nest_order_docs(B.order_docs_view(spark, sf)), f"{root}/docs")
     stored = (B.table(spark, sf, "orders").where(F.col("o_orderstatus") == "O")
               .select(F.col("o_orderkey").cast("string").alias("orderid")))
     flows.order_detail_load(spark, f"{root}/docs", stored, target=f"{root}/orders", null_text="nan",
@@ -93,7 +93,7 @@ def q_order_detail_mixed(spark, sf):
                    F.struct(F.struct(F.when(~only, chain.cast("string")).alias("stringValue"),
                                      chain.cast("long").alias("bigIntegerValue")).alias("chainId")).alias("giveOfferWithMetadata"),
                    F.col("o_orderstatus").alias("state"))
-    o.select(F.to_json(doc)).write.text(f"{root}/docs")
+    flows.write_order_docs(o.select(F.to_json(doc)), f"{root}/docs")
     flows.order_detail_load(spark, f"{root}/docs", target=f"{root}/orders", schema=schemas.ORDER_DOC)
     kept = ("orderid", "giveOfferWithMetadata_chainId", "giveOfferWithMetadata_chainId_bigIntegerValue", "state")
     return spark.read.parquet(f"{root}/orders").select(*kept)
@@ -139,7 +139,7 @@ def q_flatten_mixed_docs(spark, sf):
                    F.when(kind == 1, F.struct(F.col("o_orderpriority").alias("code"))).alias("unit"))
     doc = F.struct(F.col("o_orderkey").alias("id"), F.when(kind < 2, fee).alias("fee"),
                    F.struct(F.col("o_orderstatus").alias("stringValue")).alias("state"))
-    o.select(F.to_json(doc)).write.text(f"{root}/docs")
+    flows.write_order_docs(o.select(F.to_json(doc)), f"{root}/docs")
     schema = "id BIGINT, fee STRUCT<stringValue: STRING, amount: BIGINT, unit: STRUCT<code: STRING>>, state STRUCT<stringValue: STRING>"
     return shape.flatten_struct(flows.files.read_json_pages(spark, f"{root}/docs", schema=schema, multi_line=False))
 

@@ -24,12 +24,13 @@ def append_table(df: DataFrame, target: str, fmt: str = "parquet", partition_by=
 
 
 def append_batched(df: DataFrame, target: str, batch_rows: int | None = None,
-                   fmt: str = "parquet") -> None:
+                   fmt: str = "parquet", even: bool = True) -> None:
     """Append in batches (S9). A task's rows are one batch, and AQE sizes the
     tasks by bytes (``REBALANCE``), so files are few and of even size at any
     scale. ``batch_rows`` (e.g. ``constants.ORDER_BATCH_ROWS``) instead rolls a
-    new file after so many rows."""
-    w = (df if batch_rows else df.hint("rebalance")).write.mode("append").format(fmt)
+    new file after so many rows. ``even=False`` writes the tasks as they are: after a
+    join, where AQE has sized them already, it saves a shuffle of all columns."""
+    w = (df.hint("rebalance") if even and not batch_rows else df).write.mode("append").format(fmt)
     (w.option("maxRecordsPerFile", batch_rows) if batch_rows else w).save(target)
 
 
