@@ -150,8 +150,10 @@ def order_docs_view(spark: SparkSession, sf_dir: str, order: int | None = None)
     p = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", "p_size")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
     if order is not None:
-        li = li.where(F.col("l_orderkey") == order)
-    j = li.join(p, li["l_partkey"] == p["p_partkey"]).join(o, F.col("l_orderkey") == o["o_orderkey"])
+        li, o = li.where(F.col("l_orderkey") == order), o.where(F.col("o_orderkey") == order)
+    # joined on the key's text, which is the documents' id: what joins them on the id next finds them dealt by it
+    j = li.join(p, li["l_partkey"] == p["p_partkey"]).join(
+        o, F.col("l_orderkey").cast("string") == o["o_orderkey"].cast("string"))
     return j.selectExpr(*[f"{e} AS {a}" for a, e in ORDER_DOC_COLUMNS])
 
 

@@ -74,8 +74,9 @@ def write_for_lookup(df: DataFrame, target: str, key: str, partitions: int | Non
         return name
 
     salt = new("__salt")
-    salted = df.withColumn(salt, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns], F.spark_partition_id()))
-    by = [F.col(f"`{key}`"), F.col(salt)]
+    # the hash is computed where rows are dealt out; only the partition's number travels with them
+    salted = df.withColumn(salt, F.spark_partition_id())
+    by = [F.col(f"`{key}`"), F.xxhash64(*[F.col(f"`{c}`") for c in salted.columns])]
     ranged = salted.repartitionByRange(partitions, *by) if partitions else salted.repartitionByRange(*by)
     w = ranged.sortWithinPartitions(f"`{key}`").drop(salt).write.mode(mode)
     w = w.option("parquet.bloom.filter.enabled#" + key, "true")
