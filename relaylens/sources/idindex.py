@@ -4,8 +4,11 @@ A lookup reads the buckets of the batch's own ids and no others, and ``rebucket`
 a batch of few ids reads as many bytes of a large table as of a small one (a batch that has ids in all
 buckets reads them all).
 
-Layout: ``ids/v=<k>/part=<p>/bucket=<b>`` (id, number of the batch that brought it) and ``layout/v=<k>``
-(one row: the number of buckets). Part -1 is the base, part n what batch n appended. ``rebucket`` writes
+Layout: ``ids/v=<k>/part=<p>/file=<f>`` (id, number of the batch that brought it, bucket; sorted by bucket)
+and ``layout/v=<k>`` (one row: the number of buckets). Part -1 is the base, part n what batch n appended. A file of
+the base holds one bucket, or, beyond ``FILES`` buckets, several neighbouring ones, whose row groups and pages tell
+their buckets; an appended part is as few files as its bytes need (``file=-1``). So the files of a batch and
+of a rewrite do not grow in number with the table. A reader lists the files of its version only. ``rebucket`` writes
 everything as the base of the next version and only then its layout row, which is what readers go by: one
 that breaks off leaves the old version as it was and is overwritten by the next one, and old versions stay
 for readers that are under way. The one writer of a table calls it between two appends, so no append can fall
@@ -19,20 +22,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.orders import not_stored
 from .slices import read_declared
 
-IDS = "id STRING, batch_id BIGINT, v INT, part BIGINT, bucket INT"
+IDS = "id STRING, batch_id BIGINT, bucket INT, part BIGINT, file INT"
 LAYOUT = "buckets INT, v INT"
 BASE = -1
+#: Files of the base at most, and the number of the files of an appended part.
+FILES, APPENDED = 64, -1
 
 
 def _bucket(buckets: int) -> Column:
     return F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int")
 
 
+def _file(bucket: Column, buckets: int) -> Column:
+    return F.floor(bucket / F.lit(-(-buckets // FILES))).cast("int")
+
+
 def _write(ids: DataFrame, path: str, version: int, part: int, buckets: int) -> None:
-    rows = ids.withColumn("bucket", _bucket(buckets)).hint("rebalance", F.col("bucket"))
-    (rows.sortWithinPartitions("bucket", "id").write.mode("overwrite").partitionBy("bucket")
+    """Rows travel without the numbers that follow from their id."""
+    file = _file(_bucket(buckets), buckets)
+    dealt = ids.repartition(file) if part == BASE else ids.hint("rebalance", F.col("id"))
+    rows = dealt.withColumns({"bucket": _bucket(buckets), "file": file if part == BASE else F.lit(APPENDED)})
+    (rows.sortWithinPartitions("file", "bucket", "id").write.mode("overwrite").partitionBy("file")
          .parquet(f"{path}/ids/v={version}/part={part}"))
 
 
@@ -49,7 +62,7 @@ def layout(spark: SparkSession, path: str) -> tuple[int, int]:
 
 
 def _stored(spark: SparkSession, path: str, version: int) -> DataFrame:
-    return read_declared(spark, f"{path}/ids", IDS).where(F.col("v") == F.lit(version))
+    return read_declared(spark, f"{path}/ids/v={version}", IDS)
 
 
 def create(ids: DataFrame, path: str, key: str, rows_per_bucket: int = 1_000_000) -> None:
@@ -67,22 +80,25 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 def same_buckets(ids: DataFrame, path: str, but_part: int | None = None) -> DataFrame:
     """The stored ids in the buckets of ``ids`` (column ``id``), which are at most one number a bucket."""
-    spark = ids.sparkSession
-    version, buckets = layout(spark, path)
+    return _same_buckets(ids, path, *layout(ids.sparkSession, path), but_part)
+
+
+def _same_buckets(ids: DataFrame, path: str, version: int, buckets: int, but_part: int | None) -> DataFrame:
     touched = [r[0] for r in ids.select(_bucket(buckets)).distinct().collect()]
-    stored = _stored(spark, path, version).where(F.col("bucket").isin(touched))
+    stored = _stored(ids.sparkSession, path, version)
+    if len(touched) < buckets:
+        files = sorted({b // -(-buckets // FILES) for b in touched})
+        stored = stored.where(F.col("file").isin([APPENDED, *files]) & F.col("bucket").isin(touched))
     return stored if but_part is None else stored.where(F.col("part") != F.lit(but_part))
 
 
 def append_new(batch: DataFrame, path: str, batch_id: int, key: str) -> None:
     """Store the ids of a batch that are not stored yet. A batch that is replayed is held against
     all ids but its own, and written in the same place."""
-    spark = batch.sparkSession
-    own = batch.select(F.col(key).cast("string").alias("id")).where("id IS NOT NULL").distinct().persist()
-    new = own.join(same_buckets(own, path, batch_id).select("id"), "id", "left_anti")
-    version, buckets = layout(spark, path)
+    rows = batch.select(F.col(key).cast("string").alias("id")).where("id IS NOT NULL")
+    version, buckets = layout(batch.sparkSession, path)
+    new = not_stored(rows.distinct(), _same_buckets(rows, path, version, buckets, batch_id).select("id"), "id")
     _write(new.withColumn("batch_id", F.lit(batch_id).cast("bigint")), path, version, batch_id, buckets)
-    own.unpersist()
 
 
 def rebucket(spark: SparkSession, path: str, rows_per_bucket: int = 1_000_000) -> int:
