@@ -282,24 +282,15 @@ def backlog(candidates: DataFrame, processed: DataFrame, key: str,
     return candidates.join(done, candidates[key] == done["__done"], "left_anti")
 
 
-#: Ids of a batch whose hashes are sent to every task.
-BROADCAST_IDS = 2_000_000
-
-
 def not_stored(ids: DataFrame, stored: DataFrame, key: str) -> DataFrame:
     """The distinct ``ids`` of a batch that are not among the ``stored`` ones (J3 for batches).
 
-    The stored ids are scanned where they lie: only those that share a 64-bit hash with an id
-    of the batch (all of the batch's, and hardly another) go on to the exact anti join. A
-    batch of more than ``BROADCAST_IDS`` ids finds them by a shuffled join instead. The ids are not
-    cached: a cached plan keeps all shuffle partitions, which costs a small batch more than reading it again.
+    The stored ids are probed against a hash table of the batch's ids, partition by partition, and not
+    sorted; only those found go on to the anti join. Nothing is cached: a cached plan keeps all shuffle
+    partitions, which costs a small batch more than reading it again.
     """
-    if ids.count() <= BROADCAST_IDS:
-        own = F.broadcast(ids.select(F.xxhash64(key).alias("__hash")))
-        hits = stored.join(own, F.xxhash64(stored[key]) == own["__hash"], "left_semi")
-    else:
-        hits = stored.join(ids, key, "left_semi")
-    return ids.join(hits, key, "left_anti")
+    hits = stored.join(ids.hint("shuffle_hash"), key, "left_semi")
+    return ids.join(hits.hint("shuffle_hash"), key, "left_anti")
 
 
 def distinct_ids(df: DataFrame, key: str) -> DataFrame:

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from .. import schemas
 from ..functions import constants as K
 from ..functions import expr as X
+from ..operators.orders import not_stored
 from ..sources import idindex
 from ..sources.sinks import write_batch
 from ..sources.slices import read_declared, values_of
@@ -221,16 +222,13 @@ def stream_backlog(candidates: DataFrame, stored_path: str, checkpoint: str, key
     same rows.
     """
     spark = candidates.sparkSession
+    schema = spark.read.parquet(stored_path).schema      # once, not by every batch
 
     def process(batch: DataFrame, batch_id: int) -> None:
         ids = batch.select(key).where(F.col(key).isNotNull()).dropDuplicates([key])
-        stored = (spark.read.parquet(stored_path)
+        stored = (spark.read.schema(schema).parquet(stored_path)
                        .where(F.col("batch_id") != F.lit(batch_id)).select(key))
-        # Semi-join reduction: the stored table only has to be scanned and
-        # probed against this batch's ids (a broadcast when Spark measures
-        # them small), instead of being shuffled whole for every batch.
-        hits = stored.join(ids, key, "left_semi")
-        write_batch(ids.join(hits, key, "left_anti"), stored_path, batch_id)
+        write_batch(not_stored(ids, stored, key), stored_path, batch_id)
 
     w = candidates.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
