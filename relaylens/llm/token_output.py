@@ -25,12 +25,14 @@ rows. Other columns are ignored.
 from __future__ import annotations
 
 import re
-import unicodedata
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,8 +45,12 @@ BLOCK = 1024
 SEGMENT_IDS = 1 << 19
 #: Bytes of text in a range of ids.
 RANGE_BYTES = 16 << 20
-#: Words that an encoder remembers.
+#: Pieces of words that an encoder remembers, and as many words that are not cut.
 HELD_WORDS = 600_000
+#: Bytes of text that an encoder gets at a time, unless one document has more.
+GROUP_BYTES = 4 << 20
+#: Words of a text whose ids are put together at a time.
+GROUP_WORDS = 1 << 18
 MAGIC = b"S8B1"
 
 
@@ -145,57 +151,93 @@ def unpack(segment: bytes, first_block: int = 0, last_block: int | None = None)
     return out[:total]
 
 
-class _Words(dict):
-    """Words with their ids (little-endian uint32 bytes), encoded when first met."""
+class _Held(dict):
+    """Words or pieces of words with their ids (little-endian uint32 bytes), encoded when first met."""
 
-    def __init__(self, encode_word: Callable[[str], bytes]):
+    def __init__(self, encode: Callable[[str], bytes]):
         super().__init__()
-        self.encode_word = encode_word
+        self.encode = encode
 
-    def __missing__(self, word: str) -> bytes:
-        ids = self[word] = self.encode_word(word)
+    def __missing__(self, key: str) -> bytes:
+        ids = self[key] = self.encode(key)
         return ids
 
-
-def word_encoder(path: str) -> Callable[[str], bytes]:
-    """Encoder of whole texts with the ``tokenizers`` file at ``path``, without special
-    tokens; the ids come as little-endian uint32 bytes. The file's split never joins
-    characters across white space, so words are encoded once and remembered; a text is
-    the sequence of its words' ids.
-
-    A word of letters goes to the file's model directly, in lower case. Any other word
-    goes through the whole tokenizer, after its closing punctuation is split off."""
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    model = tokenizer.model
-    chars = _byte_chars()
-    split = re.compile(r"[^ \t\n\r]+").findall
-
-    def letters(word: str) -> bool:
-        return word.isalpha() and (word.isascii() or unicodedata.is_normalized("NFC", word) and all(
-            "À" <= c <= "ſ" and len(c.lower()) == 1 for c in word if c > "\x7f"))
-
-    def encode_lower(word: str) -> bytes:
-        return np.array([t.id for t in model.tokenize(word if word.isascii() else word.translate(chars))], "<u4").tobytes()
-
-    def encode_word(word: str) -> bytes:
-        if letters(word):
-            return plain[word.lower()]
-        body, end = word[:-1], word[-1:]
-        if end in (".", ",") and letters(body):
-            return plain[body.lower()] + words[end]
-        return np.array(tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-
-    plain, words = _Words(encode_lower), _Words(encode_word)
-
-    def encode(text: str) -> bytes:
-        if len(words) > HELD_WORDS:
-            plain.clear()
-            words.clear()
-        return b"".join(map(words.__getitem__, split(text)))
-
-    return encode
+    def lists(self, keys: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all keys, one after the other, and how many each key has."""
+        if len(self) > HELD_WORDS:
+            self.clear()
+        coded = list(map(self.__getitem__, keys.to_numpy(zero_copy_only=False).tolist()))
+        return np.frombuffer(b"".join(coded), "<u4"), np.fromiter(map(len, coded), np.int64, len(coded)) // 4
+
+
+def _take(ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """The lists ``of`` these numbers, one after the other; list k is ``sizes[k]`` ids from ``starts[k]`` on."""
+    n = sizes[of]
+    return ids[np.repeat(starts[of] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+
+
+def word_encoder(path: str) -> WordEncoder:
+    """Encoder of whole texts with the ``tokenizers`` file at ``path``, without special tokens."""
+    return WordEncoder(path)
+
+
+class WordEncoder:
+    """Whole texts to ids (little-endian uint32 bytes), one text a call or an Arrow array of texts (``many``).
+
+    The file's split never joins characters across white space, so the words of an array are told apart in
+    Arrow and each different one is encoded once; a text is the sequence of its words' ids.
+
+    Words of ASCII and Latin letters that the file's normalizer only turns to lower case are cut by the file's
+    own pattern, all in one pass, and each different piece goes to the file's model. Any other word goes
+    through the whole tokenizer. Pieces and such words are remembered."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.chars = _byte_chars()
+        # letters with one letter as lower case; none of them, nor ASCII, changes under NFC
+        latin = "".join(c for c in map(chr, range(0xC0, 0x180)) if c.isalpha() and len(c.lower()) == 1)
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.odd = "|".join([f"[^!-~{latin}]", *added])
+        # the file's pattern on lower case of the other words, whose characters beyond ASCII are letters; a line is a word
+        self.cut = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\x80-\uffff]+|[0-9]|\n|[^a-z0-9\n\x80-\uffff]+").findall
+        self.pieces, self.words = _Held(self._encode_piece), _Held(self._encode_word)
+
+    def __call__(self, text: str) -> bytes:
+        return self.many(pa.array([text], pa.string()))[0]
+
+    def many(self, texts: pa.Array) -> list[bytes]:
+        split = pc.ascii_split_whitespace(texts)              # an end of white space gives an empty word, without ids
+        coded = split.flatten().dictionary_encode()
+        lists, of = self._lists(coded.dictionary), coded.indices.to_numpy()
+        data = b"".join(_take(*lists, of[lo:lo + GROUP_WORDS]).tobytes() for lo in range(0, len(of), GROUP_WORDS))
+        ends = 4 * np.r_[0, np.cumsum(lists[2][of])][split.offsets.to_numpy()]
+        return [data[a:b] for a, b in pairwise(ends.tolist())]
+
+    def _lists(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and where those of every word start and how many they are."""
+        odd = pc.match_substring_regex(words, self.odd)
+        lines = "".join(w + "\n" for w in words.filter(pc.invert(odd)).to_numpy(zero_copy_only=False).tolist()).lower()
+        cut = pa.array(self.cut(lines), pa.string()).dictionary_encode()
+        of, line_end = cut.indices.to_numpy(), pc.index(cut.dictionary, "\n").as_py()
+        ids, sizes = self.pieces.lists(cut.dictionary)
+        line_ends = np.cumsum(sizes[of])[of == line_end]
+        odd_ids, odd_sizes = self.words.lists(words.filter(odd))
+        ids = np.r_[_take(ids, np.cumsum(sizes) - sizes, sizes, of), odd_ids]
+        sizes = np.r_[np.diff(line_ends, prepend=0), odd_sizes]
+        place = np.argsort(np.argsort(odd.to_numpy(zero_copy_only=False), kind="stable"))
+        return ids, (np.cumsum(sizes) - sizes)[place], sizes[place]
+
+    def _encode_piece(self, piece: str) -> bytes:
+        if piece == "\n":
+            return b""
+        found = self.model.tokenize(piece if piece.isascii() else piece.translate(self.chars))
+        return array("I", [t.id for t in found]).tobytes()
+
+    def _encode_word(self, word: str) -> bytes:
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
 
 
 def _byte_chars() -> dict[int, str]:
@@ -209,7 +251,8 @@ def _byte_chars() -> dict[int, str]:
 
 def write_tokens(docs: DataFrame, path: str, encoder: Callable[[], Callable[[str], bytes]], end_id: int = 2,
                  id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Write the ids of all documents, each closed by ``end_id``, as segments under ``path``."""
+    """Write the ids of all documents, each closed by ``end_id``, as segments under ``path``. ``encoder()`` makes
+    a function of a text; if that has a method ``many``, it gets the texts as Arrow arrays."""
     keyed = docs.select(F.col(id_col).cast("bigint").alias("id"),
                         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     size = keyed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -219,6 +262,7 @@ def write_tokens(docs: DataFrame, path: str, encoder: Callable[[], Callable[[str
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, part, seg, before = encoder(), TaskContext.get().partitionId(), 0, 0
+        many = getattr(encode, "many", None) or (lambda texts: map(encode, texts.to_pylist()))
         end = np.array([end_id], "<u4").tobytes()
         ids, held, n = [], [], 0
 
@@ -231,11 +275,12 @@ def write_tokens(docs: DataFrame, path: str, encoder: Callable[[], Callable[[str
                 ["part", "seg", "before", "n_ids", "doc_ids", "counts", "payload"])
 
         for batch in batches:
-            for lo in range(0, len(batch), 64):
-                rows = batch.slice(lo, 64)
-                for i, text in zip(rows.column("id").to_pylist(), rows.column("text").to_pylist(), strict=True):
+            group = np.cumsum(pc.binary_length(batch.column("text")).to_numpy().astype(np.int64)) // GROUP_BYTES
+            for lo, hi in pairwise([0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(batch)]):
+                rows = batch.slice(lo, hi - lo)
+                for i, coded in zip(rows.column("id").to_pylist(), many(rows.column("text")), strict=True):
                     ids.append(i)
-                    held.append(encode(text) + end)
+                    held.append(coded + end)
                     n += len(held[-1]) // 4
                     if n >= SEGMENT_IDS:
                         yield segment()

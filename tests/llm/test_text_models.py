@@ -4,9 +4,11 @@ import collections
 import random
 import re
 import time
+import types
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -56,6 +58,64 @@ def test_word_encoder_equals_library():
         assert np.frombuffer(mine(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, text
 
 
+def test_word_encoder_encodes_pieces_once(monkeypatch):
+    """Closing signs, digits and endings make no new work for the library: every piece goes to its model once."""
+    from tokenizers import Tokenizer
+    path, whole, tokenized = tokenizers.path(queries.WORD_BPE), [], []
+
+    class Counted:
+        def __init__(self, inner):
+            self.inner, model = Tokenizer.from_file(inner), Tokenizer.from_file(inner).model
+            self.model = types.SimpleNamespace(tokenize=lambda piece: tokenized.append(piece) or model.tokenize(piece))
+
+        def __getattr__(self, name):
+            return getattr(self.inner, name)
+
+        def encode(self, text, **more):
+            whole.append(text)
+            return self.inner.encode(text, **more)
+
+    monkeypatch.setattr("tokenizers.Tokenizer", types.SimpleNamespace(from_file=Counted))
+    encode = token_output.word_encoder(path)
+    text = " ".join(stem + tail for stem in ["Then", "ñandú", "therble", "été"] for tail in ["", ".", "***", "!!", "'s", "7", "-a"])
+    expected = Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+    for _ in range(2):
+        assert np.frombuffer(encode(text), "<u4").tolist() == expected
+    assert (whole, len(tokenized)) == ([], len({"then", "ñandú", "therble", "été", ".", "***", "!!", "'s", "7", "-", "a"}))
+
+
+def test_word_encoder_of_arrays(monkeypatch):
+    from tokenizers import Tokenizer
+    path, rng = tokenizers.path(queries.WORD_BPE), random.Random(5)
+    whole, mine = Tokenizer.from_file(path), token_output.word_encoder(path)
+    signs = [*"abXY''sStTreElLdm09.,!|<>#* \t\n\r\x0b\x0c\x1c\x85\xa0ÀßéŒſŉĳİ×÷µªΣς漢🙂", "\u0300", "<|endoftext|>", "'ll"]
+    texts = ["".join(rng.choices(signs, k=rng.randint(0, 40))) for _ in range(3000)] + [None, "", " \n "]
+    monkeypatch.setattr(token_output, "GROUP_WORDS", 7)
+    monkeypatch.setattr(token_output, "HELD_WORDS", 50)
+    for lo in range(0, len(texts), 1000):
+        got = mine.many(pa.array(texts).slice(lo, 1000))
+        for text, ids in zip(texts[lo:lo + 1000], got, strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == whole.encode(text or "", add_special_tokens=False).ids, text
+    assert mine.many(pa.array([], pa.string())) == []
+
+
+def test_tokens_of_groups(spark, docs, monkeypatch):
+    """Groups of texts cut by bytes, and an encoder that only takes single texts, write the same rows."""
+    def single():
+        encode = queries.word_tokenizer()
+        return lambda text: encode(text)
+
+    def written(encoder):
+        folder = queries.scratch_folder(spark, "test_groups")
+        token_output.write_tokens(docs, folder, encoder)
+        return sorted(map(str, token_output.read_tokens(spark, folder).collect()))
+
+    expected = written(queries.word_tokenizer)
+    assert written(single) == expected
+    monkeypatch.setattr(token_output, "GROUP_BYTES", 1000)
+    assert written(queries.word_tokenizer) == expected
+
+
 def test_token_files(spark, docs, rows, no_docs, monkeypatch):
     from tokenizers import Tokenizer
     monkeypatch.setattr(token_output, "SEGMENT_IDS", 500)
