@@ -20,7 +20,7 @@ Scale notes
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -282,17 +282,59 @@ def backlog(candidates: DataFrame, processed: DataFrame, key: str,
     return candidates.join(done, candidates[key] == done["__done"], "left_anti")
 
 
+#: Words of 64 bits in a filter of ids (2 MB), and how many of them a row holds while they are put together.
+FILTER_WORDS, WORDS_A_ROW = 1 << 18, 1 << 9
+#: Types whose equal values have equal hashes.
+FILTERED = {"string", "bigint", "int"}
+
+
 def not_stored(ids: DataFrame, stored: DataFrame, key: str) -> DataFrame:
     """The distinct ``ids`` of a batch that are not among the ``stored`` ones (J3 for batches).
 
-    The stored ids are probed against a hash table of the batch's ids, partition by partition, and not
-    sorted; only those found go on to the anti join. Nothing is cached: a cached plan keeps all shuffle
-    partitions, which costs a small batch more than reading it again.
+    Stored ids that a filter of the batch's ids (``id_filter``) rules out are dropped where they are read, so the
+    shuffle grows with the batch and not with the table. The others are probed against a hash table of the
+    batch's ids, partition by partition, and not sorted; only those found go on to the anti join. Nothing is
+    cached: a cached plan keeps all shuffle partitions, which costs a small batch more than reading it again.
     """
+    kinds = {dict(df.dtypes).get(key) for df in (ids, stored)}
+    if len(kinds) == 1 and kinds <= FILTERED:          # ids of two types are compared by a cast, their hashes differ
+        stored = stored.where(_in_filter(id_filter(ids, key).scalar(), key))
     hits = stored.join(ids.hint("shuffle_hash"), key, "left_semi")
     return ids.join(hits.hint("shuffle_hash"), key, "left_anti")
 
 
+def _bit(place: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), place.bitwiseAND(F.lit(63)).cast("int"))
+
+
+def _place(key: str) -> Column:
+    """The bit of an id in a filter."""
+    return F.pmod(F.xxhash64(F.col(f"`{key}`")), F.lit(64 * FILTER_WORDS))
+
+
+def id_filter(ids: DataFrame, key: str) -> DataFrame:
+    """The bits of the hashes of ``ids``: one row, ``bits`` an array of 64-bit words. It is of one size for any
+    batch: the more ids, the fewer others it rules out (of 2 million ids, 11 % of the others pass)."""
+    bits = ids.select(_place(key).alias("place")).select(F.shiftright("place", 6).alias("word"), _bit(F.col("place")).alias("bits"))
+    unset = ids.sparkSession.range(FILTER_WORDS).selectExpr("id AS word", "0L AS bits")
+    # dealt by the row they end in: nearly every id sets a word of its own, so summing up before would save nothing
+    rows = bits.unionByName(unset).withColumn("row", F.floor(F.col("word") / WORDS_A_ROW)).repartition("row")
+
+    def in_order(number: str, value: str) -> Column:
+        return F.transform(F.sort_array(F.collect_list(F.struct(number, value))), lambda x: x[value])
+
+    words = rows.groupBy("row", "word").agg(F.bit_or("bits").alias("bits"))
+    return words.groupBy("row").agg(in_order("word", "bits").alias("bits")).agg(F.flatten(in_order("row", "bits")).alias("bits"))
+
+
+def _in_filter(bits: Column, key: str) -> Column:
+    """False for ids that are surely not in the filter. The condition that always holds keeps Spark from inferring
+    the filter for the other side of a join too, where it rules out nothing and has the ids read once more."""
+    place = _place(key)
+    word = F.when(F.monotonically_increasing_id() >= 0, F.get(bits, F.shiftright(place, 6).cast("int")))
+    return word.bitwiseAND(_bit(place)) != 0
+
+
 def distinct_ids(df: DataFrame, key: str) -> DataFrame:
     """``SELECT DISTINCT key``."""
     return df.select(key).distinct()

@@ -30,10 +30,12 @@ INTERVALS = "first bigint, last bigint, load_id bigint"
 NO_TIME = -(1 << 62)
 
 
-def read_declared(spark: SparkSession, path: str, schema) -> DataFrame:
-    """A table with a declared schema, empty where nothing is stored yet."""
+def read_declared(spark: SparkSession, path: str | list[str], schema, base: str | None = None) -> DataFrame:
+    """A table with a declared schema, empty where nothing is stored yet. Several folders of it are given with
+    the one that they all lie in (``base``)."""
+    reader = spark.read.schema(schema)
     try:
-        return spark.read.schema(schema).parquet(path)
+        return (reader.option("basePath", base) if base else reader).parquet(*([path] if isinstance(path, str) else path))
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise

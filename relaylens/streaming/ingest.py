@@ -240,11 +240,12 @@ def stream_backlog_indexed(candidates: DataFrame, index: str, checkpoint: str, k
                            available_now: bool = True, interval: str = "10 seconds"):
     """T2 on a table of ids in hash buckets (:mod:`sources.idindex`, made by ``idindex.create``): a batch
     reads the buckets of its own ids only. Every ``compact_every`` batches, before it appends, a batch
-    rewrites the table with buckets of ``rows_per_bucket`` ids. Read the ids with ``idindex.read``."""
+    compacts the table (``idindex.compact``): it rewrites the newest parts, and the whole table with buckets of
+    ``rows_per_bucket`` ids whenever they have grown to half of its base. Read the ids with ``idindex.read``."""
     def process(batch: DataFrame, batch_id: int) -> None:
         if batch_id and batch_id % compact_every == 0:
-            # a replayed batch may have appended already: its ids are then in the base, brought by itself
-            idindex.rebucket(batch.sparkSession, index, rows_per_bucket)
+            # a replayed batch may have appended already: its ids are then in the rewritten part, brought by itself
+            idindex.compact(batch.sparkSession, index, rows_per_bucket)
         idindex.append_new(batch, index, batch_id, key)
 
     w = candidates.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
