@@ -97,7 +97,7 @@ def q_stream_backlog(spark, sf):
 
 @register("stream_backlog_indexed", ORACLES["stream_backlog"])
 def q_stream_backlog_indexed(spark, sf):
-    """The streaming backlog over an id table in hash buckets, rewritten every other batch while it runs."""
+    """The streaming backlog over an id table in hash buckets, compacted every other batch while it runs."""
     root = run_folder(spark, "stream_backlog_indexed", sf)
     lines = B.table(spark, sf, "lineitem").select(F.col("l_orderkey").cast("string").alias("orderid"), "l_linenumber")
     for part in range(3):
